@@ -152,3 +152,113 @@ def q_clean_lm_pages(spark, sf_dir):
     """P3b + P6 ('lm' profile) on raw HTML pages, which carry real entities."""
     p = X.load(spark, sf_dir, "pages")
     return p.select("page_id", T.clean(F.col("html"), "lm").alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# Generated-text QA: clean, judge, select, report, numbered list
+# ---------------------------------------------------------------------------
+from quipu.functions import verdict as V  # noqa: E402
+from quipu.operators import qa as QA  # noqa: E402
+
+# Caller-supplied "explicit" list for the fixture: neutral substrings of the
+# synthetic prose, so the rule fires on part of the rows.
+FIXTURE_EXPLICIT = ("schst", "ierre")
+
+CAND_SQL = "WITH " + X.CANDIDATES_SQL.strip() + f""",
+cleaned AS (SELECT slot, attempt, {O.clean_generated('text')} AS text FROM candidates),
+judged AS (SELECT slot, attempt, text,
+             {O.verdict_reason('text', FIXTURE_EXPLICIT)} AS reason FROM cleaned),
+judged2 AS (SELECT *, reason = 'good' AS ok FROM judged),
+stops AS (SELECT slot, min(attempt) AS a0,
+            coalesce(min(attempt) FILTER (WHERE ok), max(attempt)) AS stop FROM judged2 GROUP BY slot)"""
+
+
+def judged_candidates(spark, sf_dir):
+    return QA.judge(X.candidates(spark, sf_dir), FIXTURE_EXPLICIT)
+
+
+@register("clean_generated", "WITH " + X.CANDIDATES_SQL.strip() + f"""
+SELECT slot, attempt, {O.clean_generated('text')} AS text FROM candidates""")
+def q_clean_generated(spark, sf_dir):
+    """P10: meta parens, brackets, mentions, emoticons/emoji, stars, carets, spacing, punctuation runs."""
+    c = X.candidates(spark, sf_dir)
+    return c.select("slot", "attempt", T.clean_generated(F.col("text")).alias("text"))
+
+
+@register("quality_verdict", CAND_SQL + """
+SELECT slot, attempt, text, ok, reason FROM judged2""")
+def q_quality_verdict(spark, sf_dir):
+    """F12 (with F6-F11): first failing rule gives the reason code."""
+    return judged_candidates(spark, sf_dir).select("slot", "attempt", "text", "ok", "reason")
+
+
+@register("select_candidates", CAND_SQL + """
+SELECT j.slot, j.attempt, j.text, j.ok, j.reason, CAST(s.stop - s.a0 + 1 AS INTEGER) AS n_attempts
+FROM judged2 j JOIN stops s ON j.slot = s.slot AND j.attempt = s.stop""")
+def q_select_candidates(spark, sf_dir):
+    """First good attempt per slot, else the last one, with the attempts it took."""
+    return QA.select_candidates(judged_candidates(spark, sf_dir))
+
+
+@register("rejection_report", CAND_SQL + """
+SELECT reason, count(*) AS n FROM judged2 j JOIN stops s ON j.slot = s.slot
+WHERE j.attempt <= s.stop GROUP BY reason""")
+def q_rejection_report(spark, sf_dir):
+    """M6: count of attempts per verdict reason over the attempts the loop makes."""
+    return QA.rejection_report(judged_candidates(spark, sf_dir))
+
+
+@register("attempt_summary", CAND_SQL + """,
+sel AS (SELECT j.slot, j.ok, s.stop - s.a0 + 1 AS n_attempts FROM judged2 j
+        JOIN stops s ON j.slot = s.slot AND j.attempt = s.stop)
+SELECT CAST(sum(n_attempts) AS BIGINT) AS total_attempts, count(*) AS n_slots,
+       round(sum(n_attempts) / count(*), 6) AS avg_attempts,
+       count(*) FILTER (WHERE NOT ok) AS n_kept_failing FROM sel""")
+def q_attempt_summary(spark, sf_dir):
+    """M6: total attempts, slots, average per slot, slots kept despite failing."""
+    return QA.attempt_summary(QA.select_candidates(judged_candidates(spark, sf_dir)))
+
+
+@register("numbered_list", CAND_SQL + """,
+sel AS (SELECT j.slot, j.text FROM judged2 j JOIN stops s ON j.slot = s.slot AND j.attempt = s.stop)
+SELECT row_number() OVER (ORDER BY slot) AS i,
+       CAST(row_number() OVER (ORDER BY slot) AS VARCHAR) || '. ' || text || chr(10) AS line FROM sel""")
+def q_numbered_list(spark, sf_dir):
+    """K2: the selected texts as "i. text" lines, numbered from 1 in slot order."""
+    return QA.numbered_lines(QA.select_candidates(judged_candidates(spark, sf_dir)))
+
+
+PROMPTS_SQL = "prompts AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, {O.lit(p)})" for i, p in enumerate(QA.DEFAULT_PROMPTS)) + ") AS t(prompt_id, prompt))"
+
+
+@register("prompt_cycle", "WITH " + PROMPTS_SQL + f""",
+slots AS (SELECT DISTINCT conv_id AS slot FROM conversations)
+SELECT s.slot, p.prompt FROM slots s JOIN prompts p ON s.slot % {len(QA.DEFAULT_PROMPTS)} = p.prompt_id""")
+def q_prompt_cycle(spark, sf_dir):
+    """Every slot (one per conversation) gets prompt ``slot mod n``."""
+    slots = X.load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("slot")).distinct()
+    return QA.assign_prompt_cycle(slots, QA.prompt_table(spark)).select("slot", "prompt")
+
+
+@register("boilerplate_match", f"""WITH {X.POSTS_SQL.strip()}
+SELECT post_id, {O.matches_any("coalesce(selftext, '')", V.BOILERPLATE_TERMS)} AS hit FROM posts""")
+def q_boilerplate_match(spark, sf_dir):
+    """Does the body contain any boilerplate phrase (lowercased substring)?"""
+    p = X.posts(spark, sf_dir)
+    return p.select("post_id", V.matches_any(F.coalesce(F.col("selftext"), F.lit("")),
+                                             V.BOILERPLATE_TERMS).alias("hit"))
+
+
+@register("strip_prompt", "WITH " + PROMPTS_SQL + f""",
+c AS (SELECT conv_id, turn, text, p.prompt FROM conversations
+      JOIN prompts p ON conv_id % {len(QA.DEFAULT_PROMPTS)} = p.prompt_id),
+g AS (SELECT conv_id, turn, prompt, prompt || ' ' || text || ' ' || prompt AS gen FROM c)
+SELECT conv_id, turn, CASE WHEN strpos(gen, prompt) > 0
+         THEN {O.strip_ws("replace(gen, prompt, '')")} ELSE gen END AS text FROM g""")
+def q_strip_prompt(spark, sf_dir):
+    """Remove every occurrence of the slot's prompt from a generation, then strip."""
+    conv = X.load(spark, sf_dir, "conversations").withColumn("slot", F.col("conv_id"))
+    c = QA.assign_prompt_cycle(conv, QA.prompt_table(spark))
+    gen = F.concat_ws(" ", F.col("prompt"), F.col("text"), F.col("prompt"))
+    return c.select("conv_id", "turn", T.strip_prompt(gen, F.col("prompt")).alias("text"))

@@ -90,3 +90,26 @@ posts AS (
          ELSE CASE WHEN nl > 0 THEN substr(text, nl + 1) END END AS selftext,
     (post_id * 7) % 40 AS score
   FROM posts_split)"""
+
+
+# ---------------------------------------------------------------------------
+# Candidate generations: one slot per conversation, one attempt per turn.
+# The turn text gets one of the post suffixes so the generated-text cleaner
+# and the verdict rules have meta text, brackets, stars and carets to handle.
+# ---------------------------------------------------------------------------
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = load(spark, sf_dir, "conversations")
+    k = (F.col("conv_id") * 1000 + F.col("turn")) % 5
+    suffix = (F.when(k == 0, F.lit(SUFFIXES[0])).when(k == 1, F.lit(SUFFIXES[1]))
+              .when(k == 2, F.lit(SUFFIXES[2])).when(k == 3, F.lit(SUFFIXES[3])).otherwise(F.lit("")))
+    return conv.select(F.col("conv_id").alias("slot"), F.col("turn").cast("int").alias("attempt"),
+                       F.concat(F.col("text"), suffix).alias("text"))
+
+
+CANDIDATES_SQL = f"""
+candidates AS (
+  SELECT conv_id AS slot, CAST(turn AS INTEGER) AS attempt,
+    text || CASE (conv_id * 1000 + turn) % 5 WHEN 0 THEN {_sql_lit(SUFFIXES[0])}
+              WHEN 1 THEN {_sql_lit(SUFFIXES[1])} WHEN 2 THEN {_sql_lit(SUFFIXES[2])}
+              WHEN 3 THEN {_sql_lit(SUFFIXES[3])} ELSE '' END AS text
+  FROM conversations)"""
