@@ -262,3 +262,108 @@ def q_strip_prompt(spark, sf_dir):
     c = QA.assign_prompt_cycle(conv, QA.prompt_table(spark))
     gen = F.concat_ws(" ", F.col("prompt"), F.col("text"), F.col("prompt"))
     return c.select("conv_id", "turn", T.strip_prompt(gen, F.col("prompt")).alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# Tokens, vocabulary, encoding, windows (whole documents)
+# ---------------------------------------------------------------------------
+from quipu.functions import tokens as TK  # noqa: E402
+from quipu.operators import vocab as VO  # noqa: E402
+from quipu.plans import lm as LM  # noqa: E402
+
+LM_SQL = "WITH " + LM.sql_lm_ctes().strip()
+
+
+def _joined(c):
+    return F.array_join(c, " ")
+
+
+@register("tokenize_words", f"""
+SELECT doc_id, array_to_string({LM.sql_tokens(O.clean_rnn('text'))}, ' ') AS tokens,
+       CAST(len({LM.sql_tokens(O.clean_rnn('text'))}) AS INTEGER) AS n_tokens FROM documents""")
+def q_tokenize_words(spark, sf_dir):
+    """Documented Treebank-subset word tokens of every 'rnn'-cleaned document."""
+    d = X.load(spark, sf_dir, "documents")
+    t = TK.tokenize_words(T.clean(F.col("text"), "rnn"))
+    return d.select("doc_id", _joined(t).alias("tokens"), F.size(t).alias("n_tokens"))
+
+
+@register("token_counts", LM_SQL + f"""
+SELECT token, n, CAST(first_seen // {1 << VO.POS_BITS} AS BIGINT) AS first_doc,
+       CAST(first_seen % {1 << VO.POS_BITS} AS BIGINT) AS first_pos FROM counts""")
+def q_token_counts(spark, sf_dir):
+    """T3 + T5: padded token frequencies with first occurrence (doc, position)."""
+    c = VO.token_counts(LM.tokenized_docs(spark, sf_dir))
+    return c.select("token", "n",
+                    F.floor(F.col("first_seen") / (1 << VO.POS_BITS)).cast("long").alias("first_doc"),
+                    F.pmod(F.col("first_seen"), F.lit(1 << VO.POS_BITS)).cast("long").alias("first_pos"))
+
+
+@register("build_vocab", LM_SQL + """
+SELECT token, token_id, n FROM vocab""")
+def q_build_vocab(spark, sf_dir):
+    """Capped vocabulary (10000): <UNK>=1, then ids from 2 by count desc, first-seen ties."""
+    return LM.lm_inputs(spark, sf_dir)[1]
+
+
+@register("encode", LM_SQL + """
+SELECT doc_key, array_to_string(ids, ' ') AS ids, CAST(len(ids) AS INTEGER) AS n_ids FROM encoded""")
+def q_encode(spark, sf_dir):
+    """Every document's tokens as vocabulary ids, unknown -> 1."""
+    e = LM.lm_inputs(spark, sf_dir)[2]
+    return e.select("doc_key", _joined(F.col("ids")).alias("ids"), F.size("ids").alias("n_ids"))
+
+
+@register("decode", LM_SQL + """,
+dec AS (SELECT e.doc_key, e.pos, CASE WHEN v.token = '_' THEN '' ELSE v.token END AS w
+        FROM enc_ex e JOIN vocab v ON e.id = v.token_id WHERE v.token NOT IN ('<s>', '</s>'))
+SELECT doc_key, array_to_string(list(w ORDER BY pos), ' ') AS text FROM dec GROUP BY doc_key""")
+def q_decode(spark, sf_dir):
+    """Ids back to text (boundary tokens skipped, unknowns as <UNK>)."""
+    _, vocab, enc = LM.lm_inputs(spark, sf_dir)
+    return VO.decode(enc, vocab, LM.MAX_VOCAB)
+
+
+@register("ngram_windows", LM_SQL + """
+SELECT doc_key, pos, array_to_string(ctx, ' ') AS ctx, label FROM windows""")
+def q_ngram_windows(spark, sf_dir):
+    """T10 + T11: every 5-gram window of every encoded document, split into context and label."""
+    w = VO.windows(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM)
+    return w.select("doc_key", "pos", _joined(F.col("ctx")).alias("ctx"), "label")
+
+
+@register("assign_batches", LM_SQL + """,
+numbered AS (SELECT doc_key, pos, row_number() OVER (ORDER BY doc_key, pos) - 1 AS sample_idx FROM windows)
+SELECT doc_key, pos, sample_idx, CAST(sample_idx // 32 AS BIGINT) AS batch_id FROM numbered""")
+def q_assign_batches(spark, sf_dir):
+    """Global sample index in (doc, position) order and batch id (B = 32, tail kept)."""
+    b = VO.assign_batches(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM, 32)
+    return b.select("doc_key", "pos", "sample_idx", "batch_id")
+
+
+@register("encode_fixed", LM_SQL + """,
+fx AS (SELECT doc_key, list_slice(list_concat(ids, [50256]), 1, 192) AS input_ids FROM encoded)
+SELECT doc_key, array_to_string(input_ids, ' ') AS input_ids,
+       CAST(len(input_ids) AS INTEGER) AS mask_sum FROM fx""")
+def q_encode_fixed(spark, sf_dir):
+    """End id appended, truncated to 192, attention mask of ones."""
+    e = LM.lm_inputs(spark, sf_dir)[2]
+    s = TK.encode_fixed(F.col("ids"), 50256, 192)
+    return e.select("doc_key", _joined(s["input_ids"]).alias("input_ids"),
+                    F.aggregate(s["attention_mask"], F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+
+
+@register("vocab_uncapped", f"""WITH
+toks AS (SELECT doc_id AS doc_key, list_filter(string_split(translate(lower({O.clean_toy('text')}),
+           {O.lit(TK.SIMPLE_FILTERS)}, {O.lit(' ' * len(TK.SIMPLE_FILTERS))}), ' '), lambda x: x <> '') AS t
+         FROM documents),
+ex AS (SELECT doc_key, unnest(range(len(t))) AS pos, unnest(t) AS token FROM toks),
+counts AS (SELECT token, count(*) AS n, min(CAST(doc_key AS HUGEINT) * {1 << VO.POS_BITS} + pos) AS fs
+           FROM ex GROUP BY token)
+SELECT token, CAST(row_number() OVER (ORDER BY n DESC, fs) AS INTEGER) AS token_id, n FROM counts""")
+def q_vocab_uncapped(spark, sf_dir):
+    """T4 + T6b: 'toy' clean, simple tokenizer, uncapped vocabulary with ids from 1."""
+    d = X.load(spark, sf_dir, "documents")
+    docs = d.select(F.col("doc_id").alias("doc_key"),
+                    TK.tokenize_simple(T.clean(F.col("text"), "toy")).alias("tokens"))
+    return VO.build_vocab(VO.token_counts(docs), None)
