@@ -367,3 +367,114 @@ def q_vocab_uncapped(spark, sf_dir):
     docs = d.select(F.col("doc_id").alias("doc_key"),
                     TK.tokenize_simple(T.clean(F.col("text"), "toy")).alias("tokens"))
     return VO.build_vocab(VO.token_counts(docs), None)
+
+
+# ---------------------------------------------------------------------------
+# n-gram model: fit, score, evaluate, grid search
+# ---------------------------------------------------------------------------
+from quipu.operators import ngram as NG  # noqa: E402
+
+MODEL_SQL = LM_SQL + LM.sql_model_ctes()
+
+
+def lm_model(spark, sf_dir):
+    docs, vocab, enc = LM.lm_inputs(spark, sf_dir)
+    split = LM.lm_split(enc)
+    train = split.filter(F.col("split") == "train")
+    evald = split.filter(F.col("split") == "eval")
+    model = NG.fit_ngram_model(VO.windows(train, LM.NGRAM), LM.NGRAM)
+    return vocab, model, evald
+
+
+def lm_scored(spark, sf_dir, lambdas=(0.5,), orders=None):
+    vocab, model, evald = lm_model(spark, sf_dir)
+    w = VO.windows(evald, LM.NGRAM)
+    return NG.score_windows(w, model, LM.NGRAM, VO.vocab_size(vocab), lambdas, orders)
+
+
+@register("fit_ngram_model", MODEL_SQL + """
+SELECT k, array_to_string(ctx, ' ') AS ctx, label, n, ctx_n, best FROM model""")
+def q_fit_ngram_model(spark, sf_dir):
+    """M1: per-order (context, next id) counts, context totals and best next id on the train split."""
+    _, model, _ = lm_model(spark, sf_dir)
+    return model.select("k", _joined(F.col("ctx")).alias("ctx"), "label", "n", "ctx_n", "best")
+
+
+@register("score_tokens", MODEL_SQL + """
+SELECT doc_key, pos, label, pred, round(p, 9) AS p, round(nll, 6) AS nll FROM scored2""")
+def q_score_tokens(spark, sf_dir):
+    """M2 + M4: interpolated p, -ln p and predicted id for every eval-split window."""
+    s = lm_scored(spark, sf_dir)
+    return s.select("doc_key", "pos", "label", "pred", F.round("p", 9).alias("p"), F.round("nll", 6).alias("nll"))
+
+
+@register("eval_documents", MODEL_SQL + """
+SELECT doc_key, round(loss, 6) AS loss, round(ppl, 4) AS ppl, round(accuracy, 6) AS accuracy, num_tokens
+FROM perdoc""")
+def q_eval_documents(spark, sf_dir):
+    """Per eval document loss, perplexity, accuracy and scored tokens."""
+    d = NG.eval_documents(lm_scored(spark, sf_dir))
+    return d.select("doc_key", F.round("loss", 6).alias("loss"), F.round("ppl", 4).alias("ppl"),
+                    F.round("accuracy", 6).alias("accuracy"), "num_tokens")
+
+
+@register("eval_corpus", MODEL_SQL + """,
+agg AS (SELECT sum(loss * num_tokens) / sum(num_tokens) AS loss,
+               sum(accuracy * num_tokens) / sum(num_tokens) AS accuracy, sum(num_tokens) AS num_tokens FROM perdoc)
+SELECT round(exp(loss), 4) AS perplexity, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy,
+       CAST(num_tokens AS BIGINT) AS num_tokens FROM agg""")
+def q_eval_corpus(spark, sf_dir):
+    """Token-weighted loss, perplexity and accuracy over the eval split."""
+    c = NG.eval_corpus(NG.eval_documents(lm_scored(spark, sf_dir)))
+    return c.select(F.round("perplexity", 4).alias("perplexity"), F.round("loss", 6).alias("loss"),
+                    F.round("accuracy", 6).alias("accuracy"), F.col("num_tokens").cast("long").alias("num_tokens"))
+
+
+@register("perplexity_batches", MODEL_SQL + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_key, pos) - 1 AS idx, count(*) OVER () AS total FROM scored2),
+kept AS (SELECT * FROM numbered WHERE idx // 32 < total // 32)
+SELECT round(avg(nll), 6) AS loss, round(exp(avg(nll)), 4) AS perplexity,
+       round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS num_tokens FROM kept""")
+def q_perplexity_batches(spark, sf_dir):
+    """M3c + T13: e^(mean nll) over whole batches of 32 eval windows (tail batch dropped)."""
+    vocab, model, evald = lm_model(spark, sf_dir)
+    b = VO.assign_batches(evald, LM.NGRAM, 32)
+    s = NG.score_windows(b.select("doc_key", "pos", "ctx", "label"), model, LM.NGRAM, VO.vocab_size(vocab))
+    sb = s.join(b.select("doc_key", "pos", "batch_id"), ["doc_key", "pos"])
+    r = NG.perplexity_batches(sb, 32)
+    return r.select(F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"),
+                    F.round("accuracy", 6).alias("accuracy"), "num_tokens")
+
+
+GRID_LAMBDAS = (0.3, 0.5, 0.7)
+GRID_ORDERS = (2, 3, 5)
+
+
+def _grid_sql():
+    parts = []
+    for i, (mo, lam) in enumerate([(mo, lam) for mo in GRID_ORDERS for lam in GRID_LAMBDAS]):
+        ctes = LM.sql_model_ctes(lam=lam).replace("max(k) FILTER (WHERE ctx_n IS NOT NULL)",
+                                                  f"max(k) FILTER (WHERE ctx_n IS NOT NULL AND k <= {mo - 1})")
+        ctes = ctes.replace("coalesce(c_w, 0) / ctx_n) FILTER (WHERE ctx_n IS NOT NULL)",
+                            f"coalesce(c_w, 0) / ctx_n) FILTER (WHERE ctx_n IS NOT NULL AND k <= {mo - 1})")
+        parts.append((i, lam, mo, ctes))
+    return parts
+
+
+def _grid_oracle():
+    subs = []
+    for i, lam, mo, ctes in _grid_sql():
+        subs.append(f"(WITH {LM.sql_lm_ctes().strip()}{ctes}\n"
+                    f"SELECT {i} AS cand, CAST({lam} AS DOUBLE) AS lam, {mo} AS max_order, avg(nll) AS loss FROM scored2)")
+    return ("WITH res AS (" + "\nUNION ALL\n".join(subs) + """),
+best AS (SELECT cand FROM res ORDER BY loss, cand LIMIT 1)
+SELECT r.cand, r.lam, r.max_order, round(r.loss, 6) AS loss, r.cand = (SELECT cand FROM best) AS is_best FROM res r""")
+
+
+@register("grid_search", _grid_oracle())
+def q_grid_search(spark, sf_dir):
+    """M5: every (lambda, max order) candidate scored on the eval split in one pass; lowest loss wins."""
+    vocab, model, evald = lm_model(spark, sf_dir)
+    w = VO.windows(evald, LM.NGRAM)
+    g = NG.grid_search(w, model, LM.NGRAM, VO.vocab_size(vocab), GRID_LAMBDAS, GRID_ORDERS)
+    return g.select("cand", "lam", "max_order", F.round("loss", 6).alias("loss"), "is_best")

@@ -68,3 +68,48 @@ encoded AS (SELECT doc_key, list(id ORDER BY pos) AS ids FROM enc_ex GROUP BY do
 win AS (SELECT doc_key, CAST(unnest(range(greatest(len(ids) - {n} + 1, 0))) AS INTEGER) AS pos, ids FROM encoded),
 windows AS (SELECT doc_key, pos, list_slice(ids, pos + 1, pos + {n - 1}) AS ctx,
                    CAST(ids[pos + {n}] AS INTEGER) AS label FROM win)"""
+
+
+def lm_split(encoded: DataFrame, frac: float = 0.95) -> DataFrame:
+    from quipu.operators import corpus as C
+    return C.split_ordered(encoded, frac, "doc_key")
+
+
+def sql_model_ctes(n: int = NGRAM, lam: float = 0.5, frac: float = 0.95) -> str:
+    w = n - 1
+    return f""",
+ndocs AS (SELECT count(*) AS nd FROM encoded),
+dsplit AS (SELECT doc_key, CASE WHEN row_number() OVER (ORDER BY doc_key) - 1
+                  < CAST(floor((SELECT nd FROM ndocs) * {frac}) AS BIGINT) THEN 'train' ELSE 'eval' END AS split
+           FROM encoded),
+wtrain AS (SELECT w.* FROM windows w JOIN dsplit s ON w.doc_key = s.doc_key WHERE s.split = 'train'),
+weval AS (SELECT w.* FROM windows w JOIN dsplit s ON w.doc_key = s.doc_key WHERE s.split = 'eval'),
+tex AS (SELECT unnest(range(0, {w + 1})) AS k, ctx, label FROM wtrain),
+tex2 AS (SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 0 THEN CAST([] AS INTEGER[])
+                ELSE list_slice(ctx, {w} - k + 1, {w}) END AS ctx, label FROM tex),
+mcounts AS (SELECT k, ctx, label, count(*) AS n FROM tex2 GROUP BY k, ctx, label),
+model AS (SELECT k, ctx, label, n, sum(n) OVER (PARTITION BY k, ctx) AS ctx_n,
+                 CAST(first_value(label) OVER (PARTITION BY k, ctx ORDER BY n DESC, label) AS INTEGER) AS best
+          FROM mcounts),
+vsize AS (SELECT max(token_id) + 1 AS v FROM vocab),
+eex AS (SELECT doc_key, pos, label, ctx, unnest(range(1, {w + 1})) AS k FROM weval),
+eex2 AS (SELECT doc_key, pos, label, CAST(k AS INTEGER) AS k, list_slice(ctx, {w} - k + 1, {w}) AS c FROM eex),
+cx AS (SELECT k, ctx, ctx_n, best FROM model WHERE label = best AND k >= 1),
+ej AS (SELECT e.doc_key, e.pos, e.label, e.k, cx.ctx_n, cx.best, m.n AS c_w FROM eex2 e
+       LEFT JOIN cx ON e.k = cx.k AND e.c = cx.ctx
+       LEFT JOIN model m ON m.k = e.k AND m.ctx = e.c AND m.label = e.label),
+hi AS (SELECT doc_key, pos, label,
+              max(k) FILTER (WHERE ctx_n IS NOT NULL) AS m,
+              arg_max(best, k) FILTER (WHERE ctx_n IS NOT NULL) AS best_hi,
+              sum({lam} * pow({1 - lam}, -k) * coalesce(c_w, 0) / ctx_n) FILTER (WHERE ctx_n IS NOT NULL) AS s
+       FROM ej GROUP BY doc_key, pos, label),
+tot AS (SELECT ctx_n AS n0, best AS best0 FROM model WHERE k = 0 AND label = best),
+scored AS (SELECT h.doc_key, h.pos, h.label,
+                  CAST(coalesce(h.best_hi, (SELECT best0 FROM tot)) AS INTEGER) AS pred,
+                  pow({1 - lam}, coalesce(h.m, 0)) * ({lam} * coalesce(u.n, 0) / (SELECT n0 FROM tot) + coalesce(h.s, 0))
+                    + pow({1 - lam}, coalesce(h.m, 0) + 1) / (SELECT v FROM vsize) AS p
+           FROM hi h LEFT JOIN (SELECT label, n FROM model WHERE k = 0) u ON h.label = u.label),
+scored2 AS (SELECT *, -ln(p) AS nll FROM scored),
+perdoc AS (SELECT doc_key, avg(nll) AS loss, exp(avg(nll)) AS ppl,
+                  avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS num_tokens
+           FROM scored2 GROUP BY doc_key)"""
