@@ -140,6 +140,16 @@ def head(df: DataFrame, n: int, key_col: str = "doc_key") -> DataFrame:
 
 
 # --- X1 ---------------------------------------------------------------------
+def split_threshold(keys: DataFrame, frac: float = 0.95, key_col: str = "doc_key"):
+    """The first key of the 'eval' part: rows with key < threshold are the first
+    ``int(n * frac)`` rows.  None when every row is 'train'.  Reads the key
+    column only, so it can run on the source table rather than a derived one."""
+    keys = keys.select(key_col)
+    n = keys.count()
+    k = int(n * frac)
+    return nth_key(keys, key_col, k) if k < n else None
+
+
 def split_ordered(df: DataFrame, frac: float = 0.95, key_col: str = "doc_key",
                   split_col: str = "split") -> DataFrame:
     """Positional split: index < int(n * frac) -> 'train', else 'eval'.
@@ -147,9 +157,7 @@ def split_ordered(df: DataFrame, frac: float = 0.95, key_col: str = "doc_key",
     Computes one threshold key from the sorted keys; the rows themselves are
     only filtered/labelled in place (no shuffle of texts).
     """
-    n = df.count()
-    k = int(n * frac)
-    cut = nth_key(df, key_col, k) if k < n else None
+    cut = split_threshold(df, frac, key_col)
     is_train = F.lit(True) if cut is None else (F.col(key_col) < F.lit(cut))
     return df.withColumn(split_col, F.when(is_train, "train").otherwise("eval"))
 

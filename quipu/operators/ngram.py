@@ -40,8 +40,36 @@ DEFAULT_LAMBDA = 0.5
 UNIGRAM_BROADCAST_MAX = 2_000_000
 
 
-def suffix(ctx: Column, k: Column, width: int) -> Column:
-    """Last k ids of a context of length ``width`` (k = 0 -> empty array)."""
+def key_bits(vocab_size: int) -> int:
+    return max(1, (max(vocab_size, 2) - 1).bit_length())
+
+
+def packable(n: int, vocab_size: int) -> bool:
+    """Contexts of n-1 ids fit one bigint when (n-1) * bits <= 62."""
+    return (n - 1) * key_bits(vocab_size) <= 62
+
+
+def pack_context(ctx: Column, bits: int) -> Column:
+    """Context ids -> one bigint, the last id in the lowest bits."""
+    return F.aggregate(ctx, F.lit(0).cast("long"), lambda acc, x: F.shiftleft(acc, bits) + x.cast("long"))
+
+
+def unpack_context(key: Column, k: Column, bits: int) -> Column:
+    """Inverse of :func:`pack_context` for a key holding k ids."""
+    mask = F.lit((1 << bits) - 1).cast("long")
+    return F.when(k == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.sequence(k - 1, F.lit(0), F.lit(-1)),
+                    lambda i: F.call_function("shiftright", key, i * bits).bitwiseAND(mask).cast("int")))
+
+
+def suffix(ctx: Column, k: Column, width: int, bits: int | None = None) -> Column:
+    """Last k ids of a context of length ``width`` (k = 0 -> empty).
+
+    With ``bits`` the context is a packed bigint and the suffix is a mask of
+    its low ``k * bits`` bits; otherwise it is an array slice.
+    """
+    if bits is not None:
+        return ctx.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k * bits) - 1)
     return F.when(k == 0, F.array().cast("array<int>")).otherwise(F.slice(ctx, F.lit(width) - k + 1, k))
 
 
@@ -52,12 +80,22 @@ def _best_key(n: Column, label: Column) -> Column:
 
 
 # --- M1 ---------------------------------------------------------------------
-def fit_ngram_model(windows: DataFrame, n: int, pin: bool = True) -> DataFrame:
-    """(k int, ctx array<int>, label int, n bigint, ctx_n bigint, best int)
-    for orders k = 0..n-1 from windows (ctx of n-1 ids, label)."""
+def context_key(windows: DataFrame, n: int, vocab_size: int) -> tuple[DataFrame, int | None]:
+    """Replace ``ctx`` by its packed bigint when it fits (else keep the array)."""
+    if packable(n, vocab_size):
+        bits = key_bits(vocab_size)
+        return windows.withColumn("ctx", pack_context(F.col("ctx"), bits)), bits
+    return windows, None
+
+
+def fit_ngram_model(windows: DataFrame, n: int, vocab_size: int, pin: bool = True) -> DataFrame:
+    """(k int, ctx, label int, n bigint, ctx_n bigint, best int) for orders
+    k = 0..n-1 from windows (ctx of n-1 ids, label).  ``ctx`` is the packed
+    bigint suffix key when ids fit (see :func:`model_with_arrays`)."""
     width = n - 1
+    windows, bits = context_key(windows.select("ctx", "label"), n, vocab_size)
     ex = windows.select(F.explode(F.sequence(F.lit(0), F.lit(width))).alias("k"), "ctx", "label")
-    counts = (ex.select("k", suffix(F.col("ctx"), F.col("k"), width).alias("ctx"), "label")
+    counts = (ex.select("k", suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"), "label")
                 .groupBy("k", "ctx", "label").agg(F.count(F.lit(1)).alias("n")))
     w = W.partitionBy("k", "ctx")
     best = F.max(_best_key(F.col("n"), F.col("label"))).over(w)
@@ -72,6 +110,13 @@ def fit_ngram_model(windows: DataFrame, n: int, pin: bool = True) -> DataFrame:
     return model
 
 
+def model_with_arrays(model: DataFrame, n: int, vocab_size: int) -> DataFrame:
+    """The model with ``ctx`` as ``array<int>`` (the documented table schema)."""
+    if not packable(n, vocab_size):
+        return model
+    return model.withColumn("ctx", unpack_context(F.col("ctx"), F.col("k"), key_bits(vocab_size)))
+
+
 def context_table(model: DataFrame) -> DataFrame:
     """One row per (k, ctx): the row of its best label carries ctx_n and best."""
     return model.filter(F.col("label") == F.col("best")).select("k", "ctx", "ctx_n", "best")
@@ -89,6 +134,7 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
     """
     width = n - 1
     keys = list(key_cols)
+    windows, bits = context_key(windows, n, vocab_size)
     orders = list(max_orders) if max_orders else [n]
     combos = [(lam, mo) for mo in orders for lam in lambdas]
     for lam, _ in combos:
@@ -101,7 +147,7 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
     parts = []
     if ex is not None:
         ex = ex.select(*keys, "label", F.col("k").cast("int").alias("k"),
-                       suffix(F.col("ctx"), F.col("k"), width).alias("ctx"))
+                       suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"))
         cw = model.filter(F.col("k") >= 1).select("k", "ctx", "label", F.col("n").alias("c_w"))
         cx = context_table(model).filter(F.col("k") >= 1)
         j = ex.join(cx, ["k", "ctx"], "left").join(cw, ["k", "ctx", "label"], "left")

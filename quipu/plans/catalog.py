@@ -379,10 +379,10 @@ MODEL_SQL = LM_SQL + LM.sql_model_ctes()
 
 def lm_model(spark, sf_dir):
     docs, vocab, enc = LM.lm_inputs(spark, sf_dir)
-    split = LM.lm_split(enc)
+    split = LM.lm_split(spark, sf_dir, enc)
     train = split.filter(F.col("split") == "train")
     evald = split.filter(F.col("split") == "eval")
-    model = NG.fit_ngram_model(VO.windows(train, LM.NGRAM), LM.NGRAM)
+    model = NG.fit_ngram_model(VO.windows(train, LM.NGRAM), LM.NGRAM, VO.vocab_size(vocab))
     return vocab, model, evald
 
 
@@ -396,8 +396,9 @@ def lm_scored(spark, sf_dir, lambdas=(0.5,), orders=None):
 SELECT k, array_to_string(ctx, ' ') AS ctx, label, n, ctx_n, best FROM model""")
 def q_fit_ngram_model(spark, sf_dir):
     """M1: per-order (context, next id) counts, context totals and best next id on the train split."""
-    _, model, _ = lm_model(spark, sf_dir)
-    return model.select("k", _joined(F.col("ctx")).alias("ctx"), "label", "n", "ctx_n", "best")
+    vocab, model, _ = lm_model(spark, sf_dir)
+    m = NG.model_with_arrays(model, LM.NGRAM, VO.vocab_size(vocab))
+    return m.select("k", _joined(F.col("ctx")).alias("ctx"), "label", "n", "ctx_n", "best")
 
 
 @register("score_tokens", MODEL_SQL + """

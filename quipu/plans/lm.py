@@ -34,8 +34,10 @@ def tokenized_docs(spark: SparkSession, sf_dir: str, n: int = NGRAM, profile: st
 
 
 def lm_inputs(spark: SparkSession, sf_dir: str, n: int = NGRAM, max_vocab: int = MAX_VOCAB):
+    """(tokenized docs, vocabulary, encoded docs).  The vocabulary (bounded by
+    its cap) is pinned once so its size and both joins reuse one counting pass."""
     docs = tokenized_docs(spark, sf_dir, n)
-    vocab = VO.build_vocab(VO.token_counts(docs), max_vocab)
+    vocab = VO.build_vocab(VO.token_counts(docs), max_vocab).checkpoint(eager=True)
     encoded = VO.encode(docs, vocab, max_vocab)
     return docs, vocab, encoded
 
@@ -70,9 +72,14 @@ windows AS (SELECT doc_key, pos, list_slice(ids, pos + 1, pos + {n - 1}) AS ctx,
                    CAST(ids[pos + {n}] AS INTEGER) AS label FROM win)"""
 
 
-def lm_split(encoded: DataFrame, frac: float = 0.95) -> DataFrame:
+def lm_split(spark: SparkSession, sf_dir: str, encoded: DataFrame, frac: float = 0.95) -> DataFrame:
+    """Label encoded docs train/eval by position; the threshold comes from the
+    source's key column alone (a one-column scan), not from the encoded frame."""
     from quipu.operators import corpus as C
-    return C.split_ordered(encoded, frac, "doc_key")
+    keys = X.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_key"))
+    cut = C.split_threshold(keys, frac, "doc_key")
+    is_train = F.lit(True) if cut is None else F.col("doc_key") < F.lit(cut)
+    return encoded.withColumn("split", F.when(is_train, "train").otherwise("eval"))
 
 
 def sql_model_ctes(n: int = NGRAM, lam: float = 0.5, frac: float = 0.95) -> str:
