@@ -18,10 +18,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+
+def class_ranges(chars: str) -> str:
+    """Character-class body with consecutive code points folded into ranges
+    (Java evaluates one predicate per class item, so ranges are cheaper)."""
+    cps = sorted({ord(c) for c in chars})
+    out, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        out.append(chr(cps[i]) if i == j else chr(cps[i]) + "-" + chr(cps[j]))
+        i = j + 1
+    return "".join(out)
+
+
 # Derived by rule: the code points Python treats as whitespace.
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-WS = "[" + WS_CHARS + "]"
-NON_WS = "[^" + WS_CHARS + "]"
+WS_BODY = class_ranges(WS_CHARS)
+WS = "[" + WS_BODY + "]"
+NON_WS = "[^" + WS_BODY + "]"
 WORD = r"[\p{L}\p{N}_]"
 
 # ---------------------------------------------------------------------------
@@ -34,8 +51,8 @@ LM_ENTITY_PATTERN = r"&amp;|&#x200B;|#x200B;|&[a-zA-Z]+;"
 # "xbox"; 'safe' only removes well-formed "&#x...;" references).
 HEX_ENTITY_PATTERN = {"reference": r"&?#?x[0-9a-fA-F]+;?", "safe": r"&#x[0-9a-fA-F]+;"}
 NAMED_ENTITY_PATTERN = r"&[a-zA-Z]+;"
-KEEP_ASCII_PATTERN = "[^a-zA-Z0-9" + WS_CHARS + r".,!?;:'" + '"' + "-]"
-KEEP_ASCII_LOWER_PATTERN = "[^a-z0-9" + WS_CHARS + ".,!?']"
+KEEP_ASCII_PATTERN = "[^a-zA-Z0-9" + WS_BODY + r".,!?;:'" + '"' + "-]"
+KEEP_ASCII_LOWER_PATTERN = "[^a-z0-9" + WS_BODY + ".,!?']"
 URL_PATTERN = "http" + NON_WS + "+"
 # Meta words whose parenthesised span is dropped from generated text.
 META_PAREN_WORDS = ("sorry", "thanks", "credit", "original", "repost", "post", "reddit",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quipu.functions.text import WS_CHARS
+from quipu.functions.text import WS_BODY
 
 # Boundary and unknown tokens of the reference.
 SENTENCE_BEGIN = "<s>"
@@ -24,7 +24,7 @@ PAD_ID = 0
 # clitics, and any other single non-space character.
 CONTRACTION_PATTERN = r"([a-z])(n't|'s|'re|'ve|'ll|'d|'m)"
 WORD_TOKEN_PATTERN = (r"n't|'[a-z]+|[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*|[^"
-                      + WS_CHARS + r"\p{L}\p{N}]")
+                      + WS_BODY + r"\p{L}\p{N}]")
 # T4: characters the default Keras-style text tokenizer turns into separators.
 SIMPLE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
 

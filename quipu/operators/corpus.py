@@ -40,6 +40,19 @@ def corpus_name_of(key: Column, names: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), source_rank_of(key) + 1)
 
 
+def compute_once(df: DataFrame, keep: Sequence[str], **exprs: Column) -> DataFrame:
+    """Project ``keep`` plus the named (expensive) expressions, evaluated once.
+
+    Catalyst pushes a Filter below a Project by inlining the aliased
+    expression, and FilterExec has no common-subexpression elimination, so a
+    filter on a cleaned text would re-run the regex chain once per predicate.
+    Emitting the values through a one-row ``inline`` generator makes them
+    generator outputs, which filters cannot be pushed beneath.
+    """
+    packed = F.inline(F.array(F.struct(*[e.alias(n) for n, e in exprs.items()])))
+    return df.select(*keep, packed)
+
+
 # --- U1 ---------------------------------------------------------------------
 def union_corpora(frames: Sequence[tuple[str, DataFrame]], position_col: str = "pos") -> DataFrame:
     """Concatenate sources in the given order; each frame needs ``position_col``
@@ -68,9 +81,18 @@ def dedup_exact(df: DataFrame, text_col: str = "text", key_col: str = "doc_key",
 
 
 # --- global positions ---------------------------------------------------------
-def _pinned_keys(df: DataFrame, order_cols: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+def pin(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (shared checkpoint dir): computed once, survives
+    executor loss, cuts lineage."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.select(*order_cols, *extra).orderBy(*order_cols).checkpoint(eager=True)
+    return df.checkpoint(eager=True)
+
+
+def _pinned_keys(df: DataFrame, order_cols: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    # pin the narrow key projection first so the range sampling and the sort
+    # read it instead of recomputing the source
+    keys = pin(df.select(*order_cols, *extra))
+    return pin(keys.orderBy(*order_cols))
 
 
 def _offsets_literal(totals: dict[int, int], n_parts: int) -> Column:
@@ -144,7 +166,7 @@ def split_threshold(keys: DataFrame, frac: float = 0.95, key_col: str = "doc_key
     """The first key of the 'eval' part: rows with key < threshold are the first
     ``int(n * frac)`` rows.  None when every row is 'train'.  Reads the key
     column only, so it can run on the source table rather than a derived one."""
-    keys = keys.select(key_col)
+    keys = pin(keys.select(key_col))
     n = keys.count()
     k = int(n * frac)
     return nth_key(keys, key_col, k) if k < n else None

@@ -69,6 +69,15 @@ def _vocab_side(vocab: DataFrame, max_size: int | None) -> DataFrame:
     return F.broadcast(v) if (max_size is not None and max_size <= BROADCAST_VOCAB_MAX) else v
 
 
+def _pack_pos(pos, val):
+    # (pos, id) -> one bigint so the per-document reorder is a primitive sort
+    return F.shiftleft(pos.cast("long"), 32) + val.cast("long")
+
+
+def _unpack_low(x):
+    return x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+
 # --- T7 ---------------------------------------------------------------------
 def encode(docs: DataFrame, vocab: DataFrame, max_size: int | None = 10000,
            tokens_col: str = "tokens", key_col: str = "doc_key", oov_id: int | None = TK.UNK_ID,
@@ -86,7 +95,8 @@ def encode(docs: DataFrame, vocab: DataFrame, max_size: int | None = 10000,
     if oov_id is None:
         j = j.filter(F.col("id").isNotNull())
     return j.groupBy(key_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias(out_col))
+        F.transform(F.array_sort(F.collect_list(_pack_pos(F.col("pos"), F.col("id")))),
+                    _unpack_low).alias(out_col))
 
 
 # --- T8 ---------------------------------------------------------------------

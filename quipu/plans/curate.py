@@ -35,13 +35,13 @@ def stage_flags(raw: DataFrame, min_score: float = MIN_SCORE, lo: int = MIN_LEN,
 def curate_raw(raw: DataFrame, names: Sequence[str], min_score: float = MIN_SCORE,
                lo: int = MIN_LEN, hi: int = MAX_LEN, max_docs: int | None = None) -> DataFrame:
     """``raw``: (doc_key, score, raw_text).  Returns (doc_key, corpus, text)."""
-    text = T.clean(F.col("raw_text"), "lm")
-    kept = (raw.select("doc_key", "score", "raw_text")
-               .filter(F.col("score") >= F.lit(min_score))        # pushed to the scan
-               .filter(~T.is_redacted(F.col("raw_text")))
-               .select("doc_key", text.alias("text"))
-               .filter(F.col("text").isNotNull())
-               .filter(T.length_between(F.col("text"), lo, hi)))
+    text = T.collapse_ws(T.strip_entities_lm(F.col("raw_text")))   # 'lm' profile; '' dropped below
+    pre = (raw.select("doc_key", "score", "raw_text")
+              .filter(F.col("score") >= F.lit(min_score))        # pushed to the scan
+              .filter(~T.is_redacted(F.col("raw_text"))))
+    kept = (C.compute_once(pre, ["doc_key"], text=text)
+              .filter(F.col("text") != "")
+              .filter(T.length_between(F.col("text"), lo, hi)))
     out = C.dedup_exact(kept, "text", "doc_key", names)
     if max_docs is not None:
         out = C.head(out, max_docs)

@@ -26,11 +26,13 @@ def doc_partitions(spark: SparkSession) -> int:
 
 
 def tokenized_docs(spark: SparkSession, sf_dir: str, n: int = NGRAM, profile: str = "rnn") -> DataFrame:
-    d = X.load(spark, sf_dir, "documents")
-    text = T.clean(F.col("text"), profile)
-    toks = TK.pad_boundaries(TK.tokenize_words(text), n)
-    return (d.select(F.col("doc_id").alias("doc_key"), toks.alias("tokens"))
-             .repartition(doc_partitions(spark), "doc_key"))
+    """Raw texts are hash-partitioned by doc_key *before* the regex work: one
+    shuffle of raw text (cheaper than shuffling exploded tokens), after which
+    cleaning and tokenizing use every core and per-doc regroups are local."""
+    d = (X.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_key"), "text")
+         .repartition(doc_partitions(spark), "doc_key"))
+    toks = TK.pad_boundaries(TK.tokenize_words(T.clean(F.col("text"), profile)), n)
+    return d.select("doc_key", toks.alias("tokens"))
 
 
 def lm_inputs(spark: SparkSession, sf_dir: str, n: int = NGRAM, max_vocab: int = MAX_VOCAB):
