@@ -28,6 +28,7 @@ the vocabulary.  Remaining hot contexts are split by AQE's skew-join handling.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,42 +89,65 @@ def context_key(windows: DataFrame, n: int, vocab_size: int) -> tuple[DataFrame,
     return windows, None
 
 
-def fit_ngram_model(windows: DataFrame, n: int, vocab_size: int, pin: bool = True) -> DataFrame:
-    """(k int, ctx, label int, n bigint, ctx_n bigint, best int) for orders
-    k = 0..n-1 from windows (ctx of n-1 ids, label).  ``ctx`` is the packed
-    bigint suffix key when ids fit (see :func:`model_with_arrays`)."""
+@dataclass
+class NgramModel:
+    """Fitted model: ``counts`` (k, ctx, label, n) and ``contexts``
+    (k, ctx, ctx_n, best), both pinned; ``ctx`` is packed when ``bits`` is set."""
+    counts: DataFrame
+    contexts: DataFrame
+    n: int
+    vocab_size: int
+    bits: int | None
+
+    def table(self) -> DataFrame:
+        """Documented schema (k, ctx array<int>, label, n, ctx_n, best)."""
+        t = self.counts.join(self.contexts, ["k", "ctx"])
+        if self.bits is not None:
+            t = t.withColumn("ctx", unpack_context(F.col("ctx"), F.col("k"), self.bits))
+        return t.select("k", "ctx", "label", "n", "ctx_n", "best")
+
+
+def fit_ngram_model(windows: DataFrame, n: int, vocab_size: int, pin: bool = True) -> NgramModel:
+    """Counts for orders k = n-1 .. 0 from windows (ctx of n-1 ids, label).
+
+    The top order is one aggregate over the windows; every lower order is
+    re-aggregated from the order above (a suffix of a suffix), so each step
+    reads a table no larger than the previous one.  Context totals and the
+    best next id are one more hash aggregate (packed (n, -label) max).
+    """
     width = n - 1
     windows, bits = context_key(windows.select("ctx", "label"), n, vocab_size)
-    ex = windows.select(F.explode(F.sequence(F.lit(0), F.lit(width))).alias("k"), "ctx", "label")
-    counts = (ex.select("k", suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"), "label")
-                .groupBy("k", "ctx", "label").agg(F.count(F.lit(1)).alias("n")))
-    w = W.partitionBy("k", "ctx")
-    best = F.max(_best_key(F.col("n"), F.col("label"))).over(w)
-    model = (counts.withColumn("ctx_n", F.sum("n").over(w))
-                   .withColumn("best", (F.lit((1 << LABEL_BITS) - 1)
-                                        - F.pmod(best, F.lit(1 << LABEL_BITS))).cast("int")))
-    model = model.select(F.col("k").cast("int").alias("k"), "ctx", F.col("label").cast("int").alias("label"),
-                         "n", "ctx_n", "best")
+    level = windows.groupBy("ctx", "label").agg(F.count(F.lit(1)).alias("n"))
+    levels = [level.select(F.lit(width).alias("k"), "ctx", "label", "n")]
+    for k in range(width - 1, -1, -1):
+        level = (level.select(suffix(F.col("ctx"), F.lit(k), k + 1, bits)
+                              .alias("ctx"), "label", "n")
+                      .groupBy("ctx", "label").agg(F.sum("n").alias("n")))
+        levels.append(level.select(F.lit(k).alias("k"), "ctx", "label", "n"))
+    counts = levels[0]
+    for lv in levels[1:]:
+        counts = counts.unionByName(lv)
+    counts = counts.select(F.col("k").cast("int").alias("k"), "ctx", F.col("label").cast("int").alias("label"),
+                           F.col("n").cast("long").alias("n"))
     if pin:
-        ensure_checkpoint_dir(model.sparkSession)
-        model = model.checkpoint(eager=True)
-    return model
-
-
-def model_with_arrays(model: DataFrame, n: int, vocab_size: int) -> DataFrame:
-    """The model with ``ctx`` as ``array<int>`` (the documented table schema)."""
-    if not packable(n, vocab_size):
-        return model
-    return model.withColumn("ctx", unpack_context(F.col("ctx"), F.col("k"), key_bits(vocab_size)))
+        ensure_checkpoint_dir(counts.sparkSession)
+        counts = counts.checkpoint(eager=True)
+    best = F.max(_best_key(F.col("n"), F.col("label")))
+    contexts = counts.groupBy("k", "ctx").agg(F.sum("n").cast("long").alias("ctx_n"), best.alias("_b"))
+    contexts = contexts.select("k", "ctx", "ctx_n", (F.lit((1 << LABEL_BITS) - 1)
+                                                     - F.pmod(F.col("_b"), F.lit(1 << LABEL_BITS))).cast("int")
+                               .alias("best"))
+    if pin:
+        contexts = contexts.checkpoint(eager=True)
+    return NgramModel(counts, contexts, n, vocab_size, bits)
 
 
-def context_table(model: DataFrame) -> DataFrame:
-    """One row per (k, ctx): the row of its best label carries ctx_n and best."""
-    return model.filter(F.col("label") == F.col("best")).select("k", "ctx", "ctx_n", "best")
+def model_with_arrays(model: NgramModel) -> DataFrame:
+    return model.table()
 
 
 # --- M2 / M4 -------------------------------------------------------------------
-def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
+def score_windows(windows: DataFrame, model: NgramModel,
                   lambdas: Sequence[float] = (DEFAULT_LAMBDA,), max_orders: Sequence[int] | None = None,
                   key_cols: Sequence[str] = ("doc_key", "pos")) -> DataFrame:
     """Per window: p and -ln p of its true label, and the predicted label.
@@ -132,9 +156,10 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
     combination when several are given (grid search evaluates all of them in
     the same pass); with one combination the columns are ``p`` and ``nll``.
     """
+    n, vocab_size, bits = model.n, model.vocab_size, model.bits
     width = n - 1
     keys = list(key_cols)
-    windows, bits = context_key(windows, n, vocab_size)
+    windows, _ = context_key(windows, n, vocab_size)
     orders = list(max_orders) if max_orders else [n]
     combos = [(lam, mo) for mo in orders for lam in lambdas]
     for lam, _ in combos:
@@ -148,8 +173,8 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
     if ex is not None:
         ex = ex.select(*keys, "label", F.col("k").cast("int").alias("k"),
                        suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"))
-        cw = model.filter(F.col("k") >= 1).select("k", "ctx", "label", F.col("n").alias("c_w"))
-        cx = context_table(model).filter(F.col("k") >= 1)
+        cw = model.counts.filter(F.col("k") >= 1).select("k", "ctx", "label", F.col("n").alias("c_w"))
+        cx = model.contexts.filter(F.col("k") >= 1)
         j = ex.join(cx, ["k", "ctx"], "left").join(cw, ["k", "ctx", "label"], "left")
         seen = F.col("ctx_n").isNotNull()
         r = F.coalesce(F.col("c_w"), F.lit(0)) / F.col("ctx_n")
@@ -165,13 +190,10 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
         hi = windows.select(*keys, "label")
 
     # order 0: the unigram table is bounded by the vocabulary -> broadcast
-    uni = model.filter(F.col("k") == 0).select("label", F.col("n").alias("c0"), F.col("ctx_n").alias("n0"),
-                                               F.col("best").alias("best0"))
+    uni = model.counts.filter(F.col("k") == 0).select("label", F.col("n").alias("c0"))
     if vocab_size <= UNIGRAM_BROADCAST_MAX:
         uni = F.broadcast(uni)
-    tot = model.filter((F.col("k") == 0) & (F.col("label") == F.col("best"))).select(
-        F.col("ctx_n").alias("_n0"), F.col("best").alias("_best0"))
-    row = tot.first()
+    row = model.contexts.filter(F.col("k") == 0).select("ctx_n", "best").first()
     n0, best0 = (int(row[0]), int(row[1])) if row else (0, 0)
 
     out = hi.join(uni.select("label", "c0"), "label", "left")
@@ -191,9 +213,9 @@ def score_windows(windows: DataFrame, model: DataFrame, n: int, vocab_size: int,
     return out.select(*cols)
 
 
-def predict_next(model: DataFrame) -> DataFrame:
+def predict_next(model: NgramModel) -> DataFrame:
     """M4 on the model itself: most frequent label per (k, ctx), ties -> smallest id."""
-    return context_table(model).select("k", "ctx", F.col("best").alias("pred"), "ctx_n")
+    return model.contexts.select("k", "ctx", F.col("best").alias("pred"), "ctx_n")
 
 
 # --- M3 ---------------------------------------------------------------------
@@ -230,12 +252,12 @@ def perplexity_batches(scored_batched: DataFrame, batch_size: int, drop_tail: bo
 
 
 # --- M5 ---------------------------------------------------------------------
-def grid_search(windows_eval: DataFrame, model: DataFrame, n: int, vocab_size: int,
+def grid_search(windows_eval: DataFrame, model: NgramModel,
                 lambdas: Sequence[float], max_orders: Sequence[int], key_cols=("doc_key", "pos")) -> DataFrame:
     """Evaluate every (lambda, order) candidate in one scoring pass; the best is
     the lowest mean loss, ties -> the first candidate in the given order."""
     combos = [(lam, mo) for mo in max_orders for lam in lambdas]
-    scored = score_windows(windows_eval, model, n, vocab_size, lambdas, max_orders, key_cols)
+    scored = score_windows(windows_eval, model, lambdas, max_orders, key_cols)
     means = scored.agg(*[F.avg(f"nll_{i}").alias(f"l{i}") for i in range(len(combos))]) if len(combos) > 1 \
         else scored.agg(F.avg("nll").alias("l0"))
     spark = windows_eval.sparkSession

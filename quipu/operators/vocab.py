@@ -27,7 +27,11 @@ def first_seen_key(key_col: str, pos_col: str):
 
 
 def explode_tokens(docs: DataFrame, tokens_col: str = "tokens", key_col: str = "doc_key") -> DataFrame:
-    return docs.select(key_col, F.posexplode(tokens_col).alias("pos", "token"))
+    """(key, pos, token).  ``posexplode_outer`` + a null filter instead of
+    ``posexplode``: the latter makes Catalyst infer ``size(tokens) > 0`` and
+    push it below the projection, recomputing the tokenizer in a Filter."""
+    return (docs.select(key_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+                .filter(F.col("pos").isNotNull()))
 
 
 # --- T5 ---------------------------------------------------------------------
@@ -104,7 +108,8 @@ def decode(encoded: DataFrame, vocab: DataFrame, max_size: int | None = 10000, i
            key_col: str = "doc_key", stop_tokens=(TK.SENTENCE_BEGIN, TK.SENTENCE_END),
            space_token: str = "_") -> DataFrame:
     """id -> token; stop tokens skipped; ``space_token`` -> a space; joined by spaces."""
-    ex = encoded.select(key_col, F.posexplode(ids_col).alias("pos", "token_id"))
+    ex = (encoded.select(key_col, F.posexplode_outer(ids_col).alias("pos", "token_id"))
+                 .filter(F.col("pos").isNotNull()))
     j = ex.join(_vocab_side(vocab, max_size), "token_id", "left").filter(
         F.col("token").isNotNull() & ~F.col("token").isin(*stop_tokens))
     word = F.when(F.col("token") == space_token, F.lit("")).otherwise(F.col("token"))
@@ -116,7 +121,8 @@ def decode(encoded: DataFrame, vocab: DataFrame, max_size: int | None = 10000, i
 # --- T10/T11 as rows -------------------------------------------------------------
 def windows(encoded: DataFrame, n: int, ids_col: str = "ids", key_col: str = "doc_key") -> DataFrame:
     """(doc_key, pos, ctx array<int>, label int): one row per n-gram window."""
-    w = encoded.select(key_col, F.posexplode(TK.ngram_windows(F.col(ids_col), n)).alias("pos", "_w"))
+    w = (encoded.select(key_col, F.posexplode_outer(TK.ngram_windows(F.col(ids_col), n)).alias("pos", "_w"))
+                .filter(F.col("pos").isNotNull()))
     ctx, label = TK.split_label(F.col("_w"), n)
     return w.select(key_col, F.col("pos").cast("int").alias("pos"), ctx.alias("ctx"),
                     label.cast("int").alias("label"))

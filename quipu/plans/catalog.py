@@ -389,15 +389,15 @@ def lm_model(spark, sf_dir):
 def lm_scored(spark, sf_dir, lambdas=(0.5,), orders=None):
     vocab, model, evald = lm_model(spark, sf_dir)
     w = VO.windows(evald, LM.NGRAM)
-    return NG.score_windows(w, model, LM.NGRAM, VO.vocab_size(vocab), lambdas, orders)
+    return NG.score_windows(w, model, lambdas, orders)
 
 
 @register("fit_ngram_model", MODEL_SQL + """
 SELECT k, array_to_string(ctx, ' ') AS ctx, label, n, ctx_n, best FROM model""")
 def q_fit_ngram_model(spark, sf_dir):
     """M1: per-order (context, next id) counts, context totals and best next id on the train split."""
-    vocab, model, _ = lm_model(spark, sf_dir)
-    m = NG.model_with_arrays(model, LM.NGRAM, VO.vocab_size(vocab))
+    _, model, _ = lm_model(spark, sf_dir)
+    m = model.table()
     return m.select("k", _joined(F.col("ctx")).alias("ctx"), "label", "n", "ctx_n", "best")
 
 
@@ -440,7 +440,7 @@ def q_perplexity_batches(spark, sf_dir):
     """M3c + T13: e^(mean nll) over whole batches of 32 eval windows (tail batch dropped)."""
     vocab, model, evald = lm_model(spark, sf_dir)
     b = VO.assign_batches(evald, LM.NGRAM, 32)
-    s = NG.score_windows(b.select("doc_key", "pos", "ctx", "label"), model, LM.NGRAM, VO.vocab_size(vocab))
+    s = NG.score_windows(b.select("doc_key", "pos", "ctx", "label"), model)
     sb = s.join(b.select("doc_key", "pos", "batch_id"), ["doc_key", "pos"])
     r = NG.perplexity_batches(sb, 32)
     return r.select(F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"),
@@ -477,5 +477,5 @@ def q_grid_search(spark, sf_dir):
     """M5: every (lambda, max order) candidate scored on the eval split in one pass; lowest loss wins."""
     vocab, model, evald = lm_model(spark, sf_dir)
     w = VO.windows(evald, LM.NGRAM)
-    g = NG.grid_search(w, model, LM.NGRAM, VO.vocab_size(vocab), GRID_LAMBDAS, GRID_ORDERS)
+    g = NG.grid_search(w, model, GRID_LAMBDAS, GRID_ORDERS)
     return g.select("cand", "lam", "max_order", F.round("loss", 6).alias("loss"), "is_best")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quipu.functions import text as T
 from quipu.functions import tokens as TK
+from quipu.operators import corpus as C
 from quipu.operators import vocab as VO
 from quipu.plans import oracle as O
 from quipu.sources import fixtures as X
@@ -32,7 +33,7 @@ def tokenized_docs(spark: SparkSession, sf_dir: str, n: int = NGRAM, profile: st
     d = (X.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc_key"), "text")
          .repartition(doc_partitions(spark), "doc_key"))
     toks = TK.pad_boundaries(TK.tokenize_words(T.clean(F.col("text"), profile)), n)
-    return d.select("doc_key", toks.alias("tokens"))
+    return C.compute_once(d, ["doc_key"], tokens=toks)
 
 
 def lm_inputs(spark: SparkSession, sf_dir: str, n: int = NGRAM, max_vocab: int = MAX_VOCAB):
