@@ -479,3 +479,185 @@ def q_grid_search(spark, sf_dir):
     w = VO.windows(evald, LM.NGRAM)
     g = NG.grid_search(w, model, GRID_LAMBDAS, GRID_ORDERS)
     return g.select("cand", "lam", "max_order", F.round("loss", 6).alias("loss"), "is_best")
+
+
+# ---------------------------------------------------------------------------
+# Readers and sinks: Spark writes the posts view in each format, reads it back
+# ---------------------------------------------------------------------------
+from quipu.sources import readers as RD  # noqa: E402
+from quipu.sources import sinks as SK  # noqa: E402
+
+NA_SQL = ", ".join(O.lit(x) for x in RD.NA_STRINGS)
+
+
+def _na(e):
+    return f"(CASE WHEN {e} IN ({NA_SQL}) THEN NULL ELSE {e} END)"
+
+
+@register("read_posts_csv", f"""WITH {X.POSTS_SQL.strip()}
+SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score,
+       coalesce({_na('title')}, '') || ' ' || coalesce({_na('selftext')}, '') AS raw_text FROM posts""")
+def q_read_posts_csv(spark, sf_dir):
+    """S1 + P1a: quoted multi-line CSV (written by Spark from posts) read back; NA strings -> ''."""
+    out = X.write_post_files(spark, sf_dir)
+    return RD.posts_csv_raw(RD.read_posts_csv(spark, f"{out}/csv"))
+
+
+@register("read_scored_tsv", f"""WITH {X.POSTS_SQL.strip()},
+kept AS (SELECT post_id, score, regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''),
+                 '[\\r\\n]', ' ', 'g') AS t FROM posts WHERE post_id % 13 <> 0 AND post_id % 29 <> 0)
+SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM kept""")
+def q_read_scored_tsv(spark, sf_dir):
+    """score<TAB>text lines; lines without a tab or with a non-integer score are skipped."""
+    out = X.write_post_files(spark, sf_dir)
+    return RD.read_scored_tsv(spark, f"{out}/tsv")
+
+
+@register("read_posts_jsonl", f"""WITH {X.POSTS_SQL.strip()},
+kept AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
+         FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0)
+SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, raw_text FROM kept""")
+def q_read_posts_jsonl(spark, sf_dir):
+    """S3 + P1c: JSON lines; bad JSON and non-numeric scores dropped; JSON null -> 'None', missing -> ''."""
+    out = X.write_post_files(spark, sf_dir)
+    return RD.read_posts_jsonl(spark, f"{out}/jsonl")
+
+
+@register("curate_from_files", f"""WITH {X.POSTS_SQL.strip()},
+csv AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score,
+               coalesce({_na('title')}, '') || ' ' || coalesce({_na('selftext')}, '') AS raw_text FROM posts),
+tsv0 AS (SELECT post_id, score, regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''),
+                 '[\\r\\n]', ' ', 'g') AS t FROM posts WHERE post_id % 13 <> 0 AND post_id % 29 <> 0),
+tsv AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM tsv0),
+js0 AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
+        FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
+js AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, raw_text FROM js0),
+raw AS (SELECT pos AS doc_key, score, raw_text FROM csv
+        UNION ALL SELECT {1 << C.RANK_SHIFT} + pos, score, raw_text FROM tsv
+        UNION ALL SELECT {2 << C.RANK_SHIFT} + pos, score, raw_text FROM js),
+kept AS (SELECT doc_key, {O.clean_lm('raw_text')} AS text FROM raw
+         WHERE score >= 10 AND NOT {O.is_redacted('raw_text')}),
+cur AS (SELECT min(doc_key) AS doc_key, text FROM kept
+        WHERE text IS NOT NULL AND length(text) BETWEEN 20 AND 400 GROUP BY text)
+SELECT doc_key, {O.name_case(f"CAST(doc_key // {1 << C.RANK_SHIFT} AS INTEGER)", ("csv", "tsv", "json"))} AS corpus,
+       text FROM cur""")
+def q_curate_from_files(spark, sf_dir):
+    """Q0 over the three file formats (S1 -> S2 -> S3 -> U1 -> ... -> D1)."""
+    out = X.write_post_files(spark, sf_dir)
+    frames = [("csv", RD.posts_csv_raw(RD.read_posts_csv(spark, f"{out}/csv"))),
+              ("tsv", RD.read_scored_tsv(spark, f"{out}/tsv")),
+              ("json", RD.read_posts_jsonl(spark, f"{out}/jsonl"))]
+    return Q.curate_corpus(frames)
+
+
+@register("word_vectors_roundtrip", """
+SELECT 'w' || CAST(vec_id AS VARCHAR) AS word, CAST(len(embedding) AS INTEGER) AS dim,
+       round(CAST(embedding[1] AS DOUBLE), 6) AS v_first, round(CAST(embedding[-1] AS DOUBLE), 6) AS v_last
+FROM embeddings""")
+def q_word_vectors_roundtrip(spark, sf_dir):
+    """K1 + S5: vectors written as 'V D' + 'word v1 .. vD' text, read back."""
+    from quipu.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-vectors/" + sf_dir.rstrip("/").split("/")[-1]
+    emb = X.load(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"), F.col("embedding").alias("vector"))
+    SK.write_word_vectors(emb, base)
+    v = RD.read_word_vectors(spark, base)
+    return v.select("word", F.size("vector").alias("dim"),
+                    F.round(F.col("vector")[0].cast("double"), 6).alias("v_first"),
+                    F.round(F.element_at("vector", -1).cast("double"), 6).alias("v_last"))
+
+
+@register("vocab_roundtrip", LM_SQL + """
+SELECT token, token_id, n FROM vocab""")
+def q_vocab_roundtrip(spark, sf_dir):
+    """K3 + S6: the capped vocabulary written to parquet and loaded back."""
+    from quipu.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-vocab/" + sf_dir.rstrip("/").split("/")[-1]
+    SK.write_vocab(LM.lm_inputs(spark, sf_dir)[1], base)
+    return RD.load_vocab(spark, base)
+
+
+@register("training_shards", LM_SQL + """,
+numbered AS (SELECT row_number() OVER (ORDER BY doc_key, pos) - 1 AS sample_idx FROM windows)
+SELECT CAST(sample_idx // 32 AS BIGINT) AS batch_id, count(*) AS n_samples,
+       CAST(min(sample_idx) AS BIGINT) AS first_sample FROM numbered GROUP BY 1""")
+def q_training_shards(spark, sf_dir):
+    """K4: batches written once as range-partitioned shards and read back per batch."""
+    from quipu.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-shards/" + sf_dir.rstrip("/").split("/")[-1]
+    b = VO.assign_batches(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM, 32)
+    SK.write_training_shards(b, base)
+    back = spark.read.parquet(base)
+    return back.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_samples"),
+                                        F.min("sample_idx").cast("long").alias("first_sample"))
+
+
+# ---------------------------------------------------------------------------
+# Vectors: training and lookups (embeddings table: vec_id = token id)
+# ---------------------------------------------------------------------------
+from quipu.operators import vectors as VE  # noqa: E402
+
+
+def id_vectors(spark, sf_dir):
+    return X.load(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("token_id"),
+                                                      F.col("embedding").alias("vector"))
+
+
+@register("vocab_vectors", LM_SQL + """
+SELECT v.token_id, v.token, CAST(len(e.embedding) AS INTEGER) AS dim,
+       round(CAST(e.embedding[1] AS DOUBLE), 6) AS v_first
+FROM vocab v JOIN embeddings e ON v.token_id = e.vec_id""")
+def q_vocab_vectors(spark, sf_dir):
+    """Vocabulary entries that have a vector (inner join on the id)."""
+    vocab = LM.lm_inputs(spark, sf_dir)[1]
+    j = vocab.join(id_vectors(spark, sf_dir), "token_id")
+    return j.select("token_id", "token", F.size("vector").alias("dim"),
+                    F.round(F.col("vector")[0].cast("double"), 6).alias("v_first"))
+
+
+J_SQL = "WITH " + LM.sql_lm_ctes(max_vocab=500).strip()
+
+
+@register("context_vectors_flat", J_SQL + """,
+cex AS (SELECT doc_key, pos, unnest(range(4)) AS t, unnest(ctx) AS id FROM windows),
+j AS (SELECT cex.doc_key, cex.pos, cex.t, e.embedding FROM cex JOIN embeddings e ON cex.id = e.vec_id),
+g AS (SELECT doc_key, pos, flatten(list(embedding ORDER BY t)) AS f FROM j GROUP BY doc_key, pos)
+SELECT doc_key, pos, CAST(len(f) AS INTEGER) AS n_features, round(CAST(f[1] AS DOUBLE), 6) AS f_first,
+       round(CAST(f[65] AS DOUBLE), 6) AS f_65, round(CAST(f[-1] AS DOUBLE), 6) AS f_last FROM g""")
+def q_context_vectors_flat(spark, sf_dir):
+    """Each window's 4 context vectors concatenated (vocabulary of 500 so every id has a vector)."""
+    enc = LM.lm_inputs(spark, sf_dir, max_vocab=500)[2]
+    w = VO.windows(enc, LM.NGRAM)
+    f = VE.context_vectors_flat(w, id_vectors(spark, sf_dir), 64, max_rows=500)
+    return f.select("doc_key", "pos", F.size("features").alias("n_features"),
+                    F.round(F.col("features")[0].cast("double"), 6).alias("f_first"),
+                    F.round(F.col("features")[64].cast("double"), 6).alias("f_65"),
+                    F.round(F.element_at("features", -1).cast("double"), 6).alias("f_last"))
+
+
+@register("context_vectors_seq", LM_SQL + """,
+cex AS (SELECT doc_key, pos, unnest(range(4)) AS t, unnest(ctx) AS id FROM windows),
+j AS (SELECT cex.doc_key, cex.pos, cex.t, e.embedding FROM cex LEFT JOIN embeddings e ON cex.id = e.vec_id)
+SELECT doc_key, pos, CAST(count(*) AS INTEGER) AS n_steps,
+       CAST(count(*) FILTER (WHERE embedding IS NULL) AS INTEGER) AS n_zero,
+       round(sum(CASE WHEN t = 0 THEN coalesce(CAST(embedding[1] AS DOUBLE), 0) END), 6) AS s0_first
+FROM j GROUP BY doc_key, pos""")
+def q_context_vectors_seq(spark, sf_dir):
+    """Per-window sequence of context vectors; ids without a vector get zeros."""
+    enc = LM.lm_inputs(spark, sf_dir)[2]
+    w = VO.windows(enc, LM.NGRAM)
+    sq = VE.context_vectors_seq(w, id_vectors(spark, sf_dir), 64, max_rows=LM.MAX_VOCAB)
+    zero = F.aggregate("steps", F.lit(0), lambda a, v: a + F.when(
+        F.aggregate(v, F.lit(0.0), lambda b, x: b + F.abs(x.cast("double"))) == 0, 1).otherwise(0))
+    return sq.select("doc_key", "pos", F.size("steps").alias("n_steps"), zero.alias("n_zero"),
+                     F.round(F.col("steps")[0][0].cast("double"), 6).alias("s0_first"))
+
+
+@register("train_word_vectors")
+def q_train_word_vectors(spark, sf_dir):
+    """Skip-gram word vectors (window 5, min count 3, 100 dims) over the padded document tokens."""
+    docs = LM.tokenized_docs(spark, sf_dir)
+    v = VE.train_word_vectors(docs, partitions=max(1, spark.sparkContext.defaultParallelism))
+    return v.select("word", F.size("vector").alias("dim"))

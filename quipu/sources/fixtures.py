@@ -113,3 +113,45 @@ candidates AS (
               WHEN 1 THEN {_sql_lit(SUFFIXES[1])} WHEN 2 THEN {_sql_lit(SUFFIXES[2])}
               WHEN 3 THEN {_sql_lit(SUFFIXES[3])} ELSE '' END AS text
   FROM conversations)"""
+
+
+# ---------------------------------------------------------------------------
+# Post files: Spark writes the posts view as the reference's three formats,
+# ordered by post_id (range-partitioned, so part files concatenate in order).
+# A share of TSV / JSON lines is malformed on purpose (bad score, no tab,
+# not JSON, string score) so the readers' skip rules have work to do.
+# ---------------------------------------------------------------------------
+def fixture_dir(spark: SparkSession, sf_dir: str) -> str:
+    from quipu.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/quipu-post-files/{sf_dir.rstrip('/').split('/')[-1]}"
+
+
+def tsv_line(p: DataFrame) -> Column:
+    pid = F.col("post_id")
+    text = F.regexp_replace(F.concat(F.coalesce(F.col("title"), F.lit("")), F.lit(" "),
+                                     F.coalesce(F.col("selftext"), F.lit(""))), "[\r\n]", " ")
+    return (F.when(pid % 13 == 0, F.concat(F.lit("x"), F.col("score").cast("string"), F.lit("\t"), text))
+             .when(pid % 29 == 0, F.concat(F.col("score").cast("string"), F.lit(" "), text))
+             .otherwise(F.concat(F.col("score").cast("string"), F.lit("\t"), text)))
+
+
+def json_line(p: DataFrame) -> Column:
+    pid = F.col("post_id")
+    score = F.when(pid % 7 == 0, F.col("score").cast("string").cast("variant")).otherwise(
+        F.col("score").cast("variant"))
+    obj = F.struct(F.col("title"), F.col("selftext"), score.alias("score"))
+    with_nulls = F.to_json(obj, {"ignoreNullFields": "false"})
+    return (F.when(pid % 31 == 0, F.lit("{not json"))
+             .when(pid % 3 == 0, with_nulls)
+             .otherwise(F.to_json(obj)))
+
+
+def write_post_files(spark: SparkSession, sf_dir: str) -> str:
+    out = fixture_dir(spark, sf_dir)
+    p = posts(spark, sf_dir).repartitionByRange("post_id").sortWithinPartitions("post_id")
+    p.select("title", "selftext", F.col("score").cast("string").alias("score")).write.mode("overwrite") \
+        .options(header=True, quoteAll=True, escape='"').csv(f"{out}/csv")
+    p.select(tsv_line(p).alias("value")).write.mode("overwrite").text(f"{out}/tsv")
+    p.select(json_line(p).alias("value")).write.mode("overwrite").text(f"{out}/jsonl")
+    return out
