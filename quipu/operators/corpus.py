@@ -88,6 +88,17 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def pin_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back.  Unlike ``checkpoint()`` the result carries file-based statistics,
+    so iterative jobs do not accumulate size estimates from earlier plans."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/quipu-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _pinned_keys(df: DataFrame, order_cols: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     # pin the narrow key projection first so the range sampling and the sort
     # read it instead of recomputing the source

@@ -661,3 +661,144 @@ def q_train_word_vectors(spark, sf_dir):
     docs = LM.tokenized_docs(spark, sf_dir)
     v = VE.train_word_vectors(docs, partitions=max(1, spark.sparkContext.defaultParallelism))
     return v.select("word", F.size("vector").alias("dim"))
+
+
+# ---------------------------------------------------------------------------
+# Distributions and sampling (W1-W7): next-id distributions of the corpus
+# ---------------------------------------------------------------------------
+from quipu.operators import sampling as SA  # noqa: E402
+from quipu.operators import generate as GE  # noqa: E402
+
+
+def corpus_distribution(spark, sf_dir, width: int):
+    """(ctx_key, token_id, p, hist): next-id distribution after each distinct
+    ``width``-id context over every window of every document."""
+    w = VO.windows(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM)
+    ctx = F.slice("ctx", LM.NGRAM - width, width)
+    c = w.select(ctx.alias("hist"), "label").groupBy("hist", "label").agg(F.count(F.lit(1)).alias("n"))
+    return c.select(F.array_join("hist", " ").alias("ctx_key"), F.col("label").alias("token_id"),
+                    (F.col("n") / F.sum("n").over(W.partitionBy("hist"))).alias("p"), "hist")
+
+
+def dist_sql(width: int) -> str:
+    return LM_SQL + f""",
+dc AS (SELECT list_slice(ctx, {LM.NGRAM - width}, {LM.NGRAM - 1}) AS hist, label, count(*) AS n FROM windows GROUP BY 1, 2),
+dist AS (SELECT array_to_string(hist, ' ') AS ctx_key, label AS token_id,
+                n / sum(n) OVER (PARTITION BY hist) AS p, hist FROM dc)"""
+
+
+def _dist_out(d):
+    return d.select("ctx_key", "token_id", F.round("p", 9).alias("p"))
+
+
+from pyspark.sql import Window as W  # noqa: E402
+
+RANK_SQL = "ORDER BY p DESC, token_id"
+
+
+@register("apply_temperature", dist_sql(2) + """,
+t AS (SELECT ctx_key, token_id, exp(ln(p + 1e-8) / 0.7) AS w FROM dist)
+SELECT ctx_key, token_id, round(w / sum(w) OVER (PARTITION BY ctx_key), 9) AS p FROM t""")
+def q_apply_temperature(spark, sf_dir):
+    """Temperature 0.7 over every 2-id context's next-id distribution."""
+    return _dist_out(SA.apply_temperature(corpus_distribution(spark, sf_dir, 2), 0.7))
+
+
+@register("exclude_token", dist_sql(2) + """,
+t AS (SELECT * FROM dist WHERE token_id <> 2)
+SELECT ctx_key, token_id, round(p / sum(p) OVER (PARTITION BY ctx_key), 9) AS p FROM t""")
+def q_exclude_token(spark, sf_dir):
+    """Drop id 2 (the most frequent word) and renormalize."""
+    return _dist_out(SA.exclude_token(corpus_distribution(spark, sf_dir, 2), 2))
+
+
+@register("top_k", dist_sql(2) + f""",
+t AS (SELECT *, row_number() OVER (PARTITION BY ctx_key {RANK_SQL}) AS r FROM dist)
+SELECT ctx_key, token_id, round(p / sum(p) OVER (PARTITION BY ctx_key), 9) AS p FROM t WHERE r <= 3""")
+def q_top_k(spark, sf_dir):
+    """Keep the 3 most probable next ids per context."""
+    return _dist_out(SA.top_k(corpus_distribution(spark, sf_dir, 2), 3))
+
+
+@register("top_p", dist_sql(2) + f""",
+t AS (SELECT *, coalesce(round(sum(p) OVER (PARTITION BY ctx_key {RANK_SQL}
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 12), 0) AS before FROM dist)
+SELECT ctx_key, token_id, round(p / sum(p) OVER (PARTITION BY ctx_key), 9) AS p FROM t WHERE before < 0.9""")
+def q_top_p(spark, sf_dir):
+    """Nucleus 0.9 per context."""
+    return _dist_out(SA.top_p(corpus_distribution(spark, sf_dir, 2), 0.9))
+
+
+@register("repetition_penalty", dist_sql(4) + """,
+t AS (SELECT ctx_key, token_id, CASE WHEN list_contains(hist, token_id) THEN pow(p, 1.2) ELSE p END AS w FROM dist)
+SELECT ctx_key, token_id, round(w / sum(w) OVER (PARTITION BY ctx_key), 9) AS p FROM t""")
+def q_repetition_penalty(spark, sf_dir):
+    """Penalty 1.2 on ids already in the 4-id history."""
+    return _dist_out(SA.repetition_penalty(corpus_distribution(spark, sf_dir, 4), "hist", 1.2))
+
+
+@register("no_repeat_ngram", dist_sql(4) + """,
+t AS (SELECT *, list_transform(list_filter(range(1, 4), lambda i: hist[i] = hist[4]), lambda i: hist[i + 1]) AS banned
+      FROM dist),
+u AS (SELECT * FROM t WHERE NOT list_contains(banned, token_id))
+SELECT ctx_key, token_id, round(p / sum(p) OVER (PARTITION BY ctx_key), 9) AS p FROM u""")
+def q_no_repeat_ngram(spark, sf_dir):
+    """Forbid ids that would repeat a bigram of the 4-id history."""
+    return _dist_out(SA.no_repeat_ngram(corpus_distribution(spark, sf_dir, 4), "hist", 2))
+
+
+@register("sample_categorical")
+def q_sample_categorical(spark, sf_dir):
+    """One seeded Gumbel-max draw per 2-id context."""
+    return SA.sample_categorical(corpus_distribution(spark, sf_dir, 2), seed=7)
+
+
+# ---------------------------------------------------------------------------
+# Generation over every user turn of every conversation
+# ---------------------------------------------------------------------------
+def user_prompts(spark, sf_dir):
+    c = X.load(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), F.col("text").alias("prompt"))
+
+
+@register("prompt_grid", f"""
+WITH p AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user'),
+g AS (SELECT * FROM (VALUES ('beam', NULL), {", ".join(f"('sample', {t})" for t in GE.GRID_TEMPERATURES)})
+      AS t(mode, temperature))
+SELECT p.seq_id, p.prompt, g.mode, CAST(g.temperature AS DOUBLE) AS temperature FROM p, g""")
+def q_prompt_grid(spark, sf_dir):
+    """Every user prompt x (beam, sample at 0.7 / 1.0 / 1.3)."""
+    return GE.prompt_grid(user_prompts(spark, sf_dir))
+
+
+def _generation(spark, sf_dir, mode):
+    vocab, model, _ = lm_model(spark, sf_dir)
+    prompts = user_prompts(spark, sf_dir)
+    enc = GE.encode_prompts(prompts, vocab, LM.NGRAM, LM.MAX_VOCAB)
+    stops = GE.stop_ids(vocab)
+    if mode == "greedy":
+        st = GE.generate_greedy(enc, model, stops, max_steps=25)
+    elif mode == "sample":
+        st = GE.generate_sampled(enc, model, stops, seed=11, temperature=0.7, max_steps=25)
+    else:
+        st = GE.generate_beam(enc, model, stops, width=4, max_steps=25)
+    out = GE.continuation_text(st, vocab, prompts, LM.MAX_VOCAB)
+    return out.join(st.select("seq_id", "n_new"), "seq_id")
+
+
+@register("generate_greedy")
+def q_generate_greedy(spark, sf_dir):
+    """25-token greedy continuation of every user turn (n-gram model, back-off)."""
+    return _generation(spark, sf_dir, "greedy")
+
+
+@register("generate_sampled")
+def q_generate_sampled(spark, sf_dir):
+    """G1: seeded sampled continuation (T 0.7, top-k 50, top-p 0.95, penalty 1.2, no repeated bigram)."""
+    return _generation(spark, sf_dir, "sample")
+
+
+@register("generate_beam")
+def q_generate_beam(spark, sf_dir):
+    """Beam search (width 4) continuation of every user turn."""
+    return _generation(spark, sf_dir, "beam")
