@@ -802,3 +802,27 @@ def q_generate_sampled(spark, sf_dir):
 def q_generate_beam(spark, sf_dir):
     """Beam search (width 4) continuation of every user turn."""
     return _generation(spark, sf_dir, "beam")
+
+
+# ---------------------------------------------------------------------------
+# Streaming curation over the JSON-lines post files
+# ---------------------------------------------------------------------------
+@register("curate_stream", f"""WITH {X.POSTS_SQL.strip()},
+js0 AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
+        FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
+js AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS doc_key, CAST(score AS DOUBLE) AS score, raw_text FROM js0),
+kept AS (SELECT doc_key, {O.clean_lm('raw_text')} AS text FROM js
+         WHERE score >= 10 AND NOT {O.is_redacted('raw_text')})
+SELECT min(doc_key) AS doc_key, 'json' AS corpus, text FROM kept
+WHERE text IS NOT NULL AND length(text) BETWEEN 20 AND 400 GROUP BY text""")
+def q_curate_stream(spark, sf_dir):
+    """Structured Streaming curation (available-now trigger) of the JSON-lines post files."""
+    import uuid
+    from quipu.session import ensure_checkpoint_dir
+    from quipu.streaming.curate_stream import start_curation_stream
+    out = X.write_post_files(spark, sf_dir)
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/quipu-stream/{uuid.uuid4().hex}"
+    q = start_curation_stream(spark, f"{out}/jsonl", f"{base}/kept", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/kept").select("doc_key", "corpus", "text")

@@ -65,3 +65,25 @@ def test_sampling_deterministic_and_valid(spark):
     a = {r["ctx_key"]: r["token_id"] for r in S.sample_categorical(_dist(spark), 5).collect()}
     b = {r["ctx_key"]: r["token_id"] for r in S.sample_categorical(_dist(spark), 5).collect()}
     assert a == b and a["b"] == 7 and a["a"] in (1, 2, 3)
+
+
+def test_predict_batch_user_model(spark):
+    import numpy as np
+
+    from quipu.operators.generate import predict_batch
+
+    def make_fn():
+        def predict(texts: np.ndarray) -> np.ndarray:
+            return np.array([float(len(t.split())) for t in texts])
+        return predict
+
+    df = spark.createDataFrame([("a b c",), ("one",)], "text string")
+    got = [r["prediction"] for r in predict_batch(df, make_fn, "text").collect()]
+    assert got == [3.0, 1.0]
+
+
+def test_prompt_grid_shape(spark):
+    from quipu.operators.generate import prompt_grid
+    g = prompt_grid(spark.createDataFrame([(1, "why")], "seq_id long, prompt string"))
+    assert sorted((r["mode"], r["temperature"]) for r in g.collect()) == [
+        ("beam", None), ("sample", 0.7), ("sample", 1.0), ("sample", 1.3)]
