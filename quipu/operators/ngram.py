@@ -81,8 +81,35 @@ def _best_key(n: Column, label: Column) -> Column:
 
 
 # --- M1 ---------------------------------------------------------------------
+def packed_windows(encoded: DataFrame, n: int, vocab_size: int, ids_col: str = "ids",
+                   key_col: str = "doc_key") -> DataFrame:
+    """(doc_key, pos, ctx bigint, label) straight from id arrays: the packed
+    key of every window is built with ``zip_with`` over n-1 shifted copies of
+    the id array (O(n * L) per document, no per-window arrays).  Requires
+    :func:`packable`; otherwise use :func:`quipu.operators.vocab.windows`."""
+    if not packable(n, vocab_size):
+        raise ValueError("contexts do not fit one bigint; use array windows")
+    bits = key_bits(vocab_size)
+    ids = F.col(ids_col)
+    m = F.size(ids) - n + 1                       # number of windows
+    shifted = [F.slice(ids, j + 1, m) for j in range(n - 1)]
+    key = F.transform(shifted[0], lambda x: x.cast("long"))
+    for j in range(1, n - 1):
+        key = F.zip_with(key, shifted[j], lambda a, b: F.shiftleft(a, bits) + b.cast("long"))
+    labels = F.slice(ids, n, m)
+    pairs = F.when(m > 0, F.arrays_zip(key.alias("ctx"), labels.alias("label"))).otherwise(
+        F.array().cast("array<struct<ctx:bigint,label:int>>"))
+    ex = (encoded.select(key_col, F.posexplode_outer(pairs).alias("pos", "w"))
+                 .filter(F.col("pos").isNotNull()))
+    return ex.select(key_col, F.col("pos").cast("int").alias("pos"), F.col("w.ctx").alias("ctx"),
+                     F.col("w.label").cast("int").alias("label"))
+
+
 def context_key(windows: DataFrame, n: int, vocab_size: int) -> tuple[DataFrame, int | None]:
-    """Replace ``ctx`` by its packed bigint when it fits (else keep the array)."""
+    """Replace ``ctx`` by its packed bigint when it fits (else keep the array);
+    windows from :func:`packed_windows` are already packed."""
+    if dict(windows.dtypes).get("ctx") == "bigint":
+        return windows, key_bits(vocab_size)
     if packable(n, vocab_size):
         bits = key_bits(vocab_size)
         return windows.withColumn("ctx", pack_context(F.col("ctx"), bits)), bits

@@ -139,10 +139,14 @@ def assign_batches(encoded: DataFrame, n: int, batch_size: int = 32, ids_col: st
     """
     per_doc = encoded.select(key_col, F.greatest(F.size(ids_col) - n + 1, F.lit(0)).alias("_nw"))
     offs = C.ordered_offsets(per_doc, [key_col], "_nw", "_off")
-    w = windows(encoded, n, ids_col, key_col).join(offs, key_col)
+    # attach the offset per document (one row each) before exploding windows
+    with_off = encoded.join(offs, key_col)
+    w = (with_off.select(key_col, "_off", F.posexplode_outer(TK.ngram_windows(F.col(ids_col), n)).alias("pos", "_w"))
+                 .filter(F.col("pos").isNotNull()))
+    ctx, label = TK.split_label(F.col("_w"), n)
     idx = F.col("_off") + F.col("pos")
-    return w.select(key_col, "pos", "ctx", "label", idx.alias("sample_idx"),
-                    F.floor(idx / batch_size).cast("long").alias("batch_id"))
+    return w.select(key_col, F.col("pos").cast("int").alias("pos"), ctx.alias("ctx"), label.cast("int").alias("label"),
+                    idx.alias("sample_idx"), F.floor(idx / batch_size).cast("long").alias("batch_id"))
 
 
 def steps_per_epoch(n_samples: int, batch_size: int = 32) -> int:

@@ -382,13 +382,13 @@ def lm_model(spark, sf_dir):
     split = LM.lm_split(spark, sf_dir, enc)
     train = split.filter(F.col("split") == "train")
     evald = split.filter(F.col("split") == "eval")
-    model = NG.fit_ngram_model(VO.windows(train, LM.NGRAM), LM.NGRAM, VO.vocab_size(vocab))
+    model = NG.fit_ngram_model(LM.model_windows(train, VO.vocab_size(vocab)), LM.NGRAM, VO.vocab_size(vocab))
     return vocab, model, evald
 
 
 def lm_scored(spark, sf_dir, lambdas=(0.5,), orders=None):
     vocab, model, evald = lm_model(spark, sf_dir)
-    w = VO.windows(evald, LM.NGRAM)
+    w = LM.model_windows(evald, model.vocab_size)
     return NG.score_windows(w, model, lambdas, orders)
 
 
@@ -476,7 +476,7 @@ SELECT r.cand, r.lam, r.max_order, round(r.loss, 6) AS loss, r.cand = (SELECT ca
 def q_grid_search(spark, sf_dir):
     """M5: every (lambda, max order) candidate scored on the eval split in one pass; lowest loss wins."""
     vocab, model, evald = lm_model(spark, sf_dir)
-    w = VO.windows(evald, LM.NGRAM)
+    w = LM.model_windows(evald, model.vocab_size)
     g = NG.grid_search(w, model, GRID_LAMBDAS, GRID_ORDERS)
     return g.select("cand", "lam", "max_order", F.round("loss", 6).alias("loss"), "is_best")
 
@@ -504,9 +504,11 @@ def q_read_posts_csv(spark, sf_dir):
 
 
 @register("read_scored_tsv", f"""WITH {X.POSTS_SQL.strip()},
-kept AS (SELECT post_id, score, regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''),
-                 '[\\r\\n]', ' ', 'g') AS t FROM posts WHERE post_id % 13 <> 0 AND post_id % 29 <> 0)
-SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM kept""")
+lined AS (SELECT post_id, score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''), '[\\r\\n]', ' ', 'g') AS t
+          FROM posts)
+SELECT pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM lined
+WHERE post_id % 13 <> 0 AND post_id % 29 <> 0""")
 def q_read_scored_tsv(spark, sf_dir):
     """score<TAB>text lines; lines without a tab or with a non-integer score are skipped."""
     out = X.write_post_files(spark, sf_dir)
@@ -514,10 +516,10 @@ def q_read_scored_tsv(spark, sf_dir):
 
 
 @register("read_posts_jsonl", f"""WITH {X.POSTS_SQL.strip()},
-kept AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
-                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
-         FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0)
-SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, raw_text FROM kept""")
+lined AS (SELECT post_id, score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text FROM posts)
+SELECT pos, CAST(score AS DOUBLE) AS score, raw_text FROM lined WHERE post_id % 31 <> 0 AND post_id % 7 <> 0""")
 def q_read_posts_jsonl(spark, sf_dir):
     """S3 + P1c: JSON lines; bad JSON and non-numeric scores dropped; JSON null -> 'None', missing -> ''."""
     out = X.write_post_files(spark, sf_dir)
@@ -527,13 +529,15 @@ def q_read_posts_jsonl(spark, sf_dir):
 @register("curate_from_files", f"""WITH {X.POSTS_SQL.strip()},
 csv AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score,
                coalesce({_na('title')}, '') || ' ' || coalesce({_na('selftext')}, '') AS raw_text FROM posts),
-tsv0 AS (SELECT post_id, score, regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''),
-                 '[\\r\\n]', ' ', 'g') AS t FROM posts WHERE post_id % 13 <> 0 AND post_id % 29 <> 0),
-tsv AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM tsv0),
-js0 AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
-                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
-        FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
-js AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS pos, CAST(score AS DOUBLE) AS score, raw_text FROM js0),
+tsv0 AS (SELECT post_id, score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''), '[\\r\\n]', ' ', 'g') AS t
+         FROM posts),
+tsv AS (SELECT pos, CAST(score AS DOUBLE) AS score, t AS raw_text FROM tsv0
+        WHERE post_id % 13 <> 0 AND post_id % 29 <> 0),
+js0 AS (SELECT post_id, score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text FROM posts),
+js AS (SELECT pos, CAST(score AS DOUBLE) AS score, raw_text FROM js0 WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
 raw AS (SELECT pos AS doc_key, score, raw_text FROM csv
         UNION ALL SELECT {1 << C.RANK_SHIFT} + pos, score, raw_text FROM tsv
         UNION ALL SELECT {2 << C.RANK_SHIFT} + pos, score, raw_text FROM js),
@@ -808,10 +812,11 @@ def q_generate_beam(spark, sf_dir):
 # Streaming curation over the JSON-lines post files
 # ---------------------------------------------------------------------------
 @register("curate_stream", f"""WITH {X.POSTS_SQL.strip()},
-js0 AS (SELECT post_id, score, title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
-                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text
-        FROM posts WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
-js AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS doc_key, CAST(score AS DOUBLE) AS score, raw_text FROM js0),
+js0 AS (SELECT post_id, score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 title || ' ' || CASE WHEN selftext IS NOT NULL THEN selftext
+                 WHEN post_id % 3 = 0 THEN 'None' ELSE '' END AS raw_text FROM posts),
+js AS (SELECT pos AS doc_key, CAST(score AS DOUBLE) AS score, raw_text FROM js0
+       WHERE post_id % 31 <> 0 AND post_id % 7 <> 0),
 kept AS (SELECT doc_key, {O.clean_lm('raw_text')} AS text FROM js
          WHERE score >= 10 AND NOT {O.is_redacted('raw_text')})
 SELECT min(doc_key) AS doc_key, 'json' AS corpus, text FROM kept

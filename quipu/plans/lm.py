@@ -75,6 +75,14 @@ windows AS (SELECT doc_key, pos, list_slice(ids, pos + 1, pos + {n - 1}) AS ctx,
                    CAST(ids[pos + {n}] AS INTEGER) AS label FROM win)"""
 
 
+def model_windows(encoded: DataFrame, vocab_size: int, n: int = NGRAM) -> DataFrame:
+    """Windows for the model: packed bigint contexts when ids fit, else arrays."""
+    from quipu.operators import ngram as NG
+    if NG.packable(n, vocab_size):
+        return NG.packed_windows(encoded, n, vocab_size)
+    return VO.windows(encoded, n)
+
+
 def lm_split(spark: SparkSession, sf_dir: str, encoded: DataFrame, frac: float = 0.95) -> DataFrame:
     """Label encoded docs train/eval by position; the threshold comes from the
     source's key column alone (a one-column scan), not from the encoded frame."""

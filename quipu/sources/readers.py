@@ -48,9 +48,25 @@ def _line_order(df: DataFrame) -> DataFrame:
 ORDER = ["_file", "_blk", "_row"]
 
 
+SPLIT_BROADCAST_MAX = 5_000_000   # file splits; one offset row per split
+
+
 def _with_position(df: DataFrame, order_cols: list[str] = ORDER) -> DataFrame:
-    idx = C.global_index(df, order_cols, "pos")
-    return df.join(idx, order_cols).drop(*order_cols)
+    """Dense 0-based position in (file, split start, row) order.
+
+    Rows are not moved: each file split contributes one (min row id, count)
+    row, the splits' counts are prefix-summed in order, and the offsets come
+    back through a broadcast join bounded by the number of splits.
+    """
+    f, b, r = order_cols
+    splits = df.groupBy(f, b).agg(F.min(r).alias("_r0"), F.count(F.lit(1)).alias("_n"))
+    offs = C.ordered_offsets(splits, [f, b], "_n", "_off")
+    offs = offs.join(splits.select(f, b, "_r0"), [f, b])
+    n_splits = offs.count()
+    side = F.broadcast(offs) if n_splits <= SPLIT_BROADCAST_MAX else offs
+    return (df.join(side, [f, b])
+              .withColumn("pos", F.col("_off") + F.col(r) - F.col("_r0"))
+              .drop(f, b, r, "_off", "_r0"))
 
 
 def _numeric_score(c: Column) -> Column:
@@ -96,20 +112,17 @@ def read_scored_tsv(spark: SparkSession, path: str, strict: bool = False,
     """
     if missing_ok and not _missing_ok(spark, path):
         return spark.createDataFrame([], "pos long, score double, raw_text string")
-    lines = _line_order(spark.read.text(path))
+    lines = _with_position(_line_order(spark.read.text(path)))
     parts = F.split(F.col("value"), "\t", 2)
     if strict:
         checked = F.when(F.size(parts) == 2, parts).otherwise(
             F.raise_error(F.lit("scored TSV line without a tab")).cast("array<string>"))
-        out = lines.select(*ORDER, checked.alias("_p")).select(
-            *ORDER, F.col("_p")[0].alias("score"),
-            TX.clean(F.col("_p")[1], "tsv").alias("raw_text"))
-    else:
-        out = (lines.select(*ORDER, parts.alias("_p"))
-               .filter((F.size("_p") == 2) & F.trim(F.col("_p")[0]).try_cast("int").isNotNull())
-               .select(*ORDER, F.trim(F.col("_p")[0]).try_cast("int").cast("double").alias("score"),
-                       F.col("_p")[1].alias("raw_text")))
-    return _with_position(out)
+        return lines.select("pos", checked.alias("_p")).select(
+            "pos", F.col("_p")[0].alias("score"), TX.clean(F.col("_p")[1], "tsv").alias("raw_text"))
+    return (lines.select("pos", parts.alias("_p"))
+            .filter((F.size("_p") == 2) & F.trim(F.col("_p")[0]).try_cast("int").isNotNull())
+            .select("pos", F.trim(F.col("_p")[0]).try_cast("int").cast("double").alias("score"),
+                    F.col("_p")[1].alias("raw_text")))
 
 
 # --- S3 ---------------------------------------------------------------------
@@ -132,20 +145,24 @@ def read_posts_jsonl(spark: SparkSession, path: str, missing_ok: bool = True) ->
     """
     if missing_ok and not _missing_ok(spark, path):
         return spark.createDataFrame([], "pos long, score double, raw_text string")
-    lines = _line_order(spark.read.text(path))
+    lines = _with_position(_line_order(spark.read.text(path)))
+    return parse_json_posts(lines)
+
+
+def parse_json_posts(lines: DataFrame) -> DataFrame:
+    """(pos, value) JSON lines -> (pos, score, raw_text) under the reference's rules."""
     v = F.try_parse_json(F.col("value"))
-    parsed = lines.select(*ORDER, v.alias("v"))
+    parsed = lines.select("pos", v.alias("v"))
     is_obj = F.schema_of_variant(F.col("v")).startswith("OBJECT")
     s = F.try_variant_get(F.col("v"), "$.score", "variant")
     s_type = F.schema_of_variant(s)
     numeric = s_type.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | s_type.startswith("DECIMAL")
     score = F.when(s.isNull(), F.lit(0.0)).when(numeric, F.variant_get(s, "$", "double"))
-    out = (parsed.filter(F.col("v").isNotNull() & is_obj)
-           .select(*ORDER, score.alias("score"),
-                   F.concat(_json_text(F.col("v"), "title"), F.lit(" "),
-                            _json_text(F.col("v"), "selftext")).alias("raw_text"))
-           .filter(F.col("score").isNotNull()))
-    return _with_position(out)
+    return (parsed.filter(F.col("v").isNotNull() & is_obj)
+            .select("pos", score.alias("score"),
+                    F.concat(_json_text(F.col("v"), "title"), F.lit(" "),
+                             _json_text(F.col("v"), "selftext")).alias("raw_text"))
+            .filter(F.col("score").isNotNull()))
 
 
 # --- S5 ---------------------------------------------------------------------

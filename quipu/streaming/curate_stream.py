@@ -32,19 +32,7 @@ KEY_SHIFT = C.RANK_SHIFT
 
 def _parse_batch(lines: DataFrame) -> DataFrame:
     """Micro-batch of raw lines (value, _file, _blk, _row) -> (pos, score, raw_text)."""
-    v = F.try_parse_json(F.col("value"))
-    parsed = lines.select(*RD.ORDER, v.alias("v"))
-    is_obj = F.schema_of_variant(F.col("v")).startswith("OBJECT")
-    s = F.try_variant_get(F.col("v"), "$.score", "variant")
-    s_type = F.schema_of_variant(s)
-    numeric = s_type.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | s_type.startswith("DECIMAL")
-    score = F.when(s.isNull(), F.lit(0.0)).when(numeric, F.variant_get(s, "$", "double"))
-    out = (parsed.filter(F.col("v").isNotNull() & is_obj)
-           .select(*RD.ORDER, score.alias("score"),
-                   F.concat(RD._json_text(F.col("v"), "title"), F.lit(" "),
-                            RD._json_text(F.col("v"), "selftext")).alias("raw_text"))
-           .filter(F.col("score").isNotNull()))
-    return RD._with_position(out)
+    return RD.parse_json_posts(RD._with_position(lines))
 
 
 def curate_batch(lines: DataFrame, batch_id: int, kept_path: str, corpus_name: str = "json") -> DataFrame:

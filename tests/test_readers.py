@@ -23,7 +23,7 @@ def test_tsv_tolerant_and_strict(spark, tmpdir_path):
     p = f"{tmpdir_path}/tsv/t.tsv"
     _write(p, "12\tGood one\n x \tbad score\nno tab here\n 7 \tA\tB\n1_000\tpython accepts this\n")
     rows = RD.read_scored_tsv(spark, p).orderBy("pos").collect()
-    assert [(r["score"], r["raw_text"]) for r in rows] == [(12.0, "Good one"), (7.0, "A\tB")]
+    assert [(r["pos"], r["score"], r["raw_text"]) for r in rows] == [(0, 12.0, "Good one"), (3, 7.0, "A\tB")]
     assert RD.read_scored_tsv(spark, f"{tmpdir_path}/missing.tsv").count() == 0
 
 
