@@ -115,7 +115,7 @@ def q_split_ordered(spark, sf_dir):
 @register("corpus_head", CURATED_SQL + f"""
 SELECT doc_key, {CORPUS_NAME_SQL} AS corpus, text FROM curated ORDER BY doc_key LIMIT 100""")
 def q_corpus_head(spark, sf_dir):
-    """L1: the first 100 curated posts in corpus order (the reference's max-jokes cap)."""
+    """L1: the first 100 curated posts in corpus order (the maximum-post cap)."""
     return C.head(curated(spark, sf_dir), 100)
 
 
