@@ -18,11 +18,14 @@ which is a plain ``sum`` and ``max`` per window: every aggregate stays a
 fixed-width HashAggregate.  The prediction is the most frequent label at the
 highest seen order (ties -> smallest id).
 
-Shuffles: training is one partial-aggregated ``groupBy(k, ctx, label)`` plus
-one window over ``(k, ctx)``.  Scoring explodes each window into its orders
-k >= 1 and joins twice (count of (ctx, label), total of ctx); order 0 -- one
-key shared by every window -- is a broadcast of the unigram table, bounded by
-the vocabulary.  Remaining hot contexts are split by AQE's skew-join handling.
+Shuffles: training is a chain of partial-aggregated ``groupBy(ctx, label)``
+(one per order) plus one hash aggregate for context totals.  Scoring explodes
+each window into its orders k >= 1 and joins twice (total of ctx, count of
+(ctx, label)); order 0 -- one key shared by every window -- is a broadcast of
+the unigram table, bounded by the vocabulary.  Hot contexts (training count
+above ``HOT_MIN_COUNT``, a bounded broadcast list) are salted: their probe
+rows spread over ``SALT_FANOUT`` salts and only their model rows are
+replicated, so no single task receives a hot key's windows.
 """
 
 from __future__ import annotations
@@ -173,10 +176,43 @@ def model_with_arrays(model: NgramModel) -> DataFrame:
     return model.table()
 
 
+# --- hot contexts ---------------------------------------------------------------
+HOT_MIN_COUNT = 1_000_000      # a context seen this often in training is salted
+HOT_MAX_KEYS = 100_000         # bound on the broadcast hot-key list
+SALT_FANOUT = 32
+
+
+def hot_contexts(model: "NgramModel", min_count: int = HOT_MIN_COUNT,
+                 max_keys: int = HOT_MAX_KEYS) -> DataFrame | None:
+    """(k, ctx) of contexts whose training count reaches ``min_count`` (at most
+    ``max_keys`` of them, the most frequent), or None when there are none.
+    Training frequency predicts how many scored windows share the key."""
+    hot = model.contexts.filter((F.col("k") >= 1) & (F.col("ctx_n") >= F.lit(min_count)))
+    hot = hot.orderBy(F.desc("ctx_n")).limit(max_keys).select("k", "ctx")
+    return hot if hot.limit(1).count() > 0 else None
+
+
+def _salted_join(probe: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None,
+                 salt_cols: list[str], fanout: int) -> DataFrame:
+    """Left join on ``keys``; rows of hot (k, ctx) keys are spread over
+    ``fanout`` salts on the probe side and replicated on the model side."""
+    if hot is None:
+        return probe.join(side, keys, "left")
+    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    p = probe.join(flag, ["k", "ctx"], "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(fanout)))
+        .otherwise(F.lit(0))).drop("_hot")
+    s = side.join(flag, ["k", "ctx"], "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fanout - 1)))
+                           .otherwise(F.array(F.lit(0))))).drop("_hot")
+    return p.join(s, keys + ["_salt"], "left").drop("_salt")
+
+
 # --- M2 / M4 -------------------------------------------------------------------
 def score_windows(windows: DataFrame, model: NgramModel,
                   lambdas: Sequence[float] = (DEFAULT_LAMBDA,), max_orders: Sequence[int] | None = None,
-                  key_cols: Sequence[str] = ("doc_key", "pos")) -> DataFrame:
+                  key_cols: Sequence[str] = ("doc_key", "pos"), hot_min_count: int = HOT_MIN_COUNT,
+                  salt_fanout: int = SALT_FANOUT) -> DataFrame:
     """Per window: p and -ln p of its true label, and the predicted label.
 
     One output column pair ``p_<i>`` / ``nll_<i>`` per (lambda, max order)
@@ -202,7 +238,9 @@ def score_windows(windows: DataFrame, model: NgramModel,
                        suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"))
         cw = model.counts.filter(F.col("k") >= 1).select("k", "ctx", "label", F.col("n").alias("c_w"))
         cx = model.contexts.filter(F.col("k") >= 1)
-        j = ex.join(cx, ["k", "ctx"], "left").join(cw, ["k", "ctx", "label"], "left")
+        hot = hot_contexts(model, hot_min_count)
+        j = _salted_join(ex, cx, ["k", "ctx"], hot, keys, salt_fanout)
+        j = _salted_join(j, cw, ["k", "ctx", "label"], hot, keys, salt_fanout)
         seen = F.col("ctx_n").isNotNull()
         r = F.coalesce(F.col("c_w"), F.lit(0)) / F.col("ctx_n")
         aggs = [F.max(F.when(seen, F.col("k"))).alias("m_any"),

@@ -87,3 +87,15 @@ def test_prompt_grid_shape(spark):
     g = prompt_grid(spark.createDataFrame([(1, "why")], "seq_id long, prompt string"))
     assert sorted((r["mode"], r["temperature"]) for r in g.collect()) == [
         ("beam", None), ("sample", 0.7), ("sample", 1.0), ("sample", 1.3)]
+
+
+def test_salted_scoring_equals_plain(spark):
+    m = _model(spark)
+    probe = spark.createDataFrame([(d, i, [1, 1], lab) for d in range(3) for i, lab in enumerate([2, 5, 7])],
+                                  "doc_key long, pos int, ctx array<int>, label int")
+    plain = {(r["doc_key"], r["pos"]): (r["p"], r["pred"]) for r in NG.score_windows(probe, m).collect()}
+    salted = {(r["doc_key"], r["pos"]): (r["p"], r["pred"])
+              for r in NG.score_windows(probe, m, hot_min_count=1, salt_fanout=4).collect()}
+    assert plain.keys() == salted.keys()
+    for key, (p, pred) in plain.items():
+        assert math.isclose(p, salted[key][0], rel_tol=1e-12) and pred == salted[key][1]
