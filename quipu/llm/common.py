@@ -89,3 +89,23 @@ def connected(edges: DataFrame, name: str = "links") -> DataFrame:
         seen = now
     return (pairs.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
             .unionByName(pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+
+
+def vectors_of(column: pa.Array) -> list[np.ndarray | None]:
+    """Each vector of a list column; None if it is null or holds a null or non-finite value."""
+    bounds = column.offsets.to_numpy()
+    values = column.values
+    x = values.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+    valid = np.asarray(column.is_valid())
+    return [x[a:b] if ok and bad[a] == bad[b] else None
+            for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid.tolist(), strict=True)]
+
+
+def matrix_of(rows: list[bytes], dtype: str = "<f8") -> np.ndarray:
+    """Vectors from bytes, shorter ones filled up with zeros."""
+    vectors = [np.frombuffer(r, dtype) for r in rows]
+    out = np.zeros((len(vectors), max(map(len, vectors), default=0)))
+    for i, v in enumerate(vectors):
+        out[i, :len(v)] = v
+    return out

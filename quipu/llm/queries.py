@@ -16,6 +16,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of the whole embeddings table, cosine 0.95 or more."""
+    from quipu.llm.near_vectors import near_duplicates
+    return near_duplicates(_read(spark, sf_dir, "embeddings"), 0.95)
+
+
+def op4_inner_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector with all others."""
+    from quipu.llm.inner_topk import top_k
+    return top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of every document."""
     from quipu.llm import lang_id
@@ -36,5 +48,34 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op9_best_fit_packing, op10_sentencepiece)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op9_best_fit_packing, op10_sentencepiece)}
+# DuckDB SQL; operators that SQL can't express are tested against brute force instead
+ORACLE: dict[str, str] = {
+    "op2_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [x::double for x in embedding] AS e,
+         coalesce(embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+                  AND len([x for x in embedding if NOT isfinite(x)]) = 0
+                  AND len([x for x in embedding if x <> 0]) > 0, false) AS ok
+  FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_sum([x * x for x in e])) AS size FROM v WHERE ok AND vec_id IS NOT NULL),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+part AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, part.component_id, e.vec_id = part.component_id AS kept
+FROM embeddings e JOIN part USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a) n USING (vec_id)""",
+    "op4_inner_topk": """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::double)::bigint for x in embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len([x for x in embedding if NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] for x in list_zip(q.e, c.e)])::bigint AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5""",
+}
