@@ -109,3 +109,65 @@ def matrix_of(rows: list[bytes], dtype: str = "<f8") -> np.ndarray:
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
+
+
+_BASE = 0x9E3779B97F4A7C15 | 5
+_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 16)
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(size, base, U64)
+            p[0] = 1
+            _POWERS[k] = np.multiply.accumulate(p)
+    return _POWERS
+
+
+class RunHashes:
+    """64-bit hashes of any run of a sequence of 64-bit symbols, from one prefix sum."""
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        n = len(symbols)
+        power, self.inverse = _powers(n + 1)
+        self.sums = np.zeros(n + 1, U64)
+        np.cumsum(symbols * power[:n], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
+
+    def all(self, size: int) -> np.ndarray:
+        """Of every run of ``size`` symbols."""
+        if len(self.sums) <= size:
+            return np.zeros(0, U64)
+        return mix64((self.sums[size:] - self.sums[:-size]) * self.inverse[:len(self.sums) - size])
+
+
+def window_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest value in each window of ``width``, of equals the leftmost.  Values
+    are told apart by their upper 32 bits, so equal windows agree on the place."""
+    n = len(values)
+    if n < width:
+        return np.zeros(0, np.int64)
+    packed = np.full(-(-n // width) * width, ~U64(0), U64)
+    packed[:n] = (values & U64(0xFFFFFFFF00000000)) | np.arange(n, dtype=U64)
+    blocks = packed.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(behind[:n - width + 1], ahead[width - 1:n]) & U64(0xFFFFFFFF)).astype(np.int64)
+
+
+def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True."""
+    edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mask of n places that lie in any [start, end)."""
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, starts, 1)
+    np.subtract.at(step, ends, 1)
+    return np.cumsum(step[:-1]) > 0

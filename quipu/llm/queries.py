@@ -36,6 +36,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, model)
 
 
+def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove windows of 50 words that an earlier document holds from all documents."""
+    from quipu.llm.span_dedup import remove_repeats
+    return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     from quipu.llm.packing import pack_documents
@@ -48,7 +54,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op9_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op9_best_fit_packing, op10_sentencepiece)}
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
     "op2_near_vectors": """
@@ -68,6 +74,22 @@ part AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, part.component_id, e.vec_id = part.component_id AS kept
 FROM embeddings e JOIN part USING (vec_id)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a) n USING (vec_id)""",
+    "op6_span_dedup": """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN firsts USING (h) WHERE first < doc_id),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(w.words)::bigint AS n_words, (len(w.words) - coalesce(kept.n, 0))::bigint AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
     "op4_inner_topk": """
 WITH v AS (
   SELECT vec_id, [floor(256 * x::double)::bigint for x in embedding] AS e FROM embeddings
