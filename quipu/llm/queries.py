@@ -42,6 +42,12 @@ def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove strings of 400 bytes that start elsewhere too from all documents."""
+    from quipu.llm.byte_dedup import remove_repeats
+    return remove_repeats(_read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     from quipu.llm.packing import pack_documents
@@ -54,7 +60,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op9_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
     "op2_near_vectors": """
