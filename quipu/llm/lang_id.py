@@ -194,9 +194,10 @@ def learn(docs: DataFrame, vocabulary: list[str], per_lang: int = 400, rounds: i
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_col: str = "doc_id",
             keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) and the columns in ``keep``, for every row."""
+    """(doc_id, held_out, lang_pred, score) for every row, and ``kept``, a struct of the
+    columns in ``keep`` as they are."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), is_held_out(id_col).alias("held_out"),
-                       F.col(text_col).cast("string").alias("text"), F.struct(F.lit(1).alias("_"), *keep).alias("kept"))
+                       F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("kept"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model.vocabulary)
@@ -226,4 +227,4 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_co
             yield pa.RecordBatch.from_arrays([*made.values(), batch.column("kept")], names=[*made, "kept"])
 
     schema = f"doc_id long, held_out boolean, lang_pred string, score double, kept {rows.schema['kept'].dataType.simpleString()}"
-    return rows.mapInArrow(run, schema).select("doc_id", "held_out", "lang_pred", "score", *[f"kept.{c}" for c in keep])
+    return rows.mapInArrow(run, schema).drop(*[] if keep else ["kept"])

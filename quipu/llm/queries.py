@@ -16,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: word 5-grams, Jaccard similarity 0.8 or more."""
+    from quipu.llm.ngram_join import similarity_classes
+    return similarity_classes(_read(spark, sf_dir, "documents"))
+
+
 def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of the whole embeddings table, cosine 0.95 or more."""
     from quipu.llm.near_vectors import near_duplicates
@@ -60,9 +66,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
+    "op1_ngram_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(words[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ordered AS (SELECT s.doc_id, g, row_number() OVER (PARTITION BY s.doc_id ORDER BY f, g) AS k FROM s JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g)),
+pre AS (SELECT doc_id, g FROM ordered JOIN n USING (doc_id) WHERE k <= n - ceil(0.8 * n) + 1),
+pair AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pre a JOIN pre b ON a.g = b.g AND a.doc_id < b.doc_id),
+both_ AS (SELECT a, b, count(*) AS o FROM pair JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY a, b),
+link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 180 * o >= 80 * (x.n + y.n)),
+sym AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN sym l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE a = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)""",
     "op2_near_vectors": """
 WITH RECURSIVE v AS (
   SELECT vec_id, [x::double for x in embedding] AS e,

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import RunHashes, byte_list, covered, cut_rows, id_text, mix64, row_key, runs_of, table_of, window_minima
+from quipu.llm.common import RunHashes, byte_list, covered, cut_rows, mix64, row_key, runs_of, table_of, window_minima
 from quipu.operators.corpus import pin_table
 
 WINDOW, K = 50, 26
@@ -106,7 +106,7 @@ def _compact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "hash": runs.of(at, at + WINDOW).view(np.int64).tolist()}
             for name in out:
                 out[name].append(row[name])
-        yield table_of(out, _STATE)
+        yield table_of(out, _STATE).append_column("extra", batch.column("extra"))
 
 
 def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,14 +121,16 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
             for name, x in zip(out, (doc, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept), strict=True):
                 out[name].append(x)
-        yield table_of(out, _DONE)
+        yield table_of(out, _DONE).append_column("extra", batch.column("extra"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): one row for each row of ``docs``.
     ``kept`` holds the words left, joined by one space, as bytes; it is null where nothing was
-    removed."""
-    rows = id_text(docs, id_col, text_col).withColumn("rk", row_key())
+    removed.  ``extra``: a struct of the columns in ``keep`` as they are."""
+    extra = F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("extra")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), extra)
+    rows = rows.withColumn("rk", row_key())
     kmers = pin_table(rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("rk", "doc_id", "text")
                       .mapInArrow(_kmers, "rk long, doc_id long, pos int, kmer long, step long"), "kmers")
     repeated = (kmers.groupBy("kmer").agg(F.count("*").alias("often"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -137,17 +139,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     steps = edges.filter("step <> 0").groupBy("step").agg(F.count("*").alias("steps")).filter("steps > 1")
     found = (edges.join(steps, "step", "left").groupBy("rk")
              .agg(F.collect_list(F.struct("pos", "often", "first", F.coalesce("steps", F.lit(0)).alias("steps"))).alias("found")))
-    state = rows.join(found.hint("shuffle_hash"), "rk", "left").select("rk", "doc_id", "text", "found").mapInArrow(
+    carried = f"extra {rows.schema['extra'].dataType.simpleString()}"
+    state = rows.join(found.hint("shuffle_hash"), "rk", "left").select("rk", "doc_id", "text", "found", "extra").mapInArrow(
         _compact, "rk long, doc_id long, text binary, n_words long, kept_sha256 string, from array<int>, to array<int>, "
-                  "pos array<int>, hash array<long>")
+                  f"pos array<int>, hash array<long>, {carried}")
     state = pin_table(state, "spans")
     open_rows = state.filter("text is not null")
     windows = open_rows.select("rk", "doc_id", F.explode(F.arrays_zip("pos", "hash")).alias("w")).select("rk", "doc_id", "w.pos", "w.hash")
     earlier = (windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                .filter("first < last").drop("last"))
     again = windows.join(earlier, "hash").filter("first < doc_id").groupBy("rk").agg(F.collect_set("pos").alias("again"))
-    cut = (open_rows.join(again.hint("shuffle_hash"), "rk", "left").select("doc_id", "text", "from", "to", "again")
-           .mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"))
+    cut = (open_rows.join(again.hint("shuffle_hash"), "rk", "left").select("doc_id", "text", "from", "to", "again", "extra")
+           .mapInArrow(_remove, f"doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary, {carried}"))
     whole = state.filter("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
-                                                F.lit(None).cast("binary").alias("kept"))
-    return cut.unionByName(whole)
+                                                F.lit(None).cast("binary").alias("kept"), "extra")
+    return cut.withColumn("kept", F.when(F.col("n_removed") > 0, F.col("kept"))).unionByName(whole).drop(*[] if keep else ["extra"])
