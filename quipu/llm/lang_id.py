@@ -57,6 +57,8 @@ class Lattice:
         hashes = np.array([self._hash(p) for p in self.pieces], U64)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
+        self.maybe = np.zeros(1 << 22, bool)  # by the upper bits of a hash: spares most searches
+        self.maybe[hashes >> U64(42)] = True
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -77,10 +79,11 @@ class Lattice:
         h, out = np.zeros((len(words), wide), U64), []
         for n in range(1, self.longest + 1):
             h = mix64(h + codes[:, n - 1:n - 1 + wide])
-            k = np.searchsorted(self.hashes, h)
-            k[k == len(self.hashes)] = 0
-            fits = (self.hashes[k] == h) & (np.arange(wide) + n <= sizes[:, None])
-            out.append(np.where(fits, self.order[k], -1))
+            piece = np.full(h.shape, -1, np.int32)
+            at = np.nonzero(self.maybe[(h >> U64(42)).astype(np.int64)] & (np.arange(wide) + n <= sizes[:, None]))
+            k = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
+            piece[at] = np.where(self.hashes[k] == h[at], self.order[k], -1)
+            out.append(piece)
         return sizes, out
 
 

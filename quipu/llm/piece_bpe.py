@@ -69,7 +69,7 @@ class PieceModel:
         self.pair_of = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], np.int32)
-        self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
+        self.by_rank = np.array([normal[p] for p in order], np.int32)
         self.n_pieces = n
         self.symbol_of = np.full(0x110000, -1, np.int32)  # by code point
         for c, i in self.symbol.items():
@@ -79,12 +79,12 @@ class PieceModel:
         self.plain = {i: p.replace(MARK, " ") for i, p in enumerate(self.pieces)
                       if i not in self.byte_of and i not in self.control}
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (NONE: no merge) and place in the tables of each pair of symbols."""
-        key = left << 32 | right
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols, NONE where they don't merge."""
+        key = left.astype(np.int64) << 32 | right
         k = np.searchsorted(self.keys, key)
         k[k == len(self.keys)] = 0
-        return np.where((self.keys[k] == key) & (left >= 0) & (right >= 0), self.ranks[k], NONE), k
+        return np.where((self.keys[k] == key) & (left >= 0) & (right >= 0), self.ranks[k], NONE)
 
     def _ids(self, symbol: int, text: str) -> list[int]:
         return [symbol] if 0 <= symbol < self.n_pieces else [self.bytes[b] for b in text.encode()] if self.bytes else [0]
@@ -98,38 +98,35 @@ class PieceModel:
                 out[i] = self._encode_long(w)
         if not short:
             return out
-        text = np.frombuffer("".join(words[i] for i in short).encode("utf-32-le"), np.uint32)
-        sym = self.symbol_of[text].astype(np.int64)
+        text = np.frombuffer("".join([words[i] for i in short]).encode("utf-32-le"), np.uint32)
+        sym = self.symbol_of[text]
         sym[sym < 0] = -1 - np.flatnonzero(sym < 0)  # an unknown character: its place in the text
-        word = np.repeat(np.arange(len(short)), [len(words[i]) for i in short])
-        last = np.append(word[1:] != word[:-1], True)
-        rank, place = self._pairs(sym, np.append(sym[1:], -1))
-        rank[last] = NONE
+        word, sizes = np.arange(len(short)), np.array([len(words[i]) for i in short])
+        ends = np.cumsum(sizes)
+        rank = self._pairs(sym, np.append(sym[1:], -1))
+        rank[ends - 1] = NONE
         ended: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(sym):
-            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            low = np.minimum.reduceat(rank, starts)
-            sizes = np.diff(np.append(starts, len(sym)))
-            if (low == NONE).any():
-                done = np.repeat(low == NONE, sizes)
-                ended.append((word[done], sym[done]))
-                keep = ~done
-                sym, word, rank, place = sym[keep], word[keep], rank[keep], place[keep]
-                sizes, low = sizes[low != NONE], low[low != NONE]
-            if not len(sym):
-                break
-            at = np.flatnonzero(rank == np.repeat(low, sizes))
-            at = at[np.append(True, word[at[1:]] != word[at[:-1]])]  # the leftmost of each word
-            sym[at] = self.merged[place[at]]
+        while len(word):
+            # the smallest pair rank of each word, of equals the leftmost
+            best = np.minimum.reduceat((rank.astype(np.int64) << 32) | np.arange(len(rank)), ends - sizes)
+            at, done = best & 0xFFFFFFFF, best >> 32 == NONE
             keep = np.ones(len(sym), bool)
+            if done.any():
+                over = np.repeat(done, sizes)
+                ended.append((np.repeat(word[done], sizes[done]), sym[over]))
+                keep = ~over
+                at, word, sizes = at[~done], word[~done], sizes[~done]
+            sym[at] = self.by_rank[rank[at]]
             keep[at + 1] = False
-            at = at - np.arange(len(at))  # one symbol has gone before each later place
-            sym, word, rank, place = sym[keep], word[keep], rank[keep], place[keep]
-            look = np.concatenate([at, at[at > 0] - 1])
-            after = np.minimum(look + 1, len(sym) - 1)
-            r, p = self._pairs(sym[look], sym[after])
-            r[(word[after] != word[look]) | (after == look)] = NONE
-            rank[look], place[look] = r, p
+            place = np.cumsum(keep)[at] - 1
+            sym, rank, sizes = sym[keep], rank[keep], sizes - 1
+            if not len(word):
+                break
+            ends = np.cumsum(sizes)
+            first, last = place == ends - sizes, place == ends - 1
+            rank[place] = np.where(last, NONE, self._pairs(sym[place], sym[np.where(last, place, place + 1)]))
+            left = place[~first] - 1
+            rank[left] = self._pairs(sym[left], sym[left + 1])
         word, sym = (np.concatenate(x) for x in zip(*ended, strict=True))
         order = np.argsort(word, kind="stable")
         word, sym = word[order], sym[order]
