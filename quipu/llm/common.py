@@ -171,3 +171,26 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     np.add.at(step, starts, 1)
     np.subtract.at(step, ends, 1)
     return np.cumsum(step[:-1]) > 0
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the rows that agree in ``keys``, from batches in which they come together."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in keys]
+        new = np.zeros(batch.num_rows - 1, bool)
+        for c in cols:
+            new |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(c[a] for c in cols)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

@@ -6,20 +6,21 @@ Two documents link when the Jaccard similarity of their sets of word 5-grams is
 1. One pass counts the 5-grams of all documents in a sketch of fixed size (the order only
    steers the work, any order gives the same links) and hashes each set; equal sets are one
    class from here on.
-2. Two sets that link share one of the first n - ceil(0.8 n) + 1 elements of either.  Rows
-   (element, class) of these prefixes are sorted by element; each element's smallest class is
-   its leader, and all classes that share an element with a leader form the leader's group.
-   So every link lies inside a group.
+2. Two sets that link share one of the first n - ceil(0.8 n) + 1 elements of either, and
+   their sizes are in the same or neighbouring bands.  Rows (element, class) of these prefixes
+   are sorted by element; of each element and band the smallest class is the leader, and all
+   classes that meet a leader form the leader's group.  So every link lies inside a group.
 3. The sets of a group are stored in a prefix tree.  Each set walks down the tree, sharing
    the overlap so far with all sets below a node, and leaves a subtree whose remaining lengths
    cannot reach the similarity any more, or whose sets are all connected with it already.
 4. Components of the links found, in distributed rounds.
 
 How it scales.  Only prefixes are shuffled, copies only once for each task; texts move once
-more for classes that share an element.  A group beyond ``GRAMS`` elements is dealt over
-blocks that all hold the leader; after a first round of links, only the sets that are not
-connected with the leader meet the other blocks, so a large group of near copies costs a walk
-for each member and not all pairs, and no task holds an unbounded group.
+more for classes that share an element.  In a first round a class meets the group of its
+smallest leader only; after that, groups whose sets are all connected are left out.  A group
+beyond ``GRAMS`` elements is dealt over blocks that all hold the leader; only the sets that
+are not connected with the leader then meet the other blocks.  So a large group of near
+copies costs a walk for each member and not all pairs, and no task holds an unbounded group.
 
 5-grams and sets are compared by 64-bit hashes.  Defined results: a document without words
 has an empty set and links with nothing; one of fewer than five words has its whole sequence
@@ -32,12 +33,11 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import U64, RunHashes, byte_list, connected, cut_rows, id_text, mix64, row_key, table_of
+from quipu.llm.common import U64, RunHashes, byte_list, connected, cut_rows, groups_of, id_text, mix64, row_key, table_of
 from quipu.llm.span_dedup import word_hashes
 from quipu.operators.corpus import pin_table
 
@@ -45,8 +45,7 @@ SHINGLE, PERCENT = 5, 80
 BITS, PART = 20, 1 << 12      # slots of the sketch (a power of two); slots in a row of it
 GRAMS = 2_000_000             # elements in one block of a group
 _SETS = pa.schema([("rk", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
-_PREFIX = pa.schema([("gram", pa.int64()), ("class", pa.int64())])
-_MEMBERS = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
+_PREFIX = pa.schema([("gram", pa.int64()), ("class", pa.int64()), ("band", pa.int16())])
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -57,6 +56,10 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(RunHashes(word_hashes(words)).all(min(SHINGLE, len(words))))
 
 
+def slot_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> U64(64 - BITS)).astype(np.int64)
+
+
 def class_of(grams: np.ndarray) -> int:
     return int(mix64(grams + U64(0x5851F42D4C957F2D)).sum(dtype=U64).astype(np.int64))
 
@@ -70,7 +73,7 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in cut_rows(batches, "text"):
         sets = [shingles(t or b"") for t in byte_list(batch.column("text"))]
         if any(map(len, sets)):
-            sketch += np.bincount((np.concatenate(sets) >> U64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            sketch += np.bincount(slot_of(np.concatenate(sets)), minlength=1 << BITS)
         n = len(sets)
         yield table_of({"rk": batch.column("rk"), "doc_id": batch.column("doc_id"), "n": list(map(len, sets)),
                         "class": [class_of(s) if len(s) else None for s in sets], "part": [None] * n, "counts": [None] * n}, _SETS)
@@ -164,19 +167,35 @@ class PrefixTree:
             has[own] = False
 
 
-def group_links(rows: pd.DataFrame) -> pd.DataFrame:
+def band_of(n: int) -> int:
+    """Sizes of sets that link are in the same band or in neighbouring ones."""
+    return int(np.log(n) / np.log(100 / PERCENT) + 1e-9)
+
+
+def group_links(group: pa.Table, counts: np.ndarray) -> list[tuple[int, int]]:
     """Links inside one block of a group, by a walk of each set down the block's prefix tree."""
-    rows = rows.drop_duplicates("class")
-    grams = [np.frombuffer(g, "<u8") for g in rows["grams"]]
-    counts, hashes = (np.concatenate([g[k::2] for g in grams]) for k in (0, 1))
-    known, at, number = np.unique(hashes, return_index=True, return_inverse=True)
+    ids, component = (group.column(c).to_numpy() for c in ("class", "component"))
+    ids, at = np.unique(ids, return_index=True)
+    if len(ids) < 2 or (component[at] == component[at[0]]).all():
+        return []
+    raw = group.column("grams").to_pylist()
+    grams = [np.frombuffer(raw[i], "<u8") for i in at.tolist()]
+    known, number = np.unique(np.concatenate(grams), return_inverse=True)
     place = np.empty(len(known), np.int64)
-    place[np.lexsort((known, counts[at]))] = np.arange(len(known))  # the global order, numbered within the block
-    sets = np.split(place[number], np.cumsum([len(g) // 2 for g in grams])[:-1])
-    ids = rows["class"].to_numpy()
-    leader = np.flatnonzero(ids == rows["leader"].iat[0])
-    found = list(PrefixTree(sets).links(rows["component"].to_numpy().copy(), int(leader[0]) if len(leader) else None))
-    return pd.DataFrame({"a": [int(ids[i]) for i, _ in found], "b": [int(ids[j]) for _, j in found]}, dtype="int64")
+    place[np.lexsort((known, counts[slot_of(known)]))] = np.arange(len(known))  # the global order, numbered within the block
+    sets = [np.sort(x) for x in np.split(place[number], np.cumsum([len(g) for g in grams])[:-1])]
+    leader = np.flatnonzero(ids == group.column("leader")[0].as_py())
+    found = PrefixTree(sets).links(component[at].copy(), int(leader[0]) if len(leader) else None)
+    return [(int(ids[i]), int(ids[j])) for i, j in found]
+
+
+def in_blocks(pairs: DataFrame, grams: int) -> DataFrame:
+    """Rows (leader, class, n, ..) dealt over blocks of about ``grams`` elements; the leader is
+    in every block of its group."""
+    size = pairs.groupBy("leader").agg(F.ceil(F.sum("n") / grams).cast("int").alias("blocks"))
+    placed = pairs.join(size, "leader").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    return placed.withColumn("block", F.explode(F.when(F.col("class") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1))
+                                                .otherwise(F.array("block"))))
 
 
 def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grams: int = GRAMS) -> DataFrame:
@@ -192,84 +211,101 @@ def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         counts[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(bytes(r["counts"]), "<i8")
     often = spark.sparkContext.broadcast(counts)
 
-    def ordered(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Counts and hashes of a set in the global order."""
-        g = shingles(text)
-        c = often.value[(g >> U64(64 - BITS)).astype(np.int64)]
-        order = np.lexsort((g, c))
-        return c[order], g[order]
-
     def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in cut_rows(batches, "text"):
-            out, classes = [], []
+            out, classes, bands = [], [], []
             for text in byte_list(batch.column("text")):
-                _, g = ordered(text or b"")
-                if not len(g) or (c := class_of(np.sort(g))) in seen:
+                g = shingles(text or b"")
+                if not len(g) or (c := class_of(g)) in seen:
                     continue
                 seen.add(c)
-                out.append(g[:prefix_size(len(g))])
+                out.append(g[np.lexsort((g, often.value[slot_of(g)]))[:prefix_size(len(g))]])
                 classes.append(np.full(len(out[-1]), c))
+                bands.append(np.full(len(out[-1]), band_of(len(g)), np.int16))
             if out:
-                yield table_of({"gram": np.concatenate(out).view(np.int64), "class": np.concatenate(classes)}, _PREFIX)
+                yield table_of({"gram": np.concatenate(out).view(np.int64), "class": np.concatenate(classes), "band": np.concatenate(bands)}, _PREFIX)
 
     def lead(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(leader, class) from rows sorted by (gram, class)."""
-        gram, leader = None, 0
+        """(leader, class) from rows sorted by (gram, class): the smallest class of each gram and
+        band leads.  A set is in its own band and the next, so sets that link meet in one."""
+        last, held = None, {}
         for batch in batches:
-            g, c = batch.column("gram").to_numpy(), batch.column("class").to_numpy()
+            g, c, band = (np.tile(batch.column(x).to_numpy(), 2) for x in ("gram", "class", "band"))
             if not len(g):
                 continue
-            new = np.append(g[0] != gram, g[1:] != g[:-1])
-            head = np.where(new, np.arange(len(g)), -1)
-            head = np.maximum.accumulate(head)
-            lead_of = np.where(head >= 0, c[head], leader)
-            gram, leader = g[-1], lead_of[-1]
+            band = band.astype(np.int64)
+            band[len(band) // 2:] += 1
+            begins = g[0]
+            order = np.lexsort((c, band, g))
+            g, c, band = g[order], c[order], band[order]
+            new = np.append(True, (g[1:] != g[:-1]) | (band[1:] != band[:-1]))
+            lead_of = c[new][np.cumsum(new) - 1]
+            if begins == last:  # the first gram goes on from the batch before
+                for i in np.flatnonzero(g == last).tolist():
+                    lead_of[i] = held.get(int(band[i]), lead_of[i])
+            ends = g == batch.column("gram")[-1].as_py()
+            now = dict(zip(band[ends].tolist(), lead_of[ends].tolist(), strict=True))
+            held = held | now if batch.column("gram")[-1].as_py() == last else now
+            last = batch.column("gram")[-1].as_py()
             pairs = np.unique(np.stack([lead_of, c], 1)[lead_of != c], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["leader", "class"])
 
-    shared = (rows.select("text").filter("text is not null").mapInArrow(prefixes, "gram long, class long")
+    shared = (rows.select("text").filter("text is not null").mapInArrow(prefixes, "gram long, class long, band short")
               .repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(lead, "leader long, class long"))
     pairs = pin_table(shared.distinct(), "groups")
     pairs = pairs.unionByName(pairs.select("leader", F.col("leader").alias("class")).distinct())
+    one = sets.join(pairs.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("rk").alias("rk"), F.min("n").alias("n"))
+    pairs = pin_table(pairs.join(one, "class"), "pairs")
+    # each class first meets the smallest of its leaders only
+    home = pairs.groupBy("class", "n", "rk").agg(F.min("leader").alias("leader"))
+    home = home.unionByName(pairs.filter("class = leader").join(home.select("leader").distinct(), "leader").select("class", "n", "rk", "leader")).distinct()
+    home = pin_table(in_blocks(home, grams), "home")
 
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_rows(batches, "text"):
-            got = [ordered(t) for t in byte_list(batch.column("text"))]
-            yield table_of({"class": batch.column("class"), "n": [len(g) for _, g in got],
-                            "grams": [np.stack([c.astype("<u8"), g.astype("<u8")], 1).tobytes() for c, g in got]}, _MEMBERS)
-
-    chosen = (sets.join(pairs.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("rk").alias("rk")))
-    members = pin_table(rows.select("rk", "text").join(chosen, "rk").select("class", "text")
-                        .mapInArrow(load, "class long, n long, grams binary"), "members")
-    size = pairs.join(members.select("class", "n").distinct(), "class").groupBy("leader").agg(F.sum("n").alias("total"))
-    size = size.select("leader", F.ceil(F.col("total") / grams).cast("int").alias("blocks"))
-    placed = pairs.join(size, "leader").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
-    # the leader is in every block
-    placed = placed.withColumn("block", F.explode(F.when(F.col("class") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1))
-                                                  .otherwise(F.array("block"))))
-    placed = pin_table(placed, "placed")
-    wanted = "a long, b long"
-    first = pin_table(placed.join(members, "class").withColumn("component", F.col("class")).groupBy("leader", "block")
-                      .applyInPandas(group_links, wanted), "links")
-    parts = pin_table(connected(first), "parts")
+            got = [shingles(t).astype("<u8").tobytes() for t in byte_list(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("homes"), pa.array(got, pa.binary())], names=["class", "homes", "grams"])
+
+    def walk(placed: DataFrame, *block: str) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in groups_of(batches, ["leader", *block]):
+                found = group_links(group, often.value)
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        return (placed.select("leader", "class", "component", "grams", *block).repartition("leader", *block)
+                .sortWithinPartitions("leader", *block).mapInArrow(run, "a long, b long"))
+
+    homes = home.groupBy("class", "rk").agg(F.collect_list(F.struct("leader", "block")).alias("homes"))
+    members = pin_table(rows.select("rk", "text").join(homes.hint("shuffle_hash"), "rk").select("class", "homes", "text")
+                        .mapInArrow(load, "class long, homes array<struct<leader:long,block:int>>, grams binary"), "members")
+    at_home = members.select("class", F.col("class").alias("component"), "grams", F.explode("homes").alias("at")).select("*", "at.*")
+    links = pin_table(walk(at_home, "block"), "links")
+    parts = pin_table(connected(links), "parts").withColumnRenamed("node", "class")
+    # groups that hold more than one component still may hold links
+    labelled = pairs.drop("rk").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    open_groups = (labelled.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                   .filter("low < high").select("leader"))
+    placed = pin_table(in_blocks(labelled.join(open_groups, "leader"), grams), "open")
+    sets_of = members.select("class", "grams")
+    links = pin_table(links.unionByName(walk(placed.join(sets_of, "class"), "block")), "links")
+    parts = pin_table(connected(links), "parts").withColumnRenamed("node", "class")
     large = placed.filter("blocks > 1")
     if not large.isEmpty():
         # what isn't connected with its leader meets every block of the group
-        large = large.join(parts.select(F.col("node").alias("class"), "component"), "class", "left").withColumn(
-            "component", F.coalesce("component", "class"))
+        large = large.drop("component").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
         heads = large.filter("class = leader").select("leader", F.col("component").alias("main")).distinct()
-        rest = large.join(heads, "leader").filter("component <> main").select("leader", "class", "component").distinct()
-        rest = rest.join(members.select("class", "n").distinct(), "class")
+        rest = large.join(heads, "leader").filter("component <> main").select("leader", "class", "component", "n").distinct()
         much = rest.groupBy("leader").agg(F.ceil(F.sum("n") / grams).cast("int").alias("rests"))
         rest = rest.join(much, "leader").withColumn("rest", F.pmod(F.xxhash64("class", F.lit(1)), "rests").cast("int"))
         groups = large.select("leader", "blocks").distinct()
-        visit = rest.join(groups, "leader").select("leader", "class", "component", "rest", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        hosts = large.join(much, "leader").select("leader", "class", "component", "block", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"))
-        both = visit.unionByName(hosts).distinct().join(members, "class")
-        second = both.groupBy("leader", "block", "rest").applyInPandas(group_links, wanted)
-        parts = connected(first.unionByName(second))
-    return (sets.join(parts.withColumnRenamed("node", "class"), "class", "left")
+        visit = rest.join(groups, "leader").select("leader", "class", "component", "rest",
+                                                   F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        hosts = large.join(much, "leader").select("leader", "class", "component", "block",
+                                                  F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"))
+        both = visit.unionByName(hosts).distinct().join(sets_of, "class")
+        parts = connected(links.unionByName(walk(both, "block", "rest"))).withColumnRenamed("node", "class")
+    return (sets.join(parts, "class", "left")
             .select("rk", "doc_id", "n", F.coalesce("component", "class").alias("part")))
 
 

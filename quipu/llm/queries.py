@@ -42,6 +42,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, model)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score all documents by a model learned from those not held out."""
+    from quipu.llm.pitman_yor import score_documents
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return score_documents(_read(spark, sf_dir, "documents"), held_out)
+
+
 def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove windows of 50 words that an earlier document holds from all documents."""
     from quipu.llm.span_dedup import remove_repeats
@@ -66,7 +73,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op5_pitman_yor, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
     "op1_ngram_join": """
