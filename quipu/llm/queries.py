@@ -55,6 +55,12 @@ def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of all pages."""
+    from quipu.llm.html_text import extract_text
+    return extract_text(_read(spark, sf_dir, "pages"))
+
+
 def op8_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove strings of 400 bytes that start elsewhere too from all documents."""
     from quipu.llm.byte_dedup import remove_repeats
@@ -73,7 +79,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op5_pitman_yor, op6_span_dedup, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op5_pitman_yor, op6_span_dedup, op7_html_text, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
     "op1_ngram_join": """
