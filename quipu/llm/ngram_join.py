@@ -10,6 +10,8 @@ Two documents link when the Jaccard similarity of their sets of word 5-grams is
    their sizes are in the same or neighbouring bands.  Rows (element, class) of these prefixes
    are sorted by element; of each element and band the smallest class is the leader, and all
    classes that meet a leader form the leader's group.  So every link lies inside a group.
+   A set leaves a group if its profile (counts of its elements by parts of the hash range)
+   shows that it can't link with any other there.
 3. The sets of a group are stored in a prefix tree.  Each set walks down the tree, sharing
    the overlap so far with all sets below a node, and leaves a subtree whose remaining lengths
    cannot reach the similarity any more, or whose sets are all connected with it already.
@@ -44,7 +46,8 @@ from quipu.operators.corpus import pin_table
 SHINGLE, PERCENT = 5, 80
 BITS, PART = 20, 1 << 12      # slots of the sketch (a power of two); slots in a row of it
 GRAMS = 2_000_000             # elements in one block of a group
-_SETS = pa.schema([("rk", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+SLOTS = 256                   # counts in a set's profile
+_SETS = pa.schema([("rk", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("part", pa.int32()), ("counts", pa.binary()), ("profile", pa.binary())])
 _PREFIX = pa.schema([("gram", pa.int64()), ("class", pa.int64()), ("band", pa.int16())])
 
 
@@ -64,6 +67,28 @@ def class_of(grams: np.ndarray) -> int:
     return int(mix64(grams + U64(0x5851F42D4C957F2D)).sum(dtype=U64).astype(np.int64))
 
 
+def profile_of(grams: np.ndarray) -> bytes:
+    """How many elements fall into each of ``SLOTS`` parts of the hashes' range: two sets share
+    no more than the sum of the smaller counts."""
+    counts = np.bincount((grams & U64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+    return counts.astype("<u4").astype("<u2" if counts.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
+def plausible(profiles: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Which sets may link with any other of a group, by the bound of their profiles."""
+    x = np.stack([np.frombuffer(p, "<u2" if len(p) == 2 * SLOTS else "<u4").astype(np.int32) for p in profiles])
+    may = np.zeros(len(x), bool)
+    for i in range(len(x)):
+        if i >= 64 and may[i]:
+            continue  # most sets of a group of near copies are found by the first few
+        shared = np.minimum(x[i], x).sum(1)
+        fits = (100 + PERCENT) * shared >= PERCENT * (n + n[i])
+        fits[i] = False
+        may |= fits
+        may[i] |= fits.any()
+    return may
+
+
 def prefix_size(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
@@ -76,12 +101,13 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch += np.bincount(slot_of(np.concatenate(sets)), minlength=1 << BITS)
         n = len(sets)
         yield table_of({"rk": batch.column("rk"), "doc_id": batch.column("doc_id"), "n": list(map(len, sets)),
-                        "class": [class_of(s) if len(s) else None for s in sets], "part": [None] * n, "counts": [None] * n}, _SETS)
+                        "class": [class_of(s) if len(s) else None for s in sets], "part": [None] * n, "counts": [None] * n,
+                        "profile": [profile_of(s) if len(s) else None for s in sets]}, _SETS)
     parts = [(i, sketch[i * PART:(i + 1) * PART]) for i in range(len(sketch) // PART)]
     parts = [(i, zlib.compress(x.astype("<i8").tobytes(), 1)) for i, x in parts if x.any()]
     none = [None] * len(parts)
     yield table_of({"rk": none, "doc_id": none, "n": none, "class": none,
-                    "part": [i for i, _ in parts], "counts": [x for _, x in parts]}, _SETS)
+                    "part": [i for i, _ in parts], "counts": [x for _, x in parts], "profile": none}, _SETS)
 
 
 def _add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +229,7 @@ def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     label of what it is connected with, null for an empty set."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col).withColumn("rk", row_key())
-    made = pin_table(rows.mapInArrow(_sets, "rk long, doc_id long, n long, class long, part int, counts binary"), "sets")
+    made = pin_table(rows.mapInArrow(_sets, "rk long, doc_id long, n long, class long, part int, counts binary, profile binary"), "sets")
     sets = made.filter("part is null").select("rk", "doc_id", "n", "class")
     counts = np.zeros(1 << BITS, np.int64)
     for r in (made.filter("part is not null").select("part", "counts").repartition("part")
@@ -255,12 +281,23 @@ def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .repartition("gram").sortWithinPartitions("gram", "class").mapInArrow(lead, "leader long, class long"))
     pairs = pin_table(shared.distinct(), "groups")
     pairs = pairs.unionByName(pairs.select("leader", F.col("leader").alias("class")).distinct())
-    one = sets.join(pairs.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("rk").alias("rk"), F.min("n").alias("n"))
-    pairs = pin_table(pairs.join(one, "class"), "pairs")
+    one = (made.join(pairs.select("class").distinct(), "class", "left_semi").groupBy("class")
+           .agg(F.min("rk").alias("rk"), F.min("n").alias("n"), F.any_value("profile").alias("profile")))
+
+    def may_link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets of a group that may link with another; all of a group of several blocks."""
+        for group in groups_of(batches, ["leader", "block"]):
+            if group.column("blocks")[0].as_py() == 1:
+                group = group.filter(pa.array(plausible(group.column("profile").to_pylist(), group.column("n").to_numpy())))
+            yield from group.select(["leader", "class", "n", "rk"]).to_batches()
+
+    pairs = (in_blocks(pairs.join(one, "class"), grams).repartition("leader", "block").sortWithinPartitions("leader", "block")
+             .mapInArrow(may_link, "leader long, class long, n long, rk long"))
+    pairs = pin_table(pairs.distinct(), "pairs")
     # each class first meets the smallest of its leaders only
     home = pairs.groupBy("class", "n", "rk").agg(F.min("leader").alias("leader"))
     home = home.unionByName(pairs.filter("class = leader").join(home.select("leader").distinct(), "leader").select("class", "n", "rk", "leader")).distinct()
-    home = pin_table(in_blocks(home, grams), "home")
+    home = in_blocks(home, grams)
 
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_rows(batches, "text"):
@@ -281,15 +318,17 @@ def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         .mapInArrow(load, "class long, homes array<struct<leader:long,block:int>>, grams binary"), "members")
     at_home = members.select("class", F.col("class").alias("component"), "grams", F.explode("homes").alias("at")).select("*", "at.*")
     links = pin_table(walk(at_home, "block"), "links")
-    parts = pin_table(connected(links), "parts").withColumnRenamed("node", "class")
+    parts = connected(links).withColumnRenamed("node", "class")
     # groups that hold more than one component still may hold links
     labelled = pairs.drop("rk").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     open_groups = (labelled.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                    .filter("low < high").select("leader"))
     placed = pin_table(in_blocks(labelled.join(open_groups, "leader"), grams), "open")
     sets_of = members.select("class", "grams")
-    links = pin_table(links.unionByName(walk(placed.join(sets_of, "class"), "block")), "links")
-    parts = pin_table(connected(links), "parts").withColumnRenamed("node", "class")
+    more = pin_table(walk(placed.join(sets_of, "class"), "block"), "more")
+    if not more.isEmpty():
+        links = pin_table(links.unionByName(more), "links")
+        parts = connected(links).withColumnRenamed("node", "class")
     large = placed.filter("blocks > 1")
     if not large.isEmpty():
         # what isn't connected with its leader meets every block of the group
