@@ -35,10 +35,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = span_dedup.remove_repeats(docs, keep=tuple(docs.columns))
-    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("extra.text"))
-    chars = F.when(F.col("n_removed") > 0, F.char_length(text).cast("long")).otherwise(F.col("extra.n_chars"))
-    made = {"text": text, "n_chars": chars}
+    cut = span_dedup.remove_repeats(docs, keep=tuple(c for c in docs.columns if c != "text"))
+    text = F.col("kept").cast("string")
+    made = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.char_length(text).cast("long")).otherwise(F.col("extra.n_chars"))}
     return cut.select(*[made.get(c, F.col(f"extra.`{c}`")).alias(c) for c in docs.columns])
 
 

@@ -52,7 +52,7 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove windows of 50 words that an earlier document holds from all documents."""
     from quipu.llm.span_dedup import remove_repeats
-    return remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(_read(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

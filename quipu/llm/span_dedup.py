@@ -76,9 +76,10 @@ def _kmers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table_of({k: np.concatenate(v) for k, v in out.items()}, _KMERS)
 
 
-def _compact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compact(batches: Iterable[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     """Spans of each document, the windows in them that repeat an earlier document, and the
-    hashes of the windows that stick out."""
+    hashes of the windows that stick out; a document without a repeated k-mer gets its digest
+    and, with ``texts``, keeps its text."""
     for batch in cut_rows(batches, "text"):
         out: dict[str, list] = {f.name: [] for f in _STATE}
         for rk, doc, text, found in zip(batch.column("rk").to_pylist(), batch.column("doc_id").to_pylist(),
@@ -86,8 +87,7 @@ def _compact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = (text or b"").split()
             row = dict.fromkeys(out) | {"rk": rk, "doc_id": doc, "n_words": len(words)}
             if not found:
-                row["kept_sha256"] = hashlib.sha256(b" ".join(words)).hexdigest()
-                row["text"] = None
+                row |= {"kept_sha256": hashlib.sha256(b" ".join(words)).hexdigest(), "text": text if texts else None}
             else:
                 runs = RunHashes(word_hashes(words))
                 place, _, _ = kept_kmers(runs)
@@ -119,15 +119,18 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = covered(len(words), np.concatenate([np.array(a, np.int64), again]),
                            np.concatenate([np.array(b, np.int64), again + WINDOW]))
             kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
-            for name, x in zip(out, (doc, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept), strict=True):
+            row = (doc, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept if gone.any() else text)
+            for name, x in zip(out, row, strict=True):
                 out[name].append(x)
         yield table_of(out, _DONE).append_column("extra", batch.column("extra"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                   texts: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): one row for each row of ``docs``.
-    ``kept`` holds the words left, joined by one space, as bytes; it is null where nothing was
-    removed.  ``extra``: a struct of the columns in ``keep`` as they are."""
+    ``kept`` holds as bytes the words left, joined by one space, or the text as it was where
+    nothing was removed (without ``texts``: null there).  ``extra``: a struct of the columns in
+    ``keep`` as they are."""
     extra = F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("extra")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), extra)
     rows = rows.withColumn("rk", row_key())
@@ -141,16 +144,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .agg(F.collect_list(F.struct("pos", "often", "first", F.coalesce("steps", F.lit(0)).alias("steps"))).alias("found")))
     carried = f"extra {rows.schema['extra'].dataType.simpleString()}"
     state = rows.join(found.hint("shuffle_hash"), "rk", "left").select("rk", "doc_id", "text", "found", "extra").mapInArrow(
-        _compact, "rk long, doc_id long, text binary, n_words long, kept_sha256 string, from array<int>, to array<int>, "
+        lambda x: _compact(x, texts), "rk long, doc_id long, text binary, n_words long, kept_sha256 string, from array<int>, to array<int>, "
                   f"pos array<int>, hash array<long>, {carried}")
     state = pin_table(state, "spans")
-    open_rows = state.filter("text is not null")
+    open_rows = state.filter("kept_sha256 is null")
     windows = open_rows.select("rk", "doc_id", F.explode(F.arrays_zip("pos", "hash")).alias("w")).select("rk", "doc_id", "w.pos", "w.hash")
     earlier = (windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                .filter("first < last").drop("last"))
     again = windows.join(earlier, "hash").filter("first < doc_id").groupBy("rk").agg(F.collect_set("pos").alias("again"))
     cut = (open_rows.join(again.hint("shuffle_hash"), "rk", "left").select("doc_id", "text", "from", "to", "again", "extra")
            .mapInArrow(_remove, f"doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary, {carried}"))
-    whole = state.filter("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
-                                                F.lit(None).cast("binary").alias("kept"), "extra")
-    return cut.withColumn("kept", F.when(F.col("n_removed") > 0, F.col("kept"))).unionByName(whole).drop(*[] if keep else ["extra"])
+    whole = state.filter("kept_sha256 is not null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
+                                                           F.col("text").alias("kept"), "extra")
+    return cut.unionByName(whole).drop(*[] if keep else ["extra"])
