@@ -200,6 +200,14 @@ def strip_prompt(text: Column, prompt: Column) -> Column:
 
 
 # --- F1..F5, F8..F11 ---------------------------------------------------------
+def has_text(*cols: Column) -> Column:
+    """none of the texts is null (apply before a null is joined as text)."""
+    out = cols[0].isNotNull()
+    for c in cols[1:]:
+        out = out & c.isNotNull()
+    return out
+
+
 def is_redacted(c: Column) -> Column:
     return c.contains(REDACTION_MARKERS[0]) | c.contains(REDACTION_MARKERS[1])
 

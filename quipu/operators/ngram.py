@@ -172,10 +172,6 @@ def fit_ngram_model(windows: DataFrame, n: int, vocab_size: int, pin: bool = Tru
     return NgramModel(counts, contexts, n, vocab_size, bits)
 
 
-def model_with_arrays(model: NgramModel) -> DataFrame:
-    return model.table()
-
-
 # --- hot contexts ---------------------------------------------------------------
 HOT_MIN_COUNT = 1_000_000      # a context seen this often in training is salted
 HOT_MAX_KEYS = 100_000         # bound on the broadcast hot-key list
@@ -305,15 +301,16 @@ def eval_corpus(per_doc: DataFrame, weight: str = "scored") -> DataFrame:
 
 
 def perplexity_batches(scored_batched: DataFrame, batch_size: int, drop_tail: bool = True) -> DataFrame:
-    """e^(mean nll) over whole batches (tail batch dropped as the reference's
-    ``steps = N // B`` does), plus accuracy."""
-    df = scored_batched
+    """e^(mean nll) over whole batches (the tail batch, which isn't full, is
+    dropped as the reference's ``steps = N // B`` does), plus accuracy.  One
+    pass: sums by batch, then over the batches."""
+    by_batch = scored_batched.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("nll").alias("nll"), F.count_if(F.col("pred") == F.col("label")).alias("hits"))
     if drop_tail:
-        n = df.count()
-        df = df.filter(F.col("batch_id") < F.lit(n // batch_size))
-    return df.agg(F.avg("nll").alias("loss"), F.exp(F.avg("nll")).alias("perplexity"),
-                  F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"),
-                  F.count(F.lit(1)).alias("num_tokens"))
+        by_batch = by_batch.filter(F.col("n") == batch_size)
+    mean = F.sum("nll") / F.sum("n")
+    return by_batch.agg(mean.alias("loss"), F.exp(mean).alias("perplexity"), (F.sum("hits") / F.sum("n")).alias("accuracy"),
+                        F.coalesce(F.sum("n"), F.lit(0)).alias("num_tokens"))
 
 
 # --- M5 ---------------------------------------------------------------------
@@ -325,12 +322,7 @@ def grid_search(windows_eval: DataFrame, model: NgramModel,
     scored = score_windows(windows_eval, model, lambdas, max_orders, key_cols)
     means = scored.agg(*[F.avg(f"nll_{i}").alias(f"l{i}") for i in range(len(combos))]) if len(combos) > 1 \
         else scored.agg(F.avg("nll").alias("l0"))
-    spark = windows_eval.sparkSession
-    cand = spark.createDataFrame([(i, float(l), int(o)) for i, (l, o) in enumerate(combos)],
-                                 "cand int, lam double, max_order int")
-    stacked = means.select(F.explode(F.array(*[F.struct(F.lit(i).alias("cand"), F.col(f"l{i}").alias("loss"))
-                                               for i in range(len(combos))])).alias("s")).select("s.*")
-    res = cand.join(F.broadcast(stacked), "cand")
-    rows = res.select("cand", "loss").collect()      # one row per candidate (a parameter list)
-    best = min(rows, key=lambda r: (float("inf") if r["loss"] is None else r["loss"], r["cand"]))["cand"]
-    return res.select("cand", "lam", "max_order", "loss", (F.col("cand") == F.lit(best)).alias("is_best"))
+    stacked = F.array(*[F.struct(F.coalesce(f"l{i}", F.lit(float("inf"))).alias("rank"), F.lit(i).alias("cand"), F.lit(float(lam)).alias("lam"),
+                                 F.lit(int(mo)).alias("max_order"), F.col(f"l{i}").alias("loss")) for i, (lam, mo) in enumerate(combos)])
+    rows = means.select(F.explode(stacked).alias("s"), F.array_min(stacked)["cand"].alias("best"))
+    return rows.select("s.cand", "s.lam", "s.max_order", "s.loss", (F.col("s.cand") == F.col("best")).alias("is_best"))

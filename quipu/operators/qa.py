@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from quipu.functions import text as T
 from quipu.functions import verdict as V
@@ -49,10 +50,10 @@ def select_candidates(judged: DataFrame) -> DataFrame:
 
 def attempts_made(judged: DataFrame) -> DataFrame:
     """The attempts the sequential loop makes: up to and including the chosen one."""
-    stop = judged.groupBy("slot").agg(
-        F.coalesce(F.min(F.when(F.col("ok"), F.col("attempt"))), F.max("attempt")).alias("_stop"))
-    return (judged.select("slot", "attempt", "ok", "reason")
-                  .join(stop, "slot").filter(F.col("attempt") <= F.col("_stop")).drop("_stop"))
+    slot = W.partitionBy("slot")     # a slot holds at most its retries
+    stop = F.coalesce(F.min(F.when(F.col("ok"), F.col("attempt"))).over(slot), F.max("attempt").over(slot))
+    return (judged.select("slot", "attempt", "ok", "reason").withColumn("_stop", stop)
+                  .filter(F.col("attempt") <= F.col("_stop")).drop("_stop"))
 
 
 def rejection_report(judged: DataFrame) -> DataFrame:

@@ -34,9 +34,11 @@ def train_word_vectors(docs: DataFrame, tokens_col: str = "tokens", dim: int = D
 
 
 def _vector_side(vectors: DataFrame, dim: int, max_rows: int | None) -> DataFrame:
-    if max_rows is not None and max_rows * dim <= BROADCAST_FLOATS_MAX:
-        return F.broadcast(vectors)
-    return vectors
+    """Vectors of ids below ``max_rows``; broadcast only if that many fit."""
+    if max_rows is None:
+        return vectors
+    vectors = vectors.filter(F.col("token_id").between(0, max_rows - 1))
+    return F.broadcast(vectors) if max_rows * dim <= BROADCAST_FLOATS_MAX else vectors
 
 
 # --- J1 ---------------------------------------------------------------------

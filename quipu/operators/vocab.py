@@ -10,6 +10,8 @@ index and is joined without a broadcast hint (AQE decides on real sizes).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -95,9 +97,7 @@ def encode(docs: DataFrame, vocab: DataFrame, max_size: int | None = 10000,
     ex = explode_tokens(docs, tokens_col, key_col)
     j = ex.join(_vocab_side(vocab, max_size), "token", "left")
     idc = F.col("token_id") if oov_id is None else F.coalesce(F.col("token_id"), F.lit(oov_id))
-    j = j.select(key_col, "pos", idc.alias("id"))
-    if oov_id is None:
-        j = j.filter(F.col("id").isNotNull())
+    j = j.select(key_col, "pos", idc.alias("id"))   # without an id: packed to null, which the list leaves out
     return j.groupBy(key_col).agg(
         F.transform(F.array_sort(F.collect_list(_pack_pos(F.col("pos"), F.col("id")))),
                     _unpack_low).alias(out_col))
@@ -105,17 +105,18 @@ def encode(docs: DataFrame, vocab: DataFrame, max_size: int | None = 10000,
 
 # --- T8 ---------------------------------------------------------------------
 def decode(encoded: DataFrame, vocab: DataFrame, max_size: int | None = 10000, ids_col: str = "ids",
-           key_col: str = "doc_key", stop_tokens=(TK.SENTENCE_BEGIN, TK.SENTENCE_END),
+           key_col: str | Sequence[str] = "doc_key", stop_tokens=(TK.SENTENCE_BEGIN, TK.SENTENCE_END),
            space_token: str = "_") -> DataFrame:
-    """id -> token; stop tokens skipped; ``space_token`` -> a space; joined by spaces."""
-    ex = (encoded.select(key_col, F.posexplode_outer(ids_col).alias("pos", "token_id"))
-                 .filter(F.col("pos").isNotNull()))
-    j = ex.join(_vocab_side(vocab, max_size), "token_id", "left").filter(
-        F.col("token").isNotNull() & ~F.col("token").isin(*stop_tokens))
+    """id -> token; stop tokens skipped; ``space_token`` -> a space; joined by
+    spaces.  ``key_col`` may be several columns; a document without words gets
+    an empty text."""
+    keys = [key_col] if isinstance(key_col, str) else list(key_col)
+    ex = encoded.select(*keys, F.posexplode_outer(ids_col).alias("pos", "token_id"))
+    j = ex.join(_vocab_side(vocab, max_size), "token_id", "left")
     word = F.when(F.col("token") == space_token, F.lit("")).otherwise(F.col("token"))
-    return j.groupBy(key_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", word.alias("w")))),
-                                 lambda s: s["w"]), " ").alias("text"))
+    shown = F.when(F.col("token").isNotNull() & ~F.col("token").isin(*stop_tokens), F.struct("pos", word.alias("w")))
+    return j.groupBy(*keys).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(shown)), lambda s: s["w"]), " ").alias("text"))
 
 
 # --- T10/T11 as rows -------------------------------------------------------------
@@ -130,14 +131,17 @@ def windows(encoded: DataFrame, n: int, ids_col: str = "ids", key_col: str = "do
 
 # --- T13 ---------------------------------------------------------------------
 def assign_batches(encoded: DataFrame, n: int, batch_size: int = 32, ids_col: str = "ids",
-                   key_col: str = "doc_key") -> DataFrame:
+                   key_col: str = "doc_key", sizes: DataFrame | None = None) -> DataFrame:
     """Windows numbered globally in (doc_key, pos) order; batch = index // B.
+    ``sizes`` (key, n_ids) spares encoding a second time for the counts.
 
     The global index is built from per-document window counts (one row per
     document, prefix-summed in key order), so the windows themselves are
     never sorted globally.
     """
-    per_doc = encoded.select(key_col, F.greatest(F.size(ids_col) - n + 1, F.lit(0)).alias("_nw"))
+    if sizes is None:
+        sizes = encoded.select(key_col, F.size(ids_col).alias("n_ids"))
+    per_doc = sizes.select(key_col, F.greatest(F.col("n_ids") - n + 1, F.lit(0)).alias("_nw"))
     offs = C.ordered_offsets(per_doc, [key_col], "_nw", "_off")
     # attach the offset per document (one row each) before exploding windows
     with_off = encoded.join(offs, key_col)

@@ -242,12 +242,20 @@ def q_prompt_cycle(spark, sf_dir):
 
 
 @register("boilerplate_match", f"""WITH {X.POSTS_SQL.strip()}
-SELECT post_id, {O.matches_any("coalesce(selftext, '')", V.BOILERPLATE_TERMS)} AS hit FROM posts""")
+SELECT post_id, {O.matches_any("concat(coalesce(title, ''), ' ', coalesce(selftext, ''))", V.BOILERPLATE_TERMS)} AS hit FROM posts""")
 def q_boilerplate_match(spark, sf_dir):
-    """Does the body contain any boilerplate phrase (lowercased substring)?"""
+    """Does the whole text, title and body, contain any boilerplate phrase (lowercased substring)?"""
     p = X.posts(spark, sf_dir)
-    return p.select("post_id", V.matches_any(F.coalesce(F.col("selftext"), F.lit("")),
-                                             V.BOILERPLATE_TERMS).alias("hit"))
+    whole = T.join_title_body(F.col("title"), F.col("selftext"), "empty")
+    return p.select("post_id", V.matches_any(whole, V.BOILERPLATE_TERMS).alias("hit"))
+
+
+@register("drop_null_text", f"""WITH {X.POSTS_SQL.strip()}
+SELECT post_id, title || ' ' || selftext AS text FROM posts WHERE title IS NOT NULL AND selftext IS NOT NULL""")
+def q_drop_null_text(spark, sf_dir):
+    """posts with both texts, filtered before a null could be joined as text."""
+    p = X.posts(spark, sf_dir).filter(T.has_text(F.col("title"), F.col("selftext")))
+    return p.select("post_id", T.join_title_body(F.col("title"), F.col("selftext"), "nan").alias("text"))
 
 
 @register("strip_prompt", "WITH " + PROMPTS_SQL + f""",
@@ -317,7 +325,8 @@ def q_encode(spark, sf_dir):
 @register("decode", LM_SQL + """,
 dec AS (SELECT e.doc_key, e.pos, CASE WHEN v.token = '_' THEN '' ELSE v.token END AS w
         FROM enc_ex e JOIN vocab v ON e.id = v.token_id WHERE v.token NOT IN ('<s>', '</s>'))
-SELECT doc_key, array_to_string(list(w ORDER BY pos), ' ') AS text FROM dec GROUP BY doc_key""")
+SELECT d.doc_key, coalesce(t.text, '') AS text FROM docs d LEFT JOIN (
+  SELECT doc_key, array_to_string(list(w ORDER BY pos), ' ') AS text FROM dec GROUP BY doc_key) t USING (doc_key)""")
 def q_decode(spark, sf_dir):
     """Ids back to text (boundary tokens skipped, unknowns as <UNK>)."""
     _, vocab, enc = LM.lm_inputs(spark, sf_dir)
@@ -337,7 +346,8 @@ numbered AS (SELECT doc_key, pos, row_number() OVER (ORDER BY doc_key, pos) - 1
 SELECT doc_key, pos, sample_idx, CAST(sample_idx // 32 AS BIGINT) AS batch_id FROM numbered""")
 def q_assign_batches(spark, sf_dir):
     """Global sample index in (doc, position) order and batch id (B = 32, tail kept)."""
-    b = VO.assign_batches(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM, 32)
+    docs, _, enc = LM.lm_inputs(spark, sf_dir)
+    b = VO.assign_batches(enc, LM.NGRAM, 32, sizes=docs.select("doc_key", F.size("tokens").alias("n_ids")))
     return b.select("doc_key", "pos", "sample_idx", "batch_id")
 
 
@@ -440,9 +450,8 @@ def q_perplexity_batches(spark, sf_dir):
     """M3c + T13: e^(mean nll) over whole batches of 32 eval windows (tail batch dropped)."""
     vocab, model, evald = lm_model(spark, sf_dir)
     b = VO.assign_batches(evald, LM.NGRAM, 32)
-    s = NG.score_windows(b.select("doc_key", "pos", "ctx", "label"), model)
-    sb = s.join(b.select("doc_key", "pos", "batch_id"), ["doc_key", "pos"])
-    r = NG.perplexity_batches(sb, 32)
+    s = NG.score_windows(b.select("doc_key", "pos", "batch_id", "ctx", "label"), model, key_cols=("doc_key", "pos", "batch_id"))
+    r = NG.perplexity_batches(s, 32)
     return r.select(F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"),
                     F.round("accuracy", 6).alias("accuracy"), "num_tokens")
 
@@ -591,7 +600,8 @@ def q_training_shards(spark, sf_dir):
     """K4: batches written once as range-partitioned shards and read back per batch."""
     from quipu.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-shards/" + sf_dir.rstrip("/").split("/")[-1]
-    b = VO.assign_batches(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM, 32)
+    docs, _, enc = LM.lm_inputs(spark, sf_dir)
+    b = VO.assign_batches(enc, LM.NGRAM, 32, sizes=docs.select("doc_key", F.size("tokens").alias("n_ids")))
     SK.write_training_shards(b, base)
     back = spark.read.parquet(base)
     return back.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_samples"),
@@ -616,12 +626,14 @@ FROM vocab v JOIN embeddings e ON v.token_id = e.vec_id""")
 def q_vocab_vectors(spark, sf_dir):
     """Vocabulary entries that have a vector (inner join on the id)."""
     vocab = LM.lm_inputs(spark, sf_dir)[1]
-    j = vocab.join(id_vectors(spark, sf_dir), "token_id")
+    words = id_vectors(spark, sf_dir).join(vocab.select("token_id", F.col("token").alias("word")), "token_id").select("word", "vector")
+    j = VE.vocab_vectors(vocab, words)
     return j.select("token_id", "token", F.size("vector").alias("dim"),
                     F.round(F.col("vector")[0].cast("double"), 6).alias("v_first"))
 
 
-J_SQL = "WITH " + LM.sql_lm_ctes(max_vocab=500).strip()
+# the vocabulary is as large as the vector table, so that every id has a vector
+J_SQL = "WITH " + LM.sql_lm_ctes(max_vocab="(SELECT count(*) FROM embeddings)").strip()
 
 
 @register("context_vectors_flat", J_SQL + """,
@@ -631,10 +643,13 @@ g AS (SELECT doc_key, pos, flatten(list(embedding ORDER BY t)) AS f FROM j GROUP
 SELECT doc_key, pos, CAST(len(f) AS INTEGER) AS n_features, round(CAST(f[1] AS DOUBLE), 6) AS f_first,
        round(CAST(f[65] AS DOUBLE), 6) AS f_65, round(CAST(f[-1] AS DOUBLE), 6) AS f_last FROM g""")
 def q_context_vectors_flat(spark, sf_dir):
-    """Each window's 4 context vectors concatenated (vocabulary of 500 so every id has a vector)."""
-    enc = LM.lm_inputs(spark, sf_dir, max_vocab=500)[2]
+    """Each window's 4 context vectors concatenated (the vocabulary is as large as the
+    vector table, so every id has a vector)."""
+    vectors = id_vectors(spark, sf_dir)
+    n_vectors = vectors.count()
+    enc = LM.lm_inputs(spark, sf_dir, max_vocab=n_vectors)[2]
     w = VO.windows(enc, LM.NGRAM)
-    f = VE.context_vectors_flat(w, id_vectors(spark, sf_dir), 64, max_rows=500)
+    f = VE.context_vectors_flat(w, vectors, 64, max_rows=n_vectors)
     return f.select("doc_key", "pos", F.size("features").alias("n_features"),
                     F.round(F.col("features")[0].cast("double"), 6).alias("f_first"),
                     F.round(F.col("features")[64].cast("double"), 6).alias("f_65"),

@@ -58,7 +58,7 @@ def sql_pad(list_expr: str, n: int) -> str:
     return f"list_concat(repeat(['<s>'], {k}), {list_expr}, repeat(['</s>'], {k}))"
 
 
-def sql_lm_ctes(n: int = NGRAM, max_vocab: int = MAX_VOCAB) -> str:
+def sql_lm_ctes(n: int = NGRAM, max_vocab: int | str = MAX_VOCAB) -> str:
     return f"""
 docs AS (SELECT doc_id AS doc_key, {sql_pad(sql_tokens(O.clean_rnn('text')), n)} AS tokens FROM documents),
 ex AS (SELECT doc_key, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM docs),
@@ -66,7 +66,7 @@ counts AS (SELECT token, count(*) AS n,
                   min(CAST(doc_key AS HUGEINT) * {1 << VO.POS_BITS} + pos) AS first_seen
            FROM ex GROUP BY token),
 ranked AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, first_seen) + 1 AS INTEGER) AS token_id, n
-           FROM counts ORDER BY n DESC, first_seen LIMIT {max_vocab - 2}),
+           FROM counts ORDER BY n DESC, first_seen LIMIT ({max_vocab} - 2)),
 vocab AS (SELECT '<UNK>' AS token, 1 AS token_id, CAST(0 AS BIGINT) AS n UNION ALL SELECT * FROM ranked),
 enc_ex AS (SELECT e.doc_key, e.pos, coalesce(v.token_id, 1) AS id FROM ex e LEFT JOIN vocab v ON e.token = v.token),
 encoded AS (SELECT doc_key, list(id ORDER BY pos) AS ids FROM enc_ex GROUP BY doc_key),

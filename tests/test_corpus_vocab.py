@@ -74,3 +74,11 @@ def test_one_hot_width(spark):
     df = spark.createDataFrame([(3,)], "label int")
     v = VO.one_hot(df, "label", 10).first()["label_vec"]
     assert v.size == 10 and list(v.indices) == [3]
+
+
+def test_decode_keeps_documents_without_words(spark):
+    from quipu.operators import vocab as VO
+    vocab = spark.createDataFrame([("<UNK>", 1, 0), ("<s>", 2, 5), ("a", 3, 4)], "token string, token_id int, n long")
+    enc = spark.createDataFrame([(1, 7, [2, 3]), (2, 7, [2, 2]), (3, 7, [])], "x long, y long, ids array<int>")
+    got = {(r["x"], r["y"]): r["text"] for r in VO.decode(enc, vocab, key_col=["x", "y"]).collect()}
+    assert got == {(1, 7): "a", (2, 7): "", (3, 7): ""}
