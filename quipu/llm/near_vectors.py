@@ -34,7 +34,7 @@ from quipu.llm.common import connected, matrix_of, table_of, vectors_of
 from quipu.operators.corpus import pin_table
 
 BLOCK, SAMPLE, MAX_PIVOTS = 4096, 1024, 256
-LEVELS = (1.0, 0.5, 0.25, 0.125, 0.0625)
+LEVELS = (0.5, 0.25, 0.125, 0.0625)   # the top is about the reach of a high cosine: wider nodes would hardly prune
 EPS = 1e-7
 _ROWS = pa.schema([("vec_id", pa.int64()), ("v", pa.binary())])
 
@@ -68,18 +68,28 @@ class CoverTree:
         n = len(x)
         node, depth = np.zeros(n, np.int64), []
         for radius in LEVELS:
-            made, count = np.full(n, -1), 0
-            centres: list[int] = []
+            made = np.full(n, -1)
             order = np.argsort(node, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
+            starts = np.flatnonzero(np.append(True, np.diff(node[order]) != 0))
+            sizes = np.diff(np.append(starts, n))
+            alone = order[starts[sizes == 1]]
+            made[alone], centres, count = np.arange(len(alone)), alone.tolist(), len(alone)
+            for part in [order[a:a + m] for a, m in zip(starts.tolist(), sizes.tolist(), strict=True) if m > 1]:
                 # the first point of a node is its centre on this level and stays one below: nested
                 while len(part):
-                    near = _distance(x[part] @ x[part[0]]) <= radius if len(part) > 1 else np.ones(1, bool)
-                    near[0] = True
-                    made[part[near]] = count
-                    centres.append(int(part[0]))
-                    count += 1
-                    part = part[~near]
+                    first = part[:128]
+                    near = x[part] @ x[first].T >= 1 - radius * radius / 2
+                    near[np.arange(len(first)), np.arange(len(first))] = True
+                    chosen: list[int] = []  # those of the first that no centre before them is near to
+                    for i in range(len(first)):
+                        if not near[i, chosen].any():
+                            chosen.append(i)
+                    near = near[:, chosen]
+                    got = near.any(1)
+                    made[part[got]] = count + near[got].argmax(1)
+                    centres += first[chosen].tolist()
+                    count += len(chosen)
+                    part = part[~got]
             node = made
             depth.append((made, np.array(centres)))
         self.order = np.lexsort([d[0] for d in reversed(depth)]) if n else np.zeros(0, np.int64)
@@ -121,10 +131,12 @@ def dual_links(a: CoverTree, b: CoverTree, same: bool, cosine: float):
     for _, lo, hi in todo:
         # the top level as one product of centres
         ca, cb = a.levels[0][1][lo:hi], b.levels[0][1]
-        away = _distance(a.x[ca] @ b.x[cb].T)
-        near = away <= reach + a.levels[0][2][lo:hi, None] + b.levels[0][2][None, :] + EPS
-        pa_, pb = np.nonzero(near)
-        pairs = (pa_ + lo, pb)
+        radius_a, radius_b = a.levels[0][2][lo:hi], b.levels[0][2]
+        furthest = np.minimum(2.0, reach + radius_a + radius_b.max() + EPS)
+        cos = a.x[ca] @ b.x[cb].T
+        at, pb = np.nonzero(cos >= (1 - furthest * furthest / 2 - EPS)[:, None])
+        near = _distance(cos[at, pb]) <= reach + radius_a[at] + radius_b[pb] + EPS
+        pairs = (at[near] + lo, pb[near])
         if same:
             keep = pairs[0] <= pairs[1]
             pairs = pairs[0][keep], pairs[1][keep]
