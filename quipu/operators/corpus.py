@@ -14,10 +14,11 @@ rows are never sorted or moved for it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +29,11 @@ TAKE_ORDERED_MAX = 100_000   # head(n) above this uses the distributed threshold
 
 
 def doc_key(source_rank: int, position: Column) -> Column:
-    return F.lit(source_rank).cast("long") * F.lit(1 << RANK_SHIFT) + position.cast("long")
+    """The global key; a position outside the source's range fails the job."""
+    pos = position.cast("long")
+    inside = F.when(pos.isNull() | pos.between(0, (1 << RANK_SHIFT) - 1), pos).otherwise(
+        F.raise_error(F.lit(f"source {source_rank}: position outside 0 .. 2^{RANK_SHIFT} - 1")).cast("long"))
+    return F.lit(source_rank).cast("long") * F.lit(1 << RANK_SHIFT) + inside
 
 
 def source_rank_of(key: Column) -> Column:
@@ -88,13 +93,16 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder for each call."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quipu-tables/{name}-{uuid.uuid4().hex}"
+
+
 def pin_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back.  Unlike ``checkpoint()`` the result carries file-based statistics,
     so iterative jobs do not accumulate size estimates from earlier plans."""
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/quipu-tables/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

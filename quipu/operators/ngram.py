@@ -173,42 +173,46 @@ def fit_ngram_model(windows: DataFrame, n: int, vocab_size: int, pin: bool = Tru
 
 
 # --- hot contexts ---------------------------------------------------------------
-HOT_MIN_COUNT = 1_000_000      # a context seen this often in training is salted
-HOT_MAX_KEYS = 100_000         # bound on the broadcast hot-key list
-SALT_FANOUT = 32
-
-
-def hot_contexts(model: "NgramModel", min_count: int = HOT_MIN_COUNT,
-                 max_keys: int = HOT_MAX_KEYS) -> DataFrame | None:
-    """(k, ctx) of contexts whose training count reaches ``min_count`` (at most
-    ``max_keys`` of them, the most frequent), or None when there are none.
-    Training frequency predicts how many scored windows share the key."""
-    hot = model.contexts.filter((F.col("k") >= 1) & (F.col("ctx_n") >= F.lit(min_count)))
-    hot = hot.orderBy(F.desc("ctx_n")).limit(max_keys).select("k", "ctx")
+def hot_contexts(model: "NgramModel", min_count: int | None = None, fanout: int | None = None) -> DataFrame | None:
+    """(k, ctx, fan) of contexts heavier than a task's fair share, or None.
+
+    The fair share is the training windows divided by the shuffle partitions; a
+    context of ``c`` windows goes to ``ceil(c / share)`` salts.  Training frequency
+    predicts how many scored windows share the key.  Every order's counts add up
+    to the training windows, so each order has fewer hot contexts than there are
+    shuffle partitions: the list is bounded by (n - 1) x partitions and may be
+    broadcast.  ``min_count`` and ``fanout`` override the share and the fan-out.
+    """
+    spark = model.contexts.sparkSession
+    total = model.contexts.filter(F.col("k") == 0).select("ctx_n").first()
+    if total is None:
+        return None
+    share = max(1, -(-int(total[0]) // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    fan = F.lit(fanout) if fanout else F.ceil(F.col("ctx_n") / F.lit(share))
+    hot = model.contexts.filter((F.col("k") >= 1) & (F.col("ctx_n") >= F.lit(min_count or share + 1)))
+    hot = hot.select("k", "ctx", fan.cast("int").alias("fan"))
     return hot if hot.limit(1).count() > 0 else None
 
 
 def _salted_join(probe: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None,
-                 salt_cols: list[str], fanout: int) -> DataFrame:
-    """Left join on ``keys``; rows of hot (k, ctx) keys are spread over
-    ``fanout`` salts on the probe side and replicated on the model side."""
+                 salt_cols: list[str]) -> DataFrame:
+    """Left join on ``keys``; rows of hot (k, ctx) keys are spread over their
+    ``fan`` salts on the probe side and replicated on the model side."""
     if hot is None:
         return probe.join(side, keys, "left")
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    flag, fan = F.broadcast(hot), F.coalesce(F.col("fan"), F.lit(1))
     p = probe.join(flag, ["k", "ctx"], "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(fanout)))
-        .otherwise(F.lit(0))).drop("_hot")
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), fan).cast("int")).drop("fan")
     s = side.join(flag, ["k", "ctx"], "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fanout - 1)))
-                           .otherwise(F.array(F.lit(0))))).drop("_hot")
+        "_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("fan")
     return p.join(s, keys + ["_salt"], "left").drop("_salt")
 
 
 # --- M2 / M4 -------------------------------------------------------------------
 def score_windows(windows: DataFrame, model: NgramModel,
                   lambdas: Sequence[float] = (DEFAULT_LAMBDA,), max_orders: Sequence[int] | None = None,
-                  key_cols: Sequence[str] = ("doc_key", "pos"), hot_min_count: int = HOT_MIN_COUNT,
-                  salt_fanout: int = SALT_FANOUT) -> DataFrame:
+                  key_cols: Sequence[str] = ("doc_key", "pos"), hot_min_count: int | None = None,
+                  salt_fanout: int | None = None) -> DataFrame:
     """Per window: p and -ln p of its true label, and the predicted label.
 
     One output column pair ``p_<i>`` / ``nll_<i>`` per (lambda, max order)
@@ -234,9 +238,9 @@ def score_windows(windows: DataFrame, model: NgramModel,
                        suffix(F.col("ctx"), F.col("k"), width, bits).alias("ctx"))
         cw = model.counts.filter(F.col("k") >= 1).select("k", "ctx", "label", F.col("n").alias("c_w"))
         cx = model.contexts.filter(F.col("k") >= 1)
-        hot = hot_contexts(model, hot_min_count)
-        j = _salted_join(ex, cx, ["k", "ctx"], hot, keys, salt_fanout)
-        j = _salted_join(j, cw, ["k", "ctx", "label"], hot, keys, salt_fanout)
+        hot = hot_contexts(model, hot_min_count, salt_fanout)
+        j = _salted_join(ex, cx, ["k", "ctx"], hot, keys)
+        j = _salted_join(j, cw, ["k", "ctx", "label"], hot, keys)
         seen = F.col("ctx_n").isNotNull()
         r = F.coalesce(F.col("c_w"), F.lit(0)) / F.col("ctx_n")
         aggs = [F.max(F.when(seen, F.col("k"))).alias("m_any"),

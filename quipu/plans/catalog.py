@@ -571,8 +571,7 @@ SELECT 'w' || CAST(vec_id AS VARCHAR) AS word, CAST(len(embedding) AS INTEGER) A
 FROM embeddings""")
 def q_word_vectors_roundtrip(spark, sf_dir):
     """K1 + S5: vectors written as 'V D' + 'word v1 .. vD' text, read back."""
-    from quipu.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-vectors/" + sf_dir.rstrip("/").split("/")[-1]
+    base = C.fresh_path(spark, "vectors")
     emb = X.load(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"), F.col("embedding").alias("vector"))
     SK.write_word_vectors(emb, base)
@@ -586,8 +585,7 @@ def q_word_vectors_roundtrip(spark, sf_dir):
 SELECT token, token_id, n FROM vocab""")
 def q_vocab_roundtrip(spark, sf_dir):
     """K3 + S6: the capped vocabulary written to parquet and loaded back."""
-    from quipu.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-vocab/" + sf_dir.rstrip("/").split("/")[-1]
+    base = C.fresh_path(spark, "vocab")
     SK.write_vocab(LM.lm_inputs(spark, sf_dir)[1], base)
     return RD.load_vocab(spark, base)
 
@@ -598,8 +596,7 @@ SELECT CAST(sample_idx // 32 AS BIGINT) AS batch_id, count(*) AS n_samples,
        CAST(min(sample_idx) AS BIGINT) AS first_sample FROM numbered GROUP BY 1""")
 def q_training_shards(spark, sf_dir):
     """K4: batches written once as range-partitioned shards and read back per batch."""
-    from quipu.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/") + "/quipu-shards/" + sf_dir.rstrip("/").split("/")[-1]
+    base = C.fresh_path(spark, "shards")
     docs, _, enc = LM.lm_inputs(spark, sf_dir)
     b = VO.assign_batches(enc, LM.NGRAM, 32, sizes=docs.select("doc_key", F.size("tokens").alias("n_ids")))
     SK.write_training_shards(b, base)
@@ -766,7 +763,10 @@ def q_no_repeat_ngram(spark, sf_dir):
     return _dist_out(SA.no_repeat_ngram(corpus_distribution(spark, sf_dir, 4), "hist", 2))
 
 
-@register("sample_categorical")
+@register("sample_categorical", dist_sql(2) + """,
+drawn AS (SELECT ctx_key, token_id, p, (CAST(CAST('0x' || substr(md5(ctx_key || '|' || token_id || '|0|7'), 1, 13) AS BIGINT)
+                 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / 4503599627370496 AS u FROM dist)
+SELECT ctx_key, arg_max(token_id, ln(p) - ln(-ln(u))) AS token_id FROM drawn GROUP BY ctx_key""")
 def q_sample_categorical(spark, sf_dir):
     """One seeded Gumbel-max draw per 2-id context."""
     return SA.sample_categorical(corpus_distribution(spark, sf_dir, 2), seed=7)
@@ -800,12 +800,42 @@ def _generation(spark, sf_dir, mode):
     elif mode == "sample":
         st = GE.generate_sampled(enc, model, stops, seed=11, temperature=0.7, max_steps=25)
     else:
-        st = GE.generate_beam(enc, model, stops, width=4, max_steps=25)
+        st = GE.generate_beam(enc, model, stops, width=4, max_steps=25, repetition=1.2, no_repeat=2)
     out = GE.continuation_text(st, vocab, prompts, LM.MAX_VOCAB)
     return out.join(st.select("seq_id", "n_new"), "seq_id")
 
 
-@register("generate_greedy")
+# recursive SQL over the model's contexts: the last 4, 3, 2, 1 ids, then the unigram argmax
+GREEDY_SQL = MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+prompts AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user'),
+ptok AS (SELECT seq_id, list_concat(repeat(['<s>'], {LM.NGRAM - 1}), {LM.sql_tokens('lower(prompt)')}) AS tokens FROM prompts),
+pex AS (SELECT seq_id, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM ptok),
+penc AS (SELECT p.seq_id, list(CAST(coalesce(v.token_id, 1) AS INTEGER) ORDER BY p.pos) AS ids
+         FROM pex p LEFT JOIN vocab v ON p.token = v.token GROUP BY p.seq_id),
+stops AS (SELECT list(token_id) AS l FROM vocab WHERE token IN ('<s>', '</s>')),
+best AS MATERIALIZED (SELECT k, ctx, best FROM model WHERE label = best),
+gen AS (
+  SELECT seq_id, ids, len(ids) AS n_prompt, 0 AS n_new, false AS done FROM penc
+  UNION ALL
+  SELECT seq_id, CASE WHEN stop THEN ids ELSE list_append(ids, nxt) END, n_prompt,
+         CASE WHEN stop THEN n_new ELSE n_new + 1 END, stop OR n_new + 1 >= 25
+  FROM (SELECT *, list_contains((SELECT l FROM stops), nxt) AS stop
+        FROM (SELECT g.*, coalesce(b4.best, b3.best, b2.best, b1.best, (SELECT best FROM best WHERE k = 0)) AS nxt FROM gen g
+              LEFT JOIN best b4 ON b4.k = 4 AND b4.ctx = list_slice(g.ids, len(g.ids) - 3, len(g.ids))
+              LEFT JOIN best b3 ON b3.k = 3 AND b3.ctx = list_slice(g.ids, len(g.ids) - 2, len(g.ids))
+              LEFT JOIN best b2 ON b2.k = 2 AND b2.ctx = list_slice(g.ids, len(g.ids) - 1, len(g.ids))
+              LEFT JOIN best b1 ON b1.k = 1 AND b1.ctx = list_slice(g.ids, len(g.ids), len(g.ids))
+              WHERE NOT g.done))),
+gex AS (SELECT seq_id, unnest(range(n_new)) AS pos, unnest(list_slice(ids, n_prompt + 1, n_prompt + n_new)) AS id
+        FROM gen WHERE done),
+gtxt AS (SELECT seq_id, array_to_string(list(CASE WHEN v.token = '_' THEN '' ELSE v.token END ORDER BY pos), ' ') AS text
+         FROM gex JOIN vocab v ON gex.id = v.token_id GROUP BY seq_id)
+SELECT g.seq_id, CASE WHEN length(coalesce(t.text, '')) > 0 THEN p.prompt || ' ' || t.text ELSE p.prompt END AS text,
+       CAST(g.n_new AS INTEGER) AS n_new
+FROM gen g JOIN prompts p ON g.seq_id = p.seq_id LEFT JOIN gtxt t ON g.seq_id = t.seq_id WHERE g.done"""
+
+
+@register("generate_greedy", GREEDY_SQL)
 def q_generate_greedy(spark, sf_dir):
     """25-token greedy continuation of every user turn (n-gram model, back-off)."""
     return _generation(spark, sf_dir, "greedy")
@@ -819,7 +849,7 @@ def q_generate_sampled(spark, sf_dir):
 
 @register("generate_beam")
 def q_generate_beam(spark, sf_dir):
-    """Beam search (width 4) continuation of every user turn."""
+    """Beam search (width 4, penalty 1.2, no repeated bigram) continuation of every user turn."""
     return _generation(spark, sf_dir, "beam")
 
 

@@ -121,12 +121,6 @@ candidates AS (
 # A share of TSV / JSON lines is malformed on purpose (bad score, no tab,
 # not JSON, string score) so the readers' skip rules have work to do.
 # ---------------------------------------------------------------------------
-def fixture_dir(spark: SparkSession, sf_dir: str) -> str:
-    from quipu.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quipu-post-files/{sf_dir.rstrip('/').split('/')[-1]}"
-
-
 def tsv_line(p: DataFrame) -> Column:
     pid = F.col("post_id")
     text = F.regexp_replace(F.concat(F.coalesce(F.col("title"), F.lit("")), F.lit(" "),
@@ -148,7 +142,9 @@ def json_line(p: DataFrame) -> Column:
 
 
 def write_post_files(spark: SparkSession, sf_dir: str) -> str:
-    out = fixture_dir(spark, sf_dir)
+    """The posts as CSV, TSV and JSON lines in a new folder of the shared checkpoint folder."""
+    from quipu.operators.corpus import fresh_path
+    out = fresh_path(spark, "post-files")
     p = posts(spark, sf_dir).repartitionByRange("post_id").sortWithinPartitions("post_id")
     p.select("title", "selftext", F.col("score").cast("string").alias("score")).write.mode("overwrite") \
         .options(header=True, quoteAll=True, escape='"').csv(f"{out}/csv")

@@ -69,6 +69,10 @@ def _with_position(df: DataFrame, order_cols: list[str] = ORDER) -> DataFrame:
               .drop(f, b, r, "_off", "_r0"))
 
 
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.filter(F.col("pos") < F.lit(limit))
+
+
 def _numeric_score(c: Column) -> Column:
     """Python ``float`` of a CSV field: numbers parse, NA strings are null."""
     return F.trim(_na_to_null(c)).try_cast("double")
@@ -76,12 +80,13 @@ def _numeric_score(c: Column) -> Column:
 
 # --- S1 ---------------------------------------------------------------------
 def read_posts_csv(spark: SparkSession, path: str, extra_cols: T.StructType | None = None,
-                   header_schema: T.StructType = POST_CSV_SCHEMA) -> DataFrame:
+                   header_schema: T.StructType = POST_CSV_SCHEMA, limit: int | None = None) -> DataFrame:
     """Header CSV with quoted multi-line bodies -> (pos, score double, title, selftext).
 
     NA-like strings become null like the reference's loader.  Columns are
     matched by header name (``enforceSchema=false``), so extra columns in the
     file are allowed when listed in the schema.  A missing path raises.
+    ``limit``: only the first rows, in file order.
     """
     schema = header_schema if extra_cols is None else T.StructType(header_schema.fields + extra_cols.fields)
     df = (spark.read.schema(schema)
@@ -91,7 +96,7 @@ def read_posts_csv(spark: SparkSession, path: str, extra_cols: T.StructType | No
     df = _line_order(df)
     out = df.select(*ORDER, _numeric_score(F.col("score")).alias("score"),
                     _na_to_null(F.col("title")).alias("title"), _na_to_null(F.col("selftext")).alias("selftext"))
-    return _with_position(out)
+    return _first(_with_position(out), limit)
 
 
 def posts_csv_raw(df: DataFrame) -> DataFrame:
@@ -102,17 +107,18 @@ def posts_csv_raw(df: DataFrame) -> DataFrame:
 
 # --- S2 ---------------------------------------------------------------------
 def read_scored_tsv(spark: SparkSession, path: str, strict: bool = False,
-                    missing_ok: bool = True) -> DataFrame:
+                    missing_ok: bool = True, limit: int | None = None) -> DataFrame:
     """``score \\t text`` lines -> (pos, score, raw_text).
 
     tolerant (default): split once on the first tab; keep the line only when
     there are two parts and the score parses as an integer (else skip).
     strict: every line must have a tab (else the job fails), the score is kept
     as text, the text gets the 'tsv' cleaning (tabs/newlines deleted, lowercase).
+    ``limit``: only the first lines, counted before any is skipped.
     """
     if missing_ok and not _missing_ok(spark, path):
         return spark.createDataFrame([], "pos long, score double, raw_text string")
-    lines = _with_position(_line_order(spark.read.text(path)))
+    lines = _first(_with_position(_line_order(spark.read.text(path))), limit)
     parts = F.split(F.col("value"), "\t", 2)
     if strict:
         checked = F.when(F.size(parts) == 2, parts).otherwise(
