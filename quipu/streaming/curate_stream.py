@@ -28,6 +28,7 @@ from quipu.plans import curate as Q
 from quipu.sources import readers as RD
 
 KEY_SHIFT = C.RANK_SHIFT
+KEPT_SCHEMA = "doc_key long, corpus string, text string, h long"
 
 
 def _parse_batch(lines: DataFrame) -> DataFrame:
@@ -43,12 +44,9 @@ def curate_batch(lines: DataFrame, batch_id: int, kept_path: str, corpus_name: s
         "score", "raw_text")
     fresh = Q.curate_raw(raw, [corpus_name]).withColumn("corpus", F.lit(corpus_name))
     fresh = fresh.withColumn("h", F.xxhash64("text"))
-    try:
-        seen = spark.read.parquet(kept_path).select("h", "text")
+    if RD._missing_ok(spark, kept_path):   # else the first batch: nothing kept yet
+        seen = spark.read.schema(KEPT_SCHEMA).parquet(kept_path).select("h", "text")
         fresh = fresh.join(seen, ["h", "text"], "left_anti")
-    except Exception as e:  # noqa: BLE001 - first batch: nothing kept yet
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
     return fresh.select("doc_key", "corpus", "text", "h")
 
 

@@ -1,6 +1,7 @@
 """Reader edge cases on small files written to a temporary folder."""
 import os
 
+import pytest
 from quipu.sources import readers as RD
 from quipu.sources import sinks as SK
 
@@ -47,3 +48,29 @@ def test_word_vectors_roundtrip(spark, tmpdir_path):
     assert back == {"w1": [0.5, -1.25], "w2": [2.0, 3.0]}
     lines = spark.read.text(f"{tmpdir_path}/vec").collect()
     assert lines[0]["value"] == "2 2"
+
+
+def test_strict_tsv_and_first_rows(spark, tmpdir_path):
+    good, bad, csv = f"{tmpdir_path}/s/good.tsv", f"{tmpdir_path}/s/bad.tsv", f"{tmpdir_path}/s/a.csv"
+    _write(good, "12\tGood One\nx\tTwo\tTabs\n3\tThird\n")
+    _write(bad, "12\tGood one\nno tab here\n")
+    _write(csv, "title,selftext,score\na,b,1\nc,d,2\ne,f,3\n")
+    rows = RD.read_scored_tsv(spark, good, strict=True).orderBy("pos").collect()
+    assert [(r["pos"], r["score"], r["raw_text"]) for r in rows] == [(0, "12", "good one"), (1, "x", "twotabs"), (2, "3", "third")]
+    with pytest.raises(Exception, match="without a tab"):
+        RD.read_scored_tsv(spark, bad, strict=True).collect()
+    assert RD.read_scored_tsv(spark, bad, strict=True, limit=1).count() == 1
+    assert sorted(r["pos"] for r in RD.read_scored_tsv(spark, good, limit=2).collect()) == [0]
+    assert sorted(r["title"] for r in RD.read_posts_csv(spark, csv, limit=2).collect()) == ["a", "c"]
+    assert RD.read_posts_csv(spark, csv, limit=0).count() == 0
+
+
+def test_doc_key_out_of_range_fails(spark):
+    from pyspark.sql import functions as F
+
+    from quipu.operators import corpus as C
+    key = C.doc_key(1, F.col("pos"))
+    df = spark.createDataFrame([((1 << 40) - 1,), (None,)], "pos long")
+    assert {r["k"] for r in df.select(key.alias("k")).collect()} == {(2 << 40) - 1, None}
+    with pytest.raises(Exception, match="position outside"):
+        spark.createDataFrame([(1 << 40,)], "pos long").select(key.alias("k")).collect()
