@@ -1,19 +1,22 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Every context has a restaurant: its customers are the words that follow it, its tables are
-customers of the parent, which all contexts share; the parent's base is uniform over the
-known words and one unknown word.  A context is the last character of the word before (its
-byte modulo ``CLASSES``), or the start of the document.  Seating is sampled: in each Gibbs
-sweep all customers of a word in a restaurant leave and are seated again, one after another,
-by the Chinese-restaurant rule given everything else; beyond ``SINGLE`` customers they are
-seated in blocks of a quarter of those seated, with the chance of a new table held for the
-block.  Samples after the burn-in are averaged as predictive probabilities.
+Every context, the word before or the start of the document, has a restaurant: its customers
+are the words that follow it, its tables are customers of the parent, which all contexts share;
+the parent's base is uniform over the known words and one unknown word.  Seating is sampled:
+in each Gibbs sweep all customers of a word in a restaurant leave and are seated again, one
+after another, by the Chinese-restaurant rule given everything else; beyond ``SINGLE``
+customers they are seated in blocks of a quarter of those seated, with the chance of a new
+table held for the block.  Samples after the burn-in are averaged as predictive probabilities.
 
 How it scales.  All documents are counted.  A task turns its texts into numbers, with a
-dictionary for each block of ``BLOCK`` tokens, so one row for each word and block is shuffled
-and not one for each token.  Words are dealt by hash with all their restaurants' counts, so a
-sweep is one narrow pass; only the number of tables of each context is shared, once a sweep
-(a few dozen numbers).  Words' probabilities go back to the blocks that asked for them.
+dictionary for each block of ``BLOCK`` tokens, and counts each block's pairs of words, so a
+pair is shuffled once for each block and not once for each token.  Restaurants are dealt to
+chunks by the hash of their context; the pairs of a context that is frequent in any block (a
+``hot`` one) are dealt by both words, and its table count is summed by Spark once a sweep.
+The parent is dealt by word.  In a sweep, a chunk sends its tables of each word to the parent,
+which sums and seats them and sends its own counts back; a pair that occurs once has one table
+for good, so only words of repeated pairs travel.  At the end each block gets the counts of
+the pairs and words that it asked for.  All that travels is packed, a row for each two parts.
 
 Defined results: null text is empty (its end is one token); rows of a null id are scored, never
 learned from, and their held_out is null; repeated rows are learned from and scored again;
@@ -22,6 +25,7 @@ without training text every word is unknown.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,21 +35,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import U64, byte_list, cut_rows, groups_of
+from quipu.llm.common import U64, byte_list, cut_rows, groups_of, mix64
 from quipu.llm.span_dedup import word_hashes
 from quipu.operators.corpus import pin_table
 
-CLASSES = 16
-CONTEXTS = CLASSES + 1          # the last is the start of a document
-BLOCK, ROWS = 4_000_000, 500_000
+BLOCK, CHUNK = 1_250_000, 2_000_000   # tokens; a task's memory follows them
+HOT = 1000                      # least count in a block of a context whose pairs are dealt apart
 SINGLE = 32
 DISCOUNT, STRENGTH = 0.8, 1.0   # of the contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
 END = 0x2545F4914F6CDD1D        # stands for the end of a document
-_INDEX = ("block long, doc_id long, held_out boolean, n_tokens int, codes binary, "
-          "idx int, word long, class short, contexts binary, counts binary")
-_CHUNK = "chunk long, n_words int, word_of binary, context binary, count binary, tables binary, root binary, total binary, probs binary, sums array<long>"
-_FORM = "block long, kind int, doc_id long, held_out boolean, n_tokens int, codes binary, idx int, class short, contexts binary, probs binary, known long"
+START = 0x6A09E667F3BCC909      # the context of its first word
+STATE, MESSAGE, ASKED, CUSTOMERS, TABLES, ROOT = range(6)
+_ROW = "part long, kind int, src long, n long, data binary"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def squeeze(x: np.ndarray) -> bytes:
@@ -59,35 +62,76 @@ def unsqueeze(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
-def binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """A binary column whose values are runs of ``data``."""
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+def pack(**arrays: np.ndarray) -> bytes:
+    body = {k: (x.dtype.str, squeeze(x)) for k, x in arrays.items()}
+    head = json.dumps([[k, kind, len(z)] for k, (kind, z) in body.items()]).encode()
+    return len(head).to_bytes(4, "little") + head + b"".join(z for _, z in body.values())
+
+
+def unpack(data: bytes) -> dict[str, np.ndarray]:
+    at = 4 + int.from_bytes(data[:4], "little")
+    out = {}
+    for name, kind, size in json.loads(data[4:at]):
+        out[name] = unsqueeze(data[at:at + size], kind)
+        at += size
+    return out
+
+
+def joined(arrays: Iterable[np.ndarray], dtype: str = "i8") -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(x.astype(dtype, copy=False) for x in arrays)])
+
+
+def counted(place: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
+    return np.bincount(place, weights, n).astype(np.int64)
+
+
+def small(x: np.ndarray) -> np.ndarray:
+    return x.astype("<u4") if not len(x) or x.max() < 1 << 32 else x.astype("<u8")
+
 
+def _row(part: int, kind: int, src: int, n: int = 0, data: bytes | None = None) -> tuple:
+    return int(part), kind, int(src), int(n), data
 
-def flat(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a binary column one after another, and how many each row has."""
-    parts = [c.cast(pa.large_binary()) for c in (column.chunks if isinstance(column, pa.ChunkedArray) else [column])]
-    data, sizes = [], []
-    for c in parts:
-        offsets = np.frombuffer(c.buffers()[1], np.int64)[c.offset:c.offset + len(c) + 1]
-        raw = c.buffers()[2]
-        data.append(np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, np.uint8))
-        sizes.append(np.diff(offsets))
-    width = np.dtype(dtype).itemsize
-    return (np.concatenate(data).view(dtype) if data else np.zeros(0, dtype)), (np.concatenate(sizes) // width if sizes else np.zeros(0, np.int64))
 
+def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of some MB."""
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = [f.split(" ")[0] for f in _ROW.split(", ")]
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + len(row[4] or b"")
+        if size > 16 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
 
-def _frame(schema: list[str], values: dict[str, object], n: int) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "short": pa.int16(), "boolean": pa.bool_(), "binary": pa.binary(),
-             "array<long>": pa.list_(pa.int64()), "double": pa.float64()}
-    names, arrays = [], []
-    for field in schema:
-        name, kind = field.split(" ")
-        x = values.get(name)
-        names.append(name)
-        arrays.append(pa.nulls(n, kinds[kind]) if x is None else x if isinstance(x, pa.Array) else pa.array(x, kinds[kind]))
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[tuple[int, dict[str, np.ndarray]]]]]]:
+    """Each part with its rows by kind, as (src, arrays) in the order of src."""
+    for table in groups_of(batches, ["part"]):
+        found: dict[int, list] = {}
+        for kind, src, data in zip(*(table.column(c).to_pylist() for c in ("kind", "src", "data")), strict=True):
+            found.setdefault(kind, []).append((src, unpack(data)))
+        part = table.column("part")[0].as_py()
+        del table
+        yield part, found
+        found.clear()
+        pa.default_memory_pool().release_unused()
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(hashes + U64(0x51ED27)) % U64(parts)).astype(np.int64)
+
+
+def split(place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each place with the indices that go there, both in order."""
+    order = np.argsort(place, kind="stable")
+    if len(order):
+        cuts = np.flatnonzero(np.diff(place[order])) + 1
+        for at in np.split(order, cuts):
+            yield int(place[at[0]]), at
 
 
 class _Block:
@@ -95,88 +139,174 @@ class _Block:
 
     def __init__(self) -> None:
         self.words: list[np.ndarray] = []
-        self.last: list[np.ndarray] = []
         self.docs: list[tuple[int | None, bool | None]] = []
         self.tokens = 0
 
     def add(self, doc: int | None, held: bool | None, text: bytes) -> None:
         words = text.lower().split()
         self.words.append(np.append(word_hashes(words), U64(END)))
-        self.last.append(np.fromiter((w[-1] for w in words), np.uint8, len(words)) % CLASSES)
         self.docs.append((doc, held))
         self.tokens += len(words) + 1
 
-    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(w) for w in self.words])
-        start = np.cumsum(sizes) - sizes
-        # the class of each token; of the end, whatever: nothing follows it
-        kind = np.concatenate([np.append(x, 0) for x in self.last]).astype(np.int64)
-        context = np.append(CLASSES, kind[:-1])
-        context[start] = CLASSES
+    def row(self, number: int) -> tuple:
         distinct, code = np.unique(np.concatenate(self.words), return_inverse=True)
         # frequent words get small numbers, which compress well
         order = np.argsort(-np.bincount(code), kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        code, distinct = place[code], distinct[order]
-        learned = np.repeat([held is False for _, held in self.docs], sizes)
-        key = code * CONTEXTS + context
-        asked = np.flatnonzero(np.bincount(key, minlength=len(distinct) * CONTEXTS))
-        counts = np.bincount(key[learned], minlength=len(distinct) * CONTEXTS)[asked]
-        per_word = np.bincount(asked // CONTEXTS, minlength=len(distinct))
-        classes = np.zeros(len(distinct), np.int16)
-        classes[code] = kind
-        schema, n = _INDEX.split(", "), len(distinct)
-        yield _frame(schema, {"block": np.full(n, number), "idx": np.arange(n, dtype=np.int32), "word": distinct.view(np.int64), "class": classes,
-                              "contexts": binary((asked % CONTEXTS).astype(np.uint8), per_word),
-                              "counts": binary(counts.astype("<u4"), per_word * 4)}, n)
-        codes = [squeeze(c) for c in np.split(code.astype("<u4"), start[1:])]
-        yield _frame(schema, {"block": [number] * len(sizes), "doc_id": [d for d, _ in self.docs], "held_out": [h for _, h in self.docs],
-                              "n_tokens": sizes.astype(np.int32), "codes": codes}, len(sizes))
+        return _row(number, STATE, 0, self.tokens, pack(
+            words=distinct[order], codes=place[code].astype("<u4"), sizes=np.array([len(w) for w in self.words], "<i8"),
+            doc=np.array([d or 0 for d, _ in self.docs], "<i8"), null=np.array([d is None for d, _ in self.docs], "u1"),
+            held=np.array([2 if h is None else int(h) for _, h in self.docs], "u1")))
 
 
 def _index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
-    block = _Block()
-    for batch in cut_rows(batches, "text"):
-        for doc, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(),
-                                   byte_list(batch.column("text")), strict=True):
-            block.add(doc, held, text or b"")
-            if block.tokens >= BLOCK:
-                yield from block.rows(number)
-                block, number = _Block(), number + 1
-    if block.docs:
-        yield from block.rows(number)
-
-
-def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All blocks' rows of a share of the words, as one row of counts and one of requests.
-    Both go out in one form: requests carry their arrays in other columns."""
-    table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-    if table is None:
-        return
-    words, word = np.unique(table.column("word").to_numpy(), return_inverse=True)
-    contexts, sizes = flat(table.column("contexts"), "u1")
-    counts, _ = flat(table.column("counts"), "<u4")
-    key = np.repeat(word, sizes) * CONTEXTS + contexts
-    total = np.bincount(key, counts, len(words) * CONTEXTS)
-    at = np.flatnonzero(total)
-    count = total[at].astype("<i8")
-    known = np.bincount(at // CONTEXTS, count, len(words)).astype("<i8")
-    sums = np.concatenate([np.bincount(at % CONTEXTS, count, CONTEXTS), np.bincount(at % CONTEXTS, minlength=CONTEXTS),
-                           [np.count_nonzero(known), np.count_nonzero(known)]]).astype(np.int64)
-    chunk = int(words[0])
-    yield _frame(_GATHERED.split(", "), {
-        "chunk": [chunk], "n_words": [len(words)], "word_of": [squeeze((at // CONTEXTS).astype("<u4"))],
-        "context": [squeeze((at % CONTEXTS).astype(np.uint8))], "count": [squeeze(count)],
-        "tables": [squeeze(np.ones(len(at), "<u4"))], "root": [squeeze((known > 0).astype("<u4"))],
-        "total": [squeeze(np.zeros(len(at), "<u4"))], "probs": [b""], "sums": [sums.tolist()],
-        "asked_word": [squeeze(word.astype("<u4"))], "block": [squeeze(table.column("block").to_numpy())],
-        "idx": [squeeze(table.column("idx").to_numpy())], "class": [squeeze(table.column("class").to_numpy())],
-        "sizes": [squeeze(sizes.astype("<u4"))], "contexts": [squeeze(contexts)], "known": [squeeze(known)]}, 1)
-
-
-_GATHERED = f"{_CHUNK}, asked_word binary, block binary, idx binary, class binary, sizes binary, contexts binary, known binary"
+    def rows() -> Iterator[tuple]:
+        number = TaskContext.get().partitionId() << 32
+        block = _Block()
+        for batch in cut_rows(batches, "text"):
+            for doc, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(),
+                                       byte_list(batch.column("text")), strict=True):
+                block.add(doc, held, text or b"")
+                if block.tokens >= BLOCK:
+                    yield block.row(number)
+                    block, number = _Block(), number + 1
+        if block.docs:
+            yield block.row(number)
+
+    yield from _batches(rows())
+
+
+def _frequent(batches: Iterable[pa.RecordBatch], parts: int, hot: int) -> Iterator[pa.RecordBatch]:
+    """Contexts that hold a good part of a chunk's share of a block."""
+    for block, found in _parts(batches):
+        for _, x in found[STATE]:
+            names, n = np.append(x["words"], U64(START)), np.append(np.bincount(x["codes"]), len(x["sizes"]))
+            some = names[n >= max(hot, len(x["codes"]) / (4 * parts))]
+            yield from _batches([_row(block, STATE, w) for w in some.view(np.int64)])
+
+
+class Pairs:
+    """The distinct pairs of a block, and the chunks that hold them."""
+
+    def __init__(self, block: dict[str, np.ndarray], hot: np.ndarray, parts: int) -> None:
+        n, codes, sizes = len(block["words"]), block["codes"].astype(np.int64), block["sizes"]
+        before = np.append(n, codes[:-1])
+        before[np.cumsum(sizes) - sizes] = n
+        self.names = np.append(block["words"], U64(START))
+        keys, self.of = np.unique(before * n + codes, return_inverse=True)
+        self.context, self.word = keys // n, keys % n
+        self.count = counted(self.of[np.repeat(block["held"] == 0, sizes)], len(keys))
+        key = self.names[self.context]
+        apart = np.isin(self.names, hot)[self.context]
+        key[apart] = mix64(key[apart]) + self.names[self.word[apart]]
+        self.chunks = list(split(part_of(key, parts)))
+
+
+def _ask_contexts(batches: Iterable[pa.RecordBatch], hot: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for block, found in _parts(batches):
+            for _, x in found[STATE]:
+                pairs = Pairs(x, hot, parts)
+                for chunk, at in pairs.chunks:
+                    contexts, n = np.unique(pairs.context[at], return_counts=True)
+                    words, word = np.unique(pairs.word[at], return_inverse=True)
+                    yield _row(chunk, MESSAGE, block, 0, pack(u=pairs.names[contexts], n=small(n), w=pairs.names[words],
+                                                              word=small(word), count=small(pairs.count[at])))
+
+    yield from _batches(rows())
+
+
+def _ask_words(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for block, found in _parts(batches):
+            for _, x in found[STATE]:
+                known = counted(x["codes"][np.repeat(x["held"] == 0, x["sizes"])], len(x["words"]))
+                for part, at in split(part_of(x["words"], parts)):
+                    yield _row(part, ASKED, block, 0, pack(w=x["words"][at], known=small(known[at])))
+
+    yield from _batches(rows())
+
+
+def _shares(chunk: int, kind: int, share: np.ndarray, n: np.ndarray, n_hot: int) -> Iterator[tuple]:
+    """Sums of what hot contexts hold, one by one, and all others together."""
+    for i, x in enumerate(counted(share, n_hot + 1, n).tolist()):
+        if x:
+            yield _row(chunk, kind, i, x)
+
+
+def _gather_contexts(batches: Iterable[pa.RecordBatch], hot: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """All blocks' pairs of a chunk: its state, what was asked for, and messages to the parent."""
+    def rows() -> Iterator[tuple]:
+        for chunk, found in _parts(batches):
+            asks = [x for _, x in found[MESSAGE]]
+            contexts, u = np.unique(joined((x["u"] for x in asks), "u8"), return_inverse=True)
+            words, w = np.unique(joined((x["w"] for x in asks), "u8"), return_inverse=True)
+            first = np.cumsum([0, *(len(x["w"]) for x in asks)])
+            key = np.repeat(u, joined(x["n"] for x in asks)) * len(words) + w[joined(x["word"] + k for x, k in zip(asks, first, strict=False))]
+            pairs, entry = np.unique(key, return_inverse=True)
+            total = counted(entry, len(pairs), joined(x["count"] for x in asks))
+            context, word = pairs // len(words), pairs % len(words)
+            many = total > 1
+            number = np.where(many, np.cumsum(many) + 1, total)   # 0: not learned, 1: once, 2..: repeated pairs
+            customers = counted(context, len(contexts), total)
+            once = counted(context[total == 1], len(contexts))
+            share = np.searchsorted(hot, contexts)
+            share[~np.isin(contexts, hot)] = len(hot)
+            fixed = counted(word[total == 1], len(words))
+            # words of repeated pairs in the order of the parts that answer
+            to = part_of(words, parts)
+            sent = np.unique(word[many])
+            sent = sent[np.argsort(to[sent], kind="stable")]
+            look = np.full(len(words), -1)
+            look[sent] = np.arange(len(sent))
+            tables = counted(look[word[many]], len(sent))
+            for part, at in split(np.where((fixed > 0) | (look >= 0), to, -1)):
+                if part >= 0:
+                    mine = sent[to[sent] == part]
+                    rest = at[look[at] < 0]
+                    yield _row(part, MESSAGE, chunk, 0, pack(w=words[np.append(mine, rest)], fixed=small(fixed[np.append(mine, rest)]),
+                                                             tables=small(tables[look[mine]])))
+            yield _row(chunk, STATE, 0, 0, pack(u=small(context[many]), w=small(look[word[many]]), count=small(total[many]),
+                                                tables=np.ones(int(many.sum()), "<u4"), total=np.zeros(int(many.sum()), "<u4"),
+                                                once=small(once), share=small(share), to=small(to[sent])))
+            yield _row(chunk, ASKED, 0, 0, pack(
+                block=np.array([src for src, _ in found[MESSAGE]], "<i8"), n=small(joined(np.array([x["n"].sum()]) for x in asks)),
+                number=small(number[entry]), n_u=np.array([len(x["u"]) for x in asks], "<u4"), u=small(u), customers=small(customers)))
+            yield from _shares(chunk, CUSTOMERS, share, customers, len(hot))
+            yield from _shares(chunk, TABLES, share, once + counted(context[many], len(contexts)), len(hot))
+
+    yield from _batches(rows())
+
+
+def _reply(part: int, x: dict[str, np.ndarray], customers: np.ndarray) -> Iterator[tuple]:
+    """What the parent holds of the words, to each chunk that sends tables of them."""
+    for chunk, at in zip(x["chunk"].tolist(), np.split(x["at"], np.cumsum(x["n"])[:-1].astype(int)), strict=False):
+        if len(at):
+            yield _row(chunk, MESSAGE, part, 0, pack(customers=small(customers[at]), tables=x["root"][at]))
+
+
+def _gather_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parent's share of the words: state, what was asked for, and replies to the chunks."""
+    def rows() -> Iterator[tuple]:
+        for part, found in _parts(batches):
+            asks, sent = [x for _, x in found[ASKED]], found.get(MESSAGE, [])
+            words, w = np.unique(joined((x["w"] for x in asks), "u8"), return_inverse=True)
+            known = counted(w, len(words), joined(x["known"] for x in asks))
+            at = [np.searchsorted(words, x["w"]) for _, x in sent]
+            fixed = counted(joined(at), len(words), joined(x["fixed"] for _, x in sent))
+            route = [a[:len(x["tables"])] for a, (_, x) in zip(at, sent, strict=True)]
+            customers = fixed + counted(joined(route), len(words), joined(x["tables"] for _, x in sent))
+            state = {"known": small(known), "fixed": small(fixed), "root": (known > 0).astype("<u4"),
+                     "chunk": np.array([src for src, _ in sent], "<i8"), "n": np.array([len(r) for r in route], "<u4"), "at": small(joined(route))}
+            yield _row(part, STATE, 0, 0, pack(**state))
+            yield _row(part, ASKED, 0, 0, pack(block=np.array([src for src, _ in found[ASKED]], "<i8"),
+                                               n=np.array([len(x["w"]) for x in asks], "<u4"), at=small(w)))
+            yield from _reply(part, state, customers)
+            yield _row(part, ROOT, 0, np.count_nonzero(known))
+            yield _row(part, ROOT, 1, np.count_nonzero(known))
+
+    yield from _batches(rows())
 
 
 def seat(count: np.ndarray, discount: float, strength: float, others: np.ndarray, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -204,12 +334,14 @@ def seat(count: np.ndarray, discount: float, strength: float, others: np.ndarray
 
 
 class Totals:
-    """What restaurants share: customers and tables of the contexts, and of the root."""
+    """What restaurants share: customers and tables of hot contexts, one by one, and of all
+    others together; tables of the root."""
 
     def __init__(self, sums: list[int]) -> None:
-        self.customers = np.array(sums[:CONTEXTS], float)
-        self.tables = np.array(sums[CONTEXTS:2 * CONTEXTS], float)
-        self.root_tables, self.types = float(sums[2 * CONTEXTS]), float(sums[2 * CONTEXTS + 1])
+        n = (len(sums) - 2) // 2
+        self.customers = np.array(sums[:n], float)
+        self.tables = np.array(sums[n:2 * n], float)
+        self.root_tables, self.types = float(sums[2 * n]), float(sums[2 * n + 1])
 
     @property
     def base(self) -> float:
@@ -223,123 +355,149 @@ class Totals:
     def back_off(self) -> np.ndarray:
         return (STRENGTH + DISCOUNT * self.tables) / (STRENGTH + self.customers)
 
-
-def _sweep(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, keep: bool, seed: int) -> Iterator[pa.RecordBatch]:
-    """Seat all words of each chunk again.  With ``keep``, the state that came in is a sample."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            word, context, count = (unsqueeze(row[k], d).astype(np.int64) for k, d in (("word_of", "<u4"), ("context", "u1"), ("count", "<i8")))
-            tables, root, total = (unsqueeze(row[k], "<u4").astype(np.int64) for k in ("tables", "root", "total"))
-            rng = np.random.default_rng([seed, sweep, row["chunk"] & 0xFFFFFFFF, row["chunk"] >> 32 & 0xFFFFFFFF])
-            n = row["n_words"]
-            probs = totals.root(np.bincount(word, tables, n), root)
+    def of(self, share: np.ndarray, own: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Counts of contexts: a hot one's from what all chunks hold of it, another's own."""
+        return np.where(share < len(shared) - 1, shared[share], own)
+
+
+def _seat_contexts(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, keep: bool, seed: int) -> Iterator[pa.RecordBatch]:
+    """Seat all repeated pairs of each chunk again.  With ``keep``, the new state is a sample."""
+    def rows() -> Iterator[tuple]:
+        for chunk, found in _parts(batches):
+            x, replies = found[STATE][0][1], [r for _, r in found.get(MESSAGE, [])]
+            probs = totals.root(joined(r["customers"] for r in replies), joined(r["tables"] for r in replies))
+            u, w, tables, n = x["u"].astype(np.int64), x["w"].astype(np.int64), x["tables"].astype(np.int64), len(x["once"])
+            held = totals.of(x["share"], x["once"] + counted(u, n, tables), totals.tables)
+            rng = np.random.default_rng([seed, sweep, 0, chunk])
+            tables = seat(x["count"].astype(np.int64), DISCOUNT, STRENGTH, held[u] - tables, probs[w], rng)
+            held = x["once"] + counted(u, n, tables)
+            x["tables"] = small(tables)
+            if keep:
+                x |= {"total": small(x["total"] + tables), f"held{sweep}": small(held)}
+            yield _row(chunk, STATE, 0, 0, pack(**x))
+            sums = counted(w, len(x["to"]), tables)
+            for part, at in split(x["to"]):
+                yield _row(part, MESSAGE, chunk, 0, pack(tables=small(sums[at])))
+            yield from _shares(chunk, TABLES, x["share"], held, len(totals.tables) - 1)
+
+    yield from _batches(rows())
+
+
+def _seat_words(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, keep: bool, seed: int) -> Iterator[pa.RecordBatch]:
+    """Sum the contexts' tables of each word and seat them in the parent."""
+    def rows() -> Iterator[tuple]:
+        for part, found in _parts(batches):
+            x, root = (x := found[STATE][0][1]), x["root"].astype(np.int64)
+            customers = x["fixed"] + counted(x["at"], len(root), joined(m["tables"] for _, m in found.get(MESSAGE, [])))
+            rng = np.random.default_rng([seed, sweep, 1, part])
+            x["root"] = small(seat(customers, ROOT_DISCOUNT, ROOT_STRENGTH, totals.root_tables - root, np.full(len(root), totals.base), rng))
             if keep:
-                total = total + tables
-                row["probs"] = (row["probs"] or b"") + probs.astype("<f8").tobytes()
-            tables = seat(count, DISCOUNT, STRENGTH, totals.tables[context] - tables, probs[word], rng)
-            customers = np.bincount(word, tables, n).astype(np.int64)
-            root = seat(customers, ROOT_DISCOUNT, ROOT_STRENGTH, totals.root_tables - root, np.full(n, totals.base), rng)
-            sums = [*np.bincount(context, count, CONTEXTS), *np.bincount(context, tables, CONTEXTS), root.sum(), np.count_nonzero(root)]
-            row |= {"tables": squeeze(tables.astype("<u4")), "root": squeeze(root.astype("<u4")), "total": squeeze(total.astype("<u4")),
-                    "sums": [int(x) for x in sums]}
-            yield _frame(_CHUNK.split(", "), {k: [v] for k, v in row.items()}, 1)
-
-
-def _answer(batches: Iterable[pa.RecordBatch], totals: list[Totals]) -> Iterator[pa.RecordBatch]:
-    """Averaged predictive probabilities of all words in the contexts that blocks asked for."""
-    weight = np.array([t.back_off() for t in totals])                      # [sample, context]
-    size = STRENGTH + totals[-1].customers
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = row["n_words"]
-            word, context, count, total = (unsqueeze(row[k], d).astype(np.int64) for k, d in
-                                           (("word_of", "<u4"), ("context", "u1"), ("count", "<i8"), ("total", "<u4")))
-            probs = np.frombuffer(row["probs"], "<f8").reshape(len(totals), n)
-            own = np.zeros(n * CONTEXTS)
-            own[word * CONTEXTS + context] = np.maximum(count - DISCOUNT * total / len(totals), 0) / size[context]
-            asked, sizes, contexts = (unsqueeze(row[k], d).astype(np.int64) for k, d in (("asked_word", "<u4"), ("sizes", "<u4"), ("contexts", "u1")))
-            w = np.repeat(asked, sizes)
-            p = own[w * CONTEXTS + contexts]
-            for s in range(len(totals)):
-                p = p + weight[s, contexts] * probs[s, w] / len(totals)
-            known = unsqueeze(row["known"], "<i8")
-            m = len(asked)
-            yield _frame(_FORM.split(", "), {
-                "block": unsqueeze(row["block"], "<i8"), "kind": np.zeros(m, np.int32), "idx": unsqueeze(row["idx"], "<i4"),
-                "class": unsqueeze(row["class"], "<i2"), "contexts": binary(contexts.astype(np.uint8), sizes),
-                "probs": binary(p.astype("<f8"), sizes * 8), "known": known[asked]}, m)
-
-
-def _score(batches: Iterable[pa.RecordBatch], n_tokens: int, n_types: int) -> Iterator[pa.RecordBatch]:
-    schema = _SCORES.split(", ")
-    for table in groups_of(batches, ["block"]):
-        kind = table.column("kind").to_numpy()
-        words, docs = table.slice(0, int((kind == 0).sum())), table.slice(int((kind == 0).sum()))
-        idx = words.column("idx").to_numpy()
-        contexts, sizes = flat(words.column("contexts"), "u1")
-        probs, _ = flat(words.column("probs"), "<f8")
-        known, classes = np.zeros(len(idx)), np.zeros(len(idx), np.int64)
-        known[idx], classes[idx] = words.column("known").to_numpy(), words.column("class").to_numpy()
-        log_p = np.zeros(len(idx) * CONTEXTS)
-        log_p[np.repeat(idx.astype(np.int64), sizes) * CONTEXTS + contexts] = np.log10(probs)
+                x |= {f"customers{sweep}": small(customers), f"root{sweep}": x["root"]}
+            yield _row(part, STATE, 0, 0, pack(**x))
+            yield from _reply(part, x, customers)
+            yield _row(part, ROOT, 0, x["root"].sum())
+
+    yield from _batches(rows())
+
+
+def _answer_contexts(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for chunk, found in _parts(batches):
+            x, asked = found[STATE][0][1], found[ASKED][0][1]
+            count = np.concatenate([[0, 1], x["count"]])
+            total = np.concatenate([[0, len(kept)], x["total"]])
+            last = kept[max(kept)]
+            contexts = {"customers": last.of(x["share"], asked["customers"], last.customers)}
+            contexts |= {f"held{s}": t.of(x["share"], x[f"held{s}"], t.tables) for s, t in kept.items()}
+            for block, number, u in zip(asked["block"].tolist(), np.split(asked["number"], np.cumsum(asked["n"])[:-1].astype(int)),
+                                        np.split(asked["u"], np.cumsum(asked["n_u"])[:-1].astype(int)), strict=True):
+                yield _row(block, MESSAGE, chunk, 0, pack(count=small(count[number]), total=small(total[number]),
+                                                          **{k: small(v[u].astype(np.int64)) for k, v in contexts.items()}))
+
+    yield from _batches(rows())
+
+
+def _answer_words(batches: Iterable[pa.RecordBatch], sweeps: list[int]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for part, found in _parts(batches):
+            x, asked = found[STATE][0][1], found[ASKED][0][1]
+            names = ["known", *(f"{k}{s}" for s in sweeps for k in ("customers", "root"))]
+            for block, at in zip(asked["block"].tolist(), np.split(asked["at"], np.cumsum(asked["n"])[:-1].astype(int)), strict=True):
+                yield _row(block, ASKED, part, 0, pack(**{k: x[k][at] for k in names}))
+
+    yield from _batches(rows())
+
+
+def _score(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals], hot: np.ndarray, parts: int, n_tokens: int, n_types: int) -> Iterator[pa.RecordBatch]:
+    for _, found in _parts(batches):
+        x = found[STATE][0][1]
+        n, codes, start = len(x["words"]), x["codes"], np.cumsum(x["sizes"]) - x["sizes"]
+        known, roots = np.zeros(n), {s: np.zeros(n) for s in kept}
+        answers = dict(found[ASKED])
+        for part, at in split(part_of(x["words"], parts)):
+            known[at] = answers[part]["known"]
+            for s, t in kept.items():
+                roots[s][at] = t.root(answers[part][f"customers{s}"].astype(float), answers[part][f"root{s}"])
+        pairs, answers = Pairs(x, hot, parts), dict(found.pop(MESSAGE))
+        p = np.zeros(len(pairs.word))
+        for chunk, at in pairs.chunks:
+            got = answers.pop(chunk)
+            u = np.unique(pairs.context[at], return_inverse=True)[1]
+            size = STRENGTH + got["customers"][u]
+            p[at] = np.maximum(got["count"] - DISCOUNT * got["total"] / len(kept), 0) / size
+            for s in kept:
+                p[at] += (STRENGTH + DISCOUNT * got[f"held{s}"][u]) / size * roots[s][pairs.word[at]] / len(kept)
         base = np.log10((known + 1) / (n_tokens + n_types + 1))
-        out: dict[str, list] = {f.split(" ")[0]: [] for f in schema}
-        for doc, held, codes in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "held_out", "codes")), strict=True):
-            code = unsqueeze(codes, "<u4").astype(np.int64)
-            context = np.append(CLASSES, classes[code[:-1]])
-            row = (doc, held, len(code), int(np.count_nonzero(known[code])), n_tokens, float(base[code].sum()), float(log_p[code * CONTEXTS + context].sum()))
-            for name, x in zip(out, row, strict=True):
-                out[name].append(x)
-        yield _frame(schema, out, len(out["doc_id"]))
-
-
-_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        held = [None if h == 2 else bool(h) for h in x["held"].tolist()]
+        doc = [None if null else d for d, null in zip(x["doc"].tolist(), x["null"].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(doc, pa.int64()), pa.array(held, pa.bool_()), pa.array(x["sizes"], pa.int64()),
+            pa.array(np.add.reduceat((known[codes] > 0).astype(np.int64), start), pa.int64()), pa.array(np.full(len(doc), n_tokens), pa.int64()),
+            pa.array(np.add.reduceat(base[codes], start)), pa.array(np.add.reduceat(np.log10(p)[pairs.of], start))],
+            names=[f.split(" ")[0] for f in _SCORES.split(", ")])
 
 
-def _sums(state: DataFrame) -> list[int]:
-    got = state.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("n")).collect()
-    return [n for _, n in sorted((r["pos"], r["n"]) for r in got)] or [0] * (2 * CONTEXTS + 2)
+def _sums(rows: DataFrame, kind: int, n: int) -> list[int]:
+    got = {r["src"]: r["n"] for r in rows.filter(F.col("kind") == kind).groupBy("src").agg(F.sum("n").alias("n")).collect()}
+    return [got.get(i, 0) for i in range(n)]
 
 
-def score_documents(docs: DataFrame, held_out: Column, burn_in: int = 2, samples: int = 3, seed: int = 1) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, burn_in: int = 2, samples: int = 3, seed: int = 1, hot: int = HOT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of
     ``docs``.  ``held_out``, a condition on doc_id, tells what is not learned from."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out)
-    index = pin_table(rows.mapInArrow(_index, _INDEX), "index")
-    words = index.filter("word is not null").select("block", "idx", "word", "class", "contexts", "counts")
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words.count() // ROWS))
-    gathered = pin_table(words.repartition(parts, "word").mapInArrow(_gather, _GATHERED), "counts")
-    state = gathered.select(*[f.split(" ")[0] for f in _CHUNK.split(", ")])
-    totals = Totals(_sums(state))
-    n_tokens, n_types = int(totals.customers.sum()), int(totals.types)
-    kept: list[Totals] = []
+    index = pin_table(rows.mapInArrow(_index, _ROW), "index")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(index.agg(F.sum("n")).first()[0] or 0) // CHUNK))
+
+    def dealt(*tables: DataFrame) -> DataFrame:
+        out = tables[0]
+        for t in tables[1:]:
+            out = out.unionByName(t)
+        return out.repartition(parts, "part").sortWithinPartitions("part", "kind", "src")
+
+    def of(table: DataFrame, kind: int) -> DataFrame:
+        return table.filter(F.col("kind") == kind)
+
+    frequent = np.array(sorted(r["src"] for r in index.mapInArrow(lambda x: _frequent(x, parts, hot), _ROW).select("src").distinct().collect()), "i8")
+    names = np.sort(frequent.view("u8"))
+    n = len(names) + 1
+    contexts = pin_table(dealt(index.mapInArrow(lambda x: _ask_contexts(x, names, parts), _ROW))
+                         .mapInArrow(lambda x: _gather_contexts(x, names, parts), _ROW), "contexts")
+    words = pin_table(dealt(index.mapInArrow(lambda x: _ask_words(x, parts), _ROW), of(contexts, MESSAGE)).mapInArrow(_gather_words, _ROW), "words")
+    asked = of(contexts, ASKED), of(words, ASKED)
+    customers, root = _sums(contexts, CUSTOMERS, n), _sums(words, ROOT, 2)
+    n_tokens, n_types = sum(customers), root[1]
+    totals = Totals([*customers, *_sums(contexts, TABLES, n), *root])
+    kept: dict[int, Totals] = {}
     for sweep in range(burn_in + samples):
-        keep = sweep > burn_in
+        keep = sweep >= burn_in
+        contexts = pin_table(dealt(of(contexts, STATE), of(words, MESSAGE)).mapInArrow(
+            lambda x, t=totals, s=sweep, k=keep: _seat_contexts(x, t, s, k, seed), _ROW), f"contexts{sweep}")
+        words = pin_table(dealt(of(words, STATE), of(contexts, MESSAGE)).mapInArrow(
+            lambda x, t=totals, s=sweep, k=keep: _seat_words(x, t, s, k, seed), _ROW), f"words{sweep}")
+        totals = Totals([*customers, *_sums(contexts, TABLES, n), *_sums(words, ROOT, 1), n_types])
         if keep:
-            kept.append(totals)
-        state = pin_table(state.mapInArrow(lambda x, t=totals, s=sweep, k=keep: _sweep(x, t, s, k, seed), _CHUNK), f"seating{sweep}")
-        totals = Totals(_sums(state))
-    kept.append(totals)
-    last = totals
-    # the last seating is a sample too
-    asked = gathered.select("chunk", "asked_word", "block", "idx", "class", "sizes", "contexts", "known")
-    answers = state.join(asked, "chunk").mapInArrow(lambda x: _answer(_with_last(x, last), kept), _FORM)
-    texts = index.filter("word is null").select(
-        "block", F.lit(1).alias("kind"), "doc_id", "held_out", "n_tokens", "codes", F.lit(None).cast("int").alias("idx"),
-        F.lit(None).cast("short").alias("class"), F.lit(None).cast("binary").alias("contexts"), F.lit(None).cast("binary").alias("probs"),
-        F.lit(None).cast("long").alias("known"))
-    return (answers.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
-            .mapInArrow(lambda x: _score(x, n_tokens, n_types), _SCORES))
-
-
-def _with_last(batches: Iterable[pa.RecordBatch], totals: Totals) -> Iterator[pa.RecordBatch]:
-    """Adds the state itself as the last sample."""
-    for batch in batches:
-        rows = batch.to_pylist()
-        for row in rows:
-            word, tables, root, total = (unsqueeze(row[k], "<u4").astype(np.int64) for k in ("word_of", "tables", "root", "total"))
-            probs = totals.root(np.bincount(word, tables, row["n_words"]), root)
-            row["probs"] = (row["probs"] or b"") + probs.astype("<f8").tobytes()
-            row["total"] = squeeze((total + tables).astype("<u4"))
-        yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+            kept[sweep] = totals
+    answers = (dealt(of(contexts, STATE), asked[0]).mapInArrow(lambda x: _answer_contexts(x, kept), _ROW),
+               dealt(of(words, STATE), asked[1]).mapInArrow(lambda x: _answer_words(x, list(kept)), _ROW))
+    return dealt(index, *answers).mapInArrow(lambda x: _score(x, kept, names, parts, n_tokens, n_types), _SCORES)

@@ -241,6 +241,33 @@ def test_pitman_yor_is_a_distribution():
     assert math.isclose(p.sum() + t.back_off()[16] * rest, 1.0)
 
 
+@pytest.mark.parametrize("hot", [pitman_yor.HOT, 1])
+def test_pitman_yor_context_is_the_word_before(spark, hot):
+    # the words before end in the same byte; each is followed by its own word alone
+    follows = {f"c{i}a": f"w{i}" for i in range(8)}
+    rng = random.Random(1)
+    rows = [(i, " ".join(x for u in rng.choices(list(follows), k=20) for x in (u, follows[u]))) for i in range(60)]
+    rows += [(100, "c1a w1"), (101, "c1a w2"), (102, "w1 c1a"), (103, "never seen")]
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(6), queries.F.col("doc_id") >= 100, hot=hot).collect()}
+    assert got[100] > got[101] + 1.5
+    assert sum(got[i] for i in range(60)) / 60 > -20 * math.log10(8) * 1.25
+
+
+@pytest.mark.parametrize("hot", [pitman_yor.HOT, 1])
+def test_pitman_yor_of_words_seen_once(spark, hot):
+    # each word once: all seats are fixed, so the predictive probabilities are too
+    rows = [(1, "a b c"), (2, "a b"), (3, "b z a")]
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(
+        spark.createDataFrame(rows, "doc_id long, text string"), queries.F.col("doc_id") > 1, hot=hot).collect()}
+    rest = (10 + .6 * 4) / 5
+    known, new = (.4 + rest) / 14, rest / 14
+    seen, other = .2 / 2 + 1.8 / 2 * known, 1.8 / 2
+    want = {1: [seen] * 4, 2: [seen, seen, other * known], 3: [other * known, other * new, known, other * known]}
+    for i, p in want.items():
+        assert math.isclose(got[i], sum(map(math.log10, p)), rel_tol=1e-9)
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
     path = queries.tokenizer_path("byte_bpe_50k.json")
