@@ -1,8 +1,7 @@
 """Layout-aware text of web pages.
 
 A tree builder reads the tags, closing elements whose end tag is implied (paragraphs before
-blocks, list items, table parts, options) and placing what is nested too deep beside its
-parent.  Visibility rules leave out what a browser doesn't show: head, scripts, styles,
+blocks, list items, table parts, options), at any depth.  Visibility rules leave out what a browser doesn't show: head, scripts, styles,
 templates, ``hidden``, ``display:none``, ``visibility:hidden``, comments.  All other text is
 rendered: white space collapses in inline text and stays in ``pre``; blocks start on new
 lines, paragraphs, headings, lists and tables are set off by a blank line; list items get
@@ -18,7 +17,8 @@ cell doesn't blow up all rows; longer cells are whole, but not aligned behind.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Generator, Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm.common import cut_rows
 
-DEEPEST, PAD, SPAN = 150, 60, 100
+PAD, SPAN = 60, 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head script style template noscript title iframe object svg math canvas audio video datalist".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure
@@ -61,18 +61,19 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.n_open: Counter[str] = Counter()  # spares looking for what isn't open
+
+    def _cut(self, i: int) -> None:
+        self.n_open.subtract(e.tag for e in self.open[i:])
+        del self.open[i:]
 
     def _close(self, tags: set[str] | frozenset[str], walls: set[str] | frozenset[str]) -> None:
         """Close up to the outermost open element of ``tags`` that no wall hides."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in walls:
-                break
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                if not tags & {e.tag for e in self.open[1:]}:
-                    break
-                self._close(tags, walls)
+        while any(self.n_open[t] for t in tags):
+            i = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag in walls or self.open[i].tag in tags), 0)
+            if not i or self.open[i].tag in walls:
                 break
+            self._cut(i)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
@@ -87,17 +88,18 @@ class TreeBuilder(HTMLParser):
             self._close(PARTS[tag], WALLS.get(tag, {"table"}))
         element = Element(tag, dict(attrs))
         self.open[-1].children.append(element)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag not in VOID:
             self.open.append(element)
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
         walls = {"table"} if tag not in {"table", "body", "html"} else set()
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1 if self.n_open[tag] else 0, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i].tag in walls:
                 return
@@ -157,15 +159,28 @@ class Lines:
             self._put(line)
 
 
-def render(element: Element) -> list[str]:
+def run(step: Generator) -> object:
+    """The result of a step that yields the steps it needs, which nest to any depth."""
+    stack, value = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
+def render(element: Element) -> Generator:
     """The lines of an element's visible text."""
     out = Lines()
-    _flow(element, out)
+    yield _flow(element, out)
     out.end_line()
     return out.lines
 
 
-def _flow(element: Element, out: Lines) -> None:
+def _flow(element: Element, out: Lines) -> Generator:
     for child in element.children:
         if isinstance(child, str):
             out.text(child)
@@ -177,27 +192,35 @@ def _flow(element: Element, out: Lines) -> None:
             out.break_line()
             continue
         if tag not in BLOCK:
-            _flow(child, out)
+            yield _flow(child, out)
             continue
         out.gap() if tag in SPACED else out.end_line()
         if tag == "pre":
-            out.put_all(_raw(child).strip("\n").split("\n"))
+            out.put_all((yield _raw(child)).strip("\n").split("\n"))
         elif tag in ("ul", "ol", "menu"):
-            out.put_all(_list(child))
+            out.put_all((yield _list(child)))
         elif tag == "table":
-            out.put_all(_table(child))
+            out.put_all((yield _table(child)))
         elif tag in ("blockquote", "dd"):
-            out.put_all(["  " + x if x else x for x in render(child)])
+            out.put_all(["  " + x if x else x for x in (yield render(child))])
         else:
-            _flow(child, out)
+            yield _flow(child, out)
         out.gap() if tag in SPACED else out.end_line()
 
 
-def _raw(element: Element) -> str:
-    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else _raw(c) if c.shown else "" for c in element.children)
+def _raw(element: Element) -> Generator:
+    parts: list[str] = []
+    for c in element.children:
+        if isinstance(c, str):
+            parts.append(c)
+        elif c.tag == "br":
+            parts.append("\n")
+        elif c.shown:
+            parts.append((yield _raw(c)))
+    return "".join(parts)
 
 
-def _list(element: Element) -> list[str]:
+def _list(element: Element) -> Generator:
     lines: list[str] = []
     number = _number(element.attrs.get("start"), 1)
     loose = Element("li", {})
@@ -208,7 +231,7 @@ def _list(element: Element) -> list[str]:
         if not child.shown:
             continue
         mark = f"{number}. " if element.tag == "ol" else "- "
-        body = render(child)
+        body = yield render(child)
         if child is loose:
             lines += body
             continue
@@ -221,7 +244,7 @@ def _number(value: str | None, default: int) -> int:
     return int(value) if value and re.fullmatch(r"-?\d{1,9}", value.strip()) else default
 
 
-def _table(element: Element) -> list[str]:
+def _table(element: Element) -> Generator:
     """Caption, then rows with their cells aligned; text outside of cells comes before."""
     rows: list[Element] = []
     loose = Element("div", {})
@@ -260,7 +283,7 @@ def _table(element: Element) -> list[str]:
             while column in taken:
                 column += 1
             wide = max(1, min(SPAN, _number(cell.attrs.get("colspan"), 1)))
-            cells.append((column, wide, render(cell)))
+            cells.append((column, wide, (yield render(cell))))
             deep = _number(cell.attrs.get("rowspan"), 1)
             for c in range(column, column + wide):
                 if deep > 1:
@@ -276,7 +299,7 @@ def _table(element: Element) -> list[str]:
     for column in range(max((c + w for cells in grid for c, w, _ in cells), default=0) + 1):
         start[column] = at
         at += width.get(column, 0) + (2 if width.get(column) else 0)
-    out = render(loose)
+    out = yield render(loose)
     for cells in grid:
         for i in range(max((len(lines) for *_, lines in cells), default=0)):
             line = ""
@@ -292,7 +315,7 @@ def page_text(html: str) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
-    return "\n".join(line.rstrip() for line in render(builder.root))
+    return "\n".join(line.rstrip() for line in run(render(builder.root)))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -345,6 +345,16 @@ def test_html(spark):
     assert key(tuple(r) for r in got) == key([(1, want), (2, None), (3, ""), (4, "deep"), (None, "x\ny"), (1, want), (5, "plain")])
 
 
+@pytest.mark.parametrize("depth", [3, 200, 20_000])
+def test_html_rules_hold_at_any_depth(depth):
+    inner = ("<p>a<script>no</script><style>no</style><template>no</template><div hidden>no<span>no</span>no</div>"
+             "<ul><li>x<li>y</ul><table><tr><td>c<td>d</table><pre> e  f</pre>")
+    for tag in ("div", "font", "span"):
+        want = "a\n\n- x\n- y\n\nc  d\n\n e  f\n\nend"
+        assert html_text.page_text(f"<{tag}>" * depth + inner + f"</{tag}>" * depth + "end").split("\n") == want.split("\n")
+    assert html_text.page_text("<div hidden>" + "<font>" * depth + "<div>no</div>no</div>yes") == "yes"
+
+
 def test_empty_tables(spark, empty):
     path = queries.tokenizer_path("piece_bpe_32k.model")
     assert ngram_join.similarity_classes(empty).count() == 0
