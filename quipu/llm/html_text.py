@@ -2,7 +2,8 @@
 
 A tree builder reads the tags, closing elements whose end tag is implied (paragraphs before
 blocks, list items, table parts, options), at any depth.  Visibility rules leave out what a browser doesn't show: head, scripts, styles,
-templates, ``hidden``, ``display:none``, ``visibility:hidden``, comments.  All other text is
+templates, ``hidden``, ``display:none``, ``visibility:hidden``, closed dialogs, comments, and what
+drawings and formulas hold besides their text.  All other text is
 rendered: white space collapses in inline text and stays in ``pre``; blocks start on new
 lines, paragraphs, headings, lists and tables are set off by a blank line; list items get
 their bullet or number and indentation; table cells are aligned in columns.
@@ -29,7 +30,10 @@ from quipu.llm.common import cut_rows
 
 PAD, SPAN = 60, 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title iframe object svg math canvas audio video datalist".split())
+HIDDEN = frozenset("head script style template noscript title iframe object canvas audio video datalist".split())
+# hidden inside of these alone
+WITHIN = {"math": frozenset("annotation annotation-xml".split()),
+          "svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())}
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section
 summary table ul caption thead tbody tfoot tr td th""".split())
@@ -53,7 +57,7 @@ class Element:
     @property
     def shown(self) -> bool:
         return not (self.tag in HIDDEN or "hidden" in self.attrs or UNSHOWN.search(self.attrs.get("style") or "")
-                    or self.tag == "input")
+                    or self.tag == "input" or self.tag == "dialog" and "open" not in self.attrs)
 
 
 class TreeBuilder(HTMLParser):
@@ -87,6 +91,8 @@ class TreeBuilder(HTMLParser):
         if tag in PARTS:
             self._close(PARTS[tag], WALLS.get(tag, {"table"}))
         element = Element(tag, dict(attrs))
+        if any(tag in tags and self.n_open[outer] for outer, tags in WITHIN.items()):
+            element.attrs["hidden"] = None
         self.open[-1].children.append(element)
         if tag not in VOID:
             self.open.append(element)
@@ -192,7 +198,10 @@ def _flow(element: Element, out: Lines) -> Generator:
             out.break_line()
             continue
         if tag not in BLOCK:
+            if tag == "text":  # of a drawing: placed by itself
+                out.space = True
             yield _flow(child, out)
+            out.space |= tag == "text"
             continue
         out.gap() if tag in SPACED else out.end_line()
         if tag == "pre":

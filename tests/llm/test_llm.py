@@ -355,6 +355,13 @@ def test_html_rules_hold_at_any_depth(depth):
     assert html_text.page_text("<div hidden>" + "<font>" * depth + "<div>no</div>no</div>yes") == "yes"
 
 
+def test_html_formulas_and_drawings():
+    page = ("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math> holds"
+            "<svg><title>no</title><defs><text>no</text></defs><metadata>no</metadata><text>low</text><text>high</text></svg> end"
+            "<dialog>no</dialog><dialog open>yes</dialog>")
+    assert html_text.page_text(page).split() == "so x=2 holds low high end yes".split()
+
+
 def test_empty_tables(spark, empty):
     path = queries.tokenizer_path("piece_bpe_32k.model")
     assert ngram_join.similarity_classes(empty).count() == 0
