@@ -79,7 +79,97 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op5_pitman_yor, op6_span_dedup, op7_html_text, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw a quarter of the documents of 20 words or more towards the benchmark's words."""
+    from quipu.llm.importance import resample
+    return resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte product codes of the whole embeddings table, with errors and the codebooks' hash."""
+    from quipu.llm.vector_codes import compress
+    return compress(_read(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of all documents and the verdict of the rules on repeated substrings."""
+    from quipu.llm.quality_rules import quality
+    return quality(_read(spark, sf_dir, "documents")).drop("repeated_chars", "longest_repeat", "n_repeats", "from", "to")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_language_id, op4_inner_topk, op5_pitman_yor, op6_span_dedup, op7_html_text, op8_byte_dedup, op9_best_fit_packing, op10_sentencepiece, op11_importance_resampling, op12_vector_codes,
+                                   op13_quality_rules)}
+
+
+def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Rounds of assigning and moving, written out one after the other."""
+    def assigned(name: str, book: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT row, part, any_value(label) AS label, any_value(vec_id) AS vec_id, min({{'d': d, 'k': k}}) AS best, any_value(x) AS x FROM (
+    SELECT p.row, p.part, p.label, p.vec_id, p.x, c.k, p.size + c.size - 2 * list_dot_product(p.x, c.x) AS d
+    FROM p JOIN {book} c USING (part)) GROUP BY row, part)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(assigned(f"a{r}", f"c{r}"))
+        steps.append(f"""
+m{r} AS (
+  SELECT part, k, list(v ORDER BY j) AS x FROM (
+    SELECT part, k, j, floor(sum(v) / count(*)) AS v FROM (
+      SELECT part, best.k AS k, unnest(x) AS v, unnest(range(len(x))) AS j FROM a{r}) GROUP BY part, k, j) GROUP BY part, k),
+c{r + 1} AS MATERIALIZED (
+  SELECT part, k, x, list_dot_product(x, x) AS size FROM (
+    SELECT c.part, c.k, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (part, k)))""")
+    steps.append(assigned("last", f"c{rounds}"))
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, [floor(1024 * x::double) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len([x for x in embedding if NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (
+  SELECT row, vec_id, label, part, x, list_dot_product(x, x) AS size FROM (
+    SELECT row, vec_id, label, part, e[part * len(e) // {parts} + 1:(part + 1) * len(e) // {parts}] AS x FROM v, range({parts}) t(part))),
+c0 AS MATERIALIZED (SELECT part, row - 1 AS k, x, size FROM p WHERE row <= {entries}),{",".join(steps)},
+digest AS (
+  SELECT sha256(string_agg(v::bigint::varchar, ',' ORDER BY part, k, j)) AS h FROM (
+    SELECT part, k, unnest(x) AS v, unnest(range(len(x))) AS j FROM c{rounds})),
+code AS (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(label) AS label,
+         string_agg(lower(lpad(hex(best.k), 2, '0')), '' ORDER BY part) AS code, sum(best.d)::bigint AS error FROM last GROUP BY row)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::bigint AS label_error, (SELECT h FROM digest) AS codebooks_sha256 FROM code"""
+
+
+def _quality_sql(least: int = 10, most_covered: int = 20, longest: int = 50) -> str:
+    """Repeats of ``least`` words or more cover what their windows of ``least`` words cover."""
+    def windows(name: str, size: int) -> str:
+        return f"""
+w{name} AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS often FROM (
+    SELECT doc_id, i, array_to_string(words[i:i + {size - 1}], ' ') AS g FROM (
+      SELECT doc_id, words, unnest(range(1, len(words) - {size - 2})) AS i FROM w WHERE len(words) >= {size}))),
+in{name} AS (SELECT DISTINCT doc_id, unnest(range(i, i + {size})) AS i FROM w{name} WHERE often > 1)"""
+    return f"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+{windows("3", 3)},{windows("_least", least)},{windows("_long", longest + 1)},
+n3 AS (SELECT doc_id, count(*) AS n FROM in3 GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(length(words[i])) AS chars FROM in_least JOIN w USING (doc_id) GROUP BY doc_id),
+long AS (SELECT DISTINCT doc_id FROM w_long WHERE often > 1),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(words)::bigint AS n_words, coalesce(list_sum([length(x) for x in words]), 0)::bigint AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols, coalesce(lines.n, 0)::bigint AS n_dup_lines,
+         coalesce(n3.n, 0)::bigint AS n_repeat_words, coalesce(gone.chars, 0) AS chars, long.doc_id IS NOT NULL AS too_long
+  FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN n3 USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN long USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * chars <= {most_covered} * word_chars AND NOT too_long AS kept FROM judged"""
+
+
 # DuckDB SQL; operators that SQL can't express are tested against brute force instead
 ORACLE: dict[str, str] = {
     "op1_ngram_join": """
@@ -142,4 +232,6 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5""",
+    "op12_vector_codes": _codes_sql(),
+    "op13_quality_rules": _quality_sql(),
 }
