@@ -1,10 +1,11 @@
 """Rule-based acceptance of candidate texts.
 
 Term matching is *substring* matching on the lowercased text, as in the
-reference: short terms also hit inside harmless words.  Term lists are small
+reference: short terms also hit inside harmless words.  Term lists here are small
 parameters (tens to a few hundred phrases); each becomes one ``contains`` test
 in a single generated predicate, so the check is a pure projection with no
-join and no Python.  The explicit-content list is caller-supplied; only the
+join and no Python.  Term tables of any size are matched by
+:mod:`quipu.operators.term_join`.  The explicit-content list is caller-supplied; only the
 boilerplate list (neutral meta phrases) ships as fixed values.
 """
 
@@ -68,7 +69,7 @@ def _terms(terms: Iterable[str]) -> list[str]:
     out = [t.lower() for t in terms if t]
     if len(out) > MAX_TERMS:
         raise ValueError(f"term list has {len(out)} entries (> {MAX_TERMS}); "
-                         "match it as a table with a join instead")
+                         "match it as a table with quipu.operators.term_join instead")
     return out
 
 
@@ -85,9 +86,15 @@ def quality_verdict(c: Column, explicit_terms: Iterable[str] = (),
                     boilerplate_terms: Iterable[str] = BOILERPLATE_TERMS,
                     min_len: int = 20) -> Column:
     """first failing rule wins -> ``struct<ok:boolean, reason:string>``."""
+    return verdict_of(c, matches_any(c, explicit_terms), matches_any(c, boilerplate_terms), min_len)
+
+
+def verdict_of(c: Column, explicit: Column, boilerplate: Column, min_len: int = 20) -> Column:
+    """F12 where whether the text matches either term list is known already, as for lists
+    that are tables (:mod:`quipu.operators.term_join`)."""
     reason = (F.when(~T.min_length(c, min_len), F.lit(REASON_TOO_SHORT))
-              .when(matches_any(c, explicit_terms), F.lit(REASON_EXPLICIT))
-              .when(matches_any(c, boilerplate_terms), F.lit(REASON_BOILERPLATE))
+              .when(explicit, F.lit(REASON_EXPLICIT))
+              .when(boilerplate, F.lit(REASON_BOILERPLATE))
               .when(~T.ends_with_punctuation(c), F.lit(REASON_NO_END_PUNCT))
               .when(~T.balanced_parens(c), F.lit(REASON_PARENS))
               .when(~T.even_quotes(c), F.lit(REASON_QUOTES))

@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from quipu.functions import text as T
 from quipu.functions import verdict as V
 from quipu.operators import corpus as C
+from quipu.operators import term_join as TJ
 
 
 def judge(cands: DataFrame, explicit_terms: Iterable[str] = (),
@@ -31,6 +32,22 @@ def judge(cands: DataFrame, explicit_terms: Iterable[str] = (),
                  .drop("_v"))
 
 
+def judge_by_tables(cands: DataFrame, explicit: DataFrame, boilerplate: DataFrame, clean_first: bool = True,
+                    text_col: str = "text", term_col: str = "term") -> DataFrame:
+    """P10 clean (optional) then F12 verdict with both term lists given as tables of any size."""
+    txt = T.clean_generated(F.col(text_col)) if clean_first else F.col(text_col)
+    rest = [c for c in cands.columns if c != text_col]
+    rows = C.pin_table(C.compute_once(cands, rest, **{text_col: txt}), "cleaned")
+    keyed = rows.select(F.struct("slot", "attempt").alias("_key"), text_col)
+
+    def flag(terms: DataFrame, name: str) -> DataFrame:
+        return TJ.matching_keys(keyed, terms, "_key", text_col, term_col).select("_key.slot", "_key.attempt", F.lit(True).alias(name))
+
+    v = V.verdict_of(F.col(text_col), F.coalesce("_explicit", F.lit(False)), F.coalesce("_boilerplate", F.lit(False)))
+    return (rows.join(flag(explicit, "_explicit"), ["slot", "attempt"], "left").join(flag(boilerplate, "_boilerplate"), ["slot", "attempt"], "left")
+                .withColumn("_v", v).select(*cands.columns, F.col("_v.ok").alias("ok"), F.col("_v.reason").alias("reason")))
+
+
 def select_candidates(judged: DataFrame) -> DataFrame:
     """Per slot, the first attempt judged good, else the last attempt.
 

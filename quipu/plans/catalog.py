@@ -157,8 +157,10 @@ def q_clean_lm_pages(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Generated-text QA: clean, judge, select, report, numbered list
 # ---------------------------------------------------------------------------
+from quipu.functions import tokens as TK  # noqa: E402
 from quipu.functions import verdict as V  # noqa: E402
 from quipu.operators import qa as QA  # noqa: E402
+from quipu.operators import term_join as TJ  # noqa: E402
 
 # Caller-supplied "explicit" list for the fixture: neutral substrings of the
 # synthetic prose, so the rule fires on part of the rows.
@@ -250,6 +252,52 @@ def q_boilerplate_match(spark, sf_dir):
     return p.select("post_id", V.matches_any(whole, V.BOILERPLATE_TERMS).alias("hit"))
 
 
+# A term table that Spark derives from the benchmark: every run of three words, lowercased.
+TERM_WORDS = 3
+TERMS_SQL = f"""terms AS (
+  SELECT DISTINCT lower(array_to_string(w[i:i + {TERM_WORDS - 1}], ' ')) AS term FROM (
+    SELECT w, unnest(range(1, len(w) - {TERM_WORDS - 2})) AS i FROM (
+      SELECT list_filter(regexp_split_to_array(text, '[ \\n]+'), lambda x: x <> '') AS w FROM benchmark) WHERE len(w) >= {TERM_WORDS})),
+whole AS (SELECT post_id, concat(coalesce(title, ''), ' ', coalesce(selftext, '')) AS text FROM posts),
+pairs AS (SELECT post_id, term FROM (SELECT post_id, lower(text) AS text FROM whole) JOIN terms ON contains(text, term))"""
+
+
+def benchmark_terms(spark, sf_dir):
+    words = F.filter(F.split(F.col("text"), "[ \n]+"), lambda x: x != "")
+    split = X.load(spark, sf_dir, "benchmark").select(words.alias("w")).filter(F.size("w") >= TERM_WORDS)
+    places = F.sequence(F.lit(1), F.size("w") - (TERM_WORDS - 1))
+    return split.select(F.explode(F.transform(places, lambda i: F.array_join(F.slice("w", i, TERM_WORDS), " "))).alias("term"))
+
+
+def whole_posts(spark, sf_dir):
+    return X.posts(spark, sf_dir).select("post_id", T.join_title_body(F.col("title"), F.col("selftext"), "empty").alias("text"))
+
+
+@register("term_table_match", f"""WITH {X.POSTS_SQL.strip()},
+{TERMS_SQL}
+SELECT post_id, count(*) AS n_terms, min(term) AS first_term FROM pairs GROUP BY post_id""")
+def q_term_table_match(spark, sf_dir):
+    """F6 / J6 with a term table: the terms that each whole post contains, counted, and the smallest."""
+    return TJ.count_terms(whole_posts(spark, sf_dir), benchmark_terms(spark, sf_dir), "post_id")
+
+
+@register("term_table_anti", f"""WITH {X.POSTS_SQL.strip()},
+{TERMS_SQL}
+SELECT post_id, text FROM whole WHERE post_id NOT IN (SELECT post_id FROM pairs)""")
+def q_term_table_anti(spark, sf_dir):
+    """J6, anti: the posts that contain no term of the table."""
+    return TJ.without_any_term(whole_posts(spark, sf_dir), benchmark_terms(spark, sf_dir), "post_id")
+
+
+@register("verdict_by_tables", CAND_SQL + """
+SELECT slot, attempt, text, ok, reason FROM judged2""")
+def q_verdict_by_tables(spark, sf_dir):
+    """F12 with the explicit and the boilerplate list as tables."""
+    def table(terms):
+        return spark.createDataFrame([(t,) for t in terms], "term string")
+    return QA.judge_by_tables(X.candidates(spark, sf_dir), table(FIXTURE_EXPLICIT), table(V.BOILERPLATE_TERMS))
+
+
 @register("drop_null_text", f"""WITH {X.POSTS_SQL.strip()}
 SELECT post_id, title || ' ' || selftext AS text FROM posts WHERE title IS NOT NULL AND selftext IS NOT NULL""")
 def q_drop_null_text(spark, sf_dir):
@@ -275,7 +323,6 @@ def q_strip_prompt(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Tokens, vocabulary, encoding, windows (whole documents)
 # ---------------------------------------------------------------------------
-from quipu.functions import tokens as TK  # noqa: E402
 from quipu.operators import vocab as VO  # noqa: E402
 from quipu.plans import lm as LM  # noqa: E402
 
