@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from quipu.functions import text as T
 from quipu.functions import verdict as V
 from quipu.operators import corpus as C
+from quipu.operators import sampling as S
 from quipu.operators import term_join as TJ
 
 
@@ -101,11 +102,13 @@ def assign_prompt_cycle(slots: DataFrame, prompts: DataFrame, slot_col: str = "s
 def assign_prompt_random(cands: DataFrame, prompts: DataFrame, seed: int = 0,
                          prompt_id_col: str = "prompt_id") -> DataFrame:
     """Attempt 0 keeps the slot's cycled prompt; later attempts use a
-    pseudo-random prompt drawn from a hash of (slot, attempt, seed), so a
+    pseudo-random prompt drawn from the md5 of (slot, attempt, seed), so a
     re-run (or a retried task) draws the same prompt."""
     n = prompts.count()
-    pick = F.when(F.col("attempt") == 0, F.pmod(F.col("slot"), F.lit(n))).otherwise(
-        F.pmod(F.xxhash64(F.col("slot"), F.col("attempt"), F.lit(seed)), F.lit(n)))
+    if n == 0:
+        raise ValueError("empty prompt table")
+    drawn = F.floor(S.uniform(F.col("slot"), F.col("attempt"), F.lit(seed)) * F.lit(n))
+    pick = F.when(F.col("attempt") == 0, F.pmod(F.col("slot"), F.lit(n))).otherwise(drawn)
     return cands.withColumn("_pk", pick).join(
         prompts.withColumnRenamed(prompt_id_col, "_pk"), "_pk").drop("_pk")
 

@@ -852,6 +852,13 @@ def _generation(spark, sf_dir, mode):
     return out.join(st.select("seq_id", "n_new"), "seq_id")
 
 
+USER_PROMPTS_SQL = "prompts AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user')"
+SAMPLER_SQL = MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + "," + LM.sql_sampler_ctes()
+SAMPLED_SQL = SAMPLER_SQL + f""",
+{USER_PROMPTS_SQL},{LM.sql_prompt_ids("prompts", "encoded_prompts")},
+{LM.sql_sampled("gen", "encoded_prompts", 25, 11, 0.7, 50, 0.95, 1.2, 2).strip()},{LM.sql_generated_text("gen", "prompts", "texts")}
+SELECT seq_id, text, CAST(n_new AS INTEGER) AS n_new FROM texts JOIN (SELECT seq_id, n_new FROM gen WHERE done) USING (seq_id)"""
+
 # recursive SQL over the model's contexts: the last 4, 3, 2, 1 ids, then the unigram argmax
 GREEDY_SQL = MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
 prompts AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user'),
@@ -888,7 +895,7 @@ def q_generate_greedy(spark, sf_dir):
     return _generation(spark, sf_dir, "greedy")
 
 
-@register("generate_sampled")
+@register("generate_sampled", SAMPLED_SQL)
 def q_generate_sampled(spark, sf_dir):
     """G1: seeded sampled continuation (T 0.7, top-k 50, top-p 0.95, penalty 1.2, no repeated bigram)."""
     return _generation(spark, sf_dir, "sample")
@@ -900,6 +907,66 @@ def q_generate_beam(spark, sf_dir):
     return _generation(spark, sf_dir, "beam")
 
 
+# ---------------------------------------------------------------------------
+# The loop of generation and judging: one slot for each conversation
+# ---------------------------------------------------------------------------
+from quipu.operators import retry as RE  # noqa: E402
+
+LOOP_ROUNDS, LOOP_STEPS, LOOP_SEED = 3, 12, 5
+N_PROMPTS = len(QA.DEFAULT_PROMPTS)
+
+
+def _pick_sql(seed: int) -> str:
+    return (f"CASE WHEN attempt = 0 THEN slot % {N_PROMPTS} ELSE "
+            f"CAST(floor({LM.sql_uniform('slot', 'attempt', repr(str(seed)))} * {N_PROMPTS}) AS BIGINT) END")
+
+
+def _loop_sql() -> str:
+    """The rounds written out: those open ask, generate, clean, judge."""
+    parts = ["\nopen0 AS (SELECT DISTINCT conv_id AS slot FROM conversations)"]
+    for r in range(LOOP_ROUNDS):
+        parts.append(f"""
+asked{r} AS MATERIALIZED (SELECT slot, attempt, prompt FROM (
+  SELECT slot, attempt, {_pick_sql(LOOP_SEED)} AS prompt_id FROM (SELECT slot, {r} AS attempt FROM open{r})) JOIN prompts USING (prompt_id))""")
+        parts.append(LM.sql_prompt_ids(f"asked{r}", f"start{r}", keys="slot, attempt"))
+        parts.append(LM.sql_sampled(f"gen{r}", f"start{r}", LOOP_STEPS, LOOP_SEED, RE.TEMPERATURE, RE.TOP_K, RE.TOP_P, RE.REPETITION,
+                                    RE.NO_REPEAT, ("slot", "attempt")))
+        parts.append(LM.sql_generated_text(f"gen{r}", f"asked{r}", f"text{r}", "slot, attempt"))
+        parts.append(f"""
+judged{r} AS MATERIALIZED (SELECT *, reason = 'good' AS ok FROM (
+  SELECT slot, attempt, prompt, text, {O.verdict_reason('text', FIXTURE_EXPLICIT)} AS reason FROM (
+    SELECT slot, attempt, prompt, {O.clean_generated('text')} AS text FROM text{r} JOIN asked{r} USING (slot, attempt))))""")
+        parts.append(f"\nopen{r + 1} AS (SELECT slot FROM judged{r} WHERE NOT ok)")
+    made = " UNION ALL ".join(f"SELECT * FROM judged{r}" for r in range(LOOP_ROUNDS))
+    return SAMPLER_SQL + ",\n" + PROMPTS_SQL + "," + ",".join(parts) + f",\nmade AS ({made})"
+
+
+LOOP_SQL = _loop_sql()
+
+
+def loop_attempts(spark, sf_dir):
+    vocab, model, _ = lm_model(spark, sf_dir)
+    slots = X.load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("slot"))
+    generate = RE.sampling_generator(model, vocab, LM.MAX_VOCAB, LOOP_STEPS, LOOP_SEED)
+    return RE.attempts_until_good(slots, QA.prompt_table(spark), generate, lambda d: QA.judge(d, FIXTURE_EXPLICIT), LOOP_ROUNDS, LOOP_SEED)
+
+
+@register("generate_until_good", LOOP_SQL + """
+SELECT slot, attempt, prompt, text, ok, reason FROM made""")
+def q_generate_until_good(spark, sf_dir):
+    """G4 with G1, P10, F12, J5b: three rounds of generation and judging, each for the slots still open."""
+    return loop_attempts(spark, sf_dir)
+
+
+@register("prompt_random", "WITH " + PROMPTS_SQL + f"""
+SELECT slot, attempt, prompt FROM (SELECT conv_id AS slot, CAST(turn AS INTEGER) AS attempt FROM conversations) c
+JOIN prompts ON prompt_id = {_pick_sql(3)}""")
+def q_prompt_random(spark, sf_dir):
+    """Each attempt's prompt, the slot's own at first and a seeded random one after."""
+    cands = X.load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("slot"), F.col("turn").cast("int").alias("attempt"))
+    return QA.assign_prompt_random(cands, QA.prompt_table(spark), 3).select("slot", "attempt", "prompt")
+
+
 # ---------------------------------------------------------------------------
 # Streaming curation over the JSON-lines post files
 # ---------------------------------------------------------------------------

@@ -131,3 +131,71 @@ scored2 AS (SELECT *, -ln(p) AS nll FROM scored),
 perdoc AS (SELECT doc_key, avg(nll) AS loss, exp(avg(nll)) AS ppl,
                   avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS num_tokens
            FROM scored2 GROUP BY doc_key)"""
+
+
+def sql_uniform(*parts: str) -> str:
+    """U(0,1) from the first 52 bits of the md5 of the parts joined by ``|``."""
+    text = " || '|' || ".join(parts)
+    return (f"((CAST(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE))"
+            " / 4503599627370496)")
+
+
+def sql_prompt_ids(prompts: str, out: str, n: int = NGRAM, keys: str = "seq_id") -> str:
+    """Prompts (keys, prompt) padded at the start, tokenized and encoded."""
+    return f"""
+{out}_tok AS (SELECT {keys}, list_concat(repeat(['<s>'], {n - 1}), {sql_tokens('lower(prompt)')}) AS tokens FROM {prompts}),
+{out}_ex AS (SELECT {keys}, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM {out}_tok),
+{out} AS (SELECT {keys}, list(CAST(coalesce(v.token_id, 1) AS INTEGER) ORDER BY pos) AS ids
+          FROM {out}_ex p LEFT JOIN vocab v ON p.token = v.token GROUP BY {keys})"""
+
+
+def sql_generated_text(gen: str, prompts: str, out: str, keys: str = "seq_id") -> str:
+    """(keys, text): prompt and the words of its finished continuation."""
+    return f"""
+{out}_ex AS (SELECT {keys}, unnest(range(n_new)) AS pos, unnest(list_slice(ids, n_prompt + 1, n_prompt + n_new)) AS id FROM {gen} WHERE done),
+{out}_words AS (SELECT {keys}, array_to_string(list(CASE WHEN v.token = '_' THEN '' ELSE v.token END ORDER BY pos), ' ') AS words
+                FROM {out}_ex JOIN vocab v ON id = v.token_id GROUP BY {keys}),
+{out} AS (SELECT {keys}, CASE WHEN length(coalesce(words, '')) > 0 THEN prompt || ' ' || words ELSE prompt END AS text
+          FROM {prompts} LEFT JOIN {out}_words USING ({keys}))"""
+
+
+def sql_sampler_ctes() -> str:
+    """The fitted model as tables that every sampling step looks up."""
+    return """
+stops AS (SELECT list(token_id) AS l FROM vocab WHERE token IN ('<s>', '</s>')),
+seen AS MATERIALIZED (SELECT k, ctx FROM model WHERE label = best),
+following AS MATERIALIZED (SELECT k, ctx, label AS id, n / ctx_n AS p FROM model)"""
+
+
+def sql_sampled(name: str, start: str, steps: int, seed: int, temperature: float, k: int, p: float, repetition: float,
+                no_repeat: int, keys: tuple[str, ...] = ("seq_id",), n: int = NGRAM) -> str:
+    """Recursive member ``name`` (keys, ids, n_prompt, n_new, done): seeded sampled continuation of
+    the encoded prompts in ``start``; the candidates of the highest seen order, or all ids where
+    that leaves none, through W2, W5, W6, W1, W3, W4 and W7."""
+    ks, m = ", ".join(keys), no_repeat
+    u = sql_uniform(*keys, "n_new", f"'{seed}'", "id")
+    share = f"q / sum(q) OVER (PARTITION BY {ks})"
+    return f"""
+{name} AS (
+  SELECT {ks}, ids, len(ids) AS n_prompt, 0 AS n_new, false AS done FROM {start}
+  UNION ALL
+  (WITH g AS (SELECT *, list_transform(list_filter(range(1, len(ids) - {m - 2}), lambda i: ids[i:i + {m - 2}] = ids[len(ids) - {m - 2}:]),
+                                       lambda i: ids[i + {m - 1}]) AS banned FROM {name} WHERE NOT done),
+  h AS (SELECT {ks}, arg_max(ctx, k) AS ctx, max(k) AS k FROM (
+          SELECT {ks}, CAST(k AS INTEGER) AS k, list_slice(ids, len(ids) - k + 1, len(ids)) AS ctx FROM g, range(1, {n}) t(k))
+        SEMI JOIN seen USING (k, ctx) GROUP BY {ks}),
+  c AS (SELECT {ks}, 1 AS lvl, id, p FROM h JOIN following USING (k, ctx)
+        UNION ALL SELECT {ks}, 0 AS lvl, id, p FROM g, following WHERE k = 0),
+  x AS (SELECT c.*, g.n_new, list_contains(g.banned, id) AS bad, list_contains(g.ids, id) AS old FROM c JOIN g USING ({ks}) WHERE id <> 0),
+  w2 AS (SELECT *, p / sum(p) OVER (PARTITION BY {ks}) AS q FROM x JOIN (
+           SELECT {ks}, max(lvl) AS lvl FROM x WHERE NOT bad GROUP BY {ks}) USING ({ks}, lvl)),
+  w5 AS (SELECT * REPLACE ({share} AS q) FROM (SELECT * REPLACE (CASE WHEN old THEN pow(q, {repetition}) ELSE q END AS q) FROM w2)),
+  w6 AS (SELECT * REPLACE ({share} AS q) FROM w5 WHERE NOT bad),
+  w1 AS (SELECT * REPLACE ({share} AS q) FROM (SELECT * REPLACE (exp(ln(q + 1e-8) / {temperature}) AS q) FROM w6)),
+  w3 AS (SELECT * REPLACE ({share} AS q) FROM (
+           SELECT *, row_number() OVER (PARTITION BY {ks} ORDER BY q DESC, id) AS r FROM w1) WHERE r <= {k}),
+  w4 AS (SELECT *, coalesce(round(sum(q) OVER (PARTITION BY {ks} ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 12), 0) AS before FROM w3),
+  w7 AS (SELECT {ks}, max({{'g': ln(q) - ln(-ln({u})), 'id': id}}).id AS nxt FROM w4 WHERE before < {p} GROUP BY {ks})
+  SELECT {ks}, CASE WHEN stop THEN ids ELSE list_append(ids, nxt) END, n_prompt, CASE WHEN stop THEN n_new ELSE n_new + 1 END,
+         stop OR n_new + 1 >= {steps}
+  FROM (SELECT g.*, w7.nxt, w7.nxt IS NULL OR list_contains((SELECT l FROM stops), w7.nxt) AS stop FROM g LEFT JOIN w7 USING ({ks}))))"""
