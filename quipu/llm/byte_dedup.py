@@ -13,9 +13,9 @@ same offset.  That is about 2 / (LENGTH - K + 2) of all bytes.
    occur equally often, all occurrences go on alike; such positions form a span, and every
    string inside it is repeated.
 3. Strings that stick out of a span are compared past the threshold: within a rank, by the
-   hash of the bytes around the position.  Ranks of up to ``HOT`` positions are compared in
-   the task that holds them, others as rows of (string hash) with a map-side count; both give
-   the same result.
+   hash of the bytes around the position.  Ranks of up to ``HOT`` positions are compared one
+   after the other, some ``STRINGS`` strings at once, in the task that holds them, others as
+   rows of (string hash) with a map-side count; both give the same result.
 4. The union of all repeated strings is cut out.  A document without a repeated position is
    finished in step 2's join and its text moves no further.
 
@@ -24,7 +24,8 @@ repeats moves once more.  Long texts are hashed in pieces of ``CHUNK`` bytes.  N
 the driver.  Ranks are class ids (64-bit hashes); the order between classes isn't needed.
 
 Defined results: null text is empty; null ids and repeated rows are rows like others, so two
-equal rows of 400 bytes or more remove each other.
+equal rows of 400 bytes or more remove each other.  Rows of the same id and text are counted
+first: one of them stands for all in the search, and their own result is known at once.
 """
 
 from __future__ import annotations
@@ -37,16 +38,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import U64, RunHashes, byte_list, cut_rows, id_text, mix64, row_key, runs_of, table_of, window_minima
+from quipu.llm.common import U64, RunHashes, byte_list, cut_rows, id_text, mix64, one_of_each, row_key, table_of, window_minima
 from quipu.operators.corpus import pin_table
 
 LENGTH, K = 400, 201
 DEPTHS = (50, 100, K)
-CHUNK, HOT = 1 << 22, 100_000
+CHUNK, HOT = 1 << 22, 4_000
+STRINGS = 1 << 20       # strings compared at once
 SYMBOL = mix64(np.arange(1, 257, dtype=U64))
 _POSITIONS = pa.schema([("rk", pa.int64()), ("pos", pa.int32()), ("rank", pa.int64()),
                         *((f"next{i}", pa.int64()) for i in range(1, len(DEPTHS))), ("step", pa.int64())])
-_STATE = pa.schema([("rk", pa.int64()), ("doc_id", pa.int64()), ("text", pa.binary()), ("n_bytes", pa.int64()), ("kept_sha256", pa.string())])
+_STATE = pa.schema([("rk", pa.int64()), ("doc_id", pa.int64()), ("text", pa.binary()), ("n_bytes", pa.int64()), ("kept_sha256", pa.string()),
+                    ("repeated", pa.bool_())])
 _EDGES = pa.schema([("rank", pa.int64()), ("often", pa.int64()), ("rk", pa.int64()), ("from", pa.int32()), ("to", pa.int32()),
                     ("offset", pa.int32()), ("around", pa.binary())])
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -105,7 +108,7 @@ def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([t if f else None for t, f in zip(texts, found, strict=True)], pa.binary()),
             pa.array(map(len, texts), pa.int64()),
             pa.array([None if f else hashlib.sha256(t).hexdigest() for t, f in zip(texts, found, strict=True)], pa.string()),
-            batch.column("found")], names=[*(f.name for f in _STATE), "found"])
+            batch.column("repeated"), batch.column("found")], names=[*(f.name for f in _STATE), "found"])
 
 
 def _edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,20 +172,41 @@ def _runs(rk: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return rk[new], start[new], start[last] + LENGTH
 
 
-def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated strings among rows that hold whole ranks."""
-    parts = []
-    for batch in cut_rows(batches, "around", 1 << 20):
-        key, row, start = _string_keys(batch)
-        parts.append((key, batch.column("rk").to_numpy()[row], start.astype(np.int32)))
-    if not parts:
-        return
-    key, rk, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+    batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    key, row, start = _string_keys(batch)
     order = np.argsort(key)
     same = key[order][1:] == key[order][:-1]
     twice = order[np.append(same, False) | np.append(False, same)]
     if len(twice):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(rk[twice], start[twice].astype(np.int64))], names=["rk", "from", "to"])
+        rk = batch.column("rk").to_numpy()[row[twice]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(rk, start[twice])], names=["rk", "from", "to"])
+
+
+def _compare(batches: Iterable[pa.RecordBatch], at_once: int) -> Iterator[pa.RecordBatch]:
+    """Repeated strings among rows sorted by rank: whole ranks of about ``at_once`` strings together."""
+    held: list[pa.RecordBatch] = []
+    strings, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rank = batch.column("rank").to_numpy()
+        size = np.cumsum(batch.column("to").to_numpy().astype(np.int64) - batch.column("from").to_numpy())
+        ends = np.flatnonzero(np.append(rank[1:] != rank[:-1], False)) + 1
+        at = 0
+        if held and rank[0] != last and strings >= at_once:
+            yield from _repeated(held)
+            held, strings = [], 0
+        for end in ends.tolist():
+            if strings + size[end - 1] - (size[at - 1] if at else 0) >= at_once:
+                yield from _repeated([*held, batch.slice(at, end - at)])
+                held, strings, at = [], 0, end
+        held.append(batch.slice(at))
+        strings += int(size[-1] - (size[at - 1] if at else 0))
+        last = rank[-1]
+    if held:
+        yield from _repeated(held)
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,28 +240,37 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans): one row for each row of
     ``docs``; spans are the byte ranges removed."""
-    rows = id_text(docs, id_col, text_col).withColumn("rk", row_key())
+    rows, repeats = one_of_each(id_text(docs, id_col, text_col).withColumn("rk", row_key()))
     schema = ", ".join(["rk long", "pos int", "rank long", *(f"next{i} long" for i in range(1, len(DEPTHS))), "step long"])
     positions = pin_table(rows.filter("text is not null").select("rk", "text").mapInArrow(_positions, schema), "positions")
     alive = double(positions)
     steps = alive.filter("step <> 0").groupBy("step").agg(F.count("*").alias("steps")).filter("steps > 1")
     found = (alive.join(steps, "step", "left").groupBy("rk")
              .agg(F.collect_list(F.struct("pos", "rank", "often", F.coalesce("steps", F.lit(0)).alias("steps"))).alias("found")))
-    state = pin_table(rows.join(found.hint("shuffle_hash"), "rk", "left").select("rk", "doc_id", "text", "found").mapInArrow(
-        _split, "rk long, doc_id long, text binary, n_bytes long, kept_sha256 string, "
+    state = pin_table(rows.join(found.hint("shuffle_hash"), "rk", "left").select("rk", "doc_id", "text", "repeated", "found").mapInArrow(
+        _split, "rk long, doc_id long, text binary, n_bytes long, kept_sha256 string, repeated boolean, "
                 "found array<struct<pos:int,rank:long,often:long,steps:long>>"), "texts")
     held = state.filter("text is not null")
     edges = pin_table(held.select("rk", "text", "found").mapInArrow(
         _edges, "rank long, often long, rk long, from int, to int, offset int, around binary"), "edges")
     inside = edges.filter("rank is null").select("rk", F.col("from").cast("long").alias("from"), (F.col("to") + LENGTH - 1).cast("long").alias("to"))
     outside = edges.filter("rank is not null")
-    few = outside.filter(F.col("often") <= hot).repartition("rank").mapInArrow(_compare, "rk long, from long, to long")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = outside.filter(F.col("often") <= hot).repartition(parts, "rank").sortWithinPartitions("rank").mapInArrow(
+        lambda x: _compare(x, STRINGS), "rk long, from long, to long")
     keyed = outside.filter(F.col("often") > hot).mapInArrow(_keyed, "key long, rk long, from long")
     many = (keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
             .select("rk", "from", (F.col("from") + LENGTH).alias("to")))
     spans = inside.unionByName(few).unionByName(many).groupBy("rk").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
-    cut = held.select("rk", "doc_id", "text").join(spans.hint("shuffle_hash"), "rk", "left").select("doc_id", "text", "spans").mapInArrow(
+    cut = held.filter("not repeated").select("rk", "doc_id", "text").join(spans.hint("shuffle_hash"), "rk", "left").select("doc_id", "text", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<int>>")
-    whole = state.filter("text is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+    whole = state.filter("text is null and not repeated").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                                                 "kept_sha256", F.array().cast("array<array<int>>").alias("spans"))
-    return cut.unionByName(whole)
+    # the other copies of a row, and the one that stood for them
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    gone = size >= LENGTH
+    again = repeats.select(
+        "doc_id", size.alias("n_bytes"), F.when(gone, size).otherwise(0).alias("n_removed"), gone.cast("long").alias("n_spans"),
+        F.sha2(F.when(gone, F.lit("")).otherwise(F.coalesce("text", F.lit(""))).cast("binary"), 256).alias("kept_sha256"),
+        F.when(gone, F.array(F.array(F.lit(0), size.cast("int")))).otherwise(F.array().cast("array<array<int>>")).alias("spans"))
+    return cut.unionByName(whole).unionByName(again)

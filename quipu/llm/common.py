@@ -37,6 +37,17 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
+def one_of_each(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a row key ``rk`` as (one row of each key, with a flag ``repeated``; all rows of
+    the keys that have several).  Counts are pre-aggregated, and only repeated rows move."""
+    several = pin_table(rows.groupBy("rk").count().filter("count > 1").select("rk"), "repeated")
+    if several.isEmpty():
+        return rows.withColumn("repeated", F.lit(False)), rows.limit(0)
+    repeats = rows.join(several, "rk", "left_semi")
+    single = rows.join(several, "rk", "left_anti").withColumn("repeated", F.lit(False))
+    return single.unionByName(repeats.dropDuplicates(["rk"]).withColumn("repeated", F.lit(True))), repeats
+
+
 def byte_list(column: pa.Array) -> list[bytes | None]:
     """The values of a string column as bytes."""
     return column.cast(pa.large_binary()).to_pylist()

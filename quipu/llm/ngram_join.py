@@ -314,8 +314,8 @@ def linked_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .sortWithinPartitions("leader", *block).mapInArrow(run, "a long, b long"))
 
     homes = home.groupBy("class", "rk").agg(F.collect_list(F.struct("leader", "block")).alias("homes"))
-    members = pin_table(rows.select("rk", "text").join(homes.hint("shuffle_hash"), "rk").select("class", "homes", "text")
-                        .mapInArrow(load, "class long, homes array<struct<leader:long,block:int>>, grams binary"), "members")
+    members = pin_table(rows.select("rk", "text").join(homes.hint("shuffle_hash"), "rk")
+                        .dropDuplicates(["rk"]).select("class", "homes", "text").mapInArrow(load, "class long, homes array<struct<leader:long,block:int>>, grams binary"), "members")
     at_home = members.select("class", F.col("class").alias("component"), "grams", F.explode("homes").alias("at")).select("*", "at.*")
     links = pin_table(walk(at_home, "block"), "links")
     parts = connected(links).withColumnRenamed("node", "class")

@@ -39,7 +39,8 @@ def encoder(path: str):
     """A function text -> ids, equal to ``tokenizers`` on the file at ``path``.
 
     When the file is a byte-level BPE whose merge order is its id order, tiktoken runs the
-    same merges about three times as fast; any other file is run by ``tokenizers``.
+    same merges about three times as fast; any other file, and any text that tiktoken's regex
+    gives up on (runs of a million blanks), is run by ``tokenizers``.
     """
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -53,7 +54,19 @@ def encoder(path: str):
         special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         made = tiktoken.Encoding("byte_level", pat_str=public_tokenizers.PATTERN,
                                  mergeable_ranks=ranks, special_tokens=special)
-        return lambda text: made.encode(text, allowed_special="all")
+
+        def encode(text: str) -> list[int]:
+            try:
+                return made.encode(text, allowed_special="all")
+            except (ValueError, RuntimeError):      # its regex gives up on very long runs of blanks
+                return _by_tokenizers(path)(text)
+
+        return encode
+    return _by_tokenizers(path)
+
+
+@lru_cache(maxsize=2)
+def _by_tokenizers(path: str):
     from tokenizers import Tokenizer
     made = Tokenizer.from_file(path)
     return lambda text: made.encode(text, add_special_tokens=False).ids

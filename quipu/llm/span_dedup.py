@@ -20,7 +20,8 @@ are pre-aggregated map-side, so a passage in a third of all documents gives one
 task; adaptive execution splits the joins of hot k-mers.  Nothing reaches the driver.
 
 Hashes have 64 bits.  Defined results: null text has no words; rows of a null id are kept
-whole and remove nothing elsewhere; repeated rows of one id don't remove each other.
+whole and remove nothing elsewhere; repeated rows of one id don't remove each other.  Rows of
+the same id and text are counted first and one of them stands for all.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import RunHashes, byte_list, covered, cut_rows, mix64, row_key, runs_of, table_of, window_minima
+from quipu.llm.common import RunHashes, byte_list, covered, cut_rows, mix64, one_of_each, row_key, runs_of, table_of, window_minima
 from quipu.operators.corpus import pin_table
 
 WINDOW, K = 50, 26
@@ -131,9 +132,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept`` holds as bytes the words left, joined by one space, or the text as it was where
     nothing was removed (without ``texts``: null there).  ``extra``: a struct of the columns in
     ``keep`` as they are."""
-    extra = F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("extra")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), extra)
-    rows = rows.withColumn("rk", row_key())
+    extra = F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)])
+    whole_rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), extra.alias("extra"))
+    rows, repeats = one_of_each(whole_rows.withColumn("rk", row_key()))
+    # a row that stands for several brings its key to the result
+    rows = rows.withColumn("extra", F.struct("extra", F.when(F.col("repeated"), F.col("rk")).alias("rk"))).drop("repeated")
     kmers = pin_table(rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("rk", "doc_id", "text")
                       .mapInArrow(_kmers, "rk long, doc_id long, pos int, kmer long, step long"), "kmers")
     repeated = (kmers.groupBy("kmer").agg(F.count("*").alias("often"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -156,4 +159,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            .mapInArrow(_remove, f"doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary, {carried}"))
     whole = state.filter("kept_sha256 is not null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256",
                                                            F.col("text").alias("kept"), "extra")
-    return cut.unionByName(whole).drop(*[] if keep else ["extra"])
+    done = cut.unionByName(whole)
+    cols = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+    single = done.filter("extra.rk is null").select(*cols, F.col("extra.extra").alias("extra"))
+    again = repeats.select("rk", "extra").join(done.filter("extra.rk is not null").select(*cols, F.col("extra.rk").alias("rk")), "rk")
+    return single.unionByName(again.select(*cols, "extra")).drop(*[] if keep else ["extra"])
