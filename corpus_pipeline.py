@@ -1,8 +1,8 @@
 """A corpus pipeline over ``documents``: four stages, each written as Parquet and read again
 as the documents of the next.
 
-1. language_id: a document in which no language is found goes (no letter, or a best
-   language of less than even probability).
+1. language_id: a document without a letter goes, as no language can be found in it.  Where
+   nothing could be learned (no labelled document) every one with a letter stays.
 2. ngram_join: of each group of near-duplicate documents one stays, the smallest id.
 3. span_dedup: windows of 50 words that an earlier document holds are cut out.
 4. packing: the texts left are packed into sequences of 1024 tokens.
@@ -21,13 +21,13 @@ from quipu.llm import lang_id, ngram_join, packing, span_dedup
 from quipu.llm.queries import tokenizer_path
 from quipu.operators.corpus import pin_table
 
-LEAST_SCORE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = lang_id.learn(docs, lang_id.vocabulary_of(tokenizer_path("piece_bpe_32k.model")))
+    if not model.languages:
+        return docs.filter(F.regexp_like("text", F.lit(r"\p{L}")))
     found = lang_id.predict(docs, model, keep=tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != lang_id.UND) & (F.col("score") >= LEAST_SCORE)).select("kept.*")
+    return found.filter(F.col("lang_pred") != lang_id.UND).select("kept.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
