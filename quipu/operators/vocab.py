@@ -181,7 +181,8 @@ def pad_batch(fixed: DataFrame, pad_id: int, batch_col: str = "batch_id", ids_co
     padded = F.concat(F.col(ids_col), pad)
     mask = F.concat(F.transform(F.col(ids_col), lambda _: F.lit(1)),
                     F.array_repeat(F.lit(0), F.col("_len") - F.size(ids_col)))
-    return (out.withColumn("input_ids", padded).withColumn("attention_mask", mask)
+    # the mask first: it needs the ids before they are padded
+    return (out.withColumn("attention_mask", mask).withColumn("input_ids", padded)
                .withColumn("labels", F.transform(F.col("input_ids"),
                                                  lambda x: F.when(x == pad_id, F.lit(-100)).otherwise(x)))
                .drop("_len"))

@@ -161,6 +161,8 @@ from quipu.functions import tokens as TK  # noqa: E402
 from quipu.functions import verdict as V  # noqa: E402
 from quipu.operators import qa as QA  # noqa: E402
 from quipu.operators import term_join as TJ  # noqa: E402
+from quipu.sources import readers as RD  # noqa: E402
+from quipu.sources import sinks as SK  # noqa: E402
 
 # Caller-supplied "explicit" list for the fixture: neutral substrings of the
 # synthetic prose, so the rule fires on part of the rows.
@@ -230,6 +232,18 @@ def q_numbered_list(spark, sf_dir):
     return QA.numbered_lines(QA.select_candidates(judged_candidates(spark, sf_dir)))
 
 
+@register("numbered_list_file", CAND_SQL + """,
+sel AS (SELECT j.slot, j.text FROM judged2 j JOIN stops s ON j.slot = s.slot AND j.attempt = s.stop),
+numbered AS (SELECT row_number() OVER (ORDER BY slot) AS i, text FROM sel)
+SELECT CAST(2 * i - 2 AS BIGINT) AS pos, CAST(i AS VARCHAR) || '. ' || text AS line FROM numbered
+UNION ALL SELECT CAST(2 * i - 1 AS BIGINT) AS pos, '' AS line FROM numbered""")
+def q_numbered_list_file(spark, sf_dir):
+    """K2: the numbered list written as text files, with its blank lines, read back in line order."""
+    base = C.fresh_path(spark, "numbered")
+    SK.write_numbered_list(QA.numbered_lines(QA.select_candidates(judged_candidates(spark, sf_dir))), base)
+    return RD.text_lines(spark, base).select("pos", F.col("value").alias("line"))
+
+
 PROMPTS_SQL = "prompts AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, {O.lit(p)})" for i, p in enumerate(QA.DEFAULT_PROMPTS)) + ") AS t(prompt_id, prompt))"
 
@@ -298,6 +312,23 @@ def q_verdict_by_tables(spark, sf_dir):
     return QA.judge_by_tables(X.candidates(spark, sf_dir), table(FIXTURE_EXPLICIT), table(V.BOILERPLATE_TERMS))
 
 
+@register("verdict_marked", "WITH " + X.MARKED_SQL.strip() + f""",
+cleaned AS (SELECT slot, attempt, {O.clean_generated('text')} AS text FROM candidates)
+SELECT slot, attempt, text, {O.verdict_reason('text', FIXTURE_EXPLICIT)} AS reason FROM cleaned""")
+def q_verdict_marked(spark, sf_dir):
+    """P10d and F9-F12 on candidates with emoji, emoticons, open parentheses, odd quotes and
+    short texts: every reason occurs."""
+    return QA.judge(X.marked_candidates(spark, sf_dir), FIXTURE_EXPLICIT).select("slot", "attempt", "text", "reason")
+
+
+@register("clean_posts_nan", f"""WITH {X.POSTS_SQL.strip()}
+SELECT post_id, {O.clean_rnn("coalesce(title, 'nan') || ' ' || coalesce(selftext, 'nan')")} AS text FROM posts""")
+def q_clean_posts_nan(spark, sf_dir):
+    """Title and body joined with nulls as the text ``nan``, then the 'rnn' profile."""
+    p = X.posts(spark, sf_dir)
+    return p.select("post_id", T.clean(T.join_title_body(F.col("title"), F.col("selftext"), "nan"), "rnn").alias("text"))
+
+
 @register("drop_null_text", f"""WITH {X.POSTS_SQL.strip()}
 SELECT post_id, title || ' ' || selftext AS text FROM posts WHERE title IS NOT NULL AND selftext IS NOT NULL""")
 def q_drop_null_text(spark, sf_dir):
@@ -410,6 +441,31 @@ def q_encode_fixed(spark, sf_dir):
                     F.aggregate(s["attention_mask"], F.lit(0), lambda a, x: a + x).alias("mask_sum"))
 
 
+@register("pad_batch", LM_SQL + """,
+fx AS (SELECT doc_key, list_slice(list_concat(ids, [50256]), 1, 192) AS ids, (row_number() OVER (ORDER BY doc_key) - 1) // 32 AS batch_id FROM encoded),
+padded AS (SELECT doc_key, batch_id, len(ids) AS n, list_concat(ids, repeat([50256], max(len(ids)) OVER (PARTITION BY batch_id) - len(ids))) AS ids FROM fx)
+SELECT doc_key, CAST(batch_id AS BIGINT) AS batch_id, array_to_string(ids, ' ') AS input_ids,
+       repeat('1', n) || repeat('0', len(ids) - n) AS attention_mask,
+       array_to_string([CASE WHEN x = 50256 THEN -100 ELSE x END for x in ids], ' ') AS labels FROM padded""")
+def q_pad_batch(spark, sf_dir):
+    """Batches of 32 documents in order, padded to the longest of each."""
+    e = LM.lm_inputs(spark, sf_dir)[2].select("doc_key", TK.encode_fixed(F.col("ids"), 50256, 192)["input_ids"].alias("input_ids"))
+    e = C.pin_table(e, "fixed")
+    e = e.join(C.global_index(e, ["doc_key"]), "doc_key").withColumn("batch_id", F.floor(F.col("idx") / 32))
+    b = VO.pad_batch(e, 50256)
+    return b.select("doc_key", "batch_id", _joined(F.col("input_ids")).alias("input_ids"),
+                    F.array_join("attention_mask", "").alias("attention_mask"), _joined(F.col("labels")).alias("labels"))
+
+
+@register("tokenize_chars", """
+SELECT conv_id, turn, array_to_string(CASE WHEN text = '' THEN [] ELSE string_split(replace(text, ' ', '_'), '') END, '|') AS chars,
+       CAST(length(text) AS INTEGER) AS n_chars FROM conversations""")
+def q_tokenize_chars(spark, sf_dir):
+    """Every turn as code points, spaces as underscores."""
+    t = TK.tokenize_chars(F.col("text"), "_")
+    return X.load(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(t, "|").alias("chars"), F.size(t).alias("n_chars"))
+
+
 @register("vocab_uncapped", f"""WITH
 toks AS (SELECT doc_id AS doc_key, list_filter(string_split(translate(lower({O.clean_toy('text')}),
            {O.lit(TK.SIMPLE_FILTERS)}, {O.lit(' ' * len(TK.SIMPLE_FILTERS))}), ' '), lambda x: x <> '') AS t
@@ -540,9 +596,6 @@ def q_grid_search(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Readers and sinks: Spark writes the posts view in each format, reads it back
 # ---------------------------------------------------------------------------
-from quipu.sources import readers as RD  # noqa: E402
-from quipu.sources import sinks as SK  # noqa: E402
-
 NA_SQL = ", ".join(O.lit(x) for x in RD.NA_STRINGS)
 
 
@@ -612,6 +665,32 @@ def q_curate_from_files(spark, sf_dir):
     return Q.curate_corpus(frames)
 
 
+STRICT_LINES = 500
+
+
+@register("read_scored_tsv_strict", f"""WITH {X.POSTS_SQL.strip()},
+lined AS (SELECT score, row_number() OVER (ORDER BY post_id) - 1 AS pos,
+                 regexp_replace(coalesce(title, '') || ' ' || coalesce(selftext, ''), '[\\r\\n]', ' ', 'g') AS t FROM posts)
+SELECT pos, CAST(score AS VARCHAR) AS score, {O.clean_tsv('t')} AS raw_text FROM lined WHERE pos < {STRICT_LINES}""")
+def q_read_scored_tsv_strict(spark, sf_dir):
+    """The first lines of a well-formed scored TSV, score kept as text, 'tsv' cleaning."""
+    return RD.read_scored_tsv(spark, X.write_whole_tsv(spark, sf_dir), strict=True, limit=STRICT_LINES)
+
+
+@register("curate_missing_files", f"""WITH {X.POSTS_SQL.strip()},
+csv AS (SELECT row_number() OVER (ORDER BY post_id) - 1 AS doc_key, score,
+               coalesce({_na('title')}, '') || ' ' || coalesce({_na('selftext')}, '') AS raw_text FROM posts),
+kept AS (SELECT doc_key, {O.clean_lm('raw_text')} AS text FROM csv WHERE score >= 10 AND NOT {O.is_redacted('raw_text')})
+SELECT min(doc_key) AS doc_key, 'csv' AS corpus, text FROM kept
+WHERE text IS NOT NULL AND length(text) BETWEEN 20 AND 400 GROUP BY text""")
+def q_curate_missing_files(spark, sf_dir):
+    """Curation where the TSV and the JSON file are absent: they count as empty."""
+    out = X.write_post_files(spark, sf_dir)
+    frames = [("csv", RD.posts_csv_raw(RD.read_posts_csv(spark, f"{out}/csv"))),
+              ("tsv", RD.read_scored_tsv(spark, f"{out}/absent-tsv")), ("json", RD.read_posts_jsonl(spark, f"{out}/absent-jsonl"))]
+    return Q.curate_corpus(frames)
+
+
 @register("word_vectors_roundtrip", """
 SELECT 'w' || CAST(vec_id AS VARCHAR) AS word, CAST(len(embedding) AS INTEGER) AS dim,
        round(CAST(embedding[1] AS DOUBLE), 6) AS v_first, round(CAST(embedding[-1] AS DOUBLE), 6) AS v_last
@@ -837,6 +916,21 @@ def q_prompt_grid(spark, sf_dir):
     return GE.prompt_grid(user_prompts(spark, sf_dir))
 
 
+USER_PROMPTS_SQL = "prompts AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user')"
+CONTEXT_LENGTH = 24
+
+
+@register("fix_context", LM_SQL + f""",
+{USER_PROMPTS_SQL},{LM.sql_prompt_ids("prompts", "started", 1)}
+SELECT seq_id, array_to_string(list_concat(repeat([1], greatest({CONTEXT_LENGTH} - len(ids), 0)),
+                                           list_slice(ids, greatest(len(ids) - {CONTEXT_LENGTH}, 0) + 1, len(ids))), ' ') AS ctx FROM started""")
+def q_fix_context(spark, sf_dir):
+    """The last ids of every user prompt, shorter ones padded on the left."""
+    vocab = LM.lm_inputs(spark, sf_dir)[1]
+    enc = GE.encode_prompts(user_prompts(spark, sf_dir), vocab, 1, LM.MAX_VOCAB)
+    return enc.select("seq_id", _joined(TK.fix_context(F.col("ids"), CONTEXT_LENGTH)).alias("ctx"))
+
+
 def _generation(spark, sf_dir, mode):
     vocab, model, _ = lm_model(spark, sf_dir)
     prompts = user_prompts(spark, sf_dir)
@@ -847,12 +941,11 @@ def _generation(spark, sf_dir, mode):
     elif mode == "sample":
         st = GE.generate_sampled(enc, model, stops, seed=11, temperature=0.7, max_steps=25)
     else:
-        st = GE.generate_beam(enc, model, stops, width=4, max_steps=25, repetition=1.2, no_repeat=2)
+        st = GE.generate_beam(enc, model, stops, BEAM_WIDTH, BEAM_STEPS, repetition=BEAM_REPETITION, no_repeat=BEAM_NO_REPEAT)
     out = GE.continuation_text(st, vocab, prompts, LM.MAX_VOCAB)
     return out.join(st.select("seq_id", "n_new"), "seq_id")
 
 
-USER_PROMPTS_SQL = "prompts AS (SELECT conv_id * 1000 + turn AS seq_id, text AS prompt FROM conversations WHERE role = 'user')"
 SAMPLER_SQL = MODEL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + "," + LM.sql_sampler_ctes()
 SAMPLED_SQL = SAMPLER_SQL + f""",
 {USER_PROMPTS_SQL},{LM.sql_prompt_ids("prompts", "encoded_prompts")},
@@ -901,7 +994,18 @@ def q_generate_sampled(spark, sf_dir):
     return _generation(spark, sf_dir, "sample")
 
 
-@register("generate_beam")
+BEAM_WIDTH, BEAM_STEPS, BEAM_REPETITION, BEAM_NO_REPEAT = 4, 25, 1.2, 2
+BEAM_SQL = SAMPLER_SQL + f""",
+{USER_PROMPTS_SQL},{LM.sql_prompt_ids("prompts", "encoded_prompts")},
+{LM.sql_beam("beams", "encoded_prompts", BEAM_WIDTH, BEAM_STEPS, BEAM_REPETITION, BEAM_NO_REPEAT, GE.SCORE_DIGITS).strip()},
+ends AS (SELECT *, max(step) OVER (PARTITION BY seq_id) AS last FROM beams),
+gen AS (SELECT * FROM (SELECT seq_id, ids, n_prompt, n_new, true AS done, row_number() OVER (
+          PARTITION BY seq_id ORDER BY round(score / greatest(n_new, 1), {GE.SCORE_DIGITS}) DESC, beam) AS r FROM ends WHERE step = last) WHERE r = 1),
+{LM.sql_generated_text("gen", "prompts", "texts").strip()}
+SELECT seq_id, text, CAST(n_new AS INTEGER) AS n_new FROM texts JOIN gen USING (seq_id)"""
+
+
+@register("generate_beam", BEAM_SQL)
 def q_generate_beam(spark, sf_dir):
     """Beam search (width 4, penalty 1.2, no repeated bigram) continuation of every user turn."""
     return _generation(spark, sf_dir, "beam")

@@ -199,3 +199,33 @@ def sql_sampled(name: str, start: str, steps: int, seed: int, temperature: float
   SELECT {ks}, CASE WHEN stop THEN ids ELSE list_append(ids, nxt) END, n_prompt, CASE WHEN stop THEN n_new ELSE n_new + 1 END,
          stop OR n_new + 1 >= {steps}
   FROM (SELECT g.*, w7.nxt, w7.nxt IS NULL OR list_contains((SELECT l FROM stops), w7.nxt) AS stop FROM g LEFT JOIN w7 USING ({ks}))))"""
+
+
+def sql_beam(name: str, start: str, width: int, steps: int, repetition: float, no_repeat: int, digits: int, n: int = NGRAM) -> str:
+    """Recursive member ``name`` (seq_id, step, beam, ids, n_prompt, n_new, score, done): the beams
+    of every prompt after each step; prompts whose beams are all done aren't carried on."""
+    m = no_repeat
+    penalized = f"CASE WHEN list_contains(ids, id) THEN ln(p) * {repetition} ELSE ln(p) END"
+    return f"""
+{name} AS (
+  SELECT seq_id, 0 AS step, 0::bigint AS beam, ids, len(ids) AS n_prompt, 0 AS n_new, 0::double AS score, false AS done FROM {start}
+  UNION ALL
+  (WITH now AS (SELECT * FROM {name} WHERE seq_id IN (SELECT seq_id FROM {name} WHERE NOT done)),
+  a AS (SELECT *, list_transform(list_filter(range(1, len(ids) - {m - 2}), lambda i: ids[i:i + {m - 2}] = ids[len(ids) - {m - 2}:]),
+                                 lambda i: ids[i + {m - 1}]) AS banned FROM now WHERE NOT done),
+  h AS (SELECT seq_id, beam, arg_max(ctx, k) AS ctx, max(k) AS k FROM (
+          SELECT seq_id, beam, CAST(k AS INTEGER) AS k, list_slice(ids, len(ids) - k + 1, len(ids)) AS ctx FROM a, range(1, {n}) t(k))
+        SEMI JOIN seen USING (k, ctx) GROUP BY seq_id, beam),
+  c AS (SELECT seq_id, beam, 1 AS lvl, id, p FROM h JOIN following USING (k, ctx)
+        UNION ALL SELECT seq_id, beam, 0 AS lvl, id, p FROM a, following WHERE k = 0),
+  x AS (SELECT seq_id, beam, lvl, id, {penalized} AS lp FROM c JOIN a USING (seq_id, beam) WHERE NOT list_contains(banned, id)),
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, beam ORDER BY lvl DESC, lp DESC, id) AS r,
+                                 max(lvl) OVER (PARTITION BY seq_id, beam) AS top FROM x) WHERE r <= {width} AND lvl = top),
+  grown AS (SELECT a.seq_id, a.step, a.beam, a.n_prompt, a.ids, a.n_new, a.score + coalesce(lp, 0) AS score, id AS next_id,
+                   id IS NULL OR list_contains((SELECT l FROM stops), id) AS stop FROM a LEFT JOIN best USING (seq_id, beam)),
+  pool AS (SELECT seq_id, step, beam AS parent, NULL::integer AS next_id, ids, n_prompt, n_new, score, done FROM now WHERE done
+           UNION ALL
+           SELECT seq_id, step, beam, next_id, CASE WHEN stop THEN ids ELSE list_append(ids, next_id) END, n_prompt,
+                  CASE WHEN stop THEN n_new ELSE n_new + 1 END, score, stop OR n_new + 1 >= {steps} FROM grown),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY round(score, {digits}) DESC, parent, next_id NULLS FIRST) - 1 AS beam FROM pool)
+  SELECT seq_id, step + 1, beam, ids, n_prompt, n_new, score, done FROM ranked WHERE beam < {width}))"""

@@ -115,6 +115,35 @@ candidates AS (
   FROM conversations)"""
 
 
+# The same candidates with marks that reach every rule: emoji and emoticons, an open
+# parenthesis, an odd quote, a text that is too short.
+MARKS = (
+    " 😂 so good :) :-D ❤️ it was",
+    " (and so it went on.",
+    ' and he said "no.',
+    " well (really) it ended 🤔🎉 there!",
+    " <3 ;) :P \"quoted\" to the end?",
+)
+
+
+def marked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = load(spark, sf_dir, "conversations")
+    k = (F.col("conv_id") * 1000 + F.col("turn")) % 7
+    mark = F.when(k == 0, F.lit(MARKS[0]))
+    for i, m in enumerate(MARKS[1:], 1):
+        mark = mark.when(k == i, F.lit(m))
+    text = F.when(k == 5, F.concat(F.substring("text", 1, 9), F.lit(" 😂."))).otherwise(F.concat(F.col("text"), mark.otherwise(F.lit(""))))
+    return conv.select(F.col("conv_id").alias("slot"), F.col("turn").cast("int").alias("attempt"), text.alias("text"))
+
+
+MARKED_SQL = f"""
+candidates AS (
+  SELECT conv_id AS slot, CAST(turn AS INTEGER) AS attempt,
+    CASE (conv_id * 1000 + turn) % 7 {" ".join(f"WHEN {i} THEN text || {_sql_lit(m)}" for i, m in enumerate(MARKS))}
+      WHEN 5 THEN substr(text, 1, 9) || ' 😂.' ELSE text END AS text
+  FROM conversations)"""
+
+
 # ---------------------------------------------------------------------------
 # Post files: Spark writes the posts view as the reference's three formats,
 # ordered by post_id (range-partitioned, so part files concatenate in order).
@@ -141,6 +170,16 @@ def json_line(p: DataFrame) -> Column:
              .otherwise(F.to_json(obj)))
 
 
+def write_whole_tsv(spark: SparkSession, sf_dir: str) -> str:
+    """Every post as a well-formed ``score<TAB>text`` line, in a new folder."""
+    from quipu.operators.corpus import fresh_path
+    out = fresh_path(spark, "whole-tsv")
+    p = posts(spark, sf_dir).repartitionByRange("post_id").sortWithinPartitions("post_id")
+    text = F.regexp_replace(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("selftext", F.lit(""))), "[\r\n]", " ")
+    p.select(F.concat(F.col("score").cast("string"), F.lit("\t"), text).alias("value")).write.text(out)
+    return out
+
+
 def write_post_files(spark: SparkSession, sf_dir: str) -> str:
     """The posts as CSV, TSV and JSON lines in a new folder of the shared checkpoint folder."""
     from quipu.operators.corpus import fresh_path

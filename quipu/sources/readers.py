@@ -105,6 +105,11 @@ def posts_csv_raw(df: DataFrame) -> DataFrame:
                      .alias("raw_text"))
 
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, value): the lines of text files in file and line order."""
+    return _with_position(_line_order(spark.read.text(path)))
+
+
 # --- S2 ---------------------------------------------------------------------
 def read_scored_tsv(spark: SparkSession, path: str, strict: bool = False,
                     missing_ok: bool = True, limit: int | None = None) -> DataFrame:
