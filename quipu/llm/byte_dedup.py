@@ -14,8 +14,8 @@ same offset.  That is about 2 / (LENGTH - K + 2) of all bytes.
    string inside it is repeated.
 3. Strings that stick out of a span are compared past the threshold: within a rank, by the
    hash of the bytes around the position.  Ranks of up to ``HOT`` positions are compared one
-   after the other, some ``STRINGS`` strings at once, in the task that holds them, others as
-   rows of (string hash) with a map-side count; both give the same result.
+   after the other, some ``STRINGS`` strings at once (a rank of more in slices by their
+   hashes), in the task that holds them, others as rows of (string hash) with a map-side count; both give the same result.
 4. The union of all repeated strings is cut out.  A document without a repeated position is
    finished in step 2's join and its text moves no further.
 
@@ -43,7 +43,7 @@ from quipu.operators.corpus import pin_table
 
 LENGTH, K = 400, 201
 DEPTHS = (50, 100, K)
-CHUNK, HOT = 1 << 22, 4_000
+CHUNK, HOT = 1 << 22, 100_000
 STRINGS = 1 << 20       # strings compared at once
 SYMBOL = mix64(np.arange(1, 257, dtype=U64))
 _POSITIONS = pa.schema([("rk", pa.int64()), ("pos", pa.int32()), ("rank", pa.int64()),
@@ -172,16 +172,32 @@ def _runs(rk: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return rk[new], start[new], start[last] + LENGTH
 
 
-def _repeated(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated strings among rows that hold whole ranks."""
+def _repeated(held: list[pa.RecordBatch], strings: int, at_once: int) -> Iterator[pa.RecordBatch]:
+    """Repeated strings among rows that hold whole ranks.  Where they are many more than
+    ``at_once``, keys are compared slice by slice of their range."""
     batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-    key, row, start = _string_keys(batch)
-    order = np.argsort(key)
-    same = key[order][1:] == key[order][:-1]
-    twice = order[np.append(same, False) | np.append(False, same)]
-    if len(twice):
-        rk = batch.column("rk").to_numpy()[row[twice]]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(rk, start[twice])], names=["rk", "from", "to"])
+    slices = max(1, strings // at_once)
+    rks, starts = [], []
+    for part in range(slices):
+        found = []
+        for some in cut_rows([batch], "around", 1 << 20):
+            key, row, start = _string_keys(some)
+            rk = some.column("rk").to_numpy()[row]
+            if slices > 1:
+                mine = (key >> U64(32)) % U64(slices) == U64(part)
+                key, rk, start = key[mine], rk[mine], start[mine]
+            found.append((key, rk, start))
+        key, rk, start = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(key):
+            continue
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        twice = order[np.append(same, False) | np.append(False, same)]
+        rks.append(rk[twice])
+        starts.append(start[twice])
+    if rks and sum(map(len, rks)):
+        rk, start = np.concatenate(rks), np.concatenate(starts)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _runs(rk, start)], names=["rk", "from", "to"])
 
 
 def _compare(batches: Iterable[pa.RecordBatch], at_once: int) -> Iterator[pa.RecordBatch]:
@@ -196,17 +212,18 @@ def _compare(batches: Iterable[pa.RecordBatch], at_once: int) -> Iterator[pa.Rec
         ends = np.flatnonzero(np.append(rank[1:] != rank[:-1], False)) + 1
         at = 0
         if held and rank[0] != last and strings >= at_once:
-            yield from _repeated(held)
+            yield from _repeated(held, strings, at_once)
             held, strings = [], 0
         for end in ends.tolist():
-            if strings + size[end - 1] - (size[at - 1] if at else 0) >= at_once:
-                yield from _repeated([*held, batch.slice(at, end - at)])
+            more = int(size[end - 1] - (size[at - 1] if at else 0))
+            if strings + more >= at_once:
+                yield from _repeated([*held, batch.slice(at, end - at)], strings + more, at_once)
                 held, strings, at = [], 0, end
         held.append(batch.slice(at))
         strings += int(size[-1] - (size[at - 1] if at else 0))
         last = rank[-1]
     if held:
-        yield from _repeated(held)
+        yield from _repeated(held, strings, at_once)
 
 
 def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,17 @@ def test_byte_dedup_of_equal_rows(spark):
     assert got[6, 1] == {(0, 0, hashlib.sha256(b"x").hexdigest())}
 
 
+def test_byte_dedup_in_slices(spark, monkeypatch):
+    """One rank of many strings, compared a few at a time, gives what one comparison gives."""
+    shared, tail = prose(60, 5)[:420], prose(60, 6)
+    rows = [(i, prose(90, 100 + i)[:500 + i] + shared[: 300 + i] + (tail if i % 3 else prose(60, 500 + i))) for i in range(90)]
+    want = sorted(tuple(r)[:5] for r in byte_dedup.remove_repeats(frame(spark, rows)).collect())
+    assert any(r[2] for r in want) and not all(r[2] for r in want)
+    monkeypatch.setattr(byte_dedup, "STRINGS", 50)
+    assert sorted(tuple(r)[:5] for r in byte_dedup.remove_repeats(frame(spark, rows)).collect()) == want
+    assert sorted(tuple(r)[:5] for r in byte_dedup.remove_repeats(frame(spark, rows), hot=3).collect()) == want
+
+
 def test_span_dedup_of_equal_rows(spark):
     text = prose(400)
     own = prose(100, 3)
