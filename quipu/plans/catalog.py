@@ -374,6 +374,122 @@ def q_tokenize_words(spark, sf_dir):
     return d.select("doc_id", _joined(t).alias("tokens"), F.size(t).alias("n_tokens"))
 
 
+# Documents with abbreviations put in, so that the sentence model has something to learn.
+DOTS = (" and Mr. ", " vs. ", " and, i.e. ", " and ")
+from quipu.operators import sentences as SE  # noqa: E402
+
+
+def dotted_documents(spark, sf_dir):
+    d = X.load(spark, sf_dir, "documents")
+    k = F.col("doc_id") % len(DOTS)
+    put = F.element_at(F.array(*map(F.lit, DOTS)), (k + 1).cast("int"))
+    text = F.replace("text", F.lit(" and "), put)
+    return d.select(F.col("doc_id").alias("doc_key"), F.when(k == 3, F.replace(text, F.lit(". A"), F.lit(". Prof. A"))).otherwise(text).alias("text"))
+
+
+def _core_sql(e):
+    return O.rx(e, SE.AROUND)
+
+
+def _type_sql(e):
+    bare = f"lower(regexp_replace({e}, '\\.$', ''))"
+    return f"CASE WHEN regexp_matches({bare}, {O.lit(SE.NUMBER)}) THEN {O.lit(SE.NUMBER_TYPE)} ELSE {bare} END"
+
+
+def _likely_sql(k, n, p):
+    return f"((CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0 END) + (CASE WHEN {n} > {k} THEN ({n} - {k}) * ln(1 - {p}) ELSE 0 END))"
+
+
+def _dunning_sql(both, first, second, total):
+    p, p1, p2 = f"({second} / {total})", f"({both} / {first})", f"(({second} - {both}) / ({total} - {first}))"
+    rest, others = f"({second} - {both})", f"({total} - {first})"
+    return (f"(-2 * ({_likely_sql(both, first, p)} + {_likely_sql(rest, others, p)} "
+            f"- {_likely_sql(both, first, p1)} - {_likely_sql(rest, others, p2)}))")
+
+
+def _dotted_sql():
+    put = " ".join(f"WHEN {i} THEN {O.lit(x)}" for i, x in enumerate(DOTS))
+    text = f"replace(text, ' and ', CASE doc_id % {len(DOTS)} {put} END)"
+    return f"SELECT doc_id AS doc_key, CASE WHEN doc_id % {len(DOTS)} = 3 THEN replace({text}, '. A', '. Prof. A') ELSE {text} END AS text FROM documents"
+
+
+SENTENCE_SQL = f"""WITH dotted AS ({_dotted_sql()}),
+split AS (SELECT doc_key, list_filter(regexp_split_to_array(text, {O.lit(T.WS + '+')}), lambda x: x <> '') AS words FROM dotted),
+each AS (SELECT doc_key, unnest(range(len(words))) AS pos, unnest(words) AS token, unnest([{_core_sql('x')} for x in words]) AS word FROM split),
+pair AS MATERIALIZED (
+  SELECT doc_key, pos, token, word, {_type_sql('word')} AS type, regexp_matches(word, '^\\p{{Ll}}') AS low, suffix(word, '.') AS dot,
+         regexp_matches(word, '[!?]$') AS strong, lead(word) OVER w AS after, {_type_sql('lead(word) OVER w')} AS next,
+         regexp_matches(lead(word) OVER w, '^\\p{{Lu}}') AS next_cap FROM each WINDOW w AS (PARTITION BY doc_key ORDER BY pos)),
+total AS (SELECT count(*) AS n, count(*) FILTER (WHERE dot) AS dots, greatest(1e-9, least(1 - 1e-9, count(*) FILTER (WHERE dot) / count(*))) AS p FROM pair),
+counted AS (SELECT type, count(*) AS n, count(*) FILTER (WHERE dot) AS n_dot, count(*) FILTER (WHERE low) AS n_low,
+                   length(type) - length(replace(type, '.', '')) AS inside, length(replace(type, '.', '')) AS size FROM pair GROUP BY type),
+types AS MATERIALIZED (
+  SELECT *, score >= {SE.ABBREVIATION} AS is_abbreviation FROM (
+    SELECT type, c.n, n_dot, n_low, CASE WHEN n_dot > 0 AND regexp_matches(type, '\\p{{L}}') THEN
+      -2 * ({_likely_sql('n_dot', 'c.n', 't.p')} - {_likely_sql('n_dot', 'c.n', SE.ALWAYS)})
+      * exp(-size) * (inside + 1) * exp(-(c.n - n_dot) * ln(greatest(size, 1))) ELSE 0 END AS score FROM counted c, total t)),
+marked AS MATERIALIZED (SELECT pair.*, is_abbreviation AS abbreviation, strong OR (dot AND NOT is_abbreviation) AS ends FROM pair JOIN types USING (type)),
+breaks AS (SELECT count(*) AS b FROM marked WHERE next IS NOT NULL AND ends),
+follows AS (SELECT next AS type, count(*) FILTER (WHERE ends) AS n_after, count(*) FILTER (WHERE NOT ends AND next_cap) AS n_upper
+            FROM marked WHERE next IS NOT NULL GROUP BY next),
+starters AS MATERIALIZED (
+  SELECT *, ratio >= {SE.STARTER} AS is_starter FROM (
+    SELECT f.type, y.n, n_low, n_after, n_upper, CASE WHEN n_after > 0 AND regexp_matches(f.type, '^\\p{{L}}') AND n_after / b > y.n / t.n
+           THEN {_dunning_sql('n_after', 'b', 'y.n', 't.n')} ELSE 0 END AS ratio
+    FROM follows f JOIN types y USING (type), breaks, total t)),
+joint AS (SELECT type, next, count(*) AS n FROM marked WHERE dot AND abbreviation AND next IS NOT NULL GROUP BY ALL),
+collocations AS MATERIALIZED (
+  SELECT *, ratio >= {SE.COLLOCATION} AS is_collocation FROM (
+    SELECT j.type, j.next, j.n, CASE WHEN j.n > 1 AND j.n / y.n_dot > s.n / t.n AND NOT s.is_starter
+           THEN {_dunning_sql('j.n', 'y.n_dot', 's.n', 't.n')} ELSE 0 END AS ratio
+    FROM joint j JOIN types y USING (type) JOIN starters s ON s.type = j.next, total t)),
+placed AS MATERIALIZED (
+  SELECT m.doc_key, m.pos, m.token,
+         m.dot AND m.next IS NOT NULL AND m.abbreviation
+         AND (c.is_collocation OR NOT (m.next_cap AND (s.is_starter OR (s.n_low > 0 AND s.n_upper = 0)))) AS inner_dot, m.dot, m.strong
+  FROM marked m LEFT JOIN collocations c ON c.type = m.type AND c.next = m.next LEFT JOIN starters s ON s.type = m.next)"""
+
+
+@register("sentence_statistics", SENTENCE_SQL + """
+SELECT 'type' AS kind, type, NULL AS next, n, n_dot AS n_marked, round(score, 6) + 0 AS ratio, is_abbreviation AS chosen FROM types
+UNION ALL SELECT 'starter', type, NULL, n, n_after, round(ratio, 6) + 0, is_starter FROM starters
+UNION ALL SELECT 'collocation', type, next, n, 0, round(ratio, 6) + 0, is_collocation FROM collocations""")
+def q_sentence_statistics(spark, sf_dir):
+    """Abbreviations, sentence starters and collocations learned from all documents."""
+    m = SE.learn(dotted_documents(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    cols = ("kind", "type", "next", "n", "n_marked", "ratio", "chosen")
+    a = m.types.select(F.lit("type"), "type", none, "n", "n_dot", F.round("score", 6) + 0.0, "is_abbreviation").toDF(*cols)
+    b = m.starters.select(F.lit("starter"), "type", none, "n", "n_after", F.round("ratio", 6) + 0.0, "is_starter").toDF(*cols)
+    c = m.collocations.select(F.lit("collocation"), "type", "next", "n", F.lit(0).cast("long"), F.round("ratio", 6) + 0.0, "is_collocation").toDF(*cols)
+    return a.unionByName(b).unionByName(c)
+
+
+@register("split_sentences", SENTENCE_SQL + """,
+cut AS (SELECT doc_key, pos, token, coalesce(sum(CASE WHEN strong OR (dot AND NOT inner_dot) THEN 1 ELSE 0 END) OVER (
+          PARTITION BY doc_key ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nth FROM placed),
+said AS (SELECT doc_key, nth, string_agg(token, ' ' ORDER BY pos) AS s FROM cut GROUP BY doc_key, nth),
+listed AS (SELECT doc_key, count(*) AS n, string_agg(s, chr(10) ORDER BY nth) AS sentences FROM said GROUP BY doc_key)
+SELECT doc_key, CAST(coalesce(n, 0) AS INTEGER) AS n_sentences, coalesce(sentences, '') AS sentences FROM dotted LEFT JOIN listed USING (doc_key)""")
+def q_split_sentences(spark, sf_dir):
+    """Every document cut into sentences by the model learned from all of them."""
+    docs = dotted_documents(spark, sf_dir)
+    s = SE.split_sentences(docs, SE.learn(docs))
+    return s.select("doc_key", F.size("sentences").alias("n_sentences"), F.array_join("sentences", "\n").alias("sentences"))
+
+
+@register("tokenize_sentences", SENTENCE_SQL + f""",
+joined AS (SELECT doc_key, lower(string_agg(CASE WHEN inner_dot THEN replace(token, '.', {O.lit(SE.INNER)}) ELSE token END, ' ' ORDER BY pos)) AS text
+           FROM placed GROUP BY doc_key)
+SELECT doc_key, replace(array_to_string(regexp_extract_all({O.rx("coalesce(joined.text, '')", TK.CONTRACTION_PATTERN, chr(92) + "1 " + chr(92) + "2")},
+                                                           {O.lit(SE.WORDS)}), ' '), {O.lit(SE.INNER)}, '.') AS tokens
+FROM dotted LEFT JOIN joined USING (doc_key)""")
+def q_tokenize_sentences(spark, sf_dir):
+    """Word tokens after the sentence model: an abbreviation keeps its period, a final period is a token."""
+    docs = dotted_documents(spark, sf_dir)
+    return SE.tokenize_sentences(docs, SE.learn(docs)).select("doc_key", _joined(F.col("tokens")).alias("tokens"))
+
+
 @register("token_counts", LM_SQL + f"""
 SELECT token, n, CAST(first_seen // {1 << VO.POS_BITS} AS BIGINT) AS first_doc,
        CAST(first_seen % {1 << VO.POS_BITS} AS BIGINT) AS first_pos FROM counts""")
