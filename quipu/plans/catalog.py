@@ -97,9 +97,7 @@ SELECT s.corpus, n_posts, n_score, n_unredacted, n_nonempty, n_length,
 FROM stages s LEFT JOIN kept_n k ON s.corpus = k.corpus""")
 def q_curation_funnel(spark, sf_dir):
     """A0: rows per source after each curation stage, and rows kept by dedup."""
-    flags = Q.stage_flags(raw_posts(spark, sf_dir))
-    kept = curated(spark, sf_dir)
-    return C.curation_funnel(flags, kept, "corpus")
+    return Q.funnel(raw_posts(spark, sf_dir), SOURCES)
 
 
 @register("split_ordered", CURATED_SQL + """,

@@ -48,6 +48,22 @@ def curate_raw(raw: DataFrame, names: Sequence[str], min_score: float = MIN_SCOR
     return out.select("doc_key", "corpus", "text")
 
 
+def funnel(raw: DataFrame, names: Sequence[str], min_score: float = MIN_SCORE, lo: int = MIN_LEN, hi: int = MAX_LEN) -> DataFrame:
+    """A0 over ``raw`` (doc_key, corpus, score, raw_text): every text is read and cleaned once,
+    and only if it gets as far as cleaning.  The stage outcomes, with the texts that pass all
+    of them, are one narrow table, from which both the counts and the dedup are aggregated
+    (counts observed while a job runs would be counted again for tasks run again)."""
+    score = F.coalesce(F.col("score") >= F.lit(min_score), F.lit(False))
+    unredacted = F.coalesce(~T.is_redacted(F.col("raw_text")), F.lit(False))
+    once = C.compute_once(raw, ["doc_key", "corpus"], ok_score=score, ok_unredacted=unredacted,
+                          text=F.when(score & unredacted, T.clean(F.col("raw_text"), "lm")))
+    length = F.coalesce(T.length_between(F.col("text"), lo, hi), F.lit(False))
+    flags = once.select("doc_key", "corpus", "ok_score", "ok_unredacted", F.col("text").isNotNull().alias("ok_nonempty"), length.alias("ok_length"),
+                        F.when(length, F.col("text")).alias("text"))
+    flags = C.pin_table(flags, "stage-flags")
+    return C.curation_funnel(flags, C.dedup_exact(flags.filter("ok_length"), "text", "doc_key", names), "corpus")
+
+
 def posts_to_raw(posts: DataFrame, names: Sequence[str]) -> DataFrame:
     """Post table (post_id, corpus, title, selftext, score) -> raw rows keyed by
     source rank and post id; title/body joined with the null -> '' policy."""
