@@ -1012,6 +1012,55 @@ def q_sample_categorical(spark, sf_dir):
     return SA.sample_categorical(corpus_distribution(spark, sf_dir, 2), seed=7)
 
 
+# ---------------------------------------------------------------------------
+# Several draws from every context by alias tables
+# ---------------------------------------------------------------------------
+from quipu.operators import alias as AL  # noqa: E402
+
+N_DRAWS, DRAW_SEED = 5, 13
+ALIAS_SQL = dist_sql(2) + """,
+a0 AS (SELECT array_to_string(hist, ' ') AS ctx_key, CAST(label AS INTEGER) AS token_id, n AS w FROM dc),
+a1 AS (SELECT *, count(*) OVER c AS m, CAST(sum(w) OVER c AS BIGINT) AS total, row_number() OVER (PARTITION BY ctx_key ORDER BY token_id) - 1 AS slot
+       FROM a0 WINDOW c AS (PARTITION BY ctx_key)),
+a2 AS (SELECT *, m * w - total AS gives, m * w >= total AS heavy FROM a1),
+a3 AS (SELECT *, CAST(sum(abs(gives)) OVER r AS BIGINT) AS s, row_number() OVER r AS nth FROM a2 WINDOW r AS (PARTITION BY ctx_key, heavy ORDER BY token_id)),
+a4 AS (SELECT *, CASE WHEN heavy THEN s ELSE s + gives END AS place FROM a3),
+a5 AS (SELECT *, count(*) FILTER (WHERE heavy) OVER (PARTITION BY ctx_key ORDER BY place, heavy, nth ROWS UNBOUNDED PRECEDING) + 1 AS filler,
+              min(CASE WHEN NOT heavy THEN s END) OVER (PARTITION BY ctx_key ORDER BY s, heavy, nth ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS passed
+       FROM a4),
+a6 AS (SELECT *, CASE WHEN NOT heavy THEN filler WHEN passed IS NOT NULL THEN nth + 1 END AS wants FROM a5),
+slots AS MATERIALIZED (
+  SELECT x.ctx_key, x.slot, x.token_id, CASE WHEN NOT x.heavy THEN x.m * x.w WHEN x.passed IS NOT NULL THEN x.total + x.s - x.passed ELSE x.total END AS threshold,
+         y.token_id AS alias_id, x.m, x.total
+  FROM a6 x LEFT JOIN a6 y ON y.heavy AND y.ctx_key = x.ctx_key AND y.nth = x.wants)"""
+
+
+def context_counts(spark, sf_dir, width: int):
+    w = VO.windows(LM.lm_inputs(spark, sf_dir)[2], LM.NGRAM)
+    ctx = F.array_join(F.slice("ctx", LM.NGRAM - width, width), " ")
+    return w.select(ctx.alias("ctx_key"), "label").groupBy("ctx_key", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("alias_table", ALIAS_SQL + """
+SELECT ctx_key, slot, token_id, threshold, alias_id FROM slots""")
+def q_alias_table(spark, sf_dir):
+    """The alias table of every 2-id context of the corpus."""
+    return AL.alias_tables(context_counts(spark, sf_dir, 2), ["ctx_key"]).drop("m", "total")
+
+
+@register("alias_draws", ALIAS_SQL + f""",
+asked AS (SELECT ctx_key, draw, m, CAST(floor({LM.sql_uniform('ctx_key', 'draw', repr(str(DRAW_SEED)), "'slot'")} * m) AS INTEGER) AS slot
+          FROM (SELECT ctx_key, m FROM slots WHERE slot = 0), range({N_DRAWS}) t(draw))
+SELECT ctx_key, CAST(draw AS INTEGER) AS draw,
+       CASE WHEN floor({LM.sql_uniform('ctx_key', 'draw', repr(str(DRAW_SEED)), "'unit'")} * total) < threshold THEN token_id ELSE alias_id END AS token_id
+FROM asked JOIN slots USING (ctx_key, slot)""")
+def q_alias_draws(spark, sf_dir):
+    """Five seeded draws from every 2-id context, each in constant time."""
+    tables = C.pin_table(AL.alias_tables(context_counts(spark, sf_dir, 2), ["ctx_key"]), "alias")
+    asked = tables.filter("slot = 0").select("ctx_key", F.explode(F.sequence(F.lit(0), F.lit(N_DRAWS - 1))).alias("draw"))
+    return AL.alias_draws(asked, tables, ["ctx_key", "draw"], DRAW_SEED, ["ctx_key"])
+
+
 # ---------------------------------------------------------------------------
 # Generation over every user turn of every conversation
 # ---------------------------------------------------------------------------
@@ -1108,6 +1157,25 @@ def q_generate_sampled(spark, sf_dir):
     return _generation(spark, sf_dir, "sample")
 
 
+N_RETURNS, RETURN_STEPS = 3, 10
+SEVERAL_SQL = SAMPLER_SQL + f""",
+{USER_PROMPTS_SQL.replace("prompts AS", "user_prompts AS")},
+prompts AS (SELECT seq_id, CAST(copy AS INTEGER) AS copy, prompt FROM user_prompts, range({N_RETURNS}) t(copy)),{LM.sql_prompt_ids("prompts", "encoded_prompts", keys="seq_id, copy")},
+{LM.sql_sampled("gen", "encoded_prompts", RETURN_STEPS, 11, 0.85, 50, 0.92, 1.2, 3, ("seq_id", "copy")).strip()},{LM.sql_generated_text("gen", "prompts", "texts", "seq_id, copy")}
+SELECT seq_id, copy, text, CAST(n_new AS INTEGER) AS n_new FROM texts JOIN (SELECT seq_id, copy, n_new FROM gen WHERE done) USING (seq_id, copy)"""
+
+
+@register("generate_several", SEVERAL_SQL)
+def q_generate_several(spark, sf_dir):
+    """G1 with several returns: three sampled continuations of every user turn."""
+    vocab, model, _ = lm_model(spark, sf_dir)
+    prompts, keys = user_prompts(spark, sf_dir), ("seq_id", "copy")
+    enc = GE.several(GE.encode_prompts(prompts, vocab, LM.NGRAM, LM.MAX_VOCAB), N_RETURNS)
+    st = GE.generate_sampled(enc, model, GE.stop_ids(vocab), 11, 0.85, 50, 0.92, 1.2, 3, RETURN_STEPS, keys)
+    out = GE.continuation_text(st, vocab, GE.several(prompts, N_RETURNS), LM.MAX_VOCAB, keys)
+    return out.join(st.select(*keys, "n_new"), list(keys))
+
+
 BEAM_WIDTH, BEAM_STEPS, BEAM_REPETITION, BEAM_NO_REPEAT = 4, 25, 1.2, 2
 BEAM_SQL = SAMPLER_SQL + f""",
 {USER_PROMPTS_SQL},{LM.sql_prompt_ids("prompts", "encoded_prompts")},
