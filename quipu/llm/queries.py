@@ -234,4 +234,28 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT * FROM r WHERE rank <= 5""",
     "op12_vector_codes": _codes_sql(),
     "op13_quality_rules": _quality_sql(),
+    "op11_importance_resampling": """
+WITH tbl AS (SELECT list(c ORDER BY i) AS steps FROM (
+  SELECT i, list_reduce(list_concat([i], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::bigint) ELSE c >> 1 END) AS c
+  FROM (SELECT i::bigint AS i FROM range(256) r(i)))),
+texts AS (SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+words AS (
+  SELECT row_number() OVER () AS row, side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+feature AS MATERIALIZED (
+  SELECT row, side, doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))])) AS f FROM words),
+distinct_f AS (SELECT f, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t, hex(encode(f)) AS h FROM feature GROUP BY f),
+crc AS MATERIALIZED (
+  SELECT f, s, t, xor(list_reduce(list_concat([4294967295::bigint], [('0x' || substr(h, 2 * i + 1, 2))::bigint for i in range(0, len(h) // 2)]),
+                            lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 10000 AS bucket FROM distinct_f, tbl),
+buckets AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM crc GROUP BY bucket),
+sums AS (SELECT sum(s)::double AS big_s, sum(t)::double AS big_t FROM buckets),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * (big_s + 10000) / ((s + 1) * (big_t + 10000))))::bigint AS g FROM buckets, sums),
+weighed AS (SELECT doc_id, count(*) AS n, sum(g) AS total FROM feature JOIN crc USING (f) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(floor(total / n), 0)::bigint AS weight,
+         ('0x' || substr(sha256('7:' || words.doc_id), 1, 8))::bigint AS h FROM words LEFT JOIN weighed USING (doc_id) WHERE side = 'd'),
+noisy AS (SELECT doc_id, n_words, n_features::bigint AS n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint AS score FROM scored),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM noisy WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM noisy LEFT JOIN ranked USING (doc_id)""",
 }
