@@ -159,6 +159,7 @@ from quipu.functions import tokens as TK  # noqa: E402
 from quipu.functions import verdict as V  # noqa: E402
 from quipu.operators import qa as QA  # noqa: E402
 from quipu.operators import term_join as TJ  # noqa: E402
+from quipu.plans import lm as LM  # noqa: E402
 from quipu.sources import readers as RD  # noqa: E402
 from quipu.sources import sinks as SK  # noqa: E402
 
@@ -282,7 +283,8 @@ def benchmark_terms(spark, sf_dir):
 
 
 def whole_posts(spark, sf_dir):
-    return X.posts(spark, sf_dir).select("post_id", T.join_title_body(F.col("title"), F.col("selftext"), "empty").alias("text"))
+    p = X.posts(spark, sf_dir).select("post_id", T.join_title_body(F.col("title"), F.col("selftext"), "empty").alias("text"))
+    return p.repartition(LM.doc_partitions(spark), "post_id")
 
 
 @register("term_table_match", f"""WITH {X.POSTS_SQL.strip()},
@@ -353,7 +355,6 @@ def q_strip_prompt(spark, sf_dir):
 # Tokens, vocabulary, encoding, windows (whole documents)
 # ---------------------------------------------------------------------------
 from quipu.operators import vocab as VO  # noqa: E402
-from quipu.plans import lm as LM  # noqa: E402
 
 LM_SQL = "WITH " + LM.sql_lm_ctes().strip()
 
@@ -382,6 +383,7 @@ def dotted_documents(spark, sf_dir):
     k = F.col("doc_id") % len(DOTS)
     put = F.element_at(F.array(*map(F.lit, DOTS)), (k + 1).cast("int"))
     text = F.replace("text", F.lit(" and "), put)
+    d = d.repartition(LM.doc_partitions(spark), "doc_id")
     return d.select(F.col("doc_id").alias("doc_key"), F.when(k == 3, F.replace(text, F.lit(". A"), F.lit(". Prof. A"))).otherwise(text).alias("text"))
 
 
