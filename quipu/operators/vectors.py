@@ -1,15 +1,14 @@
 """Word vectors: training and lookups.
 
-Lookups explode context ids, join the vector table and regroup per window.
 The vector table has one row per vocabulary entry (bounded by the vocabulary
-cap), so it is broadcast when rows x dims is under a checked budget, else
-joined by shuffle.  With windows hash-partitioned by ``doc_key`` the regroup
-on (doc_key, pos) needs no exchange.
+cap).  When rows x dims is under a checked budget it is broadcast, and each
+place of a context is looked up where it stands, without an exchange; else
+context ids are exploded, joined by shuffle and regrouped per window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_FLOATS_MAX = 64_000_000      # rows * dims (~256 MB of floats)
@@ -33,12 +32,27 @@ def train_word_vectors(docs: DataFrame, tokens_col: str = "tokens", dim: int = D
     return model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector"))
 
 
+def _fits(dim: int, max_rows: int | None) -> bool:
+    return max_rows is not None and max_rows * dim <= BROADCAST_FLOATS_MAX
+
+
 def _vector_side(vectors: DataFrame, dim: int, max_rows: int | None) -> DataFrame:
     """Vectors of ids below ``max_rows``; broadcast only if that many fit."""
     if max_rows is None:
         return vectors
     vectors = vectors.filter(F.col("token_id").between(0, max_rows - 1))
-    return F.broadcast(vectors) if max_rows * dim <= BROADCAST_FLOATS_MAX else vectors
+    return F.broadcast(vectors) if _fits(dim, max_rows) else vectors
+
+
+def _by_slot(windows: DataFrame, vectors: DataFrame, keys: list[str], width: int) -> tuple[DataFrame, list[tuple[Column, Column]]]:
+    """Each of the ``width`` context ids looked up in the broadcast table where it stands: no
+    row is exploded, moved or regrouped.  Returns the rows and (id, vector) of each place."""
+    out, found = windows.select(*keys, "ctx"), []
+    for t in range(width):
+        side = vectors.select(F.col("token_id").alias(f"_id{t}"), F.col("vector").alias(f"_v{t}"))
+        out = out.withColumn(f"_id{t}", F.get("ctx", F.lit(t))).join(side, f"_id{t}", "left")
+        found.append((F.col(f"_id{t}"), F.col(f"_v{t}")))
+    return out, found
 
 
 # --- J1 ---------------------------------------------------------------------
@@ -54,16 +68,23 @@ def _explode_ctx(windows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # --- J2 ---------------------------------------------------------------------
+def _required(token_id: Column, vector: Column) -> Column:
+    return F.when(vector.isNotNull(), vector).otherwise(
+        F.raise_error(F.concat(F.lit("no vector for id "), token_id.cast("string"))).cast("array<float>"))
+
+
 def context_vectors_flat(windows: DataFrame, id_vectors: DataFrame, dim: int,
-                         max_rows: int | None = None, keys=("doc_key", "pos")) -> DataFrame:
+                         max_rows: int | None = None, keys=("doc_key", "pos"), width: int | None = None) -> DataFrame:
     """Concatenate the vectors of each context id into one vector; an id with
-    no vector fails the job (as the reference's dictionary lookup does)."""
+    no vector fails the job (as the reference's dictionary lookup does).  With ``width``, the
+    number of ids of every context, a table that fits is looked up in place."""
     keys = list(keys)
     vec = _vector_side(id_vectors.select("token_id", "vector"), dim, max_rows)
+    if width and _fits(dim, max_rows):
+        rows, found = _by_slot(windows, vec, keys, width)
+        return rows.select(*keys, F.concat(*[_required(i, v) for i, v in found]).alias("features"))
     j = _explode_ctx(windows, keys).join(vec, "token_id", "left")
-    checked = F.when(F.col("vector").isNotNull(), F.col("vector")).otherwise(
-        F.raise_error(F.concat(F.lit("no vector for id "), F.col("token_id").cast("string")))
-        .cast("array<float>"))
+    checked = _required(F.col("token_id"), F.col("vector"))
     return j.groupBy(*keys).agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("t", checked.alias("v")))),
                               lambda s: s["v"])).alias("features"))
@@ -71,12 +92,16 @@ def context_vectors_flat(windows: DataFrame, id_vectors: DataFrame, dim: int,
 
 # --- J3 ---------------------------------------------------------------------
 def context_vectors_seq(windows: DataFrame, id_vectors: DataFrame, dim: int,
-                        max_rows: int | None = None, keys=("doc_key", "pos")) -> DataFrame:
+                        max_rows: int | None = None, keys=("doc_key", "pos"), width: int | None = None) -> DataFrame:
     """Keep the time axis: array of per-id vectors; a missing id gets a zero
-    vector of the table's dimension (``dim``)."""
+    vector of the table's dimension (``dim``).  ``width`` as in :func:`context_vectors_flat`."""
     keys = list(keys)
     vec = _vector_side(id_vectors.select("token_id", "vector"), dim, max_rows)
+    zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
+    if width and _fits(dim, max_rows):
+        rows, found = _by_slot(windows, vec, keys, width)
+        return rows.select(*keys, F.array(*[F.coalesce(v, zero) for _, v in found]).alias("steps"))
     j = _explode_ctx(windows, keys).join(vec, "token_id", "left")
-    v = F.coalesce(F.col("vector"), F.array_repeat(F.lit(0.0).cast("float"), dim))
+    v = F.coalesce(F.col("vector"), zero)
     return j.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("t", v.alias("v")))), lambda s: s["v"]).alias("steps"))

@@ -888,7 +888,7 @@ def q_context_vectors_flat(spark, sf_dir):
     n_vectors = vectors.count()
     enc = LM.lm_inputs(spark, sf_dir, max_vocab=n_vectors)[2]
     w = VO.windows(enc, LM.NGRAM)
-    f = VE.context_vectors_flat(w, vectors, 64, max_rows=n_vectors)
+    f = VE.context_vectors_flat(w, vectors, 64, max_rows=n_vectors, width=LM.NGRAM - 1)
     return f.select("doc_key", "pos", F.size("features").alias("n_features"),
                     F.round(F.col("features")[0].cast("double"), 6).alias("f_first"),
                     F.round(F.col("features")[64].cast("double"), 6).alias("f_65"),
@@ -906,7 +906,7 @@ def q_context_vectors_seq(spark, sf_dir):
     """Per-window sequence of context vectors; ids without a vector get zeros."""
     enc = LM.lm_inputs(spark, sf_dir)[2]
     w = VO.windows(enc, LM.NGRAM)
-    sq = VE.context_vectors_seq(w, id_vectors(spark, sf_dir), 64, max_rows=LM.MAX_VOCAB)
+    sq = VE.context_vectors_seq(w, id_vectors(spark, sf_dir), 64, max_rows=LM.MAX_VOCAB, width=LM.NGRAM - 1)
     zero = F.aggregate("steps", F.lit(0), lambda a, v: a + F.when(
         F.aggregate(v, F.lit(0.0), lambda b, x: b + F.abs(x.cast("double"))) == 0, 1).otherwise(0))
     return sq.select("doc_key", "pos", F.size("steps").alias("n_steps"), zero.alias("n_zero"),
