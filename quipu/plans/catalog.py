@@ -913,6 +913,37 @@ def q_context_vectors_seq(spark, sf_dir):
                      F.round(F.col("steps")[0][0].cast("double"), 6).alias("s0_first"))
 
 
+@register("one_hot", """
+SELECT vec_id, array_to_string([CASE WHEN i = label THEN 1 ELSE 0 END for i in range((SELECT max(label) + 1 FROM embeddings))], '') AS label_vec
+FROM embeddings WHERE label IS NOT NULL""")
+def q_one_hot(spark, sf_dir):
+    """The label of every vector as an indicator vector."""
+    from pyspark.ml.functions import vector_to_array
+    e = X.load(spark, sf_dir, "embeddings").filter("label is not null").select("vec_id", "label")
+    size = int(e.agg(F.coalesce(F.max("label"), F.lit(0))).first()[0]) + 1
+    v = VO.one_hot(e, "label", size)
+    return v.select("vec_id", F.array_join(F.transform(vector_to_array("label_vec"), lambda x: x.cast("int").cast("string")), "").alias("label_vec"))
+
+
+@register("predict_batch", """
+SELECT vec_id, round(1 / (1 + exp(-list_sum([x[1]::double * (x[2] % 7 - 3) for x in list_zip(embedding, range(len(embedding)))]))), 6) AS prediction
+FROM embeddings""")
+def q_predict_batch(spark, sf_dir):
+    """A user's model (here a logistic one of fixed weights) applied to every vector in batches."""
+    def make_model():
+        import numpy as np
+
+        def predict(x):
+            x = x.astype(np.float64)
+            return 1 / (1 + np.exp(-(x @ (np.arange(x.shape[1]) % 7 - 3.0))))
+        return predict
+
+    e = X.load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    dims = e.select(F.size("embedding")).first()
+    scored = GE.predict_batch(e, make_model, "embedding", shape=[dims[0] if dims else 1])
+    return scored.select("vec_id", F.round("prediction", 6).alias("prediction"))
+
+
 @register("train_word_vectors")
 def q_train_word_vectors(spark, sf_dir):
     """Skip-gram word vectors (window 5, min count 3, 100 dims) over the padded document tokens."""

@@ -17,7 +17,8 @@ FAST = ["curate_corpus", "curation_funnel", "split_ordered", "corpus_head", "cle
         "rejection_report", "attempt_summary", "numbered_list", "prompt_cycle", "boilerplate_match",
         "strip_prompt", "tokenize_words", "token_counts", "build_vocab", "encode", "decode", "ngram_windows",
         "assign_batches", "vocab_uncapped", "fit_ngram_model", "score_tokens", "eval_corpus",
-        "read_posts_jsonl", "top_p", "no_repeat_ngram", "prompt_grid", "context_vectors_seq"]
+        "read_posts_jsonl", "top_p", "no_repeat_ngram", "prompt_grid", "context_vectors_seq",
+        "prompt_random", "verdict_marked", "tokenize_chars", "clean_posts_nan", "curate_missing_files", "numbered_list_file"]
 
 
 @pytest.fixture(scope="module")
