@@ -33,6 +33,7 @@ MAX_WORD = 32          # a longer run without white space counts as words of thi
 SCALE = 100.0          # for each character, so that products stay within a double
 FLOOR = 1e-7           # the least probability of a piece, and that of a character in no piece
 CACHE = 400_000
+TOGETHER = 8_000       # words whose lattices are held together
 UND = "und"
 FOLDS = 5
 
@@ -199,20 +200,27 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", id_co
             keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row, and ``kept``, a struct of the
     columns in ``keep`` as they are."""
+    # a text that is kept as it is goes to the task once
+    carried = text_col in keep and docs.schema[text_col].dataType.simpleString() == "string"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), is_held_out(id_col).alias("held_out"),
-                       F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("kept"))
+                       *([] if carried else [F.col(text_col).cast("string").alias("text")]),
+                       F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(1)]).alias("kept"))
+
+    def with_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("text", batch.column("kept").field(text_col)) if carried else batch
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model.vocabulary)
         place: dict[str, int] = {}
         scores = np.zeros((0, len(model.languages)))
-        for batch in cut_rows(batches, "text", 4 << 20):
+        for batch in cut_rows(with_text(batches), "text", 1 << 20):
             texts = batch.column("text").to_pylist()
             words = [words_of(t) if t and any(map(str.isalpha, t)) and model.languages else [] for t in texts]
             if len(place) > CACHE:
                 place, scores = {}, scores[:0]
             new = sorted(set().union(*words) - place.keys(), key=len, reverse=True)
-            parts = [forward(new[i:i + 20_000], lattice, model.p) for i in range(0, len(new), 20_000)]
+            parts = [forward(new[i:i + TOGETHER], lattice, model.p) for i in range(0, len(new), TOGETHER)]
             place.update(zip(new, range(len(scores), len(scores) + len(new)), strict=True))
             scores = np.concatenate([scores, *parts])
             pred, score = [], []
