@@ -21,17 +21,6 @@ MIN_LEN = 20
 MAX_LEN = 400
 
 
-def stage_flags(raw: DataFrame, min_score: float = MIN_SCORE, lo: int = MIN_LEN,
-                hi: int = MAX_LEN) -> DataFrame:
-    """Per-row stage outcomes (used by the funnel and by curation itself)."""
-    cleaned = T.clean(F.col("raw_text"), "lm")
-    return (raw.withColumn("text", cleaned)
-               .withColumn("ok_score", F.coalesce(F.col("score") >= F.lit(min_score), F.lit(False)))
-               .withColumn("ok_unredacted", F.coalesce(~T.is_redacted(F.col("raw_text")), F.lit(False)))
-               .withColumn("ok_nonempty", F.col("text").isNotNull())
-               .withColumn("ok_length", F.coalesce(T.length_between(F.col("text"), lo, hi), F.lit(False))))
-
-
 def curate_raw(raw: DataFrame, names: Sequence[str], min_score: float = MIN_SCORE,
                lo: int = MIN_LEN, hi: int = MAX_LEN, max_docs: int | None = None) -> DataFrame:
     """``raw``: (doc_key, score, raw_text).  Returns (doc_key, corpus, text)."""
