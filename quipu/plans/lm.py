@@ -184,11 +184,13 @@ def sql_sampled(name: str, start: str, steps: int, seed: int, temperature: float
   h AS (SELECT {ks}, arg_max(ctx, k) AS ctx, max(k) AS k FROM (
           SELECT {ks}, CAST(k AS INTEGER) AS k, list_slice(ids, len(ids) - k + 1, len(ids)) AS ctx FROM g, range(1, {n}) t(k))
         SEMI JOIN seen USING (k, ctx) GROUP BY {ks}),
-  c AS (SELECT {ks}, 1 AS lvl, id, p FROM h JOIN following USING (k, ctx)
-        UNION ALL SELECT {ks}, 0 AS lvl, id, p FROM g, following WHERE k = 0),
-  x AS (SELECT c.*, g.n_new, list_contains(g.banned, id) AS bad, list_contains(g.ids, id) AS old FROM c JOIN g USING ({ks}) WHERE id <> 0),
-  w2 AS (SELECT *, p / sum(p) OVER (PARTITION BY {ks}) AS q FROM x JOIN (
-           SELECT {ks}, max(lvl) AS lvl FROM x WHERE NOT bad GROUP BY {ks}) USING ({ks}, lvl)),
+  c AS (SELECT {ks}, id, p FROM h JOIN following USING (k, ctx)),
+  x1 AS (SELECT c.*, g.n_new, list_contains(g.banned, id) AS bad, list_contains(g.ids, id) AS old FROM c JOIN g USING ({ks}) WHERE id <> 0),
+  able AS (SELECT DISTINCT {ks} FROM x1 WHERE NOT bad),
+  x0 AS (SELECT {ks}, id, p, n_new, list_contains(banned, id) AS bad, list_contains(ids, id) AS old
+         FROM (SELECT * FROM g ANTI JOIN able USING ({ks})), following WHERE k = 0 AND id <> 0),
+  x AS (SELECT * FROM x1 SEMI JOIN able USING ({ks}) UNION ALL SELECT * FROM x0),
+  w2 AS (SELECT *, p / sum(p) OVER (PARTITION BY {ks}) AS q FROM x),
   w5 AS (SELECT * REPLACE ({share} AS q) FROM (SELECT * REPLACE (CASE WHEN old THEN pow(q, {repetition}) ELSE q END AS q) FROM w2)),
   w6 AS (SELECT * REPLACE ({share} AS q) FROM w5 WHERE NOT bad),
   w1 AS (SELECT * REPLACE ({share} AS q) FROM (SELECT * REPLACE (exp(ln(q + 1e-8) / {temperature}) AS q) FROM w6)),
@@ -216,11 +218,13 @@ def sql_beam(name: str, start: str, width: int, steps: int, repetition: float, n
   h AS (SELECT seq_id, beam, arg_max(ctx, k) AS ctx, max(k) AS k FROM (
           SELECT seq_id, beam, CAST(k AS INTEGER) AS k, list_slice(ids, len(ids) - k + 1, len(ids)) AS ctx FROM a, range(1, {n}) t(k))
         SEMI JOIN seen USING (k, ctx) GROUP BY seq_id, beam),
-  c AS (SELECT seq_id, beam, 1 AS lvl, id, p FROM h JOIN following USING (k, ctx)
-        UNION ALL SELECT seq_id, beam, 0 AS lvl, id, p FROM a, following WHERE k = 0),
-  x AS (SELECT seq_id, beam, lvl, id, {penalized} AS lp FROM c JOIN a USING (seq_id, beam) WHERE NOT list_contains(banned, id)),
-  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, beam ORDER BY lvl DESC, lp DESC, id) AS r,
-                                 max(lvl) OVER (PARTITION BY seq_id, beam) AS top FROM x) WHERE r <= {width} AND lvl = top),
+  c AS (SELECT seq_id, beam, id, p FROM h JOIN following USING (k, ctx)),
+  x1 AS (SELECT seq_id, beam, id, {penalized} AS lp FROM c JOIN a USING (seq_id, beam) WHERE NOT list_contains(banned, id)),
+  able AS (SELECT DISTINCT seq_id, beam FROM x1),
+  x0 AS (SELECT seq_id, beam, id, {penalized} AS lp FROM (SELECT * FROM a ANTI JOIN able USING (seq_id, beam)), following
+         WHERE k = 0 AND NOT list_contains(banned, id)),
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, beam ORDER BY lp DESC, id) AS r
+                          FROM (SELECT * FROM x1 UNION ALL SELECT * FROM x0)) WHERE r <= {width}),
   grown AS (SELECT a.seq_id, a.step, a.beam, a.n_prompt, a.ids, a.n_new, a.score + coalesce(lp, 0) AS score, id AS next_id,
                    id IS NULL OR list_contains((SELECT l FROM stops), id) AS stop FROM a LEFT JOIN best USING (seq_id, beam)),
   pool AS (SELECT seq_id, step, beam AS parent, NULL::integer AS next_id, ids, n_prompt, n_new, score, done FROM now WHERE done
