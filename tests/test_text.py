@@ -82,3 +82,19 @@ def test_verdict_rule_order(spark):
 def test_ends_with_punctuation_strips_unicode_space(spark):
     assert one(spark, T.ends_with_punctuation, "done!  ") is True
     assert one(spark, T.ends_with_punctuation, "   ") is False
+
+
+def test_cleaning_drops_the_same_characters_by_look_up_classes(spark):
+    """Java tests a negated class of ranges at about a microsecond a character: what is
+    dropped is written as Latin-1 singles and a guarded rest, which match the same."""
+    import re
+    for latin, others in (T.DROP_ASCII, T.DROP_ASCII_LOWER):
+        assert re.fullmatch(r"\[(\\x[0-9a-f]{2})+\]", latin) and others.startswith(r"(?=[^\x00-\xff])")
+    codes = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    s = "".join(f"a{chr(c)}" for c in codes)
+    df = spark.createDataFrame([(s,)], "s string")
+    ws = F.trim(F.regexp_replace("s", T.WS + "+", " "))
+    row = df.select(T.keep_ascii_text(F.col("s")) == F.regexp_replace("s", T.KEEP_ASCII_PATTERN, ""),
+                    T.blank_non_ascii_text(F.col("s")) == F.regexp_replace("s", T.KEEP_ASCII_LOWER_PATTERN, " "),
+                    T.collapse_ws(F.col("s")) == ws).first()
+    assert all(row)
