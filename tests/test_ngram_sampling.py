@@ -99,3 +99,25 @@ def test_salted_scoring_equals_plain(spark):
     assert plain.keys() == salted.keys()
     for key, (p, pred) in plain.items():
         assert math.isclose(p, salted[key][0], rel_tol=1e-12) and pred == salted[key][1]
+
+
+def test_fit_shuffles_its_windows_once_and_writes_one_table(spark):
+    """All orders agree with counts by hand, for contexts that pack and that don't, and the
+    pinned table is read by its bucket column without an exchange."""
+    from collections import Counter
+    docs = [[2, 2, 3, 4, 5, 3, 4, 5], [2, 3, 4, 3, 4, 5, 5], [1, 2, 3, 4]]
+    encoded = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "doc_key long, ids array<int>")
+    wanted = Counter()
+    for d in docs:
+        for i in range(3, len(d)):
+            wanted.update((k, tuple(d[i - k:i]), d[i]) for k in range(4))
+    for size in (8, 1 << 40):
+        m = NG.fit_ngram_model(VO.windows(encoded, 4), 4, size)
+        rows = m.table().collect()
+        assert {(r["k"], tuple(r["ctx"]), r["label"]): r["n"] for r in rows} == wanted and len(rows) == len(wanted)
+        for r in rows:
+            mine = {x: n for (k, c, x), n in wanted.items() if (k, c) == (r["k"], tuple(r["ctx"]))}
+            assert r["ctx_n"] == sum(mine.values()) and r["best"] == min(mine, key=lambda x: (-mine[x], x))
+        assert m.contexts.count() == len({(k, c) for k, c, _ in wanted})
+        plan = m.rows.groupBy("home").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
