@@ -45,9 +45,10 @@ def alias_tables(counts: DataFrame, keys: Sequence[str] = ("k", "ctx"), id_col:
     order = W.partitionBy(*keys).orderBy("place", "heavy", "nth")
     upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("place", place).withColumn("by", F.count_if("heavy").over(upto) + 1)
-    # the first light whose sum passes a heavy's: the next light in the order of the sums after them
-    passed = W.partitionBy(*keys).orderBy("sum", "heavy", "nth").rowsBetween(1, W.unboundedFollowing)
-    rows = rows.withColumn("passed", F.first(F.when(~F.col("heavy"), F.col("sum")), ignorenulls=True).over(passed))
+    # the first light whose sum passes a heavy's: the next light in the order of the sums after them,
+    # which is the last one before it in the order turned round (a frame that only grows)
+    passed = W.partitionBy(*keys).orderBy(F.desc("sum"), F.desc("heavy"), F.desc("nth")).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("passed", F.last(F.when(~F.col("heavy"), F.col("sum")), ignorenulls=True).over(passed))
     used = F.col("heavy") & F.col("passed").isNotNull()
     wants = F.when(~F.col("heavy"), F.col("by")).when(used, F.col("nth") + 1)
     threshold = (F.when(~F.col("heavy"), F.col("m") * F.col("w")).when(used, F.col("total") + F.col("sum") - F.col("passed"))

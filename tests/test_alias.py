@@ -43,3 +43,10 @@ def test_draws_follow_the_distribution(spark):
         assert abs(got[1, label] / 20000 - share) < 0.015
     again = AL.alias_draws(asked.repartition(7), tables, ["id", "k"], seed=3)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_no_frame_shrinks_towards_its_end(spark):
+    """A frame from the next row to the last is read again for every row: quadratic in a context."""
+    counts = spark.createDataFrame([("a", i, 1 + i % 7) for i in range(50)], "ctx string, label int, n long")
+    plan = AL.alias_tables(counts, ["ctx"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe(RowFrame, 1, unboundedfollowing" not in plan
