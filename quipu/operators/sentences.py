@@ -15,8 +15,6 @@ pair; each document's few inner periods then come back to its text by its key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +26,7 @@ from quipu.operators import corpus as C
 ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 ALWAYS = 0.99               # a true abbreviation's chance of its period
 BROADCAST_PAIRS = 1_000_000
+BEFORE, BEHIND = "\"'([{“‘«", "\"')]}”’»"
 AROUND = "^[\"'(\\[{“‘«]+|[\"')\\]}”’»]+$"
 NUMBER, NUMBER_TYPE = "^[+-]?[0-9][0-9.,]*$", "##number##"
 INNER = ""            # stands for a period that doesn't end a sentence
@@ -41,32 +40,41 @@ def blank_tokens(text: Column) -> Column:
 
 def core(token: Column) -> Column:
     """Without the quotes and brackets around it."""
-    return F.regexp_replace(token, AROUND, "")
+    return F.rtrim(F.ltrim(token, F.lit(BEFORE)), F.lit(BEHIND))
 
 
 def type_of(word: Column) -> Column:
     """Lowercased, without its last period; numbers are one type."""
-    bare = F.lower(F.regexp_replace(word, r"\.$", ""))
-    return F.when(F.regexp_like(bare, F.lit(NUMBER)), F.lit(NUMBER_TYPE)).otherwise(bare)
+    bare = F.lower(F.when(F.endswith(word, F.lit(".")), F.left(word, F.char_length(word) - 1)).otherwise(word))
+    # what begins a number sorts before a colon
+    return F.when((bare < ":") & F.regexp_like(bare, F.lit(NUMBER)), F.lit(NUMBER_TYPE)).otherwise(bare)
 
 
-def _pairs(docs: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
-    """(keys, pos, word, next): every word without what surrounds it, and the word after it."""
-    words = F.transform(blank_tokens(F.col(text_col)), core)
-    held = docs.select(*keys, F.inline(F.array(F.struct(words.alias("words")))))
-    each = held.select(*keys, "words", F.posexplode_outer("words").alias("pos", "word")).filter(F.col("pos").isNotNull())
-    return each.select(*keys, "pos", "word", F.get("words", F.col("pos") + 1).alias("next"))
+def _starts(word: Column, first: str, last: str, pattern: str) -> Column:
+    """Whether a word starts with a letter of a class; an ASCII one is told by its place."""
+    return F.when(word < "\u0080", (word >= first) & (word < chr(ord(last) + 1))).otherwise(F.regexp_like(word, F.lit(pattern)))
+
+
+def _capital(word: Column) -> Column:
+    return _starts(word, "A", "Z", r"^\p{Lu}")
+
+
+def _strong(word: Column) -> Column:
+    return F.endswith(word, F.lit("!")) | F.endswith(word, F.lit("?"))
 
 
 def pair_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(type, low, dot, strong, next, next_cap, n): how often a type, written with a small
     letter or not, with a period or a strong mark after it, comes before a type, capitalized
     or not (null at the end of a text)."""
-    p = _pairs(docs.select(text_col), [], text_col)
+    words = F.transform(blank_tokens(F.col(text_col)), core)
+    held = docs.select(F.inline(F.array(F.struct(words.alias("words")))))
+    each = held.select("words", F.posexplode_outer("words").alias("pos", "word")).filter(F.col("pos").isNotNull())
+    p = each.select("word", F.get("words", F.col("pos") + 1).alias("next"))
     word, after = F.col("word"), F.col("next")
     return p.select(
-        type_of(word).alias("type"), F.regexp_like(word, F.lit(r"^\p{Ll}")).alias("low"), F.endswith(word, F.lit(".")).alias("dot"),
-        F.regexp_like(word, F.lit("[!?]$")).alias("strong"), type_of(after).alias("next"), F.regexp_like(after, F.lit(r"^\p{Lu}")).alias("next_cap"),
+        type_of(word).alias("type"), _starts(word, "a", "z", r"^\p{Ll}").alias("low"), F.endswith(word, F.lit(".")).alias("dot"),
+        _strong(word).alias("strong"), type_of(after).alias("next"), _capital(after).alias("next_cap"),
     ).groupBy("type", "low", "dot", "strong", "next", "next_cap").agg(F.count("*").alias("n"))
 
 
@@ -97,7 +105,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> SentenceModel:
     n, dot = F.col("n"), F.col("dot")
     counts = pairs.groupBy("type").agg(F.sum("n").alias("n"), F.sum(F.when(dot, n).otherwise(0)).alias("n_dot"),
                                        F.sum(F.when(F.col("low"), n).otherwise(0)).alias("n_low"))
-    total, dots = (pairs.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(dot, n)), F.lit(0))).first())
+    counts = C.pin_table(counts, "type-counts")
+    total, dots = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_dot"), F.lit(0))).first()
     p = F.lit(min(max(dots / total if total else 0.0, 1e-9), 1 - 1e-9))
     bare = F.col("n") - F.col("n_dot")
     inside = F.char_length("type") - F.char_length(F.replace("type", F.lit("."), F.lit("")))
@@ -106,13 +115,15 @@ def learn(docs: DataFrame, text_col: str = "text") -> SentenceModel:
     score = ratio * F.exp(-size) * (inside + 1) * F.exp(-bare * F.log(F.greatest(size, F.lit(1))))
     scored = F.when((F.col("n_dot") > 0) & F.regexp_like("type", F.lit(r"\p{L}")), score).otherwise(F.lit(0.0))
     types = counts.select("*", scored.alias("score")).withColumn("is_abbreviation", F.col("score") >= ABBREVIATION)
-    types = C.pin_table(types, "types")
 
-    short = types.filter("is_abbreviation").select("type", F.lit(True).alias("abbreviation"))
-    marked = C.pin_table(pairs.join(short, "type", "left").withColumn("abbreviation", F.coalesce("abbreviation", F.lit(False))), "marked-pairs")
+    # few types are abbreviations: the pairs are read in place and never written again
+    short = C.pin_table(types.filter("is_abbreviation").select("type", F.lit(True).alias("abbreviation")), "abbreviations")
+    short = F.broadcast(short) if short.count() <= BROADCAST_PAIRS else short
+    marked = pairs.join(short, "type", "left").withColumn("abbreviation", F.coalesce("abbreviation", F.lit(False)))
     ends = F.col("strong") | (F.col("dot") & ~F.col("abbreviation"))
     after = marked.filter("next is not null").groupBy(F.col("next").alias("type")).agg(
         F.sum(F.when(ends, n).otherwise(0)).alias("n_after"), F.sum(F.when(~ends & F.col("next_cap"), n).otherwise(0)).alias("n_upper"))
+    after = C.pin_table(after, "follows")
     breaks = F.lit(int(after.agg(F.coalesce(F.sum("n_after"), F.lit(0))).first()[0]))
     whole = F.lit(int(total))
     likely = _dunning(F.col("n_after"), breaks, F.col("n"), whole)
@@ -120,7 +131,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> SentenceModel:
     starters = types.select("type", "n", "n_low").join(after, "type").withColumn("ratio", F.when(starts, likely).otherwise(F.lit(0.0)))
     starters = C.pin_table(starters.withColumn("is_starter", F.col("ratio") >= STARTER), "starters")
 
-    joint = marked.filter("dot and abbreviation and next is not null").groupBy("type", "next").agg(F.sum("n").alias("n"))
+    seen = C.pin_table(marked.filter("dot and abbreviation and next is not null").groupBy("type", "next", "next_cap").agg(F.sum("n").alias("n")), "seen-pairs")
+    joint = seen.groupBy("type", "next").agg(F.sum("n").alias("n"))
     joint = (joint.join(types.select("type", F.col("n_dot").alias("n_first")), "type")
              .join(starters.select(F.col("type").alias("next"), F.col("n").alias("n_second"), "is_starter"), "next"))
     fast = (F.col("n") > 1) & (F.col("n") / F.col("n_first") > F.col("n_second") / whole) & ~F.col("is_starter")
@@ -128,8 +140,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> SentenceModel:
     collocations = joint.select("type", "next", "n", likely.alias("ratio")).withColumn("is_collocation", F.col("ratio") >= COLLOCATION)
     collocations = C.pin_table(collocations, "collocations")
 
-    seen = marked.filter("dot and abbreviation and next is not null").select("type", "next", "next_cap").distinct()
-    seen = (seen.join(collocations.select("type", "next", "is_collocation"), ["type", "next"])
+    seen = (seen.select("type", "next", "next_cap").join(collocations.select("type", "next", "is_collocation"), ["type", "next"])
             .join(starters.select(F.col("type").alias("next"), "is_starter", "n_low", "n_upper"), "next"))
     begins = F.col("next_cap") & (F.col("is_starter") | ((F.col("n_low") > 0) & (F.col("n_upper") == 0)))
     inner = C.pin_table(seen.filter(F.col("is_collocation") | ~begins).select("type", "next", "next_cap"), "inner-periods")
@@ -139,12 +150,14 @@ def learn(docs: DataFrame, text_col: str = "text") -> SentenceModel:
 def _with_inner(docs: DataFrame, model: SentenceModel, key: str, text_col: str) -> DataFrame:
     """(key, tokens, inner): the words between white space, and the places of those whose period
     doesn't end a sentence."""
-    pairs = _pairs(docs, [key], text_col).filter(F.endswith("word", F.lit(".")) & F.col("next").isNotNull())
-    met = pairs.select(key, "pos", type_of(F.col("word")).alias("type"), type_of(F.col("next")).alias("next"),
-                       F.regexp_like("next", F.lit(r"^\p{Lu}")).alias("next_cap"))
+    held = docs.select(key, F.inline(F.array(F.struct(blank_tokens(F.coalesce(text_col, F.lit(""))).alias("tokens")))))
+    dotted = F.array_compact(F.transform("tokens", lambda x, i: F.when(F.endswith(core(x), F.lit(".")), i)))
+    spots = held.select(key, "tokens", F.explode_outer(dotted).alias("pos")).filter(F.col("pos").isNotNull())
+    pairs = spots.select(key, "pos", core(F.get("tokens", F.col("pos"))).alias("word"), core(F.get("tokens", F.col("pos") + 1)).alias("next"))
+    met = pairs.filter(F.col("next").isNotNull()).select(key, "pos", type_of(F.col("word")).alias("type"), type_of(F.col("next")).alias("next"),
+                                                         _capital(F.col("next")).alias("next_cap"))
     side = F.broadcast(model.inner) if model.inner.count() <= BROADCAST_PAIRS else model.inner
     places = met.join(side, ["type", "next", "next_cap"]).groupBy(key).agg(F.collect_list("pos").alias("inner"))
-    held = docs.select(key, F.inline(F.array(F.struct(blank_tokens(F.coalesce(text_col, F.lit(""))).alias("tokens")))))
     return held.join(places, key, "left").select(key, "tokens", F.coalesce("inner", F.array().cast("array<int>")).alias("inner"))
 
 
@@ -152,13 +165,14 @@ def split_sentences(docs: DataFrame, model: SentenceModel, key: str = "doc_key",
     """(key, sentences array<string>): each text cut after words that end a sentence (a period
     that isn't inner, ``!`` or ``?``), words joined by one space.  A text without words, or a null
     one, has no sentences.  ``key`` tells the rows apart."""
-    def mark(x: Column, i: Column) -> Column:
-        word = core(x)
-        ends = F.regexp_like(word, F.lit("[!?]$")) | (F.endswith(word, F.lit(".")) & ~F.array_contains("inner", i))
-        return F.concat(x, F.when(ends, F.lit("\n")).otherwise(F.lit(" ")))
+    def ends(word: Column, i: Column) -> Column:
+        return _strong(word) | (F.endswith(word, F.lit(".")) & ~F.array_contains("inner", i))
+
+    def mark(x: Column, end: Column) -> Column:
+        return F.concat(x, F.when(end, F.lit("\n")).otherwise(F.lit(" ")))
 
     rows = _with_inner(docs, model, key, text_col)
-    marked = F.array_join(F.transform("tokens", mark), "")
+    marked = F.array_join(F.zip_with("tokens", F.transform(F.transform("tokens", core), ends), mark), "")
     return rows.select(key, F.transform(F.filter(F.split(marked, "\n"), lambda x: F.trim(x) != ""), lambda x: F.trim(x)).alias("sentences"))
 
 

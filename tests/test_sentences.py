@@ -53,3 +53,25 @@ def test_empty_corpus(spark):
     docs = spark.createDataFrame([], "doc_key long, text string")
     model = SE.learn(docs)
     assert SE.split_sentences(docs, model).collect() == [] and model.types.count() == 0
+
+
+def test_pairs_are_written_once(corpus, monkeypatch):
+    """The table of pairs, the large one, is neither written again nor shuffled by type to be marked."""
+    written = []
+    pin = SE.C.pin_table
+    monkeypatch.setattr(SE.C, "pin_table", lambda df, name: written.append((name, df.columns)) or pin(df, name))
+    SE.learn(corpus[1])
+    assert [name for name, columns in written if "strong" in columns] == ["pair-counts"]
+
+
+def test_words_are_told_apart_without_patterns(spark):
+    """Bare words, types and capitals as the patterns give them."""
+    from pyspark.sql import functions as F
+    words = ["\"'Hi.\"", "(12,5)", "+3.", "-x", "12a", "Éa.", "éa", "'“«”", "", "!?", "a.b.", ".", "“Ünder”", "9:", "ǅ", "7."]
+    rows = spark.createDataFrame([(w,) for w in words], "w string")
+    bare = F.regexp_replace("w", SE.AROUND, "")
+    low = F.lower(F.regexp_replace(bare, r"\.$", ""))
+    old = rows.select("w", bare, F.when(F.regexp_like(low, F.lit(SE.NUMBER)), F.lit(SE.NUMBER_TYPE)).otherwise(low), F.regexp_like("w", F.lit(r"^\p{Lu}")),
+                      F.regexp_like("w", F.lit(r"^\p{Ll}")))
+    new = rows.select("w", SE.core(F.col("w")), SE.type_of(SE.core(F.col("w"))), SE._capital(F.col("w")), SE._starts(F.col("w"), "a", "z", r"^\p{Ll}"))
+    assert list(map(tuple, new.collect())) == list(map(tuple, old.collect()))
