@@ -50,3 +50,12 @@ def test_large_table_without_nested_loop(spark):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert sorted(r["id"] for r in keys.collect()) == [i for i in range(3000) if i % 3 == 0 and i * 71 < 200_000]
+
+
+def test_grams_are_not_rows(spark):
+    """Only grams that pass the bitmap become rows: no row for each character of a text."""
+    texts = spark.createDataFrame([(1, "some needle here"), (2, "x" * 1000)], "id long, text string")
+    terms = spark.createDataFrame([("needle",)], "term string")
+    found = TJ.term_matches(texts, terms, "id")
+    assert "sequence(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, "needle")]
