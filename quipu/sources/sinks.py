@@ -38,8 +38,12 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_training_shards(batched: DataFrame, path: str, mode: str = "overwrite",
-                          shards: int | None = None) -> None:
+                          shards: int | None = None, placed: bool = False) -> None:
     """K4: samples with ``batch_id`` written once, range-partitioned by batch so
-    every batch sits in one file region and shards are in batch order."""
+    every batch sits in one file region and shards are in batch order.  ``placed``: the
+    partitions are the shards already, in order (``assign_batches`` with ``shards``)."""
+    if placed:
+        batched.write.mode(mode).parquet(path)
+        return
     df = batched.repartitionByRange(shards, "batch_id") if shards else batched.repartitionByRange("batch_id")
     df.sortWithinPartitions("batch_id", "sample_idx").write.mode(mode).parquet(path)

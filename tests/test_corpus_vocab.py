@@ -82,3 +82,27 @@ def test_decode_keeps_documents_without_words(spark):
     enc = spark.createDataFrame([(1, 7, [2, 3]), (2, 7, [2, 2]), (3, 7, [])], "x long, y long, ids array<int>")
     got = {(r["x"], r["y"]): r["text"] for r in VO.decode(enc, vocab, key_col=["x", "y"]).collect()}
     assert got == {(1, 7): "a", (2, 7): "", (3, 7): ""}
+
+
+def test_batches_placed_in_shards(spark):
+    """With shards the same windows come in partitions of whole batches, in order, and no window
+    is shuffled; documents longer than a shard are cut."""
+    from pyspark.sql import functions as F
+
+    from quipu.operators import vocab as VO
+    rows = [(i, list(range(i, i + n))) for i, n in enumerate([3, 200, 0, 5, 4, 61, 7, 90, 6])] + [(50, None)]
+    enc = spark.createDataFrame(rows, "doc_key long, ids array<int>").repartition(3)
+    want = sorted(map(tuple, VO.assign_batches(enc, 4, 8).collect()))
+    placed = VO.assign_batches(enc, 4, 8, shards=5)
+    assert sorted(map(tuple, placed.collect())) == want
+    found = placed.withColumn("p", F.spark_partition_id()).collect()
+    assert [r["sample_idx"] for r in sorted(found, key=lambda r: r["p"])] == list(range(len(want)))
+    assert len({(r["p"], r["batch_id"]) for r in found}) == len({r["batch_id"] for r in found}) and len({r["p"] for r in found}) > 1
+
+
+def test_texts_are_tokenized_once(spark):
+    """What follows the tokens reads them from a table and regroups documents in place."""
+    from quipu.plans import lm as LM
+    _, _, encoded = LM.lm_inputs(spark, "/root/testdata/sf0.001")
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and "Exchange hashpartitioning" not in plan
