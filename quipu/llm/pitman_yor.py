@@ -39,7 +39,8 @@ from quipu.llm.common import U64, byte_list, cut_rows, groups_of, mix64
 from quipu.llm.span_dedup import word_hashes
 from quipu.operators.corpus import pin_table
 
-BLOCK, CHUNK = 1_250_000, 2_000_000   # tokens; a task's memory follows them
+BLOCK, CHUNK = 1_250_000, 1_600_000   # tokens; a task's memory follows them
+LEVEL = 9                       # of compression
 HOT = 1000                      # least count in a block of a context whose pairs are dealt apart
 SINGLE = 32
 DISCOUNT, STRENGTH = 0.8, 1.0   # of the contexts
@@ -54,7 +55,7 @@ _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 def squeeze(x: np.ndarray) -> bytes:
     """Numbers as bytes, plane by plane, compressed."""
     x = np.ascontiguousarray(x)
-    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
+    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), LEVEL)
 
 
 def unsqueeze(data: bytes, dtype: str) -> np.ndarray:
@@ -467,7 +468,8 @@ def score_documents(docs: DataFrame, held_out: Column, burn_in: int = 2, samples
     ``docs``.  ``held_out``, a condition on doc_id, tells what is not learned from."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out)
     index = pin_table(rows.mapInArrow(_index, _ROW), "index")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(index.agg(F.sum("n")).first()[0] or 0) // CHUNK))
+    # chunks follow the tokens alone: messages are a row for each two parts
+    parts = max(1, -(-(index.agg(F.sum("n")).first()[0] or 0) // CHUNK))
 
     def dealt(*tables: DataFrame) -> DataFrame:
         out = tables[0]

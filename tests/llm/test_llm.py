@@ -394,3 +394,17 @@ def test_pipeline(docs, spark, tmp_path):
     cut = {r["doc_id"]: (r["text"], r["n_chars"]) for r in got["span_dedup"].collect()}
     assert cut.keys() == kept.keys() and all(len(t) == n for t, n in cut.values() if t != source)
     assert {r["doc_id"] for r in got["packing"].collect()} == kept.keys()
+
+
+def test_pitman_yor_chunks_follow_the_tokens(spark):
+    """The number of shuffle partitions changes neither the chunks nor the scores."""
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 17}" for j in range(1, 30))) for i in range(60)], "doc_id long, text string").repartition(2).cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("2", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(sorted((r["doc_id"], round(r["score"], 9)) for r in pitman_yor.score_documents(rows, F.col("doc_id") % 7 == 2).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
