@@ -15,8 +15,9 @@ chunks by the hash of their context; the pairs of a context that is frequent in
 ``hot`` one) are dealt by both words, and its table count is summed by Spark once a sweep.
 The parent is dealt by word.  In a sweep, a chunk sends its tables of each word to the parent,
 which sums and seats them and sends its own counts back; a pair that occurs once has one table
-for good, so only words of repeated pairs travel.  At the end each block gets the counts of
-the pairs and words that it asked for.  All that travels is packed, a row for each two parts.
+for good, so only words of repeated pairs travel.  What no sweep changes is written once, and a
+sweep writes its seats alone.  At the end each block gets the counts of the pairs and words that
+it asked for.  All that travels is packed, a row for each two parts.
 
 Defined results: null text is empty (its end is one token); rows of a null id are scored, never
 learned from, and their held_out is null; repeated rows are learned from and scored again;
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm.common import U64, byte_list, cut_rows, groups_of, mix64
 from quipu.llm.span_dedup import word_hashes
-from quipu.operators.corpus import pin_table
+from quipu.operators.corpus import fresh_path, pin_table
 
 BLOCK, CHUNK = 1_250_000, 1_600_000   # tokens; a task's memory follows them
 LEVEL = 9                       # of compression
@@ -47,24 +48,32 @@ DISCOUNT, STRENGTH = 0.8, 1.0   # of the contexts
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
 END = 0x2545F4914F6CDD1D        # stands for the end of a document
 START = 0x6A09E667F3BCC909      # the context of its first word
-STATE, MESSAGE, ASKED, CUSTOMERS, TABLES, ROOT = range(6)
+STATE, MESSAGE, ASKED, CUSTOMERS, TABLES, ROOT, SEATS = range(7)
+ASCENDING = {"u", "at", "ids"}   # arrays of places that mostly ascend
 _ROW = "part long, kind int, src long, n long, data binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def squeeze(x: np.ndarray) -> bytes:
-    """Numbers as bytes, plane by plane, compressed."""
-    x = np.ascontiguousarray(x)
+def squeeze(x: np.ndarray, steps: bool = False) -> bytes:
+    """Numbers, or the steps between them, as bytes, plane by plane, compressed."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if steps else np.ascontiguousarray(x)
     return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), LEVEL)
 
 
-def unsqueeze(data: bytes, dtype: str) -> np.ndarray:
+def unsqueeze(data: bytes, dtype: str, steps: bool = False) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+    x = np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+    return np.cumsum(x, dtype=x.dtype) if steps else x
+
+
+def in_steps(name: str, kind: str) -> bool:
+    """Whether steps are the smaller form: for places in order, and for hashes, which are in
+    order among words that are equally frequent."""
+    return name in ASCENDING or kind == "<u8"
 
 
 def pack(**arrays: np.ndarray) -> bytes:
-    body = {k: (x.dtype.str, squeeze(x)) for k, x in arrays.items()}
+    body = {k: (x.dtype.str, squeeze(x, in_steps(k, x.dtype.str))) for k, x in arrays.items()}
     head = json.dumps([[k, kind, len(z)] for k, (kind, z) in body.items()]).encode()
     return len(head).to_bytes(4, "little") + head + b"".join(z for _, z in body.values())
 
@@ -73,7 +82,7 @@ def unpack(data: bytes) -> dict[str, np.ndarray]:
     at = 4 + int.from_bytes(data[:4], "little")
     out = {}
     for name, kind, size in json.loads(data[4:at]):
-        out[name] = unsqueeze(data[at:at + size], kind)
+        out[name] = unsqueeze(data[at:at + size], kind, in_steps(name, kind))
         at += size
     return out
 
@@ -90,6 +99,23 @@ def small(x: np.ndarray) -> np.ndarray:
     return x.astype("<u4") if not len(x) or x.max() < 1 << 32 else x.astype("<u8")
 
 
+def small_changes(samples: dict[int, np.ndarray], name: str) -> dict[str, np.ndarray]:
+    """Samples of the same counts: the first one, then changes, with signs in the lowest bit."""
+    out, last = {}, 0
+    for s, x in samples.items():
+        change = x.astype(np.int64) - last
+        out[f"{name}{s}"], last = small(change << 1 ^ change >> 63), x.astype(np.int64)
+    return out
+
+
+def from_changes(arrays: dict[str, np.ndarray], name: str, sweeps: Iterable[int]) -> dict[int, np.ndarray]:
+    out, last = {}, 0
+    for s in sweeps:
+        x = arrays[f"{name}{s}"].astype(np.int64)
+        out[s] = last = last + (x >> 1 ^ -(x & 1))
+    return out
+
+
 def _row(part: int, kind: int, src: int, n: int = 0, data: bytes | None = None) -> tuple:
     return int(part), kind, int(src), int(n), data
 
@@ -195,8 +221,12 @@ class Pairs:
         before = np.append(n, codes[:-1])
         before[np.cumsum(sizes) - sizes] = n
         self.names = np.append(block["words"], U64(START))
-        keys, self.of = np.unique(before * n + codes, return_inverse=True)
-        self.context, self.word = keys // n, keys % n
+        # a context's words in the order of their hashes, as in the chunks
+        order = np.argsort(block["words"])
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        keys, self.of = np.unique(before * n + rank[codes], return_inverse=True)
+        self.context, self.word = keys // n, order[keys % n]
         self.count = counted(self.of[np.repeat(block["held"] == 0, sizes)], len(keys))
         key = self.names[self.context]
         apart = np.isin(self.names, hot)[self.context]
@@ -269,22 +299,23 @@ def _gather_contexts(batches: Iterable[pa.RecordBatch], hot: np.ndarray, parts:
                     yield _row(part, MESSAGE, chunk, 0, pack(w=words[np.append(mine, rest)], fixed=small(fixed[np.append(mine, rest)]),
                                                              tables=small(tables[look[mine]])))
             yield _row(chunk, STATE, 0, 0, pack(u=small(context[many]), w=small(look[word[many]]), count=small(total[many]),
-                                                tables=np.ones(int(many.sum()), "<u4"), total=np.zeros(int(many.sum()), "<u4"),
                                                 once=small(once), share=small(share), to=small(to[sent])))
+            yield _row(chunk, SEATS, 0, 0, pack(tables=np.ones(int(many.sum()), "<u4")))
+            number = number[entry]
             yield _row(chunk, ASKED, 0, 0, pack(
                 block=np.array([src for src, _ in found[MESSAGE]], "<i8"), n=small(joined(np.array([x["n"].sum()]) for x in asks)),
-                number=small(number[entry]), n_u=np.array([len(x["u"]) for x in asks], "<u4"), u=small(u), customers=small(customers)))
+                kinds=np.minimum(number, 2).astype("u1"), ids=small(number[number > 1]), n_u=np.array([len(x["u"]) for x in asks], "<u4"), u=small(u), customers=small(customers)))
             yield from _shares(chunk, CUSTOMERS, share, customers, len(hot))
             yield from _shares(chunk, TABLES, share, once + counted(context[many], len(contexts)), len(hot))
 
     yield from _batches(rows())
 
 
-def _reply(part: int, x: dict[str, np.ndarray], customers: np.ndarray) -> Iterator[tuple]:
+def _reply(part: int, x: dict[str, np.ndarray], customers: np.ndarray, root: np.ndarray) -> Iterator[tuple]:
     """What the parent holds of the words, to each chunk that sends tables of them."""
     for chunk, at in zip(x["chunk"].tolist(), np.split(x["at"], np.cumsum(x["n"])[:-1].astype(int)), strict=False):
         if len(at):
-            yield _row(chunk, MESSAGE, part, 0, pack(customers=small(customers[at]), tables=x["root"][at]))
+            yield _row(chunk, MESSAGE, part, 0, pack(customers=small(customers[at]), tables=root[at]))
 
 
 def _gather_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,12 +329,14 @@ def _gather_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             fixed = counted(joined(at), len(words), joined(x["fixed"] for _, x in sent))
             route = [a[:len(x["tables"])] for a, (_, x) in zip(at, sent, strict=True)]
             customers = fixed + counted(joined(route), len(words), joined(x["tables"] for _, x in sent))
-            state = {"known": small(known), "fixed": small(fixed), "root": (known > 0).astype("<u4"),
+            root = (known > 0).astype("<u4")
+            state = {"known": small(known), "fixed": small(fixed),
                      "chunk": np.array([src for src, _ in sent], "<i8"), "n": np.array([len(r) for r in route], "<u4"), "at": small(joined(route))}
             yield _row(part, STATE, 0, 0, pack(**state))
+            yield _row(part, SEATS, 0, 0, pack(root=root))
             yield _row(part, ASKED, 0, 0, pack(block=np.array([src for src, _ in found[ASKED]], "<i8"),
                                                n=np.array([len(x["w"]) for x in asks], "<u4"), at=small(w)))
-            yield from _reply(part, state, customers)
+            yield from _reply(part, state, customers, root)
             yield _row(part, ROOT, 0, np.count_nonzero(known))
             yield _row(part, ROOT, 1, np.count_nonzero(known))
 
@@ -362,20 +395,17 @@ class Totals:
 
 
 def _seat_contexts(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, keep: bool, seed: int) -> Iterator[pa.RecordBatch]:
-    """Seat all repeated pairs of each chunk again.  With ``keep``, the new state is a sample."""
+    """Seat all repeated pairs of each chunk again.  With ``keep``, the new seats are a sample."""
     def rows() -> Iterator[tuple]:
         for chunk, found in _parts(batches):
             x, replies = found[STATE][0][1], [r for _, r in found.get(MESSAGE, [])]
             probs = totals.root(joined(r["customers"] for r in replies), joined(r["tables"] for r in replies))
-            u, w, tables, n = x["u"].astype(np.int64), x["w"].astype(np.int64), x["tables"].astype(np.int64), len(x["once"])
+            u, w, tables, n = x["u"].astype(np.int64), x["w"].astype(np.int64), found[SEATS][0][1]["tables"].astype(np.int64), len(x["once"])
             held = totals.of(x["share"], x["once"] + counted(u, n, tables), totals.tables)
             rng = np.random.default_rng([seed, sweep, 0, chunk])
             tables = seat(x["count"].astype(np.int64), DISCOUNT, STRENGTH, held[u] - tables, probs[w], rng)
             held = x["once"] + counted(u, n, tables)
-            x["tables"] = small(tables)
-            if keep:
-                x |= {"total": small(x["total"] + tables), f"held{sweep}": small(held)}
-            yield _row(chunk, STATE, 0, 0, pack(**x))
+            yield _row(chunk, SEATS, sweep, 0, pack(tables=small(tables), **({"held": small(held)} if keep else {})))
             sums = counted(w, len(x["to"]), tables)
             for part, at in split(x["to"]):
                 yield _row(part, MESSAGE, chunk, 0, pack(tables=small(sums[at])))
@@ -388,15 +418,13 @@ def _seat_words(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, k
     """Sum the contexts' tables of each word and seat them in the parent."""
     def rows() -> Iterator[tuple]:
         for part, found in _parts(batches):
-            x, root = (x := found[STATE][0][1]), x["root"].astype(np.int64)
+            x, root = found[STATE][0][1], found[SEATS][0][1]["root"].astype(np.int64)
             customers = x["fixed"] + counted(x["at"], len(root), joined(m["tables"] for _, m in found.get(MESSAGE, [])))
             rng = np.random.default_rng([seed, sweep, 1, part])
-            x["root"] = small(seat(customers, ROOT_DISCOUNT, ROOT_STRENGTH, totals.root_tables - root, np.full(len(root), totals.base), rng))
-            if keep:
-                x |= {f"customers{sweep}": small(customers), f"root{sweep}": x["root"]}
-            yield _row(part, STATE, 0, 0, pack(**x))
-            yield from _reply(part, x, customers)
-            yield _row(part, ROOT, 0, x["root"].sum())
+            root = small(seat(customers, ROOT_DISCOUNT, ROOT_STRENGTH, totals.root_tables - root, np.full(len(root), totals.base), rng))
+            yield _row(part, SEATS, sweep, 0, pack(root=root, **({"customers": small(customers)} if keep else {})))
+            yield from _reply(part, x, customers, root)
+            yield _row(part, ROOT, 0, root.sum())
 
     yield from _batches(rows())
 
@@ -404,16 +432,18 @@ def _seat_words(batches: Iterable[pa.RecordBatch], totals: Totals, sweep: int, k
 def _answer_contexts(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for chunk, found in _parts(batches):
-            x, asked = found[STATE][0][1], found[ASKED][0][1]
+            x, asked, seats = found[STATE][0][1], found[ASKED][0][1], dict(found[SEATS])
             count = np.concatenate([[0, 1], x["count"]])
-            total = np.concatenate([[0, len(kept)], x["total"]])
+            total = np.concatenate([[0, len(kept)], sum(seats[s]["tables"].astype(np.int64) for s in kept)])
             last = kept[max(kept)]
-            contexts = {"customers": last.of(x["share"], asked["customers"], last.customers)}
-            contexts |= {f"held{s}": t.of(x["share"], x[f"held{s}"], t.tables) for s, t in kept.items()}
-            for block, number, u in zip(asked["block"].tolist(), np.split(asked["number"], np.cumsum(asked["n"])[:-1].astype(int)),
+            customers = last.of(x["share"], asked["customers"], last.customers)
+            held = {s: t.of(x["share"], seats[s]["held"], t.tables) for s, t in kept.items()}
+            numbers = asked["kinds"].astype(np.int64)
+            numbers[numbers > 1] = asked["ids"]
+            for block, number, u in zip(asked["block"].tolist(), np.split(numbers, np.cumsum(asked["n"])[:-1].astype(int)),
                                         np.split(asked["u"], np.cumsum(asked["n_u"])[:-1].astype(int)), strict=True):
-                yield _row(block, MESSAGE, chunk, 0, pack(count=small(count[number]), total=small(total[number]),
-                                                          **{k: small(v[u].astype(np.int64)) for k, v in contexts.items()}))
+                yield _row(block, MESSAGE, chunk, 0, pack(count=small(count[number]), total=small(total[number]), customers=small(customers[u].astype(np.int64)),
+                                                          **small_changes({s: h[u] for s, h in held.items()}, "held")))
 
     yield from _batches(rows())
 
@@ -421,10 +451,10 @@ def _answer_contexts(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals])
 def _answer_words(batches: Iterable[pa.RecordBatch], sweeps: list[int]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for part, found in _parts(batches):
-            x, asked = found[STATE][0][1], found[ASKED][0][1]
-            names = ["known", *(f"{k}{s}" for s in sweeps for k in ("customers", "root"))]
+            x, asked, seats = found[STATE][0][1], found[ASKED][0][1], dict(found[SEATS])
             for block, at in zip(asked["block"].tolist(), np.split(asked["at"], np.cumsum(asked["n"])[:-1].astype(int)), strict=True):
-                yield _row(block, ASKED, part, 0, pack(**{k: x[k][at] for k in names}))
+                yield _row(block, ASKED, part, 0, pack(known=x["known"][at], **{
+                    k: v for name in ("customers", "root") for k, v in small_changes({s: seats[s][name][at] for s in sweeps}, name).items()}))
 
     yield from _batches(rows())
 
@@ -436,9 +466,11 @@ def _score(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals], hot: np.n
         known, roots = np.zeros(n), {s: np.zeros(n) for s in kept}
         answers = dict(found[ASKED])
         for part, at in split(part_of(x["words"], parts)):
-            known[at] = answers[part]["known"]
+            got = answers.pop(part)
+            known[at] = got["known"]
+            customers, root = (from_changes(got, name, kept) for name in ("customers", "root"))
             for s, t in kept.items():
-                roots[s][at] = t.root(answers[part][f"customers{s}"].astype(float), answers[part][f"root{s}"])
+                roots[s][at] = t.root(customers[s].astype(float), root[s])
         pairs, answers = Pairs(x, hot, parts), dict(found.pop(MESSAGE))
         p = np.zeros(len(pairs.word))
         for chunk, at in pairs.chunks:
@@ -446,8 +478,8 @@ def _score(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals], hot: np.n
             u = np.unique(pairs.context[at], return_inverse=True)[1]
             size = STRENGTH + got["customers"][u]
             p[at] = np.maximum(got["count"] - DISCOUNT * got["total"] / len(kept), 0) / size
-            for s in kept:
-                p[at] += (STRENGTH + DISCOUNT * got[f"held{s}"][u]) / size * roots[s][pairs.word[at]] / len(kept)
+            for s, held in from_changes(got, "held", kept).items():
+                p[at] += (STRENGTH + DISCOUNT * held[u]) / size * roots[s][pairs.word[at]] / len(kept)
         base = np.log10((known + 1) / (n_tokens + n_types + 1))
         held = [None if h == 2 else bool(h) for h in x["held"].tolist()]
         doc = [None if null else d for d, null in zip(x["doc"].tolist(), x["null"].tolist(), strict=True)]
@@ -458,6 +490,13 @@ def _score(batches: Iterable[pa.RecordBatch], kept: dict[int, Totals], hot: np.n
             names=[f.split(" ")[0] for f in _SCORES.split(", ")])
 
 
+def pin_kinds(rows: DataFrame, name: str) -> DataFrame:
+    """Like ``pin_table``, with a folder for each kind, so that later reads skip the others."""
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.partitionBy("kind").parquet(path)
+    return rows.sparkSession.read.schema(_ROW).parquet(path).select(rows.columns)
+
+
 def _sums(rows: DataFrame, kind: int, n: int) -> list[int]:
     got = {r["src"]: r["n"] for r in rows.filter(F.col("kind") == kind).groupBy("src").agg(F.sum("n").alias("n")).collect()}
     return [got.get(i, 0) for i in range(n)]
@@ -483,23 +522,26 @@ def score_documents(docs: DataFrame, held_out: Column, burn_in: int = 2, samples
     frequent = np.array(sorted(r["src"] for r in index.mapInArrow(lambda x: _frequent(x, parts, hot), _ROW).select("src").distinct().collect()), "i8")
     names = np.sort(frequent.view("u8"))
     n = len(names) + 1
-    contexts = pin_table(dealt(index.mapInArrow(lambda x: _ask_contexts(x, names, parts), _ROW))
+    contexts = pin_kinds(dealt(index.mapInArrow(lambda x: _ask_contexts(x, names, parts), _ROW))
                          .mapInArrow(lambda x: _gather_contexts(x, names, parts), _ROW), "contexts")
-    words = pin_table(dealt(index.mapInArrow(lambda x: _ask_words(x, parts), _ROW), of(contexts, MESSAGE)).mapInArrow(_gather_words, _ROW), "words")
-    asked = of(contexts, ASKED), of(words, ASKED)
+    words = pin_kinds(dealt(index.mapInArrow(lambda x: _ask_words(x, parts), _ROW), of(contexts, MESSAGE)).mapInArrow(_gather_words, _ROW), "words")
+    # what no sweep changes
+    of_contexts, of_words = (of(contexts, STATE), of(contexts, ASKED)), (of(words, STATE), of(words, ASKED))
     customers, root = _sums(contexts, CUSTOMERS, n), _sums(words, ROOT, 2)
     n_tokens, n_types = sum(customers), root[1]
     totals = Totals([*customers, *_sums(contexts, TABLES, n), *root])
     kept: dict[int, Totals] = {}
+    seats: list[tuple[DataFrame, DataFrame]] = []
     for sweep in range(burn_in + samples):
         keep = sweep >= burn_in
-        contexts = pin_table(dealt(of(contexts, STATE), of(words, MESSAGE)).mapInArrow(
+        contexts = pin_table(dealt(of_contexts[0], of(contexts, SEATS), of(words, MESSAGE)).mapInArrow(
             lambda x, t=totals, s=sweep, k=keep: _seat_contexts(x, t, s, k, seed), _ROW), f"contexts{sweep}")
-        words = pin_table(dealt(of(words, STATE), of(contexts, MESSAGE)).mapInArrow(
+        words = pin_table(dealt(of_words[0], of(words, SEATS), of(contexts, MESSAGE)).mapInArrow(
             lambda x, t=totals, s=sweep, k=keep: _seat_words(x, t, s, k, seed), _ROW), f"words{sweep}")
         totals = Totals([*customers, *_sums(contexts, TABLES, n), *_sums(words, ROOT, 1), n_types])
         if keep:
             kept[sweep] = totals
-    answers = (dealt(of(contexts, STATE), asked[0]).mapInArrow(lambda x: _answer_contexts(x, kept), _ROW),
-               dealt(of(words, STATE), asked[1]).mapInArrow(lambda x: _answer_words(x, list(kept)), _ROW))
+            seats.append((of(contexts, SEATS), of(words, SEATS)))
+    answers = (dealt(*of_contexts, *(c for c, _ in seats)).mapInArrow(lambda x: _answer_contexts(x, kept), _ROW),
+               dealt(*of_words, *(w for _, w in seats)).mapInArrow(lambda x: _answer_words(x, list(kept)), _ROW))
     return dealt(index, *answers).mapInArrow(lambda x: _score(x, kept, names, parts, n_tokens, n_types), _SCORES)

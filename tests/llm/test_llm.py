@@ -409,3 +409,26 @@ def test_pitman_yor_chunks_follow_the_tokens(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got[0] == got[1]
+
+
+def test_pitman_yor_sweeps_write_their_seats_alone(spark, monkeypatch):
+    """What no sweep changes is written once, not again in every sweep."""
+    from pyspark.sql import functions as F
+    pinned, pin_table = {}, pitman_yor.pin_table
+    monkeypatch.setattr(pitman_yor, "pin_table", lambda rows, name: pinned.setdefault(name, pin_table(rows, name)))
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 7}" for j in range(1, 12))) for i in range(20)], "doc_id long, text string")
+    assert pitman_yor.score_documents(rows, F.col("doc_id") % 7 == 2).count() == 20
+    kinds = {name: {r["kind"] for r in table.select("kind").distinct().collect()} for name, table in pinned.items() if name != "index"}
+    assert len(kinds) >= 10 and not any(pitman_yor.STATE in k for k in kinds.values())
+
+
+def test_pitman_yor_packs_places_and_samples_as_steps():
+    rng = np.random.default_rng(4)
+    hashes = np.sort(rng.integers(0, 1 << 64, 10_000, "u8"))
+    arrays = {"w": np.concatenate([hashes, hashes[::-1]]), "ids": np.arange(0, 90_000, 9, "u4")[::-1], "u": np.zeros(0, "u4"), "count": rng.integers(0, 9, 100).astype("u4")}
+    got = pitman_yor.unpack(pitman_yor.pack(**arrays))
+    assert list(got) == list(arrays) and all(got[k].dtype == x.dtype and (got[k] == x).all() for k, x in arrays.items())
+    assert len(pitman_yor.pack(w=hashes)) < 7.2 * len(hashes)
+    samples = {s: rng.integers(0, 1 << 33, 50) for s in (2, 3, 4)}
+    found = pitman_yor.from_changes(pitman_yor.small_changes(samples, "held"), "held", samples)
+    assert all((found[s] == samples[s]).all() for s in samples)
